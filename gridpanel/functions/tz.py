@@ -1,4 +1,8 @@
-"""Local wall clock -> UTC."""
+"""Local wall clock -> UTC.
+
+Works on TIMESTAMP_NTZ with ``convert_timezone``, so the result never
+depends on the session time zone.
+"""
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
@@ -9,18 +13,21 @@ from .calendar import col, hour_floor
 def local_to_utc(ts, zone: str, nonexistent: str = "shift_forward") -> Column:
     """Read a naive local timestamp in ``zone`` and return naive UTC.
 
-    Ambiguous autumn hours take the daylight-saving reading. Spring-gap times
-    are moved to the first valid instant (``shift_forward``) when asked: a
-    gap time is one whose UTC round trip does not return it.
+    Ambiguous autumn hours take the daylight-saving (earlier) reading. A time in
+    the spring gap is moved to the first valid instant, the next full hour
+    (``shift_forward``); ``nonexistent='shift_by_gap'`` keeps the plain
+    conversion (moved by the gap's length). A gap time is one whose UTC round
+    trip does not return it.
     """
-    t = col(ts).cast("timestamp")
-    utc = F.to_utc_timestamp(t, zone)
+    src, utc = F.lit(zone), F.lit("UTC")
+    t = col(ts)
+    out = F.convert_timezone(src, utc, t)
     if nonexistent == "shift_forward":
-        back = F.from_utc_timestamp(utc, zone)
-        in_gap = back != t
-        # the first valid local instant after the gap is the next full hour
-        fixed = F.to_utc_timestamp(
-            (hour_floor(col(ts)) + F.make_dt_interval(F.lit(0), F.lit(1), F.lit(0), F.lit(0))
-             ).cast("timestamp"), zone)
-        utc = F.when(in_gap, fixed).otherwise(utc)
-    return utc.cast("timestamp_ntz")
+        in_gap = F.convert_timezone(utc, src, out) != t
+        nxt = hour_floor(t) + F.make_dt_interval(F.lit(0), F.lit(1), F.lit(0), F.lit(0))
+        out = F.when(in_gap, F.convert_timezone(src, utc, nxt)).otherwise(out)
+    return out
+
+
+def utc_to_local(ts, zone: str) -> Column:
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), col(ts))

@@ -112,6 +112,12 @@ def daily_panel(spark, sf_dir) -> DataFrame:
             .agg(F.round(F.sum("o_totalprice"), 2).alias("target"), F.count(F.lit(1)).alias("n")))
 
 
+# Station coordinates (x10 integers) the forecast fixture produces after the two
+# offshore points are removed: latitude 576..585 step 3, longitude 232..252 step 10.
+FIXTURE_STATIONS = [(a, b) for a in (576, 579, 582, 585) for b in (232, 242, 252)
+                    if (a, b) not in ((576, 232), (576, 242))]
+
+
 @dataclass
 class Panel:
     """Cleaned inputs for one data directory (lazy DataFrames)."""

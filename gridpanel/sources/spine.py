@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import schemas
 from ..functions.calendar import col
 from ..functions.numeric import scaled_coord
-from ..functions.solar import solar_position
+from ..functions.solar import with_solar_position
 from ..functions.tz import local_to_utc
 
 
@@ -26,9 +26,21 @@ def day_spine(spark: SparkSession, start, end, name: str = "date") -> DataFrame:
     return days
 
 
+def _bound(v):
+    """A bound is a literal string or a Column (e.g. a scalar subquery from ``data_bounds``)."""
+    return F.lit(v).cast("timestamp_ntz") if isinstance(v, str) else v
+
+
+def data_bounds(df: DataFrame, ts: str):
+    """G10 as scalar subqueries: (min, max) of ``ts``; evaluated by the executors,
+    never collected."""
+    b = df.select(F.min(ts).alias("lo"), F.max(ts).alias("hi"))
+    return b.select("lo").scalar(), b.select("hi").scalar()
+
+
 def _spine(spark, start, end, unit, name):
-    s = F.lit(start).cast("timestamp_ntz") if isinstance(start, str) else start
-    e = F.lit(end).cast("timestamp_ntz") if isinstance(end, str) else end
+    s = _bound(start)
+    e = _bound(end)
     days = spark.range(1).select(F.explode(F.sequence(F.to_date(s), F.to_date(e),
                                                       F.expr("interval 1 day"))).alias("_d"))
     return spine_from_days(days, s, e, name)
@@ -66,9 +78,8 @@ def solar_table(spark: SparkSession, start=schemas.SOLAR_RANGE[0], end=schemas.S
 
 def solar_for_hours(hours: DataFrame, lat, lon, zone: str = schemas.SOLAR_SITE[2],
                     ts: str = "datetime") -> DataFrame:
-    utc = local_to_utc(ts, zone)
-    az, el = solar_position(utc, lat, lon)
-    return hours.select("*", az.alias("solar_azimuth"), el.alias("solar_elevation"))
+    with_utc = hours.withColumn("_utc", local_to_utc(ts, zone))
+    return with_solar_position(with_utc, "_utc", lat, lon).drop("_utc")
 
 
 def rich_solar_table(locations: DataFrame, start=schemas.SOLAR_RANGE[0], end=schemas.SOLAR_RANGE[1],
@@ -78,15 +89,15 @@ def rich_solar_table(locations: DataFrame, start=schemas.SOLAR_RANGE[0], end=sch
     ``locations`` has ``latitude``/``longitude``; the hours are generated per
     location row, so the work spreads over the location partitions.
     """
-    s = F.lit(start).cast("timestamp_ntz")
-    e = F.lit(end).cast("timestamp_ntz")
+    s = _bound(start)
+    e = _bound(end)
     locs = locations.select("latitude", "longitude").distinct()
     days = locs.select("latitude", "longitude",
                        F.explode(F.sequence(F.to_date(s), F.to_date(e), F.expr("interval 1 day"))).alias("_d"))
     hours = days.select("latitude", "longitude", F.explode(F.sequence(
         F.col("_d").cast("timestamp_ntz"), F.col("_d").cast("timestamp_ntz") + F.expr("interval 23 hours"),
         F.expr("interval 1 hour"))).alias("datetime")).filter((F.col("datetime") >= s) & (F.col("datetime") <= e))
-    out = solar_for_hours(hours, col("latitude"), col("longitude"), zone)
+    out = solar_for_hours(hours, "latitude", "longitude", zone)
     if scale_keys:
         out = out.withColumns({"latitude": scaled_coord("latitude"), "longitude": scaled_coord("longitude")})
     return out.select("datetime", "solar_elevation", "solar_azimuth", "latitude", "longitude")
