@@ -99,3 +99,12 @@ def calendar_features(df, ts: str = "prediction_datetime", d: str = "date",
         cols.append(trend(d, fit_start).alias("trend"))
     cols += fourier_terms(d, order)
     return df.select("*", *cols)
+
+
+def epoch_micros(ts) -> Column:
+    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ, without any time zone."""
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), col(ts))
+
+
+def hours_between(a, b) -> Column:
+    return F.timestamp_diff("HOUR", col(a), col(b))

@@ -9,7 +9,7 @@ from .calendar import col
 def one_hot(c, levels, prefix: str, drop_first: bool = False) -> list[Column]:
     """F8: dummies over a fixed level list; a value outside it gives all zeros."""
     lv = list(levels)[1:] if drop_first else list(levels)
-    return [(col(c) == F.lit(v)).cast("int").alias(f"{prefix}_{v}") for v in lv]
+    return [(col(c) == F.lit(v)).cast("int").alias(f"{prefix}_{str(v).replace('-', '_')}") for v in lv]
 
 
 def segment_signature(county="county", is_business="is_business", product_type="product_type") -> Column:

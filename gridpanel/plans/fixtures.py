@@ -23,6 +23,9 @@ from ..functions.calendar import hour_floor
 from ..sources import tables as T
 
 
+TARGET_SCALE = 0.7390851332151607   # neither it nor its square is near a short decimal
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
@@ -42,7 +45,10 @@ def raw_target(spark, sf_dir) -> DataFrame:
     return (ev.groupBy(F.col("user_id").cast("int").alias("prediction_unit_id"), *_segment_cols(),
                        ((F.col("event_id") % 2) == 1).alias("is_consumption"),
                        hour_floor("ts").alias("datetime"), _block("ts").alias("data_block_id"))
-            .agg(F.min("event_id").alias("row_id"), F.round(F.sum("value"), 4).alias("target"))
+            # scaled by a constant with a long binary expansion so that derived means
+            # and differences never land on a short decimal (a rounding tie)
+            .agg(F.min("event_id").alias("row_id"),
+                 (F.round(F.sum("value"), 4) * F.lit(TARGET_SCALE)).alias("target"))
             .select("row_id", "prediction_unit_id", "county", "is_business", "product_type",
                     "is_consumption", "datetime", "data_block_id", "target"))
 
@@ -164,7 +170,7 @@ SELECT row_id, prediction_unit_id, county, is_business, product_type, is_consump
        CAST(prediction_datetime AS DATE) - 2 AS date_when_predicting
 FROM (SELECT min(event_id) AS row_id, CAST(user_id AS INTEGER) AS prediction_unit_id, {_SEG},
              (event_id % 2 = 1) AS is_consumption, {_HOUR} AS prediction_datetime,
-             {_BLOCK} AS data_block_id, round(sum(value), 4) AS target
+             {_BLOCK} AS data_block_id, round(sum(value), 4) * CAST('{TARGET_SCALE!r}' AS DOUBLE) AS target
       FROM events GROUP BY 2, 3, 4, 5, 6, 7, 8) x
 WHERE target IS NOT NULL AND NOT isnan(target)""",
     "cli": f"""

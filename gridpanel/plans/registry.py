@@ -18,6 +18,10 @@ def query(name: str, sql: str | None = None, fixtures=()):
 
 
 def rounded(df: DataFrame, digits: int = 6, cols=None) -> DataFrame:
-    """Report projection: round double columns so two engines hash alike."""
+    """Report projection: round double columns so two engines hash alike.
+
+    Written as ``round(x * 10^d) / 10^d`` on the binary double, the same steps
+    DuckDB's ``round(x, d)`` takes (Spark's decimal rounding differs at ties)."""
     cols = cols or [c for c, t in df.dtypes if t in ("double", "float")]
-    return df.withColumns({c: F.round(F.col(c), digits) for c in cols})
+    scale = float(10 ** digits)
+    return df.withColumns({c: F.round(F.col(c) * scale) / scale for c in cols})

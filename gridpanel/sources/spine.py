@@ -55,7 +55,7 @@ def spine_from_days(days: DataFrame, s, e, name: str = "datetime") -> DataFrame:
 
 
 def spine_between(bounds: DataFrame, lo: str, hi: str, name: str = "datetime",
-                  keys=()) -> DataFrame:
+                  keys=(), freq: str = "hour") -> DataFrame:
     """S7 from data bounds: hourly instants between per-row ``lo`` and ``hi``.
 
     ``bounds`` comes from an aggregate (G10), so the spine never passes through
@@ -63,6 +63,8 @@ def spine_between(bounds: DataFrame, lo: str, hi: str, name: str = "datetime",
     """
     days = bounds.select(*keys, lo, hi, F.explode(F.sequence(F.to_date(lo), F.to_date(hi),
                                                              F.expr("interval 1 day"))).alias("_d"))
+    if freq == "day":
+        return days.select(*keys, F.col("_d").alias(name))
     hours = days.select(*keys, lo, hi, F.explode(F.sequence(
         F.col("_d").cast("timestamp_ntz"), F.col("_d").cast("timestamp_ntz") + F.expr("interval 23 hours"),
         F.expr("interval 1 hour"))).alias(name))
