@@ -1,7 +1,7 @@
 """All registered queries (importing the query modules fills the registry)."""
 from __future__ import annotations
 
-from . import q_assemble, q_calendar, q_enrich, q_normalise, q_profiles, q_quality  # noqa: F401
+from . import q_assemble, q_calendar, q_enrich, q_models, q_normalise, q_profiles, q_quality  # noqa: F401
 from .registry import REGISTRY
 
 
