@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..operators import enrich as E
 from ..sources import spine
+from .features import default_solar
 from .fixtures import FIXTURE_STATIONS, load_panel
 from .oracle_sql import solar_select
 from .registry import query, rounded
@@ -54,7 +55,7 @@ FROM tgt t LEFT JOIN ({solar_select(_SOLAR_DEFAULT, "datetime", "58.6", "25.01")
   ON t.prediction_datetime = s.datetime""", ("tgt",))
 def j7_solar_join(spark, sf_dir):
     t = load_panel(spark, sf_dir).target.select("row_id", "prediction_datetime")
-    return rounded(E.add_solar(t, spine.solar_table(spark)))
+    return rounded(E.add_solar(t, default_solar(spark)))
 
 
 @query("s9_j15_rich_solar", f"""
@@ -156,7 +157,7 @@ JOIN sol s ON t.prediction_datetime = s.datetime""", ("tgt", "cli", "wf"))
 def j16_forest_features(spark, sf_dir):
     p = load_panel(spark, sf_dir)
     wide = E.pivot_forecast(p.weather_forecast, FIXTURE_STATIONS)
-    out = E.forest_features(p.target, p.client, wide, spine.solar_table(spark))
+    out = E.forest_features(p.target, p.client, wide, default_solar(spark))
     return rounded(out.select("row_id", "prediction_unit_id", "is_consumption", "eic_count", "installed_capacity",
                               *_wide_names(), "solar_azimuth", "solar_elevation"),
                    cols=["solar_azimuth", "solar_elevation"])
