@@ -63,14 +63,16 @@ def stream_lag_join(rows: DataFrame, truth: DataFrame, days: int = 2, value: str
     left outer join, so rows without a lag are emitted with null once the
     watermark passes."""
     *ids, ts = PANEL_KEY
-    r = rows.withWatermark(ts, watermark).alias("r")
-    h = (truth.select(*[F.col(c).alias(f"h_{c}") for c in ids], F.col(ts).alias("h_ts"),
+    # watermarks need TIMESTAMP event time; both sides convert the same way, so
+    # exact-hour equality is preserved
+    r = rows.withColumn("_et", F.col(ts).cast("timestamp")).withWatermark("_et", watermark).alias("r")
+    h = (truth.select(*[F.col(c).alias(f"h_{c}") for c in ids],
+                      (F.col(ts) + F.make_dt_interval(F.lit(days))).cast("timestamp").alias("_het"),
                       F.col(value).alias(f"{value}_{days}d_ago"))
-         .withColumn("h_ts", F.col("h_ts") + F.make_dt_interval(F.lit(days))))
-    h = h.withWatermark("h_ts", watermark)
-    cond = [F.col(f"r.{c}") == F.col(f"h_{c}") for c in ids] + [F.col(f"r.{ts}") == F.col("h_ts")]
+         .withWatermark("_het", watermark))
+    cond = [F.col(f"r.{c}") == F.col(f"h_{c}") for c in ids] + [F.col("r._et") == F.col("_het")]
     j = r.join(h, cond, "leftOuter")
-    return j.select("r.*", f"{value}_{days}d_ago")
+    return j.select("r.*", f"{value}_{days}d_ago").drop("_et")
 
 
 def enrich_stream(rows: DataFrame, static: DataFrame, keys, how: str = "left") -> DataFrame:
