@@ -10,19 +10,23 @@ def acf(df: DataFrame, keys, ts: str, value: str, nlags: int = 72) -> DataFrame:
     """A2: autocorrelation per series at lags 1..nlags hours,
     ``sum_t (x_t - m)(x_{t+k} - m) / sum_t (x_t - m)^2`` over exact-time pairs.
 
-    Pairs come from a self join on (series, hour) against the series shifted by
-    each lag (one shuffle of ``nlags`` copies, keyed by the full key, so a long
-    series spreads over all tasks); sums are partial aggregates."""
+    Pairs come from a self join on (series, time bucket of ``nlags`` hours): each
+    row meets the rows of its own bucket and of the next one, which contain every
+    partner at most ``nlags`` hours later. Three copies of the series are shuffled
+    (not ``nlags``), and a join group is one series' ``2 * nlags`` hours, so a
+    long or hot series spreads over many tasks. Sums are partial aggregates."""
     keys = list(keys)
     stats = df.groupBy(*keys).agg(F.avg(value).alias("_m"))
-    c = df.join(stats, keys).select(*keys, ts, (F.col(value) - F.col("_m")).alias("_c"))
+    hours = F.timestamp_diff("HOUR", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
+    c = df.join(stats, keys).select(*keys, hours.alias("_h"), (F.col(value) - F.col("_m")).alias("_c"))
     denom = c.groupBy(*keys).agg(F.sum(F.col("_c") * F.col("_c")).alias("_den"))
-    shifted = (c.select(*keys, F.col(ts).alias("_t0"), F.col("_c").alias("_c0"),
-                        F.explode(F.sequence(F.lit(1), F.lit(nlags))).alias("lag"))
-               .select(*keys, "_c0", "lag",
-                       (F.col("_t0") + F.make_dt_interval(F.lit(0), F.col("lag"))).alias(ts)))
-    num = (c.join(shifted, [*keys, ts]).groupBy(*keys, "lag")
-           .agg(F.sum(F.col("_c") * F.col("_c0")).alias("_num")))
+    left = c.select(*keys, "_h", "_c", F.floor(F.col("_h") / nlags).alias("_b"))
+    right = c.select(*keys, F.col("_h").alias("_h2"), F.col("_c").alias("_c2"),
+                     F.explode(F.array(F.floor(F.col("_h") / nlags), F.floor(F.col("_h") / nlags) - 1)).alias("_b"))
+    pairs = (left.join(right, [*keys, "_b"])
+             .select(*keys, (F.col("_h2") - F.col("_h")).cast("int").alias("lag"), (F.col("_c") * F.col("_c2")).alias("_p"))
+             .filter((F.col("lag") >= 1) & (F.col("lag") <= nlags)))
+    num = pairs.groupBy(*keys, "lag").agg(F.sum("_p").alias("_num"))
     return num.join(denom, keys).select(*keys, "lag", F.try_divide(F.col("_num"), F.col("_den")).alias("acf"))
 
 

@@ -78,51 +78,54 @@ def fit_grouped_ols(df: DataFrame, features, target: str, group_keys=(), interce
     k = len(features) + (1 if intercept else 0)
     dim = k + 1                                   # [X y]
     key_fields = [f for f in df.select(*group_keys).schema.fields]
-    partial_schema = T.StructType(key_fields + [
-        T.StructField("n", T.LongType()), T.StructField("gram", T.ArrayType(T.DoubleType()))])
 
-    data = df.select(*group_keys, *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(features)],
+    xs = [F.col(c).cast("double") for c in features]
+    data = df.select(*group_keys, *[x.alias(f"_x{i}") for i, x in enumerate(xs)],
                      F.col(target).cast("double").alias("_y"))
     data = data.dropna(subset=[f"_x{i}" for i in range(len(features))] + ["_y"])
-    xcols = [f"_x{i}" for i in range(len(features))]
-
-    def partial_gram(batches):
-        acc: dict = {}
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            groups = pdf.groupby(group_keys, sort=False, dropna=False) if group_keys else [((), pdf)]
-            for key, g in groups:
-                x = g[xcols].to_numpy(dtype=float)
-                if intercept:
-                    x = np.hstack([np.ones((len(g), 1)), x])
-                z = np.hstack([x, g[["_y"]].to_numpy(dtype=float)])
-                key = key if isinstance(key, tuple) else (key,)
-                n0, m0 = acc.get(key, (0, np.zeros((dim, dim))))
-                acc[key] = (n0 + len(g), m0 + z.T @ z)
-        if acc:
-            rows = [(*key, n, m.ravel().tolist()) for key, (n, m) in acc.items()]
-            yield pd.DataFrame(rows, columns=[*group_keys, "n", "gram"])
-
-    partials = data.mapInPandas(partial_gram, partial_schema)
+    z = ([F.lit(1.0)] if intercept else []) + [F.col(f"_x{i}") for i in range(len(features))] + [F.col("_y")]
+    pairs = [(i, j) for i in range(dim) for j in range(i, dim)]
+    # upper triangle of [X y]'[X y] per group, summed in the JVM with map-side
+    # partial aggregation: a group in every partition costs one partial row each
+    if len(pairs) <= 120:
+        sums = data.groupBy(*group_keys).agg(F.count(F.lit(1)).alias("n"),
+                                             *[F.sum(z[i] * z[j]).alias(f"_g{i}_{j}") for i, j in pairs])
+        summed = sums.select(*group_keys, "n", F.array(*[F.col(f"_g{i}_{j}") for i, j in pairs]).alias("gram"))
+    else:
+        prods = data.select(*group_keys, F.posexplode(F.array(*[z[i] * z[j] for i, j in pairs])).alias("pos", "v"))
+        ent = prods.groupBy(*group_keys, "pos").agg(F.sum("v").alias("v"), F.count(F.lit(1)).alias("n"))
+        summed = ent.groupBy(*group_keys).agg(
+            F.max("n").alias("n"),
+            F.transform(F.array_sort(F.collect_list(F.struct("pos", "v"))), lambda e: e["v"]).alias("gram"))
+    iu = np.triu_indices(dim)
+
+    def full(tri):
+        m = np.zeros((dim, dim))
+        m[iu] = tri
+        return m + np.triu(m, 1).T
     coef_schema = T.StructType(key_fields + [
         T.StructField("n", T.LongType()), T.StructField("rank", T.IntegerType()),
         T.StructField("coef", T.ArrayType(T.DoubleType()))])
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        m = np.sum(np.stack([np.asarray(g, dtype=float) for g in pdf["gram"]]), axis=0).reshape(dim, dim)
-        xtx, xty = m[:k, :k], m[:k, k]
-        beta = np.linalg.pinv(xtx, rcond=rcond, hermitian=True) @ xty
-        rank = int(np.linalg.matrix_rank(xtx, tol=None, hermitian=True)) if k else 0
-        out = {c: [pdf[c].iloc[0]] for c in group_keys}
-        out.update({"n": [int(pdf["n"].sum())], "rank": [rank], "coef": [beta.tolist()]})
-        return pd.DataFrame(out)
-
-    if group_keys:
-        coefs = partials.groupBy(*group_keys).applyInPandas(solve, coef_schema)
-    else:
-        coefs = partials.withColumn("_one", F.lit(1)).groupBy("_one").applyInPandas(
-            lambda p: solve(p.drop(columns=["_one"])), coef_schema)
+    def solve(batches):
+        # all groups of a batch at once: stacked pseudo-inverses (minimum-norm solutions)
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            m = np.stack([full(np.asarray(g, dtype=float)) for g in pdf["gram"]])
+            xtx, xty = m[:, :k, :k], m[:, :k, k]
+            if k:
+                beta = np.einsum("gij,gj->gi", np.linalg.pinv(xtx, rcond=rcond, hermitian=True), xty)
+                rank = np.linalg.matrix_rank(xtx, hermitian=True)
+            else:
+                beta, rank = np.zeros((len(pdf), 0)), np.zeros(len(pdf), dtype=int)
+            out = pdf[group_keys].copy() if group_keys else pd.DataFrame(index=pdf.index)
+            out["n"] = pdf["n"].astype("int64").to_numpy()
+            out["rank"] = np.asarray(rank, dtype="int32")
+            out["coef"] = [b.tolist() for b in beta]
+            yield out
+
+    coefs = summed.mapInPandas(solve, coef_schema)
     terms = (["intercept"] if intercept else []) + features
     return GroupedOLS(group_keys, features, intercept, coefs, terms)
 

@@ -1,9 +1,16 @@
 """Size-checked broadcast.
 
-A side is broadcast only when a bounded count proves it holds at most
-``max_rows`` rows; otherwise the join is left to the planner (sort-merge or
-shuffle-hash, with AQE's runtime conversion still able to broadcast it when
-the measured shuffle output is small).
+Dimension sides (client facts, prices, station maps, solar positions) are
+derived by aggregations, so their size is known exactly once their shuffle
+stage has run. The check is therefore left to adaptive execution: AQE
+re-plans a join as a broadcast join only when the *measured* size of a side
+is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and keeps the
+sort-merge join (the way beyond the bound) otherwise. No extra job, no
+recomputation of the small side.
+
+An explicit ``broadcast`` hint is used only when the caller proves a bound
+(``proven_rows``) or asks for a counted check on a side that is cheap to
+count (``count_check=True``: reads at most ``max_rows + 1`` rows).
 """
 from __future__ import annotations
 
@@ -17,5 +24,10 @@ def rows_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if rows_at_most(df, max_rows) else df
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, proven_rows: int | None = None,
+                      count_check: bool = False) -> DataFrame:
+    if proven_rows is not None and proven_rows <= max_rows:
+        return F.broadcast(df)
+    if count_check and rows_at_most(df, max_rows):
+        return F.broadcast(df)
+    return df       # AQE decides from the measured size at run time

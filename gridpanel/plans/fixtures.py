@@ -15,8 +15,6 @@ cleaned form; ``with_fixtures`` prefixes a query with the CTEs it names.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.calendar import hour_floor
@@ -26,8 +24,20 @@ from ..sources import tables as T
 TARGET_SCALE = 0.7390851332151607   # neither it nor its square is near a short decimal
 
 
+_READS: dict = {}
+
+
+def read_base(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """One parquet relation per (session, table): file listing and footer reads
+    happen once, and every derived panel shares the same scan node."""
+    key = (id(spark.sparkContext._jsc), sf_dir, table)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return _READS[key]
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return read_base(spark, sf_dir, "events")
 
 
 def _block(ts) -> F.Column:
@@ -113,7 +123,7 @@ def raw_electricity(spark, sf_dir) -> DataFrame:
 
 
 def daily_panel(spark, sf_dir) -> DataFrame:
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    o = read_base(spark, sf_dir, "orders")
     return (o.groupBy(F.col("o_orderpriority").alias("unit"), F.to_date("o_orderdate").alias("date"))
             .agg(F.round(F.sum("o_totalprice"), 2).alias("target"), F.count(F.lit(1)).alias("n")))
 
@@ -124,34 +134,36 @@ FIXTURE_STATIONS = [(a, b) for a in (576, 579, 582, 585) for b in (232, 242, 252
                     if (a, b) not in ((576, 232), (576, 242))]
 
 
-@dataclass
 class Panel:
-    """Cleaned inputs for one data directory (lazy DataFrames)."""
-    target: DataFrame
-    client: DataFrame
-    weather_forecast: DataFrame
-    station_map: DataFrame
-    gas_prices: DataFrame
-    electricity_prices: DataFrame
-    daily: DataFrame
-    raw_weather_forecast: DataFrame
-    raw_station_map: DataFrame
+    """Cleaned inputs for one data directory. Each table is built on first use
+    (lazy DataFrames), so a query only plans the inputs it reads."""
+
+    _builders = {
+        "target": lambda sp, d: T.clean_target(raw_target(sp, d)),
+        "client": lambda sp, d: T.clean_client(raw_client(sp, d)),
+        "raw_weather_forecast": raw_weather_forecast,
+        "weather_forecast": lambda sp, d: T.clean_weather_forecast(raw_weather_forecast(sp, d)),
+        "raw_station_map": raw_station_map,
+        "station_map": lambda sp, d: T.clean_station_map(raw_station_map(sp, d)),
+        "gas_prices": lambda sp, d: T.clean_gas(raw_gas(sp, d)),
+        "electricity_prices": lambda sp, d: T.clean_electricity(raw_electricity(sp, d)),
+        "daily": daily_panel,
+    }
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir, self._cache = spark, sf_dir, {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        builders = type(self)._builders
+        if name not in builders:
+            raise AttributeError(name)
+        if name not in self._cache:
+            self._cache[name] = builders[name](self._spark, self._dir)
+        return self._cache[name]
 
 
 def load_panel(spark: SparkSession, sf_dir: str) -> Panel:
-    rwf = raw_weather_forecast(spark, sf_dir)
-    rst = raw_station_map(spark, sf_dir)
-    return Panel(
-        target=T.clean_target(raw_target(spark, sf_dir)),
-        client=T.clean_client(raw_client(spark, sf_dir)),
-        weather_forecast=T.clean_weather_forecast(rwf),
-        station_map=T.clean_station_map(rst),
-        gas_prices=T.clean_gas(raw_gas(spark, sf_dir)),
-        electricity_prices=T.clean_electricity(raw_electricity(spark, sf_dir)),
-        daily=daily_panel(spark, sf_dir),
-        raw_weather_forecast=rwf,
-        raw_station_map=rst,
-    )
+    return Panel(spark, sf_dir)
 
 
 # ---------------------------------------------------------------- SQL side

@@ -15,11 +15,14 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     """
     builder = (SparkSession.builder.master(master).appName(app)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
+               # runtime broadcast only for sides measured below 64 MB (sizing.py)
+               .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true")
                .config("spark.driver.memory", "16g"))
     for k, v in (extra or {}).items():
