@@ -39,3 +39,8 @@ def join_on_date_of(left: DataFrame, right: DataFrame, ts: str, right_date: str,
     for k in keys:
         out = out.drop(right[k])
     return out
+
+
+def unit_slice(df: DataFrame, unit, col: str = "prediction_unit_id") -> DataFrame:
+    """Rows of one unit (a filter; pushed to the scan when the column is stored)."""
+    return df.filter(F.col(col) == unit)

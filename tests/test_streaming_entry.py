@@ -65,3 +65,38 @@ def test_sinks_roundtrip(spark, tmpdir_path):
     append_submission(df.filter("data_block_id = 0"), s)
     append_submission(df.filter("data_block_id = 1"), s)
     assert spark.read.option("header", True).csv(s).count() == 2
+
+
+def test_csv_scan_with_declared_schema(spark, tmpdir_path):
+    from gridpanel.sources.tables import clean_target, read_csv
+    p = os.path.join(tmpdir_path, "train.csv")
+    with open(p, "w") as f:
+        f.write("row_id,prediction_unit_id,county,is_business,product_type,is_consumption,datetime,data_block_id,target\n")
+        f.write("1,0,0,False,1,False,2021-09-01 00:00:00,0,0.713\n")
+        f.write("2,0,0,False,1,True,2021-09-01 00:00:00,0,\n")
+    df = clean_target(read_csv(spark, p, "target"))
+    rows = df.collect()
+    assert len(rows) == 1 and rows[0].target == 0.713
+    assert str(rows[0].date_when_predicting) == "2021-08-30"
+    assert dict(df.dtypes)["prediction_datetime"] == "timestamp_ntz"
+
+
+def test_flags_and_unit_slice(spark):
+    from gridpanel.functions.numeric import flags_as_int
+    from gridpanel.operators.assemble import unit_slice
+    df = spark.createDataFrame([(1, True), (2, False)], "prediction_unit_id int, is_business boolean")
+    assert [r.is_business for r in flags_as_int(df, ["is_business"]).orderBy("prediction_unit_id").collect()] == [1, 0]
+    assert unit_slice(df, 2).count() == 1
+
+
+def test_stream_static_enrichment(spark, tmpdir_path):
+    from gridpanel.plans.fixtures import load_panel
+    t = load_panel(spark, SF).target.select("row_id", "county", "prediction_datetime")
+    src = os.path.join(tmpdir_path, "rows")
+    t.write.parquet(src)
+    static = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "county int, name string")
+    s = S.enrich_stream(spark.readStream.schema(t.schema).parquet(src), static, ["county"])
+    q = s.writeStream.format("memory").queryName("enriched").start()
+    q.processAllAvailable()
+    q.stop()
+    assert spark.sql("SELECT count(*) FROM enriched WHERE name IS NOT NULL").first()[0] == t.count()
