@@ -92,11 +92,52 @@ def fit_grouped_ols(df: DataFrame, features, target: str, group_keys=(), interce
                                              *[F.sum(z[i] * z[j]).alias(f"_g{i}_{j}") for i, j in pairs])
         summed = sums.select(*group_keys, "n", F.array(*[F.col(f"_g{i}_{j}") for i, j in pairs]).alias("gram"))
     else:
-        prods = data.select(*group_keys, F.posexplode(F.array(*[z[i] * z[j] for i, j in pairs])).alias("pos", "v"))
-        ent = prods.groupBy(*group_keys, "pos").agg(F.sum("v").alias("v"), F.count(F.lit(1)).alias("n"))
-        summed = ent.groupBy(*group_keys).agg(
-            F.max("n").alias("n"),
-            F.transform(F.array_sort(F.collect_list(F.struct("pos", "v"))), lambda e: e["v"]).alias("gram"))
+        # wide designs: each Arrow batch forms its groups' partial triangles in numpy
+        # (rows indexed once per group, one matrix product each); only those
+        # partials, not per-row products, are exploded and summed in the JVM
+        iu0 = np.triu_indices(dim)
+        xcols = [f"_x{i}" for i in range(len(features))]
+        part_schema = T.StructType(key_fields + [T.StructField("n", T.LongType()),
+                                                 T.StructField("tri", T.ArrayType(T.DoubleType()))])
+
+        def partial(batches):
+            for pdf in batches:
+                if pdf.empty:
+                    continue
+                zs = pdf[xcols + ["_y"]].to_numpy(dtype=float)
+                if intercept:
+                    zs = np.hstack([np.ones((len(pdf), 1)), zs])
+                if group_keys:
+                    idx = pdf.groupby(group_keys, sort=False, dropna=False).indices
+                else:
+                    idx = {(): np.arange(len(pdf))}
+                rows = []
+                for key, ix in idx.items():
+                    zg = zs[ix]
+                    key = key if isinstance(key, tuple) else (key,)
+                    rows.append((*key, len(ix), (zg.T @ zg)[iu0].tolist()))
+                yield pd.DataFrame(rows, columns=[*group_keys, "n", "tri"])
+
+        parts = data.mapInPandas(partial, part_schema)
+        sum_schema = T.StructType(key_fields + [T.StructField("n", T.LongType()),
+                                                T.StructField("gram", T.ArrayType(T.DoubleType()))])
+
+        def add_partials(batches):
+            acc: dict = {}
+            for pdf in batches:
+                for row in pdf.itertuples(index=False):
+                    key = tuple(row[:len(group_keys)])
+                    n0, t0 = acc.get(key, (0, 0.0))
+                    acc[key] = (n0 + int(row[len(group_keys)]), t0 + np.asarray(row[len(group_keys) + 1], dtype=float))
+            if acc:
+                yield pd.DataFrame([(*k_, n_, t_.tolist()) for k_, (n_, t_) in acc.items()],
+                                   columns=[*group_keys, "n", "gram"])
+
+        # the partials (one per batch and group) are hashed by group, so every group's
+        # partials meet in one task and are summed there; their count is bounded by
+        # the number of input batches, not by the group's rows
+        shuffled = parts.repartition(*group_keys) if group_keys else parts.coalesce(1)
+        summed = shuffled.mapInPandas(add_partials, sum_schema)
     iu = np.triu_indices(dim)
 
     def full(tri):

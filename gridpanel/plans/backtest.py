@@ -53,11 +53,12 @@ def visible_lags(rows: DataFrame, truth: DataFrame, days=(2, 7), value: str = "t
                           for d in days}).drop(*[f"_rev{d}" for d in days])
 
 
-def persistence_backtest(test: DataFrame, truth: DataFrame, delay_blocks: int = 2) -> DataFrame:
+def persistence_backtest(test: DataFrame, truth: DataFrame, delay_blocks: int = 2, keep=()) -> DataFrame:
     """T2 with the simplest scorer: every test row of every block predicted by the
     value two days earlier as known at that block (0 when not known, T4 inference rule)."""
     lagged = visible_lags(test, with_reveal_block(truth, delay_blocks), (2,))
-    return fill_numeric_nulls(lagged.select("row_id", "data_block_id", F.col("target_2d_ago").alias("prediction")))
+    out = lagged.select("row_id", "data_block_id", *keep, F.col("target_2d_ago").alias("prediction"))
+    return fill_numeric_nulls(out, cols=["prediction"])
 
 
 def complete_submission(template: DataFrame, predictions: DataFrame) -> DataFrame:

@@ -88,7 +88,7 @@ def default_solar(spark) -> DataFrame:
     it keeps predicates on ``solar_elevation`` from being pushed into, and
     re-evaluating, the whole position formula."""
     from ..session import cut_lineage
-    key = id(spark.sparkContext._jsc)
+    key = id(spark)
     if key not in _SOLAR_CACHE:
         _SOLAR_CACHE[key] = cut_lineage(spine.solar_table(spark))
     return _SOLAR_CACHE[key]

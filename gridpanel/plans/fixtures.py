@@ -30,7 +30,7 @@ _READS: dict = {}
 def read_base(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One parquet relation per (session, table): file listing and footer reads
     happen once, and every derived panel shares the same scan node."""
-    key = (id(spark.sparkContext._jsc), sf_dir, table)
+    key = (id(spark), sf_dir, table)
     if key not in _READS:
         _READS[key] = spark.read.parquet(f"{sf_dir}/{table}.parquet")
     return _READS[key]

@@ -49,7 +49,9 @@ def t2_backtest(spark, sf_dir):
     t = load_panel(spark, sf_dir).target
     test = t.filter("data_block_id >= 20")
     template = test.select("row_id", "data_block_id", F.lit(0.0).alias("target"))
-    parts = [B.persistence_backtest(test.filter(cond), t) for cond in ("NOT is_consumption", "is_consumption")]
+    # one scoring pass over both directions; the per-direction parts (U1) are views of it
+    preds = B.persistence_backtest(test, t, keep=["is_consumption"])
+    parts = [preds.filter(cond) for cond in ("NOT is_consumption", "is_consumption")]
     return B.complete_submission(template, parts)
 
 
@@ -83,9 +85,9 @@ WHERE prediction_datetime > TIMESTAMP '2024-01-05 00:00:00' AND prediction_datet
   AND target > 10""", ("tgt",))
 def p10_p11(spark, sf_dir):
     t = load_panel(spark, sf_dir).target
-    a, b = dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 12)
-    return t.filter((F.col("prediction_datetime") > F.lit(a).cast("timestamp_ntz"))
-                    & (F.col("prediction_datetime") < F.lit(b).cast("timestamp_ntz"))
+    a = F.lit("2024-01-05 00:00:00").cast("timestamp_ntz")      # string -> NTZ: no time zone involved
+    b = F.lit("2024-01-12 00:00:00").cast("timestamp_ntz")
+    return t.filter((F.col("prediction_datetime") > a) & (F.col("prediction_datetime") < b)
                     & (F.col("target") > 10)).select("row_id", "prediction_datetime", "target")
 
 

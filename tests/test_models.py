@@ -85,3 +85,15 @@ def test_acf_pacf_consistent(spark):
     assert acf[1] == pytest.approx(0.7, abs=0.1)
     p = {r.lag: r.pacf for r in A.pacf_from_acf(a, ["u"], 5).collect()}
     assert p[1] == pytest.approx(acf[1]) and abs(p[2]) < 0.15
+
+
+def test_wide_design_grouped_ols(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(900, 20))
+    rows = [(int(i % 3), *map(float, x[i]), float(x[i] @ np.arange(20) + 1.0 + (i % 3))) for i in range(900)]
+    df = spark.createDataFrame(rows, "g int, " + ", ".join(f"x{i} double" for i in range(20)) + ", y double")
+    m = M.fit_grouped_ols(df.repartition(4), [f"x{i}" for i in range(20)], "y", ["g"])
+    got = {r.g: r for r in m.coefficients.collect()}
+    for g in range(3):
+        assert got[g].n == 300 and got[g].rank == 21
+        assert got[g].coef == pytest.approx([1.0 + g] + list(range(20)), abs=1e-8)
