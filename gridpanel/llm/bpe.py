@@ -309,6 +309,28 @@ def n_tokens(ids: Column) -> Column:
     return (F.octet_length(ids) / 4).cast("long")
 
 
+def encode_checked(docs: DataFrame, voc: Vocabulary, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """``(id_col, n_tokens, token_ids)`` of every row; fails if decoding does not give a text back.
+
+    Ids are those of ``encode``; a null text is empty."""
+    shared = _tables(docs, voc)
+    rows = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        voc = shared.value
+        enc, token = Encoder(voc), voc.tokens.__getitem__
+        for batch in batches:
+            for part in slices(batch, "t", CHUNK):
+                texts = part.column("t").to_pylist()
+                ids, n = enc.encode(texts)
+                if b"".join(map(token, ids.tolist())) != "".join(t or "" for t in texts).encode("utf-8"):
+                    raise ValueError("decoded bytes differ from the text")
+                yield pa.RecordBatch.from_arrays([part.column("k"), pa.array(n), _binary(np.ascontiguousarray(ids, "<u4"), 4 * n)],
+                                                 names=[id_col, "n_tokens", "token_ids"])
+
+    return rows.mapInArrow(run, f"`{id_col}` {dict(rows.dtypes)['k']}, n_tokens long, token_ids binary")
+
+
 def encode_decode_digest(docs: DataFrame, voc: Vocabulary) -> DataFrame:
     """Digest of a round trip: doc_id, n_tokens, ids_sha256, decoded_sha256 for each row of ``docs``.
 

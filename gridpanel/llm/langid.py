@@ -188,6 +188,23 @@ def predict(df: DataFrame, net: Net, text_col: str = "text", id_col: str = "doc_
     return rows.mapInArrow(run, f"`{id_col}` {dict(rows.dtypes)['k']}, lang_pred string, score double")
 
 
+def keep_recognised(df: DataFrame, net: Net, min_score: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, all columns, whose text has a letter and a mean probability of ``min_score`` or more in
+    its best language. Without languages (nothing labelled), every row whose text has a letter."""
+    shared = df.sparkSession.sparkContext.broadcast(net)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net = shared.value
+        for batch in batches:
+            for part in slices(batch, text_col, CHUNK):
+                if net.langs:
+                    mean = document_probabilities(net, part.column(text_col).cast(pa.binary()).to_pylist())
+                    part = part.filter(pa.array(mean.max(1) >= min_score))
+                yield part
+
+    return df.filter(has_letter(F.col(text_col))).mapInArrow(run, df.schema)
+
+
 def document_probabilities(net: Net, texts: list[bytes]) -> np.ndarray:
     """Mean window probabilities of each (non-empty) text, weighted by the bytes of a window."""
     total = np.zeros((len(texts), len(net.langs)))
