@@ -94,7 +94,7 @@ def shuffle_into_shards(df: DataFrame, path: str, shards: int = 8, id_col: str =
 def canonical(table: pa.Table, names: list[str], id_col: str) -> np.ndarray:
     """Row order by id (nulls last), then by the row's content where ids repeat."""
     ids = table.column(id_col)
-    order = pc.sort_indices(ids).to_numpy()
+    order = pc.sort_indices(ids).to_numpy().copy()
     values = ids.take(pa.array(order)).to_pylist()
     lo = 0
     for hi in range(1, len(values) + 1):

@@ -29,7 +29,7 @@ QUERY_BLOCK = 2048
 COORD_FROM = 0.4
 FOCUS = 4
 SLACK = 1e-9            # relative margin for rounding in bounds
-_LONG = np.iinfo(np.int64)
+_LONG = np.iinfo(np.int64).max
 
 
 def scaled(embedding: Column, scale: int = 256) -> Column:
@@ -51,7 +51,7 @@ def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     if bound < 2.0 ** 53:
         return (a.astype(float) @ b.astype(float).T).astype(np.int64)
     exact = a.astype(object) @ b.astype(object).T
-    return np.clip(exact, _LONG.min, _LONG.max).astype(np.int64)
+    return np.clip(exact, -_LONG, _LONG).astype(np.int64)
 
 
 class Best:
