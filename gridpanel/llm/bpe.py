@@ -24,8 +24,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import slices, spread
 
-CHUNK = 2 << 20
-MEMO_PIECES = 300_000
+CHUNK = 1 << 20
+MEMO_PIECES = 200_000
 LONG = 512
 MAX_VOCABULARY_BYTES = 64 << 20     # proven bound of what is broadcast
 NONE = np.int32(2**31 - 1)          # rank of a pair that is no token
@@ -309,6 +309,25 @@ def n_tokens(ids: Column) -> Column:
     return (F.octet_length(ids) / 4).cast("long")
 
 
+def round_trip(df: DataFrame, voc: Vocabulary, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """``(id_col, token_ids, decoded)`` of every row: ``encode`` and ``decode`` of its ids, in one pass over the rows."""
+    shared = _tables(df, voc)
+    rows = df.select(F.col(id_col).alias("k"), F.col(text_col).alias("t"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        voc = shared.value
+        enc, token = Encoder(voc), voc.tokens.__getitem__
+        for batch in batches:
+            for part in slices(batch, "t", CHUNK):
+                ids, n = enc.encode(part.column("t").to_pylist())
+                token_ids = _binary(np.ascontiguousarray(ids, "<u4"), 4 * n)
+                texts = [b"".join(map(token, np.frombuffer(v, "<u4").tolist())) for v in token_ids.to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("k"), token_ids, pa.array(texts, pa.binary())],
+                                                 names=[id_col, "token_ids", "decoded"])
+
+    return rows.mapInArrow(run, f"`{id_col}` {dict(rows.dtypes)['k']}, token_ids binary, decoded binary")
+
+
 def encode_checked(docs: DataFrame, voc: Vocabulary, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``(id_col, n_tokens, token_ids)`` of every row; fails if decoding does not give a text back.
 
@@ -335,6 +354,5 @@ def encode_decode_digest(docs: DataFrame, voc: Vocabulary) -> DataFrame:
     """Digest of a round trip: doc_id, n_tokens, ids_sha256, decoded_sha256 for each row of ``docs``.
 
     A null text counts as empty (0 tokens and the digest of no bytes)."""
-    ids = encode(docs, voc).select("doc_id", n_tokens(F.col("token_ids")).alias("n_tokens"),
-                                   F.sha2("token_ids", 256).alias("ids_sha256"), "token_ids")
-    return decode(ids, voc).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return round_trip(docs, voc).select("doc_id", n_tokens(F.col("token_ids")).alias("n_tokens"),
+                                        F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
