@@ -6,11 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 from ..schemas import SEGMENT_KEY
 from .sizing import checked_broadcast
 
-CLIENT_MAX_ROWS = 2_000_000   # segments x days; a few MB of facts
 
-
-def assemble_client(target: DataFrame, client: DataFrame, mode: str = "train",
-                    broadcast_client: bool = True) -> DataFrame:
+def assemble_client(target: DataFrame, client: DataFrame, mode: str = "train") -> DataFrame:
     """J1 (train): join client facts of the same day. J2 (inference): facts known
     two days earlier (``date_when_predicting``). Inner join on segment + date.
 
@@ -19,8 +16,7 @@ def assemble_client(target: DataFrame, client: DataFrame, mode: str = "train",
     """
     t = target.withColumn("date", F.to_date("prediction_datetime"))
     c = client.select(*SEGMENT_KEY, F.col("date").alias("_cdate"), "eic_count", "installed_capacity")
-    if broadcast_client:
-        c = checked_broadcast(c, CLIENT_MAX_ROWS)
+    c = checked_broadcast(c)
     day = F.col("date") if mode == "train" else F.col("date_when_predicting")
     cond = [t[k] == c[k] for k in SEGMENT_KEY] + [day == c["_cdate"]]
     return t.join(c, cond, "inner").drop(*[c[k] for k in SEGMENT_KEY]).drop("_cdate")
@@ -33,7 +29,8 @@ def split_by_direction(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def join_on_date_of(left: DataFrame, right: DataFrame, ts: str, right_date: str, keys=(),
                     how: str = "inner") -> DataFrame:
-    """Join on the date of a timestamp (computed key)."""
+    """Join on the date of a timestamp (computed key); ``right`` is broadcast if its counted size allows."""
+    right = checked_broadcast(right)
     cond = [left[k] == right[k] for k in keys] + [F.to_date(left[ts]) == right[right_date]]
     out = left.join(right, cond, how)
     for k in keys:

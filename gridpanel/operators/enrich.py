@@ -1,7 +1,8 @@
 """Enrichment joins: prices, solar, station weather, wide forecasts.
 
-Dimension tables (prices by day/hour, station maps, solar positions) are
-broadcast only behind a row-count check; past the bound the planner shuffles.
+Dimension tables (prices by day/hour, station maps, weather by county and hour,
+solar positions) are stored, counted and broadcast within a byte bound
+(``sizing.checked_broadcast``); past it the planner shuffles.
 """
 from __future__ import annotations
 
@@ -12,8 +13,6 @@ from ..schemas import WEATHER_COLUMNS
 from ..sources.tables import drop_null_rows, fill_numeric_nulls
 from .sizing import checked_broadcast
 
-DIM_MAX_ROWS = 2_000_000
-
 
 def add_prices(features: DataFrame, gas: DataFrame, electricity: DataFrame,
                date_col: str = "date", ts: str = "prediction_datetime") -> DataFrame:
@@ -22,9 +21,8 @@ def add_prices(features: DataFrame, gas: DataFrame, electricity: DataFrame,
     if date_col not in features.columns:
         features = features.withColumn(date_col, F.to_date(ts))
     g = checked_broadcast(gas.select(F.col("forecast_date").alias("_gdate"), "lowest_price_per_mwh",
-                                     "highest_price_per_mwh"), DIM_MAX_ROWS)
-    e = checked_broadcast(electricity.select(F.col("forecast_datetime").alias("_edt"), "euros_per_mwh"),
-                          DIM_MAX_ROWS)
+                                     "highest_price_per_mwh"))
+    e = checked_broadcast(electricity.select(F.col("forecast_datetime").alias("_edt"), "euros_per_mwh"))
     out = (features.join(g, features[date_col] == g["_gdate"], "left").drop("_gdate")
            .join(e, F.col(ts) == e["_edt"], "left").drop("_edt"))
     return fill_numeric_nulls(out).withColumnsRenamed({
@@ -36,7 +34,7 @@ def add_solar(features: DataFrame, solar: DataFrame, extra_keys=(), ts: str = "p
               how: str = "left") -> DataFrame:
     """Solar position by hour, optionally also by location keys (scaled alike, D8)."""
     s = solar.select(F.col("datetime").alias("_sdt"), *extra_keys, "solar_azimuth", "solar_elevation")
-    s = checked_broadcast(s, DIM_MAX_ROWS)
+    s = checked_broadcast(s)
     cond = [features[ts] == s["_sdt"]] + [features[k] == s[k] for k in extra_keys]
     out = features.join(s, cond, how).drop("_sdt")
     for k in extra_keys:
@@ -60,18 +58,29 @@ def station_per_county(station_map: DataFrame, overrides: dict | None = None,
 
 
 def latest_run(forecast: DataFrame, keys=("latitude", "longitude", "forecast_datetime")) -> DataFrame:
-    """J9 option: keep the run with the smallest ``hours_ahead`` per station-hour.
+    """J9 option: keep the run with the smallest ``hours_ahead`` per station-hour; ties go to the
+    later block and origin, then to the order of all other values, so the choice is total.
 
     Grouped ``min_by`` (partial aggregation), groups hold at most the runs of one hour."""
     cols = [c for c in forecast.columns if c not in keys]
-    best = forecast.groupBy(*keys).agg(F.min_by(F.struct(*cols), F.col("hours_ahead")).alias("_r"))
+    best = forecast.groupBy(*keys).agg(F.min_by(F.struct(*cols), _run_order(forecast, cols)).alias("_r"))
     return best.select(*keys, *[F.col(f"_r.`{c}`").alias(c) for c in cols])
 
 
+def _run_order(forecast: DataFrame, cols) -> F.Column:
+    """Total order of the runs of one station-hour: hours ahead, latest block and origin, then all values."""
+    latest = [F.negative(F.col("data_block_id"))] if "data_block_id" in cols else []
+    if "origin_datetime" in cols:
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        latest.append(F.negative(F.timestamp_diff("SECOND", epoch, F.col("origin_datetime"))))
+    return F.struct(F.col("hours_ahead"), *[c.alias(f"o{i}") for i, c in enumerate(latest)],
+                    *[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(cols)])
+
+
 def county_weather(station_map: DataFrame, forecast: DataFrame, columns=WEATHER_COLUMNS,
                    keep_hours_ahead: bool = False) -> DataFrame:
     """Station map left join forecasts on integer coordinates; nulls -> 0."""
-    m = checked_broadcast(station_map.select("latitude", "longitude", "county"), DIM_MAX_ROWS)
+    m = checked_broadcast(station_map.select("latitude", "longitude", "county"))
     j = m.join(forecast, ["latitude", "longitude"], "left")
     keep = list(columns) + ["forecast_datetime", "county"] + (["hours_ahead"] if keep_hours_ahead else [])
     return fill_numeric_nulls(j).select(*keep)
@@ -80,7 +89,7 @@ def county_weather(station_map: DataFrame, forecast: DataFrame, columns=WEATHER_
 def add_county_weather(features: DataFrame, weather: DataFrame, ts: str = "prediction_datetime") -> DataFrame:
     """Inner join on (hour, county). Two forecast runs cover an hour, so rows fan
     out unless the forecast was reduced by ``latest_run`` first."""
-    w = weather.withColumnRenamed("forecast_datetime", "_fdt")
+    w = checked_broadcast(weather.withColumnRenamed("forecast_datetime", "_fdt"))
     return features.join(w, (features[ts] == w["_fdt"]) & (features["county"] == w["county"]),
                          "inner").drop("_fdt").drop(w["county"])
 
@@ -109,7 +118,7 @@ def forest_features(target: DataFrame, client: DataFrame, wide_weather: DataFram
     all-station forecast row of the hour (two runs -> two rows), then solar; inner joins."""
     from .assemble import assemble_client
     u = assemble_client(target.drop("data_block_id"), client, "inference")
-    w = wide_weather.drop("hours_ahead").withColumnRenamed("forecast_datetime", "_fdt")
+    w = checked_broadcast(wide_weather.drop("hours_ahead").withColumnRenamed("forecast_datetime", "_fdt"))
     j = u.join(w, u["prediction_datetime"] == w["_fdt"], "inner").drop("_fdt")
     j = add_solar(j, solar, how="inner")
     return j.drop("target", "prediction_datetime", "date_when_predicting")

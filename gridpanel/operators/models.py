@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions import calendar as C
 from ..functions.encode import one_hot
 from ..session import cut_lineage
+from .sizing import checked_broadcast, key_bound
 
 
 def _training_frame(df: DataFrame, exprs: list, label: str, prefix: str) -> DataFrame:
@@ -51,7 +52,9 @@ class GroupedOLS:
         """Dot product of each row with its group's coefficients. ``how='inner'``
         drops rows of groups without a model (M7)."""
         if self.group_keys:
-            j = df.join(self.coefficients.select(*self.group_keys, "coef"), self.group_keys, how)
+            coefs = checked_broadcast(self.coefficients.select(*self.group_keys, "coef"),
+                                      proven_rows=key_bound(df, self.group_keys))
+            j = df.join(coefs, self.group_keys, how)
         else:
             j = df.withColumn("coef", self.coefficients.select("coef").scalar())
         return j.withColumn(out, _dot(F.col("coef"), self.features, self.intercept)).drop("coef")

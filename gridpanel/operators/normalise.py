@@ -9,9 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.numeric import ratio
-from .sizing import checked_broadcast
-
-STATS_MAX_ROWS = 5_000_000
+from .sizing import checked_broadcast, key_bound
 
 
 def normalise_by_capacity(df: DataFrame, mode: str = "train", value: str = "target",
@@ -40,11 +38,12 @@ def with_group_stat(df: DataFrame, keys, value: str = "target", fn: str = "max",
     """J11 (one pass): group statistic on every row via aggregate + join back.
 
     The aggregate is map-side combined, so a hot group costs no more than any
-    other; a window over the group would place it whole in one task.
+    other; a window over the group would place it whole in one task. The
+    statistic is broadcast if its counted size allows, so rows do not move.
     """
     name = name or f"{fn}_{value}"
     stat = df.groupBy(*keys).agg(getattr(F, fn)(value).alias(name))
-    return df.join(stat, list(keys), "left")
+    return df.join(checked_broadcast(stat, proven_rows=key_bound(df, keys)), list(keys), "left")
 
 
 def apply_unit_max(df: DataFrame, max_values: DataFrame, keys=("prediction_unit_id",),
@@ -55,7 +54,7 @@ def apply_unit_max(df: DataFrame, max_values: DataFrame, keys=("prediction_unit_
     null (D4); ``fill_unseen`` uses 1.0 for them instead, and
     ``fill_unseen=False`` keeps the reference's null.
     """
-    mv = checked_broadcast(max_values, STATS_MAX_ROWS)
+    mv = checked_broadcast(max_values)
     j = df.join(mv, list(keys), "left")
     m = F.coalesce(F.nanvl(F.col("max_value"), F.lit(1.0)), F.lit(1.0)) if fill_unseen \
         else F.nanvl(F.col("max_value"), F.lit(1.0))
@@ -65,7 +64,7 @@ def apply_unit_max(df: DataFrame, max_values: DataFrame, keys=("prediction_unit_
 def invert_unit_max(df: DataFrame, max_values: DataFrame, keys=("prediction_unit_id",),
                     value: str = "target") -> DataFrame:
     """F15 inverse: multiply by the saved unit max."""
-    mv = checked_broadcast(max_values, STATS_MAX_ROWS)
+    mv = checked_broadcast(max_values)
     return (df.join(mv, list(keys), "left")
             .withColumn(value, F.col(value) * F.col("max_value")).drop("max_value"))
 

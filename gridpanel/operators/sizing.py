@@ -1,33 +1,51 @@
 """Size-checked broadcast.
 
-Dimension sides (client facts, prices, station maps, solar positions) are
-derived by aggregations, so their size is known exactly once their shuffle
-stage has run. The check is therefore left to adaptive execution: AQE
-re-plans a join as a broadcast join only when the *measured* size of a side
-is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and keeps the
-sort-merge join (the way beyond the bound) otherwise. No extra job, no
-recomputation of the small side.
-
-An explicit ``broadcast`` hint is used only when the caller proves a bound
-(``proven_rows``) or asks for a counted check on a side that is cheap to
-count (``count_check=True``: reads at most ``max_rows + 1`` rows).
+A dimension or statistic side of a join is stored first (reliable checkpoint in
+the shared folder, so it is computed once), and its rows are counted by the
+same job. If rows times row width is within the bound, the join gets a broadcast
+hint, and the fact table keeps its partitioning: it never shuffles on a date,
+an hour or a key of a few values. Beyond the bound the side joins by shuffle,
+where adaptive execution splits skewed keys.
+
+A side whose row count follows from its key types (booleans) needs no count.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
-DEFAULT_MAX_ROWS = 200_000
+from ..session import ensure_checkpoint_dir
 
+BROADCAST_BYTES = 32 << 20
 
-def rows_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``."""
-    return df.limit(max_rows + 1).count() <= max_rows
 
+def row_bytes(schema: T.StructType) -> int:
+    """Estimated width of a row: 8 bytes a value, 64 for strings and nested values."""
+    flat = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return 16 + sum(8 if isinstance(f.dataType, flat) else 64 for f in schema.fields)
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, proven_rows: int | None = None,
-                      count_check: bool = False) -> DataFrame:
-    if proven_rows is not None and proven_rows <= max_rows:
-        return F.broadcast(df)
-    if count_check and rows_at_most(df, max_rows):
+
+def stored(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` behind a reliable checkpoint, and its number of rows, from one job."""
+    spark = df.sparkSession
+    master = spark.sparkContext.master or ""
+    ensure_checkpoint_dir(spark, allow_local=master.startswith("local"))
+    seen = Observation()
+    kept = df.observe(seen, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    return kept, seen.get["n"]
+
+
+def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES, proven_rows: int | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if its counted (or proven) size is within ``max_bytes``, else as a stored table."""
+    width = row_bytes(df.schema)
+    if proven_rows is not None and proven_rows * width <= max_bytes:
         return F.broadcast(df)
-    return df       # AQE decides from the measured size at run time
+    if df.isStreaming:
+        return df
+    kept, n = stored(df)
+    return F.broadcast(kept) if n * width <= max_bytes else kept
+
+
+def key_bound(df: DataFrame, keys) -> int | None:
+    """Most distinct key values that the key types allow (booleans and null), if they bound it."""
+    kinds = dict(df.dtypes)
+    return 3 ** len(keys) if all(kinds[k] == "boolean" for k in keys) else None

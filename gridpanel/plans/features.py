@@ -78,17 +78,6 @@ def regression_features(panel: Panel, fit_start) -> DataFrame:
                   "prediction_datetime", "date_when_predicting")
 
 
-_SOLAR_CACHE: dict = {}
-
-
-def default_solar(spark) -> DataFrame:
-    """S8 table for the default site and range, materialised once per session.
-
-    The table is a derived dimension (the reference stored it as a file): cutting
-    it keeps predicates on ``solar_elevation`` from being pushed into, and
-    re-evaluating, the whole position formula."""
-    from ..session import cut_lineage
-    key = id(spark)
-    if key not in _SOLAR_CACHE:
-        _SOLAR_CACHE[key] = cut_lineage(spine.solar_table(spark))
-    return _SOLAR_CACHE[key]
+def solar_of(spark, rows: DataFrame, ts: str = "prediction_datetime") -> DataFrame:
+    """S8 table of the default site over the hours of ``rows`` (bounds from the data, not declared)."""
+    return spine.solar_table(spark, *spine.data_bounds(rows, ts))

@@ -24,35 +24,38 @@ from ..sources import tables as T
 TARGET_SCALE = 0.7390851332151607   # neither it nor its square is near a short decimal
 
 
-_READS: dict = {}
-
-
 def read_base(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """One parquet relation per (session, table): file listing and footer reads
-    happen once, and every derived panel shares the same scan node."""
-    key = (id(spark), sf_dir, table)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    return _READS[key]
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_base(spark, sf_dir, "events")
 
 
+BLOCK_EPOCH = "2024-01-01"          # block 0; blocks are whole days, also across years
+DENSE_UNITS = 12                    # units of the dense panel (a multiple of the segment pattern of 6)
+
+
 def _block(ts) -> F.Column:
-    return (F.dayofyear(ts) - 1).cast("bigint")
+    return F.date_diff(F.to_date(ts), F.lit(BLOCK_EPOCH).cast("date")).cast("bigint")
 
 
-def _segment_cols():
-    u = F.col("user_id")
+def split_block(target: DataFrame) -> F.Column:
+    """First block of the test part: two thirds along the data's blocks, as a scalar subquery."""
+    return target.select(F.expr("min(data_block_id) + (max(data_block_id) - min(data_block_id)) * 2 div 3")).scalar()
+
+
+def _segment_cols(u=None):
+    u = F.col("user_id") if u is None else u
     return [(u % 3).cast("int").alias("county"), ((u % 6) >= 3).alias("is_business"),
             (u % 2).cast("int").alias("product_type")]
 
 
-def raw_target(spark, sf_dir) -> DataFrame:
+def raw_target(spark, sf_dir, units: int | None = None) -> DataFrame:
+    """Truth rows from all events; ``units`` folds the users into so many units, which fills their hours."""
     ev = _events(spark, sf_dir)
-    return (ev.groupBy(F.col("user_id").cast("int").alias("prediction_unit_id"), *_segment_cols(),
+    unit = F.col("user_id") if units is None else F.col("user_id") % units
+    return (ev.groupBy(unit.cast("int").alias("prediction_unit_id"), *_segment_cols(unit),
                        ((F.col("event_id") % 2) == 1).alias("is_consumption"),
                        hour_floor("ts").alias("datetime"), _block("ts").alias("data_block_id"))
             # scaled by a constant with a long binary expansion so that derived means
@@ -140,6 +143,7 @@ class Panel:
 
     _builders = {
         "target": lambda sp, d: T.clean_target(raw_target(sp, d)),
+        "dense_target": lambda sp, d: T.clean_target(raw_target(sp, d, DENSE_UNITS)),
         "client": lambda sp, d: T.clean_client(raw_client(sp, d)),
         "raw_weather_forecast": raw_weather_forecast,
         "weather_forecast": lambda sp, d: T.clean_weather_forecast(raw_weather_forecast(sp, d)),
@@ -169,22 +173,28 @@ def load_panel(spark: SparkSession, sf_dir: str) -> Panel:
 # ---------------------------------------------------------------- SQL side
 _SEG = ("CAST(user_id % 3 AS INTEGER) AS county, (user_id % 6 >= 3) AS is_business, "
         "CAST(user_id % 2 AS INTEGER) AS product_type")
+SPLIT = "(SELECT min(data_block_id) + (max(data_block_id) - min(data_block_id)) * 2 // 3 FROM {})"
 _HOUR = "CAST(date_trunc('hour', ts) AS TIMESTAMP)"
-_BLOCK = "CAST(dayofyear(ts) - 1 AS BIGINT)"
+_BLOCK = f"CAST(date_diff('day', DATE '{BLOCK_EPOCH}', CAST(ts AS DATE)) AS BIGINT)"
 _LAT = "CAST(576 + 3 * (user_id % 4) AS DOUBLE) / 10"
 _LON = "CAST(232 + 10 * (user_id % 3) AS DOUBLE) / 10"
 
-FIXTURE_SQL = {
-    # cleaned target: datetime renamed, date_when_predicting added
-    "tgt": f"""
+def _target_sql(unit: str) -> str:
+    return f"""
 SELECT row_id, prediction_unit_id, county, is_business, product_type, is_consumption,
        prediction_datetime, data_block_id, target,
        CAST(prediction_datetime AS DATE) - 2 AS date_when_predicting
-FROM (SELECT min(event_id) AS row_id, CAST(user_id AS INTEGER) AS prediction_unit_id, {_SEG},
+FROM (SELECT min(event_id) AS row_id, CAST({unit} AS INTEGER) AS prediction_unit_id, {_SEG},
              (event_id % 2 = 1) AS is_consumption, {_HOUR} AS prediction_datetime,
              {_BLOCK} AS data_block_id, round(sum(value), 4) * CAST('{TARGET_SCALE!r}' AS DOUBLE) AS target
       FROM events GROUP BY 2, 3, 4, 5, 6, 7, 8) x
-WHERE target IS NOT NULL AND NOT isnan(target)""",
+WHERE target IS NOT NULL AND NOT isnan(target)"""
+
+
+FIXTURE_SQL = {
+    # cleaned target: datetime renamed, date_when_predicting added; dtgt: users folded into few units
+    "tgt": _target_sql("user_id"),
+    "dtgt": _target_sql(f"user_id % {DENSE_UNITS}"),
     "cli": f"""
 SELECT {_SEG}, CAST(ts AS DATE) AS date, count(DISTINCT user_id) AS eic_count,
        round(sum(value), 4) AS installed_capacity, {_BLOCK} AS data_block_id

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..operators import enrich as E
 from ..sources import spine
-from .features import default_solar
+from .features import solar_of
 from .fixtures import FIXTURE_STATIONS, load_panel
 from .oracle_sql import solar_select
 from .registry import query, rounded
@@ -44,7 +44,7 @@ def s8_solar(spark, sf_dir):
     return rounded(spine.solar_for_hours(hours, 58.60, 25.01, "Europe/Tallinn"))
 
 
-_SOLAR_DEFAULT = """(SELECT unnest(generate_series(TIMESTAMP '2021-09-01 00:00:00', TIMESTAMP '2024-12-31 23:00:00',
+_SOLAR_DEFAULT = """(SELECT unnest(generate_series((SELECT min(prediction_datetime) FROM tgt), (SELECT max(prediction_datetime) FROM tgt),
    INTERVAL 1 HOUR)) AS datetime) h"""
 
 
@@ -55,7 +55,7 @@ FROM tgt t LEFT JOIN ({solar_select(_SOLAR_DEFAULT, "datetime", "58.6", "25.01")
   ON t.prediction_datetime = s.datetime""", ("tgt",))
 def j7_solar_join(spark, sf_dir):
     t = load_panel(spark, sf_dir).target.select("row_id", "prediction_datetime")
-    return rounded(E.add_solar(t, default_solar(spark)))
+    return rounded(E.add_solar(t, solar_of(spark, t)))
 
 
 @query("s9_j15_rich_solar", f"""
@@ -157,7 +157,7 @@ JOIN sol s ON t.prediction_datetime = s.datetime""", ("tgt", "cli", "wf"))
 def j16_forest_features(spark, sf_dir):
     p = load_panel(spark, sf_dir)
     wide = E.pivot_forecast(p.weather_forecast, FIXTURE_STATIONS)
-    out = E.forest_features(p.target, p.client, wide, default_solar(spark))
+    out = E.forest_features(p.target, p.client, wide, solar_of(spark, p.target))
     return rounded(out.select("row_id", "prediction_unit_id", "is_consumption", "eic_count", "installed_capacity",
                               *_wide_names(), "solar_azimuth", "solar_elevation"),
                    cols=["solar_azimuth", "solar_elevation"])

@@ -9,37 +9,46 @@ from ..operators import analysis as A
 from ..operators.enrich import add_solar
 from ..schemas import PANEL_KEY
 from . import backtest as B
-from .features import default_solar
-from .fixtures import load_panel
+from .features import solar_of
+from .fixtures import SPLIT, load_panel, split_block
 from .oracle_sql import solar_select
 from .registry import query, rounded
 
 _H = "SELECT prediction_unit_id, is_consumption, prediction_datetime, target FROM tgt"
 
 
+# history: all blocks before the split, of every fourth unit only those three blocks earlier (late units);
+# new rows: all blocks from three before the split to the end. Together they are the whole table.
+_HN = f"""h AS ({_H} WHERE data_block_id < {SPLIT.format('tgt')} - CASE WHEN prediction_unit_id % 4 = 0 THEN 3 ELSE 0 END),
+n AS ({_H} WHERE data_block_id >= {SPLIT.format('tgt')} - 3)"""
+
+
+def _history_and_new(spark, sf_dir):
+    t = load_panel(spark, sf_dir).target
+    at, late = split_block(t), F.when(F.col("prediction_unit_id") % 4 == 0, 3).otherwise(0)
+    return t.filter(F.col("data_block_id") < at - late), t.filter(F.col("data_block_id") >= at - 3)
+
+
 @query("t1_history_high_water", f"""
-WITH h AS ({_H} WHERE data_block_id <= 19), n AS ({_H} WHERE data_block_id BETWEEN 17 AND 24)
+WITH {_HN}
 SELECT * FROM h UNION SELECT * FROM n WHERE prediction_datetime > (SELECT max(prediction_datetime) FROM h)""",
        ("tgt",))
 def t1_history(spark, sf_dir):
-    t = load_panel(spark, sf_dir).target
-    return B.update_history(t.filter("data_block_id <= 19"), t.filter("data_block_id BETWEEN 17 AND 24"))
+    return B.update_history(*_history_and_new(spark, sf_dir))
 
 
 @query("t1_history_per_series_mark", f"""
-WITH h AS ({_H} WHERE data_block_id <= 19), n AS ({_H} WHERE data_block_id BETWEEN 17 AND 24),
+WITH {_HN},
 m AS (SELECT prediction_unit_id, is_consumption, max(prediction_datetime) AS mark FROM h GROUP BY 1, 2)
 SELECT * FROM h UNION
 SELECT n.* FROM n LEFT JOIN m ON n.prediction_unit_id = m.prediction_unit_id AND n.is_consumption = m.is_consumption
 WHERE m.mark IS NULL OR n.prediction_datetime > m.mark""", ("tgt",))
 def t1_per_series(spark, sf_dir):
-    t = load_panel(spark, sf_dir).target
-    return B.update_history(t.filter("data_block_id <= 19"), t.filter("data_block_id BETWEEN 17 AND 24"),
-                            per_series_mark=True)
+    return B.update_history(*_history_and_new(spark, sf_dir), per_series_mark=True)
 
 
-@query("t2_t4_j13_u1_block_backtest", """
-WITH test AS (SELECT * FROM tgt WHERE data_block_id >= 20),
+@query("t2_t4_j13_u1_block_backtest", f"""
+WITH test AS (SELECT * FROM tgt WHERE data_block_id >= {SPLIT.format('tgt')}),
 pred AS (SELECT t.row_id, CASE WHEN h.data_block_id + 2 <= t.data_block_id THEN h.target END AS prediction
          FROM test t LEFT JOIN tgt h ON h.prediction_unit_id = t.prediction_unit_id
           AND h.is_consumption = t.is_consumption AND h.prediction_datetime = t.prediction_datetime - INTERVAL 2 DAY)
@@ -47,7 +56,7 @@ SELECT t.row_id, t.data_block_id, coalesce(p.prediction, 0.0) AS target
 FROM test t LEFT JOIN pred p ON t.row_id = p.row_id""", ("tgt",))
 def t2_backtest(spark, sf_dir):
     t = load_panel(spark, sf_dir).target
-    test = t.filter("data_block_id >= 20")
+    test = t.filter(F.col("data_block_id") >= split_block(t))
     template = test.select("row_id", "data_block_id", F.lit(0.0).alias("target"))
     # one scoring pass over both directions; the per-direction parts (U1) are views of it
     preds = B.persistence_backtest(test, t, keep=["is_consumption"])
@@ -55,7 +64,7 @@ def t2_backtest(spark, sf_dir):
     return B.complete_submission(template, parts)
 
 
-_SOL = """(SELECT unnest(generate_series(TIMESTAMP '2021-09-01 00:00:00', TIMESTAMP '2024-12-31 23:00:00',
+_SOL = """(SELECT unnest(generate_series((SELECT min(prediction_datetime) FROM tgt), (SELECT max(prediction_datetime) FROM tgt),
    INTERVAL 1 HOUR)) AS datetime) h"""
 
 
@@ -71,7 +80,7 @@ SELECT r.row_id, coalesce(d.prediction, 0.0) AS prediction FROM rows r LEFT JOIN
        ("tgt",))
 def j20_night(spark, sf_dir):
     t = load_panel(spark, sf_dir).target
-    rows = add_solar(t.filter("NOT is_consumption"), default_solar(spark))
+    rows = add_solar(t.filter("NOT is_consumption"), solar_of(spark, t))
     day = rows.filter(F.col("solar_elevation") > 0)
     from ..operators.lags import add_lag_inner
     preds = add_lag_inner(day, t.select(*PANEL_KEY, "target"), "target", 2) \

@@ -9,7 +9,7 @@ from ..operators.assemble import assemble_client
 from ..operators.normalise import apply_unit_max, denormalise_by_capacity, group_max
 from ..operators.profiles import r_squared
 from . import features as FB
-from .fixtures import load_panel
+from .fixtures import SPLIT, load_panel, split_block
 from .oracle_sql import solar_select
 from .registry import query, rounded
 
@@ -47,16 +47,17 @@ def m14_long(spark, sf_dir):
 @query("m7_per_unit_predict", f"""
 WITH c AS (SELECT prediction_unit_id, is_consumption, regr_intercept(target, {_HOUR}) AS a,
                   regr_slope(target, {_HOUR}) AS b
-           FROM tgt WHERE data_block_id < 20 GROUP BY 1, 2 HAVING count(DISTINCT {_HOUR}) >= 2)
+           FROM tgt WHERE data_block_id < {SPLIT.format('tgt')} GROUP BY 1, 2 HAVING count(DISTINCT {_HOUR}) >= 2)
 SELECT t.row_id, round(c.a + c.b * {_HOUR}, 6) AS prediction
 FROM tgt t JOIN c ON t.prediction_unit_id = c.prediction_unit_id AND t.is_consumption = c.is_consumption
-WHERE t.data_block_id >= 20""", ("tgt",))
+WHERE t.data_block_id >= {SPLIT.format('tgt')}""", ("tgt",))
 def m7_predict(spark, sf_dir):
     t = load_panel(spark, sf_dir).target.withColumn("hour", C.hour_of_day("prediction_datetime").cast("double"))
-    m = M.fit_grouped_ols(t.filter("data_block_id < 20"), ["hour"], "target",
+    at = split_block(t)
+    m = M.fit_grouped_ols(t.filter(F.col("data_block_id") < at), ["hour"], "target",
                           ["prediction_unit_id", "is_consumption"])
     m.coefficients = m.coefficients.filter(F.col("rank") == 2)
-    return rounded(m.predict(t.filter("data_block_id >= 20")).select("row_id", "prediction"))
+    return rounded(m.predict(t.filter(F.col("data_block_id") >= at)).select("row_id", "prediction"))
 
 
 _ASM = """asm AS (SELECT t.*, c.eic_count, c.installed_capacity
@@ -109,7 +110,7 @@ def _stage1(spark, sf_dir, mode_rows):
     p = load_panel(spark, sf_dir)
     hist = FB.history_of(p.target, p.client)
     fs = p.target.select(F.min(F.to_date("prediction_datetime"))).scalar()
-    solar = FB.default_solar(spark)
+    solar = FB.solar_of(spark, p.target)
     return p, hist, fs, solar
 
 
@@ -149,7 +150,7 @@ def m13_pipeline(spark, sf_dir):
 @query("m8_m9_log_target_minimal")
 def m8_minimal(spark, sf_dir):
     p = load_panel(spark, sf_dir)
-    f = FB.minimal_features(p, FB.default_solar(spark)).filter(~F.col("is_consumption"))
+    f = FB.minimal_features(p, FB.solar_of(spark, p.target)).filter(~F.col("is_consumption"))
     cols = ["installed_capacity", "eic_count", "solar_azimuth", "solar_elevation"]
     m = M.fit_log_target(f, lambda d, y: M.fit_grouped_ols(d, cols, y, intercept=False))
     return m.predict(f).select("row_id", "prediction")
@@ -163,7 +164,7 @@ def m10_forest(spark, sf_dir):
     return m.predict(a).select("row_id", "prediction")
 
 
-_SOL = """(SELECT unnest(generate_series(TIMESTAMP '2021-09-01 00:00:00', TIMESTAMP '2024-12-31 23:00:00',
+_SOL = """(SELECT unnest(generate_series((SELECT min(prediction_datetime) FROM tgt), (SELECT max(prediction_datetime) FROM tgt),
    INTERVAL 1 HOUR)) AS datetime) h"""
 
 
@@ -180,7 +181,8 @@ JOIN cli c ON t.county = c.county AND t.is_business = c.is_business AND t.produc
 JOIN sol s ON s.datetime = t.prediction_datetime
 WHERE NOT t.is_consumption""", ("tgt", "cli"))
 def a3_ar(spark, sf_dir):
-    return rounded(FB.ar_features(load_panel(spark, sf_dir), FB.default_solar(spark)))
+    p = load_panel(spark, sf_dir)
+    return rounded(FB.ar_features(p, FB.solar_of(spark, p.target)))
 
 
 @query("a3_minimal_features", f"""
@@ -192,7 +194,8 @@ FROM tgt t JOIN cli c ON t.county = c.county AND t.is_business = c.is_business A
   AND CAST(t.prediction_datetime AS DATE) = c.date
 JOIN sol s ON s.datetime = t.prediction_datetime""", ("tgt", "cli"))
 def a3_minimal(spark, sf_dir):
-    return rounded(FB.minimal_features(load_panel(spark, sf_dir), FB.default_solar(spark)))
+    p = load_panel(spark, sf_dir)
+    return rounded(FB.minimal_features(p, FB.solar_of(spark, p.target)))
 
 
 def _a4_sql():

@@ -8,7 +8,7 @@ from ..operators import normalise as N
 from ..operators.assemble import assemble_client
 from ..operators.lags import add_lag_inner
 from ..schemas import PANEL_KEY
-from .fixtures import load_panel
+from .fixtures import SPLIT, load_panel, split_block
 from .registry import query, rounded
 
 _ASM = """asm AS (SELECT t.*, CAST(t.prediction_datetime AS DATE) AS date, c.eic_count, c.installed_capacity
@@ -41,27 +41,28 @@ def j11_group_max(spark, sf_dir):
 
 
 _F15 = """
-WITH mv AS (SELECT prediction_unit_id, max(target) AS max_value FROM tgt WHERE data_block_id < 20 GROUP BY 1)
+WITH mv AS (SELECT prediction_unit_id, max(target) AS max_value FROM tgt WHERE data_block_id < {split} GROUP BY 1)
 SELECT t.row_id, t.prediction_unit_id,
        round(t.target / nullif({m}, 0), 6) AS target
-FROM tgt t LEFT JOIN mv m ON t.prediction_unit_id = m.prediction_unit_id WHERE t.data_block_id >= 20"""
+FROM tgt t LEFT JOIN mv m ON t.prediction_unit_id = m.prediction_unit_id WHERE t.data_block_id >= {split}"""
 
 
 def _f15(spark, sf_dir, fill_unseen):
     t = load_panel(spark, sf_dir).target
-    mv = N.group_max(t.filter(F.col("data_block_id") < 20))
-    s = t.filter(F.col("data_block_id") >= 20).select("row_id", "prediction_unit_id", "target")
+    at = split_block(t)
+    mv = N.group_max(t.filter(F.col("data_block_id") < at))
+    s = t.filter(F.col("data_block_id") >= at).select("row_id", "prediction_unit_id", "target")
     return rounded(N.apply_unit_max(s, mv, fill_unseen=fill_unseen))
 
 
 @query("f15_unit_max_normalise",
-       _F15.format(m="coalesce(CASE WHEN isnan(m.max_value) THEN 1.0 ELSE m.max_value END, 1.0)"), ("tgt",))
+       _F15.format(split=SPLIT.format("tgt"), m="coalesce(CASE WHEN isnan(m.max_value) THEN 1.0 ELSE m.max_value END, 1.0)"), ("tgt",))
 def f15_normalise(spark, sf_dir):
     return _f15(spark, sf_dir, True)
 
 
 @query("f15_unit_max_normalise_parity",
-       _F15.format(m="CASE WHEN isnan(m.max_value) THEN 1.0 ELSE m.max_value END"), ("tgt",))
+       _F15.format(split=SPLIT.format("tgt"), m="CASE WHEN isnan(m.max_value) THEN 1.0 ELSE m.max_value END"), ("tgt",))
 def f15_normalise_parity(spark, sf_dir):
     return _f15(spark, sf_dir, False)
 
@@ -102,10 +103,11 @@ SELECT row_id, round(target / nullif(installed_capacity, 0), 6) AS target_norm,
        round(target, 6) AS target_inference FROM asm""", ("tgt", "cli"))
 def f14_capacity(spark, sf_dir):
     a = _asm(spark, sf_dir)
-    train = N.normalise_by_capacity(a, "train").withColumn("target_norm", F.col("target"))
+    # the inference form passes the target through: kept beside the normalised one
+    kept = N.normalise_by_capacity(a, "inference").withColumn("target_inference", F.col("target"))
+    train = N.normalise_by_capacity(kept, "train").withColumn("target_norm", F.col("target"))
     back = N.denormalise_by_capacity(train.withColumn("prediction", F.col("target_norm")))
-    inf = N.normalise_by_capacity(a, "inference").select("row_id", F.col("target").alias("target_inference"))
-    return rounded(back.select("row_id", "target_norm", "prediction").join(inf, "row_id"))
+    return rounded(back.select("row_id", "target_norm", "prediction", "target_inference"))
 
 
 @query("f16_eic_normalise", f"""
@@ -137,9 +139,8 @@ SELECT row_id, round(ln(1 + target), 6) AS target, round(ln(1 + installed_capaci
        round(exp(ln(1 + target)) - 1, 6) AS target_back FROM asm""", ("tgt", "cli"))
 def f21_in_place(spark, sf_dir):
     a = _asm(spark, sf_dir).select("row_id", "target", "installed_capacity")
-    fw = forward(a, ["target", "installed_capacity"])
-    back = inverse(fw.select("row_id", F.col("target").alias("target_back")), ["target_back"])
-    return rounded(fw.join(back, "row_id"))
+    fw = forward(a, ["target", "installed_capacity"]).withColumn("target_back", F.col("target"))
+    return rounded(inverse(fw, ["target_back"]))
 
 
 @query("g16_centre_by_unit", """

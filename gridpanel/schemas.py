@@ -21,7 +21,6 @@ WEATHER_COLUMNS = [
     "total_precipitation",
 ]
 SOLAR_SITE = (58.60, 25.01, "Europe/Tallinn")
-SOLAR_RANGE = ("2021-09-01 00:00:00", "2024-12-31 23:00:00")
 FOURIER_ORDER = 6
 HOURS = list(range(24))
 WEEKDAYS = list(range(1, 8))

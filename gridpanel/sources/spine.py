@@ -43,6 +43,7 @@ def _spine(spark, start, end, unit, name):
     e = _bound(end)
     days = spark.range(1).select(F.explode(F.sequence(F.to_date(s), F.to_date(e),
                                                       F.expr("interval 1 day"))).alias("_d"))
+    days = days.repartition("_d")           # one row gives the days; hours and what is derived from them spread
     return spine_from_days(days, s, e, name)
 
 
@@ -71,9 +72,10 @@ def spine_between(bounds: DataFrame, lo: str, hi: str, name: str = "datetime",
     return hours.filter((F.col(name) >= F.col(lo)) & (F.col(name) <= F.col(hi))).select(*keys, name)
 
 
-def solar_table(spark: SparkSession, start=schemas.SOLAR_RANGE[0], end=schemas.SOLAR_RANGE[1],
-                site=schemas.SOLAR_SITE) -> DataFrame:
-    """Hourly azimuth/elevation for one site; naive hours read in the site's zone."""
+def solar_table(spark: SparkSession, start, end, site=schemas.SOLAR_SITE) -> DataFrame:
+    """Hourly azimuth/elevation for one site; naive hours read in the site's zone.
+
+    ``start`` and ``end``: strings, or scalar subqueries such as ``data_bounds`` of the table to be joined."""
     lat, lon, zone = site
     return solar_for_hours(hour_spine(spark, start, end), lat, lon, zone)
 
@@ -84,7 +86,7 @@ def solar_for_hours(hours: DataFrame, lat, lon, zone: str = schemas.SOLAR_SITE[2
     return with_solar_position(with_utc, "_utc", lat, lon).drop("_utc")
 
 
-def rich_solar_table(locations: DataFrame, start=schemas.SOLAR_RANGE[0], end=schemas.SOLAR_RANGE[1],
+def rich_solar_table(locations: DataFrame, start, end,
                      zone: str = schemas.SOLAR_SITE[2], scale_keys: bool = False) -> DataFrame:
     """Every (location, hour) with its solar position, stacked long.
 
