@@ -1,16 +1,18 @@
 """Model fitting and scoring.
 
-Grouped OLS (many small models: per unit, per segment slice) is a two-level
-aggregation: every partition forms the partial Gram matrix ``[X y]'[X y]``
-of each group it holds (numpy on Arrow batches, ``mapInPandas``), and one
-``applyInPandas`` task per group sums those partials (at most one per input
-partition, so bounded however large the group) and solves the normal
+Grouped OLS (many small models: per unit, per segment slice, per hour block)
+sums the upper triangle of ``[X y]'[X y]`` per group and solves the normal
 equations with a pseudo-inverse (minimum-norm for rank-deficient designs).
-Rows never travel to one task.
-
-Global formula regressions with hundreds of design columns use
-``pyspark.ml.regression.LinearRegression`` (normal-equation solver, a
-distributed Gram aggregate). Forests use ``RandomForestRegressor``.
+Narrow designs sum the products as JVM aggregates. Wide ones keep one
+accumulator per group and partition in numpy and sum the partial triangles in
+the JVM, element by element, with map-side combining. In both, a group's
+partial is one row per partition, whatever the group's size.
+
+Formula regressions with hundreds of terms are products of a few categorical
+levels with a few numeric columns: ``fit_blocked_ols`` sums one small Gram
+matrix per cell of levels in one pass, expands them to the full normal
+equations (model state) and scores rows by a lookup of their cell's
+coefficients. Forests use ``RandomForestRegressor``.
 """
 from __future__ import annotations
 
@@ -21,7 +23,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import calendar as C
-from ..functions.encode import one_hot
 from ..session import cut_lineage
 from .sizing import checked_broadcast, key_bound
 
@@ -74,6 +75,62 @@ def _dot(coef: Column, features, intercept: bool) -> Column:
     return acc
 
 
+JVM_PRODUCTS = 120          # products summed as separate aggregates; wider designs go by accumulators
+HELD_BYTES = 64 << 20       # accumulators of one partition before they are passed on
+
+
+def grouped_grams(df: DataFrame, features, target: str, group_keys=(), intercept: bool = True) -> DataFrame:
+    """Group keys, ``n`` and ``gram``: the upper triangle, row by row, of ``[1 X y]'[1 X y]`` summed per group.
+
+    Rows with a null in X or y take no part."""
+    features, group_keys = list(features), list(group_keys)
+    names = [f"_x{i}" for i in range(len(features))] + ["_y"]
+    data = df.select(*group_keys, *[F.col(c).cast("double").alias(n) for c, n in zip([*features, target], names)])
+    data = data.dropna(subset=names)
+    z = ([F.lit(1.0)] if intercept else []) + [F.col(n) for n in names]
+    dim = len(z)
+    pairs = [(i, j) for i in range(dim) for j in range(i, dim)]
+    if len(pairs) <= JVM_PRODUCTS:
+        sums = data.groupBy(*group_keys).agg(F.count(F.lit(1)).alias("n"),
+                                             *[F.sum(z[i] * z[j]).alias(f"_g{i}_{j}") for i, j in pairs])
+        return sums.select(*group_keys, "n", F.array(*[F.col(f"_g{i}_{j}") for i, j in pairs]).alias("gram"))
+    key_fields = list(df.select(*group_keys).schema.fields)
+    part_schema = T.StructType(key_fields + [T.StructField("n", T.LongType()), T.StructField("_i", T.IntegerType()), T.StructField("_v", T.DoubleType())])
+    upper = np.triu_indices(dim)
+    most = max(1, HELD_BYTES // (8 * len(pairs)))
+
+    def partial(batches):
+        held: dict = {}
+
+        def out():
+            # element by element, so that the sums below need no generator over the whole feature plan
+            wide = len(pairs)
+            keys = {c: [key[i] for key in held for _ in range(wide)] for i, c in enumerate(group_keys)}
+            return pd.DataFrame({**keys, "n": np.repeat([n for n, _ in held.values()], wide),
+                                 "_i": np.tile(np.arange(wide, dtype="int32"), len(held)),
+                                 "_v": np.concatenate([tri for _, tri in held.values()])})
+
+        for pdf in batches:
+            rows = pdf[names].to_numpy(dtype=float)
+            if intercept:
+                rows = np.hstack([np.ones((len(pdf), 1)), rows])
+            where = pdf.groupby(group_keys, sort=False, dropna=False).indices if group_keys else {(): np.arange(len(pdf))}
+            for key, at in where.items():
+                key = key if isinstance(key, tuple) else (key,)
+                n, tri = held.get(key, (0, 0.0))
+                held[key] = (n + len(at), tri + (rows[at].T @ rows[at])[upper])
+            if len(held) > most:
+                yield out()
+                held.clear()
+        if held:
+            yield out()
+
+    sums = data.mapInPandas(partial, part_schema).groupBy(*group_keys, "_i").agg(F.sum("n").alias("n"), F.sum("_v").alias("_v"))
+    # one row per group again: a triangle is a model's size
+    whole = sums.groupBy(*group_keys).agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("_i", "_v"))).alias("_t"))
+    return whole.select(*group_keys, "n", F.col("_t._v").alias("gram"))
+
+
 def fit_grouped_ols(df: DataFrame, features, target: str, group_keys=(), intercept: bool = True,
                     rcond: float = 1e-12) -> GroupedOLS:
     """Ordinary least squares per group (or one global model)."""
@@ -82,65 +139,7 @@ def fit_grouped_ols(df: DataFrame, features, target: str, group_keys=(), interce
     dim = k + 1                                   # [X y]
     key_fields = [f for f in df.select(*group_keys).schema.fields]
 
-    xs = [F.col(c).cast("double") for c in features]
-    data = df.select(*group_keys, *[x.alias(f"_x{i}") for i, x in enumerate(xs)],
-                     F.col(target).cast("double").alias("_y"))
-    data = data.dropna(subset=[f"_x{i}" for i in range(len(features))] + ["_y"])
-    z = ([F.lit(1.0)] if intercept else []) + [F.col(f"_x{i}") for i in range(len(features))] + [F.col("_y")]
-    pairs = [(i, j) for i in range(dim) for j in range(i, dim)]
-    # upper triangle of [X y]'[X y] per group, summed in the JVM with map-side
-    # partial aggregation: a group in every partition costs one partial row each
-    if len(pairs) <= 120:
-        sums = data.groupBy(*group_keys).agg(F.count(F.lit(1)).alias("n"),
-                                             *[F.sum(z[i] * z[j]).alias(f"_g{i}_{j}") for i, j in pairs])
-        summed = sums.select(*group_keys, "n", F.array(*[F.col(f"_g{i}_{j}") for i, j in pairs]).alias("gram"))
-    else:
-        # wide designs: each Arrow batch forms its groups' partial triangles in numpy
-        # (rows indexed once per group, one matrix product each); only those
-        # partials, not per-row products, are exploded and summed in the JVM
-        iu0 = np.triu_indices(dim)
-        xcols = [f"_x{i}" for i in range(len(features))]
-        part_schema = T.StructType(key_fields + [T.StructField("n", T.LongType()),
-                                                 T.StructField("tri", T.ArrayType(T.DoubleType()))])
-
-        def partial(batches):
-            for pdf in batches:
-                if pdf.empty:
-                    continue
-                zs = pdf[xcols + ["_y"]].to_numpy(dtype=float)
-                if intercept:
-                    zs = np.hstack([np.ones((len(pdf), 1)), zs])
-                if group_keys:
-                    idx = pdf.groupby(group_keys, sort=False, dropna=False).indices
-                else:
-                    idx = {(): np.arange(len(pdf))}
-                rows = []
-                for key, ix in idx.items():
-                    zg = zs[ix]
-                    key = key if isinstance(key, tuple) else (key,)
-                    rows.append((*key, len(ix), (zg.T @ zg)[iu0].tolist()))
-                yield pd.DataFrame(rows, columns=[*group_keys, "n", "tri"])
-
-        parts = data.mapInPandas(partial, part_schema)
-        sum_schema = T.StructType(key_fields + [T.StructField("n", T.LongType()),
-                                                T.StructField("gram", T.ArrayType(T.DoubleType()))])
-
-        def add_partials(batches):
-            acc: dict = {}
-            for pdf in batches:
-                for row in pdf.itertuples(index=False):
-                    key = tuple(row[:len(group_keys)])
-                    n0, t0 = acc.get(key, (0, 0.0))
-                    acc[key] = (n0 + int(row[len(group_keys)]), t0 + np.asarray(row[len(group_keys) + 1], dtype=float))
-            if acc:
-                yield pd.DataFrame([(*k_, n_, t_.tolist()) for k_, (n_, t_) in acc.items()],
-                                   columns=[*group_keys, "n", "gram"])
-
-        # the partials (one per batch and group) are hashed by group, so every group's
-        # partials meet in one task and are summed there; their count is bounded by
-        # the number of input batches, not by the group's rows
-        shuffled = parts.repartition(*group_keys) if group_keys else parts.coalesce(1)
-        summed = shuffled.mapInPandas(add_partials, sum_schema)
+    summed = grouped_grams(df, features, target, group_keys, intercept)
     iu = np.triu_indices(dim)
 
     def full(tri):
@@ -174,14 +173,26 @@ def fit_grouped_ols(df: DataFrame, features, target: str, group_keys=(), interce
     return GroupedOLS(group_keys, features, intercept, coefs, terms)
 
 
+def slice_domain(df: DataFrame, columns, most: int = 10_000) -> dict:
+    """Values of each slicing column, in order, from the data; more than ``most`` is an error (they become columns)."""
+    out = {}
+    for c in columns:
+        values = [r[0] for r in df.select(F.col(c).cast("int").alias("v")).filter("v is not null").distinct().orderBy("v").limit(most + 1).collect()]
+        if len(values) > most:
+            raise ValueError(f"{c} has more than {most} values")
+        out[c] = values
+    return out
+
+
 def fit_slice_models(df: DataFrame, slices: dict, features, target: str, intercept: bool = True) -> GroupedOLS:
     """M6: one model per value of each slicing column (e.g. 16 counties + 2 business
     flags + 4 product types) fitted in one pass: every row is tagged with its
     slice of each column (``slice_col``, ``slice_value``) and the grouped fit runs
-    once over all tags."""
-    tagged = df.select("*", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("slice_col"), F.col(c).cast("int").alias("slice_value")) for c in slices
-    ])).alias("_slice")).select("*", "_slice.slice_col", "_slice.slice_value").drop("_slice")
+    once over all tags. Only declared slices are tagged, so the fit holds no more models than that."""
+    tags = F.array(*[F.struct(F.lit(c).alias("slice_col"), F.col(c).cast("int").alias("slice_value")) for c in slices])
+    declared = F.create_map(*[x for c, vs in slices.items() for x in (F.lit(c), F.array(*[F.lit(int(v)) for v in vs]))])
+    kept = F.filter(tags, lambda t: F.array_contains(declared[t["slice_col"]], t["slice_value"]))
+    tagged = df.select("*", F.explode(kept).alias("_slice")).select("*", "_slice.slice_col", "_slice.slice_value").drop("_slice")
     return fit_grouped_ols(tagged, features, target, ["slice_col", "slice_value"], intercept)
 
 
@@ -194,7 +205,7 @@ def apply_slice_models(df: DataFrame, model: GroupedOLS, slices: dict) -> DataFr
     cols = []
     for c, values in slices.items():
         for v in values:
-            coef = rows.get((c, v))
+            coef = rows.get((c, int(v)))
             name = f"{c}{v}"
             if coef is None:
                 cols.append(F.lit(None).cast("double").alias(name))
@@ -204,51 +215,123 @@ def apply_slice_models(df: DataFrame, model: GroupedOLS, slices: dict) -> DataFr
     return df.select("*", *cols)
 
 
-# ----------------------------------------------------------- formula designs
-def hour_by_terms(ts: str, terms, levels=C.HOURS, baseline: int = 0, prefix: str = "h") -> dict:
-    """Treatment-coded ``C(hour) * (terms)``: dummies (drop ``baseline``) and their products."""
-    h = F.hour(F.col(ts))
-    out = {}
-    for k in levels:
-        if k == baseline:
-            continue
-        d = (h == k).cast("double")
-        out[f"{prefix}{k}"] = d
-        for t in terms:
-            out[f"{prefix}{k}:{t}"] = d * F.col(t)
-    return out
-
-
-def production_design(ts: str = "prediction_datetime", date_terms=None) -> dict:
+# ----------------------------------------------------------- formula models
+@dataclass
+class BlockDesign:
+    """A linear formula of products of categorical levels and numeric columns.
+
+    ``groups``: name -> (level column, declared levels). ``terms``: (group or
+    None, numeric column or ``"1"``); a term of a group has a coefficient for
+    each of its levels."""
+    groups: dict
+    terms: list
+
+    @property
+    def local(self) -> list[str]:
+        """Numeric columns in order of first use."""
+        return list(dict.fromkeys(c for _, c in self.terms if c != "1"))
+
+    def cells(self) -> list[tuple]:
+        """All combinations of declared levels."""
+        out = [()]
+        for _, levels in self.groups.values():
+            out = [(*c, v) for c in out for v in levels]
+        return out
+
+    def parameters(self) -> list[tuple]:
+        """(group, level, column) of each coefficient; level None for terms of no group."""
+        return [(g, v, c) for g, c in self.terms for v in (self.groups[g][1] if g else [None])]
+
+    def expansion(self, cell: tuple) -> np.ndarray:
+        """Matrix from all parameters to the coefficients of [1, local] within a cell."""
+        of, place = dict(zip(self.groups, cell)), {"1": 0, **{c: i + 1 for i, c in enumerate(self.local)}}
+        out = np.zeros((len(place), len(self.parameters())))
+        for j, (g, v, c) in enumerate(self.parameters()):
+            if g is None or of[g] == v:
+                out[place[c], j] = 1.0
+        return out
+
+
+def date_terms() -> list[str]:
+    return ["trend"] + C.fourier_names()
+
+
+def production_design(ts: str = "prediction_datetime") -> BlockDesign:
     """M1: ``solar_elevation + solar_azimuth + C(hour)*(trend + 6 sin + 6 cos) + target_2d_ago``."""
-    date_terms = date_terms or ["trend"] + C.fourier_names()
-    d = {"solar_elevation": F.col("solar_elevation"), "solar_azimuth": F.col("solar_azimuth")}
-    d.update({t: F.col(t) for t in date_terms})
-    d.update(hour_by_terms(ts, date_terms))
-    d["target_2d_ago"] = F.col("target_2d_ago")
-    return d
+    return BlockDesign({"hour": (F.hour(F.col(ts)), C.HOURS)},
+                       [(None, c) for c in ("solar_elevation", "solar_azimuth", "target_2d_ago")]
+                       + [("hour", c) for c in ["1", *date_terms()]])
 
 
-def consumption_design(ts: str = "prediction_datetime", date_terms=None) -> dict:
+def consumption_design(ts: str = "prediction_datetime") -> BlockDesign:
     """M2: ``(C(weekday) + C(hour)) * (date cols) + C(weekday)*target_2d_ago + target_7d_ago``."""
-    date_terms = date_terms or ["trend"] + C.fourier_names()
-    wd = C.weekday_iso(ts)
-    d = {t: F.col(t) for t in date_terms}
-    for k in range(2, 8):
-        w = (wd == k).cast("double")
-        d[f"w{k}"] = w
-        for t in date_terms:
-            d[f"w{k}:{t}"] = w * F.col(t)
-        d[f"w{k}:target_2d_ago"] = w * F.col("target_2d_ago")
-    d.update(hour_by_terms(ts, date_terms))
-    d["target_2d_ago"] = F.col("target_2d_ago")
-    d["target_7d_ago"] = F.col("target_7d_ago")
-    return d
+    return BlockDesign({"weekday": (C.weekday_iso(ts), list(range(1, 8))), "hour": (F.hour(F.col(ts)), C.HOURS)},
+                       [(g, c) for g in ("weekday", "hour") for c in ["1", *date_terms()]]
+                       + [("weekday", "target_2d_ago"), (None, "target_7d_ago")])
+
+
+@dataclass
+class BlockedOLS:
+    """Coefficients per segment (``{segment values: vector}``) of a block design."""
+    design: BlockDesign
+    segments: list
+    theta: dict
+
+    def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:
+        """Every row by the coefficients of its segment and cell; null for a segment without a model."""
+        names = [f"_b_{g}" for g in self.design.groups]
+        rows = [(*seg, *cell, [float(x) for x in self.design.expansion(cell) @ theta])
+                for seg, theta in self.theta.items() for cell in self.design.cells()]
+        kinds = dict(df.dtypes)
+        schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in self.segments], *[f"{n} int" for n in names], "_coef array<double>"])
+        table = F.broadcast(df.sparkSession.createDataFrame(rows, schema))         # declared levels x segments
+        tagged = df.withColumns({n: level.cast("int") for n, (level, _) in zip(names, self.design.groups.values())})
+        j = tagged.join(table, [*self.segments, *names], "left")
+        return j.withColumn(out, _dot(F.col("_coef"), self.design.local, True)).drop("_coef", *names)
+
+    def coefficients(self, spark) -> DataFrame:
+        """Segment (text), term, coefficient."""
+        rows = [(str(seg), f"{g}[{v}]:{c}" if g else c, float(x)) for seg, theta in self.theta.items()
+                for (g, v, c), x in zip(self.design.parameters(), theta)]
+        return spark.createDataFrame(rows, "segment string, term string, coefficient double")
+
+
+def fit_blocked_ols(df: DataFrame, design: BlockDesign, target: str = "target", segments=(), rcond: float = 1e-11) -> BlockedOLS:
+    """M1-M3: least squares of a block design, one model for each value of ``segments`` columns.
+
+    One pass over the rows gives a Gram matrix per segment and cell; what
+    reaches the driver is segments x cells small triangles, independent of the
+    rows. Minimum-norm solution, so redundant levels need no baseline."""
+    names, segments = [f"_b_{g}" for g in design.groups], list(segments)
+    tagged = df.withColumns({n: level.cast("int") for n, (level, _) in zip(names, design.groups.values())})
+    for n, (_, levels) in zip(names, design.groups.values()):
+        tagged = tagged.filter(F.col(n).isin(*levels))
+    dim = len(design.local) + 2
+    sums: dict = {}
+    for r in grouped_grams(tagged, design.local, target, [*segments, *names]).collect():
+        seg, cell = tuple(r[c] for c in segments), tuple(r[n] for n in names)
+        m = np.zeros((dim, dim))
+        m[np.triu_indices(dim)] = r["gram"]
+        m = m + np.triu(m, 1).T
+        e = design.expansion(cell)
+        xtx, xty = sums.get(seg, (0.0, 0.0))
+        sums[seg] = (xtx + e.T @ m[:-1, :-1] @ e, xty + e.T @ m[:-1, -1])
+    theta = {}
+    for seg, (xtx, xty) in sums.items():
+        scale = np.sqrt(np.maximum(np.diag(xtx), 1e-300))
+        unit = xtx / scale[:, None] / scale[None, :]
+        theta[seg] = np.linalg.pinv(unit, rcond=rcond, hermitian=True) @ (xty / scale) / scale
+    return BlockedOLS(design, segments, theta)
+
+
+def fit_segmented_ols(df: DataFrame, design: BlockDesign, segment: str = "is_business", target: str = "target") -> BlockedOLS:
+    """M3: one formula model per segment, fitted in one pass; rows are scored by their own segment."""
+    return fit_blocked_ols(df, design, target, [segment])
 
 
 @dataclass
 class FormulaOLS:
-    """M1/M2 fitted with ``pyspark.ml`` on a declared design."""
+    """A free design (named column expressions) fitted with ``pyspark.ml``."""
     design: dict
     model: object
 
@@ -268,7 +351,7 @@ class FormulaOLS:
 
 
 def fit_formula_ols(df: DataFrame, design: dict, target: str = "target", intercept: bool = True) -> FormulaOLS:
-    """OLS on a declared design (normal equations, no regularisation, no standardisation)."""
+    """OLS on a free design (normal equations, no regularisation, no standardisation)."""
     from pyspark.ml.regression import LinearRegression
     train = _training_frame(df, list(design.values()), target, "_d")
     lr = LinearRegression(featuresCol="_features", labelCol=target, predictionCol="_pred", regParam=0.0,
@@ -276,28 +359,6 @@ def fit_formula_ols(df: DataFrame, design: dict, target: str = "target", interce
     return FormulaOLS(design, lr.fit(train))
 
 
-@dataclass
-class SegmentedOLS:
-    """M3: one formula model per boolean segment; rows scored by their own segment."""
-    segment: str
-    models: dict
-
-    def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:
-        parts = [m.predict(df.filter(F.col(self.segment) == v), out) for v, m in self.models.items()]
-        res = parts[0]
-        for p in parts[1:]:
-            res = res.unionByName(p)
-        return res
-
-
-def fit_segmented_ols(df: DataFrame, design: dict, segment: str = "is_business", values=(False, True),
-                      target: str = "target") -> SegmentedOLS:
-    """Two (a declared, bounded number of) fits, each on its own segment."""
-    df = cut_lineage(df)
-    return SegmentedOLS(segment, {v: fit_formula_ols(df.filter(F.col(segment) == v), design, target)
-                                  for v in values})
-
-
 # ----------------------------------------------------------- forests, chaining
 FOREST_FEATURES = ["eic_count", "installed_capacity", "price_gas_low", "price_gas_high", "price_electricity",
                    "temperature", "dewpoint", "cloudcover_high", "cloudcover_low", "cloudcover_mid",
@@ -320,17 +381,21 @@ class ForestModel:
         return p.withColumnRenamed("_rf", out).drop("_features", *[f"_f{i}" for i in range(len(self.features))])
 
 
-def fit_forest(df: DataFrame, features, target: str, num_trees: int = 200, max_samples: int = 10_000,
-               max_depth: int = 8, seed: int = 42) -> ForestModel:
-    """Random forest; each tree sees about ``max_samples`` rows
-    (``subsamplingRate = min(1, max_samples / n)``)."""
+MAX_DEPTH = 30              # the deepest tree that Spark grows
+
+
+def fit_forest(df: DataFrame, features, target: str, num_trees: int = 200, max_samples: int | None = None,
+               max_depth: int = MAX_DEPTH, seed: int = 42) -> ForestModel:
+    """Random forest of fully grown trees. Every tree sees all rows' bootstrap, or about ``max_samples`` rows
+    where the caller asks for that (``subsamplingRate = min(1, max_samples / n)``)."""
     from pyspark.ml.regression import RandomForestRegressor
-    train = _training_frame(df, [F.col(c) for c in features], target, "_f")
-    n = train.count()
-    rate = min(1.0, max_samples / n) if n else 1.0
+    train = _training_frame(df, [F.col(f"`{c}`") for c in features], target, "_f")
+    rate = 1.0
+    if max_samples is not None:
+        rate = min(1.0, max_samples / max(1, train.count()))
     rf = RandomForestRegressor(featuresCol="_features", labelCol=target, predictionCol="_rf",
                                numTrees=num_trees, subsamplingRate=rate, maxDepth=max_depth, seed=seed,
-                               featureSubsetStrategy="all")
+                               featureSubsetStrategy="all", maxMemoryInMB=1024, checkpointInterval=10)
     return ForestModel(list(features), rf.fit(train))
 
 
@@ -379,8 +444,3 @@ def time_design_columns(df: DataFrame, ts: str, fit_start, date_col: str = "date
 
 def time_feature_names():
     return ["trend"] + C.fourier_names() + [f"hour_{k:02d}" for k in C.HOURS if k != C.BASELINE_HOUR]
-
-
-__all__ = ["GroupedOLS", "fit_grouped_ols", "fit_slice_models", "apply_slice_models", "production_design",
-           "consumption_design", "fit_formula_ols", "fit_segmented_ols", "fit_forest", "fit_on_residuals",
-           "fit_residual_forest", "fit_log_target", "one_hot"]

@@ -75,12 +75,12 @@ def rmse(df: DataFrame, pred: str = "prediction", truth: str = "target", by=())
 
 
 def r_squared(df: DataFrame, pred: str = "prediction", truth: str = "target", by=()) -> DataFrame:
-    """``1 - SS_res / SS_tot`` in one pass (sums of y, y^2, residual^2)."""
+    """``1 - SS_res / SS_tot`` in one pass, over rows where both are non-null. The total is the population
+    variance times n, whose running update does not cancel as a difference of large sums does."""
     y, e = F.col(truth), F.col(pred) - F.col(truth)
-    g = df.groupBy(*by).agg(F.sum(e * e).alias("_ssr"), F.sum(y * y).alias("_syy"), F.sum(y).alias("_sy"),
-                            F.count(y).alias("_n"))
-    sst = F.col("_syy") - F.col("_sy") * F.col("_sy") / F.col("_n")
-    return g.select(*by, (1 - F.try_divide(F.col("_ssr"), sst)).alias("r2"))
+    g = df.filter(y.isNotNull() & F.col(pred).isNotNull()).groupBy(*by).agg(
+        F.sum(e * e).alias("_ssr"), F.var_pop(y).alias("_var"), F.count(F.lit(1)).alias("_n"))
+    return g.select(*by, (1 - F.try_divide(F.col("_ssr"), F.col("_var") * F.col("_n"))).alias("r2"))
 
 
 def histogram(df: DataFrame, value: str, bins: int = 15) -> DataFrame:

@@ -1,7 +1,7 @@
 """Size-checked broadcast.
 
-A dimension or statistic side of a join is stored first (reliable checkpoint in
-the shared folder, so it is computed once), and its rows are counted by the
+A dimension or statistic side of a join is stored first (a table in the shared
+folder, so it is computed once), and its rows are counted by the
 same job. If rows times row width is within the bound, the join gets a broadcast
 hint, and the fact table keeps its partitioning: it never shuffles on a date,
 an hour or a key of a few values. Beyond the bound the side joins by shuffle,
@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage
 
 BROADCAST_BYTES = 32 << 20
 
@@ -25,12 +25,9 @@ def row_bytes(schema: T.StructType) -> int:
 
 
 def stored(df: DataFrame) -> tuple[DataFrame, int]:
-    """``df`` behind a reliable checkpoint, and its number of rows, from one job."""
-    spark = df.sparkSession
-    master = spark.sparkContext.master or ""
-    ensure_checkpoint_dir(spark, allow_local=master.startswith("local"))
+    """``df`` written to the shared folder and read back, and its number of rows, from one job."""
     seen = Observation()
-    kept = df.observe(seen, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    kept = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("n")))
     return kept, seen.get["n"]
 
 

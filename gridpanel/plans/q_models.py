@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from ..functions import calendar as C
 from ..operators import models as M
 from ..operators.assemble import assemble_client
-from ..operators.normalise import apply_unit_max, denormalise_by_capacity, group_max
+from ..operators.normalise import apply_unit_max, group_max
 from ..operators.profiles import r_squared
 from . import features as FB
+from . import pipelines as PL
 from .fixtures import SPLIT, load_panel, split_block
 from .oracle_sql import solar_select
 from .registry import query, rounded
@@ -101,50 +102,119 @@ def m6_slices(spark, sf_dir):
     norm = apply_unit_max(t, mv)
     fs = norm.select(F.min(F.to_date("prediction_datetime"))).scalar()
     x = M.time_design_columns(norm, "prediction_datetime", fs)
-    model = M.fit_slice_models(x, SLICES, M.time_feature_names(), "target")
-    out = M.apply_slice_models(x, model, SLICES)
-    return out.select("row_id", "prediction_unit_id", *[f"{c}{v}" for c, vs in SLICES.items() for v in vs])
+    slices = M.slice_domain(norm, list(SLICES))
+    model = M.fit_slice_models(x, slices, M.time_feature_names(), "target")
+    out = M.apply_slice_models(x, model, slices)
+    return out.select("row_id", "prediction_unit_id", *[f"{c}{v}" for c, vs in slices.items() for v in vs])
+
+
+@query("m6_j18_slices_one_feature", f"""
+WITH mv AS (SELECT prediction_unit_id, max(target) AS max_value FROM tgt GROUP BY 1),
+x AS (SELECT t.row_id, t.prediction_unit_id, t.county, CAST(t.is_business AS INTEGER) AS is_business, t.product_type,
+             {_HOUR} AS hour, t.target / nullif(max_value, 0) AS y FROM tgt t JOIN mv USING (prediction_unit_id)),
+{", ".join(f"{c}_m AS (SELECT {c} AS v, regr_intercept(y, hour) AS a, regr_slope(y, hour) AS b FROM x GROUP BY 1)" for c in SLICES)}
+SELECT row_id, {", ".join(f"round((SELECT a FROM {c}_m WHERE v = {v}) + (SELECT b FROM {c}_m WHERE v = {v}) * hour, 6) AS {c}{v}" for c, vs in SLICES.items() for v in vs)}
+FROM x""", ("tgt",))
+def m6_one_feature(spark, sf_dir):
+    """Slices from the data's own domain, one feature, so that SQL can fit the same models."""
+    t = load_panel(spark, sf_dir).target
+    x = apply_unit_max(t, group_max(t)).withColumn("hour", C.hour_of_day("prediction_datetime").cast("double"))
+    slices = M.slice_domain(t, list(SLICES))
+    out = M.apply_slice_models(x, M.fit_slice_models(x, slices, ["hour"], "target"), slices)
+    return rounded(out.select("row_id", *[f"{c}{v}" for c, vs in SLICES.items() for v in vs]))
 
 
-def _stage1(spark, sf_dir, mode_rows):
+def _dense(spark, sf_dir, consumption):
     p = load_panel(spark, sf_dir)
-    hist = FB.history_of(p.target, p.client)
-    fs = p.target.select(F.min(F.to_date("prediction_datetime"))).scalar()
-    solar = FB.solar_of(spark, p.target)
-    return p, hist, fs, solar
+    return PL.Pipeline(p, p.dense_target, consumption)
 
 
 @query("m1_production_formula_ols")
 def m1_production(spark, sf_dir):
-    p, hist, fs, solar = _stage1(spark, sf_dir, None)
-    prod = p.target.filter(~F.col("is_consumption"))
-    feats = FB.linear_features(prod, p, hist, fs, "inference", solar)
-    model = M.fit_formula_ols(feats, M.production_design())
-    return model.predict(feats).select("row_id", "prediction")
+    return _dense(spark, sf_dir, False).one_stage(PL.fit_production)
 
 
 @query("m2_m3_consumption_segmented_ols")
 def m2_consumption(spark, sf_dir):
-    p, hist, fs, solar = _stage1(spark, sf_dir, None)
-    cons = p.target.filter(F.col("is_consumption"))
-    feats = FB.linear_features(cons, p, hist, fs, "inference", solar)
-    model = M.fit_segmented_ols(feats, M.consumption_design())
-    return model.predict(feats).select("row_id", "is_business", "prediction")
+    return _dense(spark, sf_dir, True).one_stage(PL.fit_consumption)
 
 
 @query("m4_m5_m12_m13_stacked_pipeline")
 def m13_pipeline(spark, sf_dir):
-    """normalise -> linear features -> OLS -> forest features -> residual forest ->
-    denormalise; fitted on blocks < 20, scored on blocks >= 20 with the inference rules."""
-    p, hist, fs, solar = _stage1(spark, sf_dir, None)
-    prod = p.target.filter(~F.col("is_consumption"))
-    train = FB.linear_features(prod.filter("data_block_id < 20"), p, hist, fs, "inference", solar)
-    ols = M.fit_formula_ols(train, M.production_design())
-    stage2 = FB.forest_stage_features(ols.predict(train), p)
-    rf = M.fit_residual_forest(stage2, num_trees=20, max_depth=6)
-    test = FB.linear_features(prod.filter("data_block_id >= 20"), p, hist, fs, "inference", solar)
-    scored = rf.predict(FB.forest_stage_features(ols.predict(test), p))
-    return denormalise_by_capacity(scored).select("row_id", "prediction")
+    """Production: normalise, linear stage, residual forest, denormalise, submission."""
+    return _dense(spark, sf_dir, False).two_stage(PL.fit_production, PL.fit_forest_stage)
+
+
+@query("m13_consumption_pipeline")
+def m13_consumption(spark, sf_dir):
+    """Consumption: linear stage per business flag, residual forest, submission; raw units throughout."""
+    return _dense(spark, sf_dir, True).two_stage(PL.fit_consumption, PL.fit_forest_stage)
+
+
+def _two_stage_sql() -> str:
+    cap = "t.county = c.county AND t.is_business = c.is_business AND t.product_type = c.product_type"
+    return f"""
+WITH norm AS (
+  SELECT t.*, c.eic_count, c.installed_capacity, t.target / nullif(c.installed_capacity, 0) AS y
+  FROM dtgt t JOIN cli c ON {cap} AND CAST(t.prediction_datetime AS DATE) = c.date),
+lag AS (
+  SELECT r.row_id, l2.y AS x2, l7.y AS x7 FROM dtgt r
+  LEFT JOIN norm l2 ON l2.prediction_unit_id = r.prediction_unit_id AND l2.is_consumption = r.is_consumption
+    AND l2.prediction_datetime = r.prediction_datetime - INTERVAL 2 DAY
+  LEFT JOIN norm l7 ON l7.prediction_unit_id = r.prediction_unit_id AND l7.is_consumption = r.is_consumption
+    AND l7.prediction_datetime = r.prediction_datetime - INTERVAL 7 DAY),
+train AS (
+  SELECT n.row_id, n.county, n.prediction_datetime, n.y, g.x2 FROM norm n JOIN lag g USING (row_id)
+  WHERE NOT n.is_consumption AND n.data_block_id < {SPLIT.format('dtgt')} AND n.y IS NOT NULL AND g.x2 IS NOT NULL AND g.x7 IS NOT NULL),
+first AS (SELECT regr_intercept(y, x2) AS a, regr_slope(y, x2) AS b FROM train),
+station AS (
+  SELECT county, arg_min(latitude, (longitude, -latitude)) AS latitude, arg_min(longitude, (longitude, -latitude)) AS longitude
+  FROM stn GROUP BY 1),
+weather AS (
+  SELECT s.county, f.forecast_datetime, coalesce(f.temperature, 0) AS temperature
+  FROM station s JOIN (SELECT *, row_number() OVER (PARTITION BY latitude, longitude, forecast_datetime ORDER BY hours_ahead) AS n FROM wf) f
+    ON f.latitude = s.latitude AND f.longitude = s.longitude AND f.n = 1),
+resid AS (
+  SELECT t.y - (a + b * t.x2) AS r, w.temperature FROM train t JOIN weather w
+    ON w.county = t.county AND w.forecast_datetime = t.prediction_datetime, first),
+second AS (SELECT regr_intercept(r, temperature) AS a, regr_slope(r, temperature) AS b FROM resid),
+test AS (SELECT * FROM dtgt WHERE NOT is_consumption AND data_block_id >= {SPLIT.format('dtgt')}),
+scored AS (
+  SELECT t.row_id, (f.a + f.b * coalesce(g.x2, 0) + s.a + s.b * w.temperature) * c.installed_capacity AS p
+  FROM test t JOIN cli c ON {cap} AND t.date_when_predicting = c.date JOIN lag g USING (row_id)
+  JOIN weather w ON w.county = t.county AND w.forecast_datetime = t.prediction_datetime, first f, second s)
+SELECT t.row_id, t.data_block_id, round(coalesce(p, 0.0), 4) AS target FROM test t LEFT JOIN scored USING (row_id)"""
+
+
+@query("m5_m13_two_stage_ols", _two_stage_sql(), ("dtgt", "cli", "stn", "wf"))
+def m13_two_stage(spark, sf_dir):
+    """The stacked pipeline with least squares in both stages: lag of two days, then temperature on the residual."""
+    first = lambda d: M.fit_grouped_ols(d, ["target_2d_ago"], "target")                                     # noqa: E731
+    second = lambda d: M.fit_on_residuals(d, lambda x, y: M.fit_grouped_ols(x, ["temperature"], y))         # noqa: E731
+    return rounded(_dense(spark, sf_dir, False).two_stage(first, second), 4)
+
+
+@query("m3_segmented_ols", f"""
+WITH m AS (SELECT is_business, regr_intercept(target, {_HOUR}) AS a, regr_slope(target, {_HOUR}) AS b FROM dtgt GROUP BY 1)
+SELECT row_id, round(m.a + m.b * {_HOUR}, 6) AS prediction FROM dtgt JOIN m USING (is_business)""", ("dtgt",))
+def m3_segmented(spark, sf_dir):
+    """The segment models' own path on a design of one column, which SQL can fit."""
+    t = load_panel(spark, sf_dir).dense_target.withColumn("h", C.hour_of_day("prediction_datetime").cast("double"))
+    model = M.fit_segmented_ols(t, M.BlockDesign({}, [(None, "1"), (None, "h")]))
+    return rounded(model.predict(t).select("row_id", "prediction"))
+
+
+@query("m8_log_target_two_regressors", f"""
+WITH {_ASM},
+x AS (SELECT row_id, ln(1 + installed_capacity) AS u, CAST(eic_count AS DOUBLE) AS v, ln(1 + target) AS y FROM asm WHERE NOT is_consumption),
+s AS (SELECT sum(u * u) AS uu, sum(u * v) AS uv, sum(v * v) AS vv, sum(u * y) AS uy, sum(v * y) AS vy FROM x)
+SELECT row_id, round(exp(u * (vv * uy - uv * vy) / (uu * vv - uv * uv) + v * (uu * vy - uv * uy) / (uu * vv - uv * uv)) - 1, 5) AS prediction
+FROM x, s""", ("tgt", "cli"))
+def m8_two(spark, sf_dir):
+    p = load_panel(spark, sf_dir)
+    a = assemble_client(p.target.filter("NOT is_consumption"), p.client, "train").withColumn("capacity", F.log1p("installed_capacity"))
+    m = M.fit_log_target(a, lambda d, y: M.fit_grouped_ols(d, ["capacity", "eic_count"], y, intercept=False))
+    return rounded(m.predict(a).select("row_id", "prediction"), 5)
 
 
 @query("m8_m9_log_target_minimal")
@@ -158,9 +228,10 @@ def m8_minimal(spark, sf_dir):
 
 @query("m10_forest_capped_samples")
 def m10_forest(spark, sf_dir):
+    """Direct forest on the assembled features, 200 trees of 1,000 samples, the older forest's documented values."""
     p = load_panel(spark, sf_dir)
     a = FB.forest_stage_features(assemble_client(p.target, p.client, "train"), p)
-    m = M.fit_forest(a, M.FOREST_FEATURES, "target", num_trees=20, max_samples=1000, max_depth=6)
+    m = M.fit_forest(a, M.FOREST_FEATURES, "target", num_trees=200, max_samples=1000)
     return m.predict(a).select("row_id", "prediction")
 
 

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,7 +25,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                # runtime broadcast only for sides measured below 64 MB (sizing.py)
                .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-               .config("spark.driver.memory", "16g"))
+               .config("spark.driver.memory", "8g"))
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -51,8 +52,13 @@ def ensure_checkpoint_dir(spark: SparkSession, allow_local: bool = False) -> str
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir`` (survives executor loss)."""
+    """Write ``df`` as a table in the folder of ``spark.checkpoint.dir`` and read it back (survives executor loss).
+
+    A written table instead of ``checkpoint()``: that one first infers all
+    constraints of the plan behind it, which takes minutes for wide calendar
+    features."""
     spark = df.sparkSession
     master = spark.sparkContext.master or ""
-    ensure_checkpoint_dir(spark, allow_local=master.startswith("local"))
-    return df.checkpoint(eager=True)
+    path = f"{ensure_checkpoint_dir(spark, allow_local=master.startswith('local')).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

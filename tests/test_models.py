@@ -56,7 +56,7 @@ def test_rank_deficient_design_is_min_norm(spark):
 def test_segment_models_score_own_segment(spark):
     rows = [(bool(i % 2), float(i % 17), (1.0 if i % 2 else -1.0) * (i % 17)) for i in range(400)]
     df = spark.createDataFrame(rows, "is_business boolean, x double, target double")
-    m = M.fit_segmented_ols(df, {"x": F.col("x")})
+    m = M.fit_segmented_ols(df, M.BlockDesign({}, [(None, "1"), (None, "x")]))
     out = m.predict(df)
     assert rmse(out, "prediction", "target").first().rmse < 1e-6
 
@@ -97,3 +97,77 @@ def test_wide_design_grouped_ols(spark):
     for g in range(3):
         assert got[g].n == 300 and got[g].rank == 21
         assert got[g].coef == pytest.approx([1.0 + g] + list(range(20)), abs=1e-8)
+
+
+def test_blocked_ols_equals_a_dense_solve(spark):
+    """Coefficients per hour and weekday, redundant levels included, against least squares on all dummies."""
+    rng = np.random.default_rng(5)
+    n = 3000
+    hour, day = rng.integers(0, 4, n), rng.integers(1, 4, n)
+    x, z = rng.normal(size=n), rng.normal(size=n)
+    y = hour + 0.5 * day + x * (1 + hour) - 0.3 * x * day + 2 * z + rng.normal(scale=0.1, size=n)
+    df = spark.createDataFrame([(int(a), int(b), float(c), float(d), float(e)) for a, b, c, d, e in zip(hour, day, x, z, y)],
+                               "hour int, day int, x double, z double, target double").repartition(5)
+    design = M.BlockDesign({"hour": (F.col("hour"), [0, 1, 2, 3]), "day": (F.col("day"), [1, 2, 3])},
+                           [("hour", "1"), ("day", "1"), ("hour", "x"), ("day", "x"), (None, "z")])
+    got = M.fit_blocked_ols(df, design).predict(df).select("hour", "day", "x", "z", "prediction").toPandas()
+    dense = np.column_stack([*[(hour == k) for k in range(4)], *[(day == k) for k in range(1, 4)],
+                             *[(hour == k) * x for k in range(4)], *[(day == k) * x for k in range(1, 4)], z]).astype(float)
+    fitted = dense @ np.linalg.lstsq(dense, y, rcond=None)[0]
+    key = lambda h, d, a: (int(h), int(d), round(float(a), 9))                                   # noqa: E731
+    expect = {key(*t[:3]): t[3] for t in zip(hour, day, x, fitted)}
+    assert len(got) == n
+    for r in got.itertuples():
+        assert r.prediction == pytest.approx(expect[key(r.hour, r.day, r.x)], abs=1e-6)
+
+
+def test_wide_grams_keep_partitions_and_bound_accumulators(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(2000, 20))
+    df = spark.createDataFrame([(int(i % 50), *map(float, x[i])) for i in range(2000)], "g int, " + ", ".join(f"x{i} double" for i in range(20)))
+    monkeypatch.setattr(M, "HELD_BYTES", 8 * 200 * 10)             # ten groups' triangles
+    rows = M.grouped_grams(df.repartition(6), [f"x{i}" for i in range(19)], "x19", ["g"]).collect()
+    assert len(rows) == 50 and all(r.n == 40 for r in rows)
+    z = np.column_stack([np.ones(40), x[7::50]])
+    assert next(r for r in rows if r.g == 7).gram == pytest.approx((z.T @ z)[np.triu_indices(21)].tolist())
+    plan = M.grouped_grams(df, [f"x{i}" for i in range(19)], "x19")._jdf.queryExecution().toString()
+    assert "Coalesce" not in plan.split("== Physical Plan ==")[1]
+
+
+def test_pipelines_predict_in_target_units(spark):
+    """Both directions beat the mean of the training targets, and every test row gets a row."""
+    from gridpanel.plans import pipelines as PL
+    from gridpanel.plans.fixtures import load_panel, split_block
+    p = load_panel(spark, "/root/testdata/sf0.01")
+    t = p.dense_target
+    lo = t.filter(F.col("data_block_id") < split_block(t))
+    for consumption in (False, True):
+        pipe = PL.Pipeline(p, t, consumption)
+        got = pipe.one_stage(lambda d: M.fit_grouped_ols(d, ["target_2d_ago", "target_7d_ago"], "target"))
+        joined = got.join(t.select("row_id", F.col("target").alias("truth")), "row_id").toPandas()
+        assert len(joined) == t.filter((F.col("data_block_id") >= split_block(t)) & (F.col("is_consumption") == consumption)).count()
+        mean = lo.filter(F.col("is_consumption") == consumption).agg(F.avg("target")).first()[0]
+        error = ((joined.target - joined.truth) ** 2).mean() ** 0.5
+        assert error < 1.5 * ((mean - joined.truth) ** 2).mean() ** 0.5
+        assert 0.3 * joined.truth.mean() < joined.target.mean() < 3 * joined.truth.mean()
+
+
+def test_blocks_and_solar_across_new_year_and_past_2024(spark, tmp_path):
+    """Rows around New Year and in 2026 keep their blocks, lags and solar positions."""
+    import datetime as dt
+    from gridpanel.operators.enrich import add_solar
+    from gridpanel.plans import backtest as B
+    from gridpanel.plans import features as FB
+    from gridpanel.plans.fixtures import load_panel
+    days = [dt.datetime(2024, 12, 29, 10) + dt.timedelta(days=i) for i in range(6)] + [dt.datetime(2026, 6, 1, 12)]
+    rows = [(i, d, 2, "view", float(i + 1)) for i, d in enumerate(days)]
+    spark.createDataFrame([(2 * i, d, u, e, v) for i, d, u, e, v in rows], "event_id long, ts timestamp_ntz, user_id long, event_type string, value double") \
+        .write.parquet(str(tmp_path / "events.parquet"))
+    t = load_panel(spark, str(tmp_path)).target
+    blocks = [r.data_block_id for r in t.orderBy("prediction_datetime").collect()]
+    assert blocks[:6] == list(range(blocks[0], blocks[0] + 6)) and len(blocks) == 7
+    scored = {r.row_id: r.prediction for r in B.persistence_backtest(t, t).collect()}
+    truth = {r.row_id: r.target for r in t.collect()}
+    assert scored[4] == pytest.approx(truth[0]) and scored[8] == pytest.approx(truth[4]) and scored[12] == 0.0
+    solar = add_solar(t, FB.solar_of(spark, t), how="inner")
+    assert solar.count() == 7 and solar.filter("solar_elevation is null").count() == 0
