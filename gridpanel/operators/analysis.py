@@ -1,6 +1,8 @@
 """Residual and trajectory analysis (A1 PCA, A2 autocorrelation)."""
 from __future__ import annotations
 
+import datetime as dt
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -10,24 +12,44 @@ def acf(df: DataFrame, keys, ts: str, value: str, nlags: int = 72) -> DataFrame:
     """A2: autocorrelation per series at lags 1..nlags hours,
     ``sum_t (x_t - m)(x_{t+k} - m) / sum_t (x_t - m)^2`` over exact-time pairs.
 
-    Pairs come from a self join on (series, time bucket of ``nlags`` hours): each
-    row meets the rows of its own bucket and of the next one, which contain every
-    partner at most ``nlags`` hours later. Three copies of the series are shuffled
-    (not ``nlags``), and a join group is one series' ``2 * nlags`` hours, so a
-    long or hot series spreads over many tasks. Sums are partial aggregates."""
+    Each series is cut into buckets of ``nlags`` hours, one array per bucket. A
+    bucket joins the next one, which together hold every pair that starts in
+    it, and gives its ``nlags`` lag sums at once; those are summed per series.
+    Rows move once, and a long or hot series spreads over its buckets."""
     keys = list(keys)
     stats = df.groupBy(*keys).agg(F.avg(value).alias("_m"))
     hours = F.timestamp_diff("HOUR", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
-    c = df.join(stats, keys).select(*keys, hours.alias("_h"), (F.col(value) - F.col("_m")).alias("_c"))
-    denom = c.groupBy(*keys).agg(F.sum(F.col("_c") * F.col("_c")).alias("_den"))
-    left = c.select(*keys, "_h", "_c", F.floor(F.col("_h") / nlags).alias("_b"))
-    right = c.select(*keys, F.col("_h").alias("_h2"), F.col("_c").alias("_c2"),
-                     F.explode(F.array(F.floor(F.col("_h") / nlags), F.floor(F.col("_h") / nlags) - 1)).alias("_b"))
-    pairs = (left.join(right, [*keys, "_b"])
-             .select(*keys, (F.col("_h2") - F.col("_h")).cast("int").alias("lag"), (F.col("_c") * F.col("_c2")).alias("_p"))
-             .filter((F.col("lag") >= 1) & (F.col("lag") <= nlags)))
-    num = pairs.groupBy(*keys, "lag").agg(F.sum("_p").alias("_num"))
-    return num.join(denom, keys).select(*keys, "lag", F.try_divide(F.col("_num"), F.col("_den")).alias("acf"))
+    c = df.join(stats, keys).select(*keys, hours.alias("_h"), (F.col(value) - F.col("_m")).alias("_c")).filter(F.col("_c").isNotNull())
+    bucket = F.floor(F.col("_h") / nlags)
+    cells = c.groupBy(*keys, bucket.alias("_b")).agg(
+        F.collect_list(F.struct((F.col("_h") - bucket * nlags).cast("int").alias("i"), F.col("_c").alias("c"))).alias("_x"))
+    later = cells.select(*keys, (F.col("_b") - 1).alias("_b"), F.col("_x").alias("_y"))
+    both = cells.join(later, [*keys, "_b"], "left")
+    schema = T.StructType([*df.select(*keys).schema.fields, T.StructField("lag", T.IntegerType()), T.StructField("num", T.DoubleType()),
+                           T.StructField("pairs", T.LongType())])
+
+    def sums(batches):
+        for pdf in batches:
+            for lo in range(0, len(pdf), 512):
+                part = pdf.iloc[lo:lo + 512]
+                x, seen = np.zeros((len(part), 2 * nlags)), np.zeros((len(part), 2 * nlags))
+                for side, col in ((0, "_x"), (nlags, "_y")):
+                    for r, cell in enumerate(part[col]):
+                        for v in (cell if cell is not None else ()):
+                            x[r, side + v["i"]] += v["c"]
+                            seen[r, side + v["i"]] += 1
+                num = np.stack([(x[:, :nlags] * x[:, k:k + nlags]).sum(1) for k in range(nlags + 1)], 1)
+                pairs = np.stack([(seen[:, :nlags] * seen[:, k:k + nlags]).sum(1) for k in range(nlags + 1)], 1)
+                # lag 0 is the bucket's own sum of squares, from single rows
+                num[:, 0] = [sum(v["c"] ** 2 for v in cell) for cell in part["_x"]]
+                r, k = np.nonzero(pairs)
+                yield pd.DataFrame({**{c_: part[c_].to_numpy()[r] for c_ in keys}, "lag": k.astype("int32"), "num": num[r, k],
+                                    "pairs": pairs[r, k].astype("int64")})
+
+    total = both.mapInPandas(sums, schema).groupBy(*keys, "lag").agg(F.sum("num").alias("_num"))
+    denom = total.filter("lag = 0").select(*keys, F.col("_num").alias("_den"))
+    return (total.filter("lag > 0").join(denom, keys)
+            .select(*keys, "lag", F.try_divide(F.col("_num"), F.col("_den")).alias("acf")))
 
 
 def pacf_from_acf(acf_df: DataFrame, keys, nlags: int = 72) -> DataFrame:
@@ -64,17 +86,24 @@ def pacf_from_acf(acf_df: DataFrame, keys, nlags: int = 72) -> DataFrame:
     return acf_df.groupBy(*keys).applyInPandas(dl, schema)
 
 
-def trajectories(df: DataFrame, unit: str, date_col: str, value: str, dates) -> DataFrame:
-    """A1 input: one row per unit, one column per declared date (daily mean)."""
+def date_range(df: DataFrame, date_col: str) -> list:
+    """All dates between the data's first and last (two values reach the driver; a calendar's length)."""
+    lo, hi = df.agg(F.min(date_col), F.max(date_col)).first()
+    return [lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)] if lo is not None else []
+
+
+def trajectories(df: DataFrame, unit, date_col: str, value: str, dates) -> DataFrame:
+    """A1 input: one row per unit (a column or several), one column per date (daily mean)."""
+    unit = [unit] if isinstance(unit, str) else list(unit)
     labels = [str(d) for d in dates]
-    daily = df.groupBy(unit, F.col(date_col).cast("string").alias("_d")).agg(F.avg(value).alias("_v"))
-    return daily.groupBy(unit).pivot("_d", labels).agg(F.first("_v"))
+    daily = df.groupBy(*unit, F.col(date_col).cast("string").alias("_d")).agg(F.avg(value).alias("_v"))
+    return daily.groupBy(*unit).pivot("_d", labels).agg(F.first("_v"))
 
 
-def pca_reconstruct(wide: DataFrame, unit: str, k: int = 10) -> DataFrame:
+def pca_reconstruct(wide: DataFrame, unit: str, k: int = 10, column_means: bool = False) -> DataFrame:
     """A1: centre each unit's trajectory on its own mean, nulls -> 0, fit PCA with k
-    components over units, reconstruct each unit from its projection (means not added
-    back, as in the reference). Returns long ``unit, date, value, reconstructed``."""
+    components over units, reconstruct each unit from its projection. The date means that PCA
+    takes away are not added back, as in the reference, unless ``column_means``. Returns long ``unit, date, value, reconstructed``."""
     from pyspark.ml.feature import PCA, VectorAssembler
     dates = [c for c in wide.columns if c != unit]
     row_mean = sum(F.coalesce(F.col(f"`{d}`"), F.lit(0.0)) for d in dates) / F.greatest(
@@ -93,7 +122,7 @@ def pca_reconstruct(wide: DataFrame, unit: str, k: int = 10) -> DataFrame:
     def recon(batches):
         for pdf in batches:
             m = pdf[cols].to_numpy(dtype=float)
-            r = ((m - colmean) @ pc) @ pc.T
+            r = ((m - colmean) @ pc) @ pc.T + (colmean if column_means else 0.0)
             n = len(pdf)
             yield pd.DataFrame({unit: np.repeat(pdf[unit].to_numpy(), len(dates)),
                                 "date": np.tile(np.array(dates, dtype=object), n),

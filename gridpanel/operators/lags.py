@@ -20,7 +20,9 @@ from ..sources.tables import drop_null_rows, fill_numeric_nulls
 
 def shifted_history(history: DataFrame, value: str = "target", days=(2, 7),
                     key=PANEL_KEY) -> DataFrame:
-    """One row per key hour *receiving* the lags: ``<value>_<d>d_ago`` columns."""
+    """One row per key hour *receiving* the lags: ``<value>_<d>d_ago`` columns.
+
+    Where the history holds a key hour more than once, its largest value counts."""
     *ids, ts = key
     exploded = (history.select(*ids, ts, value)
                 .select(*ids, value, F.explode(F.array(*[F.lit(d) for d in days])).alias("_lag"),

@@ -37,7 +37,8 @@ def with_reveal_block(truth: DataFrame, delay_blocks: int = 2) -> DataFrame:
 def visible_lags(rows: DataFrame, truth: DataFrame, days=(2, 7), value: str = "target",
                  key=PANEL_KEY, block: str = "data_block_id") -> DataFrame:
     """T2 lag features as seen by the block loop: the value ``d`` days earlier
-    counts only if it was revealed in a block not after the row's own block.
+    counts only if it was revealed in a block not after the row's own block. A
+    truth hour revealed more than once counts as it was first revealed.
 
     One shuffle of the (exploded) truth and one of the rows, on the full key."""
     *ids, ts = key
@@ -46,11 +47,10 @@ def visible_lags(rows: DataFrame, truth: DataFrame, days=(2, 7), value: str = "t
                   F.col(ts).alias("_ts"))
           .select(*ids, value, "revealed_block", "_lag", (F.col("_ts") + F.make_dt_interval(F.col("_lag"))).alias(ts)))
     agg = ex.groupBy(*ids, ts).agg(
-        *[F.max(F.when(F.col("_lag") == d, F.col(value))).alias(f"{value}_{d}d_ago") for d in days],
-        *[F.max(F.when(F.col("_lag") == d, F.col("revealed_block"))).alias(f"_rev{d}") for d in days])
+        *[F.min(F.when(F.col("_lag") == d, F.struct("revealed_block", value))).alias(f"_seen{d}") for d in days])
     j = rows.join(agg, list(key), "left")
-    return j.withColumns({f"{value}_{d}d_ago": F.when(F.col(f"_rev{d}") <= F.col(block), F.col(f"{value}_{d}d_ago"))
-                          for d in days}).drop(*[f"_rev{d}" for d in days])
+    return j.withColumns({f"{value}_{d}d_ago": F.when(F.col(f"_seen{d}.revealed_block") <= F.col(block), F.col(f"_seen{d}.{value}"))
+                          for d in days}).drop(*[f"_seen{d}" for d in days])
 
 
 def persistence_backtest(test: DataFrame, truth: DataFrame, delay_blocks: int = 2, keep=()) -> DataFrame:

@@ -1,7 +1,7 @@
 """All registered queries (importing the query modules fills the registry)."""
 from __future__ import annotations
 
-from . import (q_assemble, q_calendar, q_enrich, q_history, q_models, q_normalise,  # noqa: F401
+from . import (q_assemble, q_calendar, q_enrich, q_history, q_io, q_models, q_normalise,  # noqa: F401
                q_profiles, q_quality)
 from .registry import REGISTRY
 

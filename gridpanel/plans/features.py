@@ -78,6 +78,17 @@ def regression_features(panel: Panel, fit_start) -> DataFrame:
                   "prediction_datetime", "date_when_predicting")
 
 
+def make_time_features(rows: DataFrame, client: DataFrame, fit_start) -> DataFrame:
+    """A4 (archived): time-only regressors: date process (constant, trend, weekly dummies, Fourier) and time-of-day
+    dummies without 10:00, for rows whose segment has client facts two days earlier; segment columns stay."""
+    a = assemble_client(rows.drop("target"), client, "inference")
+    d = F.to_date("prediction_datetime")
+    a = a.select("*", F.lit(1.0).alias("const"), C.trend(d, fit_start).alias("trend"), *C.weekly_dummies(d, fit_start),
+                 *C.fourier_terms(d), *C.hour_dummies("prediction_datetime"))
+    return a.drop("eic_count", "installed_capacity", "data_block_id", "date", "prediction_datetime", "date_when_predicting",
+                  "currently_scored")
+
+
 def solar_of(spark, rows: DataFrame, ts: str = "prediction_datetime") -> DataFrame:
     """S8 table of the default site over the hours of ``rows`` (bounds from the data, not declared)."""
     return spine.solar_table(spark, *spine.data_bounds(rows, ts))

@@ -1,12 +1,13 @@
 """Queries: history, block backtest, submission, analysis."""
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
+from ..functions import calendar as C
 from ..operators import analysis as A
 from ..operators.enrich import add_solar
+from ..operators.models import fit_grouped_ols
+from ..operators.normalise import apply_unit_max, group_max
 from ..schemas import PANEL_KEY
 from . import backtest as B
 from .features import solar_of
@@ -120,19 +121,73 @@ def a2_acf(spark, sf_dir):
     return rounded(A.acf(t, ["prediction_unit_id", "is_consumption"], "prediction_datetime", "target", 72))
 
 
+def _residuals(spark, sf_dir):
+    """Errors of a linear model per unit and direction on the dense panel."""
+    t = load_panel(spark, sf_dir).dense_target.withColumn("hour", C.hour_of_day("prediction_datetime").cast("double"))
+    keys = ["prediction_unit_id", "is_consumption"]
+    p = fit_grouped_ols(t, ["hour"], "target", keys).predict(t)
+    return p.select(*keys, "prediction_datetime", (F.col("prediction") - F.col("target")).alias("error")), keys
+
+
 @query("a2_pacf_durbin_levinson")
 def a2_pacf(spark, sf_dir):
-    t = load_panel(spark, sf_dir).target
-    keys = ["prediction_unit_id", "is_consumption"]
-    return A.pacf_from_acf(A.acf(t, keys, "prediction_datetime", "target", 72), keys, 72)
+    r, keys = _residuals(spark, sf_dir)
+    return A.pacf_from_acf(A.acf(r, keys, "prediction_datetime", "error", 72), keys, 72)
 
 
-# Declared date domain of the event-derived panels: every event falls in January 2024.
-PANEL_DATES = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(31)]
+@query("a2_residual_pacf_3_lags", """
+WITH m AS (SELECT prediction_unit_id, is_consumption, regr_intercept(target, CAST(hour(prediction_datetime) AS DOUBLE)) AS a,
+                  regr_slope(target, CAST(hour(prediction_datetime) AS DOUBLE)) AS b FROM dtgt GROUP BY 1, 2),
+e AS (SELECT t.prediction_unit_id, t.is_consumption, t.prediction_datetime, a + b * CAST(hour(prediction_datetime) AS DOUBLE) - target AS x
+      FROM dtgt t JOIN m USING (prediction_unit_id, is_consumption)),
+c AS (SELECT prediction_unit_id, is_consumption, prediction_datetime,
+             x - avg(x) OVER (PARTITION BY prediction_unit_id, is_consumption) AS x FROM e),
+d AS (SELECT prediction_unit_id, is_consumption, sum(x * x) AS den FROM c GROUP BY 1, 2),
+l AS (SELECT a.prediction_unit_id, a.is_consumption, date_diff('hour', a.prediction_datetime, b.prediction_datetime) AS lag, sum(a.x * b.x) AS num
+      FROM c a JOIN c b ON a.prediction_unit_id = b.prediction_unit_id AND a.is_consumption = b.is_consumption
+       AND b.prediction_datetime > a.prediction_datetime AND b.prediction_datetime <= a.prediction_datetime + INTERVAL 3 HOUR GROUP BY 1, 2, 3),
+r AS (SELECT d.prediction_unit_id, d.is_consumption,
+             coalesce(max(num / nullif(den, 0)) FILTER (lag = 1), 0) AS r1, coalesce(max(num / nullif(den, 0)) FILTER (lag = 2), 0) AS r2,
+             coalesce(max(num / nullif(den, 0)) FILTER (lag = 3), 0) AS r3
+      FROM d LEFT JOIN l USING (prediction_unit_id, is_consumption) GROUP BY 1, 2),
+p AS (SELECT *, (r2 - r1 * r1) / (1 - r1 * r1) AS p2, r1 * (1 - r2) / (1 - r1 * r1) AS q1 FROM r)
+SELECT prediction_unit_id, is_consumption, CAST(1 AS INTEGER) AS lag, round(r1, 6) AS pacf FROM p
+UNION ALL SELECT prediction_unit_id, is_consumption, CAST(2 AS INTEGER), round(p2, 6) FROM p
+UNION ALL SELECT prediction_unit_id, is_consumption, CAST(3 AS INTEGER), round((r3 - q1 * r2 - p2 * r1) / (1 - q1 * r1 - p2 * r2), 6) FROM p""", ("dtgt",))
+def a2_pacf_3(spark, sf_dir):
+    r, keys = _residuals(spark, sf_dir)
+    return rounded(A.pacf_from_acf(A.acf(r, keys, "prediction_datetime", "error", 3), keys, 3))
+
+
+def _trajectories(spark, sf_dir):
+    """Daily means of unit-max-normalised targets by the day of prediction, one row per unit and direction."""
+    t = load_panel(spark, sf_dir).dense_target
+    keys = ["prediction_unit_id", "is_consumption"]
+    norm = apply_unit_max(t, group_max(t, keys), keys)
+    return A.trajectories(norm, keys, "date_when_predicting", "target", A.date_range(norm, "date_when_predicting"))
 
 
 @query("a1_pca_reconstruction")
 def a1_pca(spark, sf_dir):
-    t = load_panel(spark, sf_dir).target.withColumn("date", F.to_date("prediction_datetime"))
-    wide = A.trajectories(t, "prediction_unit_id", "date", "target", PANEL_DATES)
-    return A.pca_reconstruct(wide, "prediction_unit_id", 10)
+    """Ten components per direction."""
+    wide = _trajectories(spark, sf_dir)
+    parts = [A.pca_reconstruct(wide.filter(F.col("is_consumption") == side).drop("is_consumption"), "prediction_unit_id", 10)
+             .withColumn("is_consumption", F.lit(side)) for side in (False, True)]
+    return parts[0].unionByName(parts[1])
+
+
+@query("a1_pca_all_components", """
+WITH n AS (SELECT t.*, t.target / nullif(max(target) OVER (PARTITION BY prediction_unit_id, is_consumption), 0) AS y FROM dtgt t),
+daily AS (SELECT prediction_unit_id, is_consumption, date_when_predicting AS d, avg(y) AS v FROM n GROUP BY 1, 2, 3),
+m AS (SELECT prediction_unit_id, is_consumption, avg(v) AS m FROM daily GROUP BY 1, 2),
+days AS (SELECT CAST(unnest(generate_series((SELECT min(date_when_predicting) FROM dtgt), (SELECT max(date_when_predicting) FROM dtgt), INTERVAL 1 DAY)) AS DATE) AS d)
+SELECT m.prediction_unit_id, m.is_consumption, CAST(days.d AS VARCHAR) AS date, round(coalesce(v - m, 0), 6) AS value,
+       round(coalesce(v - m, 0), 6) AS reconstructed
+FROM m CROSS JOIN days LEFT JOIN daily USING (prediction_unit_id, is_consumption, d)""", ("dtgt",))
+def a1_pca_all(spark, sf_dir):
+    """With as many components as dates, the reconstruction is the (centred) input."""
+    wide = _trajectories(spark, sf_dir)
+    n = len(wide.columns) - 2
+    parts = [A.pca_reconstruct(wide.filter(F.col("is_consumption") == side).drop("is_consumption"), "prediction_unit_id", n, column_means=True)
+             .withColumn("is_consumption", F.lit(side)) for side in (False, True)]
+    return rounded(parts[0].unionByName(parts[1]))

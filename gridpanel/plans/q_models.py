@@ -292,3 +292,15 @@ def a4_regression(spark, sf_dir):
     fs = p.target.select(F.min(F.to_date("prediction_datetime"))).scalar()
     out = FB.regression_features(p, fs).drop("data_block_id")
     return rounded(out, cols=["installed_capacity"] + C.fourier_names())
+
+
+def _time_features_sql() -> str:
+    base = _a4_sql()
+    return base.replace("round(ln(1 + c.installed_capacity), 6) AS installed_capacity,", "t.county, t.is_business, t.product_type,")
+
+
+@query("a4_make_time_features", _time_features_sql(), ("tgt", "cli"))
+def a4_time(spark, sf_dir):
+    p = load_panel(spark, sf_dir)
+    fs = p.target.select(F.min(F.to_date("prediction_datetime"))).scalar()
+    return rounded(FB.make_time_features(p.target, p.client, fs), cols=C.fourier_names())

@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 from ..functions.tz import local_to_utc
 from ..operators import quality as Q
 from ..operators.fill import fill_missing_hours, neighbour_mean_repair
-from ..sources.tables import clean_target
-from .fixtures import load_panel, raw_target
+from .fixtures import SPLIT, load_panel, split_block
 from .registry import query, rounded
 
 
@@ -119,18 +118,26 @@ def j19_anti(spark, sf_dir):
     return Q.anti_join(p.station_map, p.weather_forecast, ["latitude", "longitude"])
 
 
-@query("u1_u2_union_distinct", """
-SELECT * FROM tgt WHERE data_block_id < 20 UNION SELECT * FROM tgt WHERE data_block_id >= 15""", ("tgt",))
+@query("u1_u2_union_distinct", f"""
+SELECT * FROM tgt WHERE data_block_id < {SPLIT.format('tgt')} UNION SELECT * FROM tgt WHERE data_block_id >= {SPLIT.format('tgt')} - 5""", ("tgt",))
 def u1_u2(spark, sf_dir):
     t = load_panel(spark, sf_dir).target
-    return t.filter("data_block_id < 20").unionByName(t.filter("data_block_id >= 15")).distinct()
+    at = split_block(t)
+    return t.filter(F.col("data_block_id") < at).unionByName(t.filter(F.col("data_block_id") >= at - 5)).distinct()
 
 
 @query("f18_local_to_utc", """
-SELECT row_id, timezone('UTC', timezone('Europe/Warsaw', prediction_datetime)) AS utc_datetime FROM tgt""", ("tgt",))
+WITH s AS (SELECT row_id, prediction_datetime + to_days(CAST(row_id % 366 AS INTEGER)) AS local FROM tgt),
+-- of an hour that occurs twice, the earlier; an hour that is skipped moves to after the gap
+u AS (SELECT row_id, local, timezone('UTC', timezone('Europe/Warsaw', local)) AS utc,
+             timezone('UTC', timezone('Europe/Warsaw', local - INTERVAL 3 HOUR)) + INTERVAL 3 HOUR AS before FROM s)
+SELECT row_id, CASE WHEN timezone('Europe/Warsaw', timezone('UTC', before)) = local THEN before
+                    WHEN timezone('Europe/Warsaw', timezone('UTC', utc)) = local THEN utc ELSE before END AS utc_datetime FROM u""", ("tgt",))
 def f18_utc(spark, sf_dir):
+    """Hours spread over a year, so that rows fall on both clock changes."""
     t = load_panel(spark, sf_dir).target
-    return t.select("row_id", local_to_utc("prediction_datetime", "Europe/Warsaw").alias("utc_datetime"))
+    local = F.col("prediction_datetime") + F.make_dt_interval((F.col("row_id") % 366).cast("int"))
+    return t.select("row_id", local.alias("local")).select("row_id", local_to_utc("local", "Europe/Warsaw").alias("utc_datetime"))
 
 
 @query("f19_o4_fill_missing_hours", """
@@ -158,11 +165,3 @@ SELECT forecast_datetime, round(coalesce(euros_per_mwh, (prv + nxt) / 2), 6) AS
 def q9_repair(spark, sf_dir):
     e = load_panel(spark, sf_dir).electricity_prices
     return rounded(neighbour_mean_repair(e, [], "forecast_datetime", "euros_per_mwh"))
-
-
-@query("p7_drop_null_rows", """
-SELECT row_id, prediction_datetime, target FROM tgt""", ("tgt",))
-def p7_drop_nulls(spark, sf_dir):
-    raw = raw_target(spark, sf_dir)
-    # null out nothing: the panel has no missing target, so the result equals the cleaned target
-    return clean_target(raw).select("row_id", "prediction_datetime", "target")

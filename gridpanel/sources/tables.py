@@ -5,8 +5,6 @@ so Catalyst prunes and pushes filters through it to the scan.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
@@ -127,50 +125,38 @@ def clean_station_map(df: DataFrame) -> DataFrame:
                           "longitude": scaled_coord("longitude")}))
 
 
-@dataclass
-class Tables:
-    """S2 result: cleaned inputs; absent ones stay ``None``."""
-    target: DataFrame | None = None
-    revealed_targets: DataFrame | None = None
-    client: DataFrame | None = None
-    weather_historical: DataFrame | None = None
-    weather_forecast: DataFrame | None = None
-    electricity_prices: DataFrame | None = None
-    gas_prices: DataFrame | None = None
-    sample_prediction: DataFrame | None = None
-    solar: DataFrame | None = None
-
-    def present(self) -> tuple:
-        return tuple(getattr(self, f.name) for f in fields(self) if getattr(self, f.name) is not None)
-
-
-def format_tables(target=None, revealed_targets=None, client=None, weather_historical=None,
-                  weather_forecast=None, electricity_prices=None, gas_prices=None,
-                  sample_prediction=None, solar=None, filter_weather: bool = True,
-                  mode: str = "train") -> Tables:
-    """Type-enforcing load of up to nine tables. Revealed targets are joined to
-    client facts with the train rule (same-day capacity)."""
-    from ..operators.assemble import assemble_client
-    t = Tables()
-    if target is not None:
-        t.target = clean_target(target)
-    if client is not None:
-        t.client = clean_client(client)
-    if weather_historical is not None:
-        t.weather_historical = clean_weather_historical(weather_historical, filter_weather)
-    if weather_forecast is not None:
-        t.weather_forecast = clean_weather_forecast(weather_forecast, filter_weather)
-    if electricity_prices is not None:
-        t.electricity_prices = clean_electricity(electricity_prices)
-    if gas_prices is not None:
-        t.gas_prices = clean_gas(gas_prices)
-    if solar is not None:
-        t.solar = clean_solar(solar)
-    t.sample_prediction = sample_prediction
-    if revealed_targets is not None:
-        rt = clean_target(revealed_targets)
-        t.revealed_targets = assemble_client(rt, t.client, "train") if t.client is not None else rt
-    return t
+def clean_test(df: DataFrame) -> DataFrame:
+    """Rows to predict: like the target table, without its value."""
+    return clean_target(df, drop_missing=False)
+
+
+CLEANERS = {"target": clean_target, "test": clean_test, "revealed_targets": clean_target, "client": clean_client,
+            "weather_historical": clean_weather_historical, "weather_forecast": clean_weather_forecast,
+            "electricity_prices": clean_electricity, "gas_prices": clean_gas, "solar": clean_solar,
+            "station_to_county": clean_station_map, "sample_submission": lambda df: df}
+
+
+def load_tables(raw: dict, assemble: bool = False) -> dict:
+    """The tables of ``raw`` (name -> frame), each cleaned by its own rule.
+
+    Revealed targets get the client facts of their own day. ``assemble`` adds
+    ``train`` (facts of the same day) from ``target`` and ``scoring`` (facts
+    known two days earlier) from ``test``, each also split by direction as
+    ``<name>_production`` and ``<name>_consumption``. An unknown name is an error."""
+    from ..operators.assemble import assemble_client, split_by_direction
+    unknown = set(raw) - set(CLEANERS)
+    if unknown:
+        raise KeyError(f"no rule for {sorted(unknown)}")
+    out = {name: CLEANERS[name](df) for name, df in raw.items()}
+    if "client" in out:
+        if "revealed_targets" in out:
+            out["revealed_targets"] = assemble_client(out["revealed_targets"], out["client"], "train")
+        if assemble:
+            for name, source, mode in (("train", "target", "train"), ("scoring", "test", "inference")):
+                if source in out:
+                    out[name] = assemble_client(out[source], out["client"], mode)
+                    out[f"{name}_production"], out[f"{name}_consumption"] = split_by_direction(out[name])
+    return out
 
 
 def lag_date(ts, days: int = 2):

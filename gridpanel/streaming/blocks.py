@@ -1,10 +1,8 @@
 """Structured Streaming forms of history, block replay and live lags.
 
-- ``run_block_stream``: one file-source micro-batch per data block
-  (``maxFilesPerTrigger=1``, ``availableNow``); ``foreachBatch`` merges the
-  block's revealed truth into a history table under the checkpoint folder (T1,
-  idempotent on replay because only rows newer than the mark are appended),
-  scores the block's rows from that history and appends to the submission sink.
+- ``run_block_stream``: file-source micro-batches of block rows; ``foreachBatch``
+  stores newly revealed truth and the scores of each epoch in folders of that
+  epoch, which a repeated batch overwrites.
 - ``stream_lag_join``: stream-stream left outer join on the exact lagged hour,
   with watermarks on both sides (T3).
 - ``enrich_stream``: stream-static joins (T5).
@@ -14,7 +12,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.lags import add_lags
+from ..plans.backtest import visible_lags
 from ..schemas import PANEL_KEY
 from ..sources.tables import fill_numeric_nulls
 
@@ -24,35 +22,63 @@ def block_source(spark: SparkSession, path: str, schema, files_per_trigger: int
             .parquet(path))
 
 
-def merge_into_history(spark: SparkSession, history_path: str, new: DataFrame,
-                       key=PANEL_KEY, value: str = "target") -> None:
-    """T1 on a stored table: append rows strictly newer than the stored mark."""
-    *_, ts = key
-    rows = new.select(*key, value)
+def _epochs(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """The epochs written under ``path`` (up to ``before``), or None if there are none."""
     try:
-        hist = spark.read.parquet(history_path)
-        rows = rows.filter(F.col(ts) > hist.select(F.max(ts)).scalar())
-    except AnalysisException:   # first block: nothing stored yet
-        pass
-    rows.distinct().write.mode("append").parquet(history_path)
+        found = spark.read.parquet(path)
+    except AnalysisException:
+        return None
+    return found if before is None else found.filter(F.col("epoch") < before)
+
+
+def score_batch(batch: DataFrame, epoch: int, revealed: DataFrame, history_path: str, out_path: str, days=(2,), score=None,
+                key=PANEL_KEY, value: str = "target") -> None:
+    """One micro-batch of the block replay (T1 + T2).
+
+    Truth revealed up to the batch's last block and not stored by an earlier
+    epoch becomes ``history_path/epoch=N``, by day; the batch is scored from
+    the stored days its lags fall on, a row seeing only truth revealed by its
+    own block; the result becomes ``out_path/epoch=N``. Both folders are
+    overwritten, so a batch that runs again after a failure leaves its rows
+    once. Blocks of one file, blocks over several files and blocks without
+    test rows come out alike, as visibility goes by block and not by batch."""
+    spark = batch.sparkSession
+    *ids, ts = key
+    span = batch.agg(F.max("data_block_id").alias("last"), F.min(F.to_date(ts)).alias("a"), F.max(F.to_date(ts)).alias("b")).first()
+    if span["last"] is None:
+        return
+    stored = _epochs(spark, history_path, epoch) if epoch else None
+    known = stored.agg(F.max("revealed_block")).first()[0] if stored is not None else None
+    block = F.col("data_block_id")
+    fresh = revealed.filter(block <= span["last"] if known is None else (block <= span["last"]) & (block > known))
+    (fresh.select(*key, value, block.alias("revealed_block"), F.to_date(ts).alias("day"))
+     .write.mode("overwrite").partitionBy("day").parquet(f"{history_path.rstrip('/')}/epoch={epoch}"))
+    history = _epochs(spark, history_path, epoch + 1)
+    needed = None
+    for d in days:
+        near = (F.col("day") >= F.date_sub(F.lit(span["a"]), d)) & (F.col("day") <= F.date_sub(F.lit(span["b"]), d))
+        needed = near if needed is None else needed | near
+    lagged = visible_lags(batch, history.filter(needed), days, value, key)
+    scored = score(fill_numeric_nulls(lagged)) if score else lagged.withColumn("prediction", F.col(f"{value}_{days[0]}d_ago"))
+    out = fill_numeric_nulls(scored.select("row_id", "data_block_id", "prediction"), cols=["prediction"])
+    out.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/epoch={epoch}")
 
 
 def run_block_stream(spark: SparkSession, rows_dir: str, revealed_dir: str, rows_schema, revealed_schema,
-                     history_path: str, out_path: str, checkpoint: str, days=(2,)) -> None:
-    """T2 streaming: per block, fold revealed truth into history, score the block
-    with its lags (0 when unknown), append ``row_id, data_block_id, prediction``."""
-
-    def per_block(batch: DataFrame, epoch_id: int) -> None:
-        blocks = batch.select("data_block_id").distinct()
-        revealed = spark.read.schema(revealed_schema).parquet(revealed_dir).join(blocks, "data_block_id", "left_semi")
-        merge_into_history(spark, history_path, revealed)
-        hist = spark.read.parquet(history_path)
-        scored = add_lags(batch, hist, "target", days, "inference")
-        out = fill_numeric_nulls(scored.select("row_id", "data_block_id",
-                                               F.col(f"target_{days[0]}d_ago").alias("prediction")))
-        out.write.mode("append").parquet(out_path)
-
-    q = (block_source(spark, rows_dir, rows_schema).writeStream.foreachBatch(per_block)
+                     history_path: str, out_path: str, checkpoint: str, days=(2,), score=None,
+                     files_per_trigger: int = 1) -> None:
+    """T2 streaming: blocks arrive as files; each micro-batch is scored by ``score_batch``.
+
+    ``revealed_dir`` holds truth by the block that reveals it, best partitioned
+    by ``data_block_id``. ``score`` maps a frame with lag columns to one with
+    ``prediction`` (a fitted model's ``predict``); without it, the first lag is
+    the prediction."""
+
+    def per_batch(batch: DataFrame, epoch: int) -> None:
+        revealed = spark.read.schema(revealed_schema).parquet(revealed_dir)
+        score_batch(batch, epoch, revealed, history_path, out_path, days, score)
+
+    q = (block_source(spark, rows_dir, rows_schema, files_per_trigger).writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
 
