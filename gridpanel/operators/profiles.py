@@ -102,3 +102,14 @@ def mean_per_date(df: DataFrame, value: str, ts: str) -> DataFrame:
 def distinct_values(df: DataFrame, c: str) -> DataFrame:
     """G15."""
     return df.select(c).distinct()
+
+
+def pivot_series(df: DataFrame, index, units, value: str, fn: str = "count", unit: str = "prediction_unit_id",
+                 direction: str = "is_consumption") -> DataFrame:
+    """One column per (unit, direction), ``<fn>_<unit>_<0|1>``, over declared units: row counts, or an aggregate of
+    a value such as an error. Combinations without rows give null (count: 0)."""
+    labels = [f"{u}_{d}" for u in units for d in (0, 1)]
+    tag = F.concat_ws("_", F.col(unit).cast("string"), F.col(direction).cast("int").cast("string"))
+    wide = df.withColumn("_tag", tag).groupBy(*index).pivot("_tag", labels).agg(getattr(F, fn)(value))
+    cells = [F.coalesce(F.col(f"`{x}`"), F.lit(0)) if fn == "count" else F.col(f"`{x}`") for x in labels]
+    return wide.select(*index, *[c.alias(f"{fn}_{x}") for c, x in zip(cells, labels)])

@@ -8,7 +8,7 @@ from ..operators.assemble import assemble_client
 from ..operators.lags import add_lags
 from ..operators.normalise import normalise_by_capacity
 from ..schemas import PANEL_KEY
-from .fixtures import load_panel
+from .fixtures import DENSE_UNITS, load_panel
 from .registry import query, rounded
 
 _ASM = """asm AS (SELECT t.*, CAST(t.prediction_datetime AS DATE) AS date, c.eic_count, c.installed_capacity,
@@ -177,3 +177,19 @@ def o3_preview(spark, sf_dir):
     t = load_panel(spark, sf_dir).target
     return t.select("row_id", "prediction_unit_id", "prediction_datetime", "target") \
         .orderBy("prediction_datetime", "row_id").limit(5)
+
+
+def _pivot_units_sql() -> str:
+    cells = [(u, d) for u in range(DENSE_UNITS) for d in (0, 1)]
+    count = ", ".join(f"count(*) FILTER (prediction_unit_id = {u} AND is_consumption = {bool(d)}) AS count_{u}_{d}" for u, d in cells)
+    mean = ", ".join(f"round(avg(target) FILTER (prediction_unit_id = {u} AND is_consumption = {bool(d)}), 6) AS avg_{u}_{d}" for u, d in cells)
+    return f"SELECT CAST(prediction_datetime AS DATE) AS date, {count}, {mean} FROM dtgt GROUP BY 1"
+
+
+@query("g8_pivot_units", _pivot_units_sql(), ("dtgt",))
+def g8_units(spark, sf_dir):
+    """Counts and means by unit and direction, one row per day."""
+    t = load_panel(spark, sf_dir).dense_target.withColumn("date", F.to_date("prediction_datetime"))
+    units = range(DENSE_UNITS)
+    counts, means = (G.pivot_series(t, ["date"], units, "target", fn) for fn in ("count", "avg"))
+    return rounded(counts.join(means, "date"))
