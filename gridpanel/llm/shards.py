@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import shared_path
 
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 64 << 20         # text of a bucket on average; its count is one number on the driver
 CELLS_PER_BUCKET = 64
 
 
