@@ -151,10 +151,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     chunked = materialise(
         base.withColumn("len", length).repartitionByRange(-(-size["n"] // CHUNK_ROWS), F.desc("len"), "id", "row")
         .select("id", "v", "row", F.spark_partition_id().alias("chunk")), "chunks")
-    chunks = chunked.select("chunk").distinct()                     # about n / CHUNK_ROWS numbers
+    chunks = chunked.select(F.array_sort(F.collect_set("chunk"))).scalar()              # about n / CHUNK_ROWS numbers
     block = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")
-    asked = (base.filter("q").select("id", "v", "row", block.alias("block"))
-             .join(F.broadcast(chunks.agg(F.collect_list("chunk").alias("chunks"))))
+    asked = (base.filter("q").select("id", "v", "row", block.alias("block"), chunks.alias("chunks"))
              .select("id", "v", "row", "block", F.explode("chunks").alias("chunk")))
     offered = chunked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
