@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import materialise, shared_path
 
 FILE_BYTES = 16 << 20           # payload bytes of an archive file, on average
+MERGE_ROWS = 100_000            # index rows that one task merges in memory
+BROADCAST_ROWS = 200_000        # rows of about 60 bytes that may be broadcast
 TERMINATOR = "\r\n\r\n"
 START_OF_TIME = 1_577_836_800   # 2020-01-01: capture time of id 0, for tables without a capture time
 
@@ -61,11 +63,15 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
     payload = F.coalesce(F.col(payload_col), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"))
     rows = rows.withColumns({"bytes": F.octet_length("payload").cast("long"), "digest": payload_digest(F.col("payload"))})
-    # one row for each payload, combined before the shuffle; a hot payload's rows are split by adaptive execution
+    # one row for each payload that occurs again, combined before the shuffle. Few of them are broadcast, so that
+    # payloads do not move; else a hot payload's rows are split by adaptive execution
     first = (pages.select(F.col(id_col).cast("long").alias("page_id"), payload.alias("payload"))
              .groupBy(payload_digest(F.col("payload")).alias("digest"), F.octet_length("payload").cast("long").alias("bytes"))
              .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("copies"))
              .filter((F.col("copies") > 1) & (F.col("bytes") >= min_bytes)).select("digest", "bytes", "first"))
+    first = materialise(first, "warc-first")
+    if first.count() <= BROADCAST_ROWS:
+        first = F.broadcast(first)
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return (rows.join(first, ["digest", "bytes"], "left")
             .select("page_id", "url", F.when(revisit, F.lit("")).otherwise(F.col("payload")).alias("payload"), "bytes", "digest",
@@ -83,8 +89,9 @@ def capture_time(page_id: Column) -> Column:
     return F.lit(START_OF_TIME) + F.pmod(F.coalesce(page_id, F.lit(0)), F.lit(1_000_000_000))
 
 
-def write(found: DataFrame, path: str, files: int) -> None:
-    """Write the records of ``found`` as about ``files`` WARC files under ``path``."""
+def write(found: DataFrame, path: str, records_per_file: int = 0) -> None:
+    """Write the records of ``found`` as WARC files under ``path``: each task its own, cut at ``records_per_file``
+    (0: not cut). Nothing is shuffled for it."""
     lines = [F.lit("WARC/1.1"), F.concat(F.lit("WARC-Type: "), "type"),
              F.concat(F.lit("WARC-Date: "), F.date_format(F.timestamp_seconds(capture_time(F.col("page_id"))), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
              F.when(F.col("page_id").isNotNull(), F.concat(F.lit("WARC-Record-ID: <urn:page:"), F.col("page_id").cast("string"), F.lit(">"))),
@@ -95,8 +102,8 @@ def write(found: DataFrame, path: str, files: int) -> None:
              F.when(F.col("refers_to").isNotNull(), F.concat(F.lit("WARC-Refers-To: <urn:page:"), F.col("refers_to").cast("string"), F.lit(">"))),
              F.concat(F.lit("Content-Length: "), F.octet_length("payload").cast("string"))]
     record = F.concat(F.concat_ws("\r\n", *lines), F.lit(TERMINATOR), F.col("payload"))
-    (found.repartition(files, F.xxhash64("page_id", "url")).select(record.alias("record"))
-     .write.option("lineSep", TERMINATOR).option("compression", "gzip").text(path))
+    (found.select(record.alias("record")).write.option("lineSep", TERMINATOR).option("compression", "gzip")
+     .option("maxRecordsPerFile", records_per_file).text(path))
 
 
 def parse(data: bytes) -> Iterator[tuple[dict, bytes, int]]:
@@ -231,11 +238,11 @@ def archive_and_index(pages: DataFrame, path: str | None = None, **options) -> D
     spark = pages.sparkSession
     path = path or shared_path(spark, "warc")
     found = records(pages, **options)
-    total = pages.agg(F.coalesce(F.sum(F.octet_length(options.get("payload_col", "html"))), F.lit(0))).first()[0]
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    write(found, path, max(parts, -(-total // FILE_BYTES)))
+    total = pages.agg(F.coalesce(F.sum(F.octet_length(options.get("payload_col", "html")) + 512), F.lit(0)).alias("b"),
+                      F.count(F.lit(1)).alias("n")).first()
+    write(found, path, max(1, FILE_BYTES * total["n"] // max(1, total["b"])))
     runs = materialise(read_runs(spark, path), "warc-runs")
-    return merge_runs(runs, parts)
+    return merge_runs(runs, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total["n"] // MERGE_ROWS)))
 
 
 def digest_query(pages: DataFrame) -> DataFrame:

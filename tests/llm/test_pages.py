@@ -48,7 +48,7 @@ def test_index_is_globally_ordered(spark):
 
 
 def test_written_archives_are_valid(spark, tmp_path):
-    warc.write(warc.records(pages(spark, ROWS)), str(tmp_path / "w"), 2)
+    warc.write(warc.records(pages(spark, ROWS)), str(tmp_path / "w"), 4)
     seen = []
     for f in (tmp_path / "w").glob("part-*"):
         for head, block, _ in warc.parse(zlib.decompress(f.read_bytes(), 31)):
