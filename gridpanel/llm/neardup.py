@@ -11,10 +11,12 @@
    by sampled splitters of the whole order, so a region of any size is
    spread over tasks. Each task keeps a spanning forest of its candidates, as
    only their connected groups matter.
-3. ``confirm``: a candidate group is dealt into blocks of ``BLOCK`` classes, and every
-   two blocks meet in a task that compares full sets, all of one with all
-   of the other, by products of membership matrices. Each task returns a
-   spanning forest of its links, never the pairs.
+3. ``confirm``: a candidate group is dealt into blocks of ``BLOCK`` classes, and two
+   blocks meet in a task that compares full sets, all of one with all of the
+   other, by products of membership matrices. Each task returns a spanning
+   forest of its links, never the pairs. In groups of many blocks, classes
+   that a first round has joined to the group's main part need no comparison
+   with one another.
 4. ``components``: smallest label of linked classes, by rounds of neighbour
    minimum and pointer jumping.
 
@@ -295,29 +297,27 @@ def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent:
     return left[i], right[j]
 
 
-def confirm(df: DataFrame, candidates: DataFrame, classes: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
-    """``(a, b)``: edges that connect all classes linked within a candidate group, from full sets."""
-    sized = candidates.join(classes.select("rep", "n"), candidates["node"] == F.col("rep")).select("rep", "comp", "n")
-    groups = sized.groupBy("comp").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
-    blocks = F.ceil(F.greatest(F.col("members") / BLOCK, F.col("shingles") / BLOCK_SHINGLES))
-    members = materialise(sized.join(groups.select("comp", blocks.alias("nb")), "comp").select("rep", "comp", "nb"), "members")
-    small = members.count() <= BROADCAST_ROWS
+def _sets_of(df: DataFrame, members: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """``members`` (rep and other columns) with ``s``, the shingle set of each from its whole text."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-    texts = rows.join(F.broadcast(members) if small else members, F.col("id") == F.col("rep")).select("rep", "comp", "nb", "t")
+    small, names = members.count() <= BROADCAST_ROWS, members.columns
+    texts = rows.join(F.broadcast(members) if small else members, F.col("id") == F.col("rep")).select(*names, "t")
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(k)
         for batch in batches:
             for part in slices(batch, "t", CHUNK):
                 sets = shingler.sets(part.column("t").cast(pa.binary()).to_pylist())
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in ("rep", "comp", "nb")],
-                                                  pa.array([s.tobytes() for s in sets], pa.binary())], names=["rep", "comp", "nb", "s"])
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names],
+                                                  pa.array([s.tobytes() for s in sets], pa.binary())], names=[*names, "s"])
+
+    return texts.mapInArrow(to_sets, ", ".join(f"{c} {t}" for c, t in members.dtypes) + ", s binary")
 
-    sets = texts.mapInArrow(to_sets, "rep long, comp long, nb long, s binary")
-    own = F.pmod(F.xxhash64("rep"), F.col("nb"))
-    met = (sets.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
-           .select("rep", "comp", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "s"))
 
+def _compare(met: DataFrame, percent: int) -> DataFrame:
+    """``(a, b)``: a spanning forest of the links between block ``x`` and block ``y`` of each group.
+
+    ``met``: rep, comp, own (the member's block), x, y, s."""
     def compare(table: pa.Table) -> pa.Table:
         reps, own = table.column("rep").to_numpy(), table.column("own").to_numpy()
         x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
@@ -331,6 +331,51 @@ def confirm(df: DataFrame, candidates: DataFrame, classes: DataFrame, id_col: st
     return met.groupBy("comp", "x", "y").applyInArrow(compare, "a long, b long")
 
 
+def _blocks(members: str, shingles: str) -> F.Column:
+    return F.ceil(F.greatest(F.col(members) / BLOCK, F.col(shingles) / BLOCK_SHINGLES)).cast("long")
+
+
+def confirm(df: DataFrame, candidates: DataFrame, classes: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """``(a, b)``: edges that connect all classes linked within a candidate group, from full sets.
+
+    Groups of one block are compared at once. In larger ones every block first
+    meets itself and block 0; the part of the group that this joins is
+    settled, and the rest is then compared with all, so that the work is
+    group size times unsettled classes, not its square."""
+    sized = candidates.join(classes.select("rep", "n"), candidates["node"] == F.col("rep")).select("rep", "comp", "n")
+    groups = sized.groupBy("comp").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
+    members = materialise(sized.join(groups.select("comp", _blocks("members", "shingles").alias("nb")), "comp")
+                          .select("rep", "comp", "n", "nb", F.pmod(F.xxhash64("rep"), F.col("nb")).alias("own")), "members")
+    sets = _sets_of(df, members.select("rep", "comp", "nb", "own"), id_col, text_col, k)
+    # block b as (b, b) and (0, b); block 0 as (0, 0) and with every other
+    zero = F.lit(0).cast("long")
+    pair = lambda x, y: F.struct(x.alias("x"), y.alias("y"))                                      # noqa: E731
+    others = F.when(F.col("nb") > 1, F.transform(F.sequence(F.lit(1).cast("long"), F.greatest("nb", F.lit(2)) - 1), lambda j: pair(zero, j)))
+    meetings = F.when(F.col("own") == 0, F.concat(F.array(pair(zero, zero)), F.coalesce(others, F.array().cast("array<struct<x:bigint,y:bigint>>")))) \
+        .otherwise(F.array(pair(F.col("own"), F.col("own")), pair(zero, F.col("own"))))
+    first = _compare(sets.select("rep", "comp", "own", "s", F.explode(meetings).alias("m")).select("rep", "comp", "own", "m.x", "m.y", "s"), percent)
+    large = members.filter("nb > 1")
+    if large.isEmpty():
+        return first
+    labels = components(first, "first-links")
+    named = materialise(large.join(labels.select(F.col("node").alias("rep"), F.col("comp").alias("part")), "rep", "left")
+                        .select("rep", "comp", "n", F.coalesce("part", "rep").alias("part")), "parts")
+    most = (named.groupBy("comp", "part").count().groupBy("comp").agg(F.max_by("part", F.struct("count", "part")).alias("main")))
+    rest = named.join(most, "comp").select("rep", "comp", "n", (F.col("part") == F.col("main")).alias("settled"))
+    counts = rest.groupBy("comp").agg(*[f(F.when(c, v).otherwise(0)).alias(name) for name, f, c, v in (
+        ("nu", F.sum, ~F.col("settled"), F.lit(1)), ("su", F.sum, ~F.col("settled"), F.col("n")),
+        ("ns", F.sum, F.col("settled"), F.lit(1)), ("ss", F.sum, F.col("settled"), F.col("n")))])
+    counts = counts.select("comp", _blocks("nu", "su").alias("bu"), _blocks("ns", "ss").alias("bs")).filter("bu > 0")
+    # unsettled blocks 0 .. bu - 1 meet all blocks, settled ones only these
+    dealt = rest.join(counts, "comp").select("rep", "comp", "settled", "bu", "bs", F.when(
+        F.col("settled"), F.col("bu") + F.pmod(F.xxhash64("rep"), F.greatest("bs", F.lit(1)))).otherwise(F.pmod(F.xxhash64("rep"), F.col("bu"))).alias("own"))
+    again = _sets_of(df, materialise(dealt, "unsettled"), id_col, text_col, k)
+    other = F.explode(F.sequence(zero, F.when(F.col("settled"), F.col("bu")).otherwise(F.col("bu") + F.col("bs")) - 1))
+    met = again.withColumn("other", other).select("rep", "comp", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "s")
+    known = labels.filter(F.col("node") != F.col("comp")).select(F.col("comp").alias("a"), F.col("node").alias("b"))
+    return known.unionAll(_compare(met, percent))
+
+
 def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n, comp)`` of every row: set size, and the smallest id that links reach (its own without any).
 
