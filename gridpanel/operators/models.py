@@ -382,6 +382,7 @@ class ForestModel:
 
 
 MAX_DEPTH = 30              # the deepest tree that Spark grows
+FOREST_MEMORY_MB = 96       # node histograms that a task holds at once
 
 
 def fit_forest(df: DataFrame, features, target: str, num_trees: int = 200, max_samples: int | None = None,
@@ -390,12 +391,10 @@ def fit_forest(df: DataFrame, features, target: str, num_trees: int = 200, max_s
     where the caller asks for that (``subsamplingRate = min(1, max_samples / n)``)."""
     from pyspark.ml.regression import RandomForestRegressor
     train = _training_frame(df, [F.col(f"`{c}`") for c in features], target, "_f")
-    rate = 1.0
-    if max_samples is not None:
-        rate = min(1.0, max_samples / max(1, train.count()))
+    rate = 1.0 if max_samples is None else min(1.0, max_samples / max(1, train.count()))
     rf = RandomForestRegressor(featuresCol="_features", labelCol=target, predictionCol="_rf",
                                numTrees=num_trees, subsamplingRate=rate, maxDepth=max_depth, seed=seed,
-                               featureSubsetStrategy="all", maxMemoryInMB=1024, checkpointInterval=10)
+                               featureSubsetStrategy="all", maxMemoryInMB=FOREST_MEMORY_MB)
     return ForestModel(list(features), rf.fit(train))
 
 
