@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import models as M
 from ..operators.normalise import denormalise_by_capacity
+from ..session import cut_lineage
 from . import backtest as B
 from . import features as FB
 from .fixtures import Panel, split_block
@@ -45,8 +46,9 @@ class Pipeline:
 
     def two_stage(self, fit_first, fit_second) -> DataFrame:
         """Second stage on the first one's residuals, with prices and county weather."""
-        first = fit_first(self.features("train"))
-        second = fit_second(FB.forest_stage_features(first.predict(self.features("train")), self.panel))
+        train = cut_lineage(self.features("train"))          # fitted on, and scored for the second stage
+        first = fit_first(train)
+        second = fit_second(FB.forest_stage_features(first.predict(train), self.panel))
         scored = second.predict(FB.forest_stage_features(first.predict(self.features("inference")), self.panel))
         return self.submission(self.in_target_units(scored))
 
