@@ -382,7 +382,8 @@ class ForestModel:
 
 
 MAX_DEPTH = 30              # the deepest tree that Spark grows
-FOREST_MEMORY_MB = 96       # node histograms that a task holds at once
+FOREST_MEMORY_MB = 256      # node histograms that a task holds at once
+FOREST_TASK_ROWS = 500      # rows worth a task of their own
 
 
 def fit_forest(df: DataFrame, features, target: str, num_trees: int = 200, max_samples: int | None = None,
@@ -391,7 +392,12 @@ def fit_forest(df: DataFrame, features, target: str, num_trees: int = 200, max_s
     where the caller asks for that (``subsamplingRate = min(1, max_samples / n)``)."""
     from pyspark.ml.regression import RandomForestRegressor
     train = _training_frame(df, [F.col(f"`{c}`") for c in features], target, "_f")
-    rate = 1.0 if max_samples is None else min(1.0, max_samples / max(1, train.count()))
+    n = train.count()
+    rate = 1.0 if max_samples is None else min(1.0, max_samples / max(1, n))
+    # a stored frame of few files would train in few tasks
+    tasks = min(df.sparkSession.sparkContext.defaultParallelism, -(-n // FOREST_TASK_ROWS))
+    if train.rdd.getNumPartitions() < tasks:
+        train = train.repartition(tasks)
     rf = RandomForestRegressor(featuresCol="_features", labelCol=target, predictionCol="_rf",
                                numTrees=num_trees, subsamplingRate=rate, maxDepth=max_depth, seed=seed,
                                featureSubsetStrategy="all", maxMemoryInMB=FOREST_MEMORY_MB)
