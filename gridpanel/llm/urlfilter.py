@@ -5,7 +5,7 @@ links in the pages and, by default, from every host to its parent domain.
 Trust is personalised PageRank from hosts with allowed pages; distrust is the
 same walk over reversed edges from hosts with blocked pages, so a host that
 links to blocked hosts is distrusted. Both run in one loop over a common
-edge table, whose direction is part of its key.
+edge table, whose direction is part of its key, until the scores converge.
 
 Scores are whole numbers of ``UNIT`` (contributions are divided without
 remainder), so sums do not depend on the order of rows, and a host's verdict
@@ -20,9 +20,12 @@ from .common import materialise
 
 # fixed values: kind, host, path prefix
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
-ROUNDS = 8
+ROUNDS = 8              # of the oracle's SQL only
 UNIT = 1_000_000_000
 DAMPING = 85            # hundredths of a score that go along edges
+STEPS = 4               # rounds between two looks at the change
+TOLERANCE = 1e-9        # share of its score by which a host may still have changed in the last STEPS rounds
+LIMIT = 2000            # rounds after which the walk gives up with an error
 
 
 def lower_ascii(c: Column) -> Column:
@@ -73,27 +76,43 @@ def host_edges(pages: DataFrame, parents: bool = True) -> DataFrame:
             .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w")))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """``(kind, host, score)`` after ``rounds`` steps. ``edges``: kind, src, dst, w; ``seeds``: kind, host, base.
+def propagate(edges: DataFrame, seeds: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """``(kind, host, score)`` of the converged walk. ``edges``: kind, src, dst, w; ``seeds``: kind, host, base.
+
+    The walk starts from the seeds' own part, so scores only grow. It ends when no score has grown by more than
+    ``TOLERANCE`` of itself in ``STEPS`` rounds; a host reached in them has grown by all of its score, so every host
+    that the edges reach has one, however far. After ``limit`` rounds it raises an error.
 
     Each step shuffles rank rows and edge sums by host; the edge table is
     read back from the shared folder, already with its out-weight."""
     out = edges.groupBy("kind", "src").agg(F.sum("w").alias("total"))
     weighted = materialise(edges.join(out, ["kind", "src"]), "host-edges")
     seeds = materialise(seeds, "host-seeds")
-    ranks = seeds.select("kind", "host", F.col("base").alias("score"))
-    for i in range(rounds):
+    stay = seeds.select("kind", "host", F.expr(f"base * {100 - DAMPING} div 100").alias("s"))
+    ranks = before = stay.withColumnRenamed("s", "score")
+    for i in range(1, limit + 1):
         moved = (weighted.join(ranks.withColumnRenamed("host", "src"), ["kind", "src"])
                  .select("kind", F.col("dst").alias("host"), F.expr("cast(score as decimal(19, 0)) * cast(w as decimal(19, 0)) div total").alias("s")))
-        stay = seeds.select("kind", "host", F.expr(f"base * {100 - DAMPING} div 100").alias("s"))
         ranks = (moved.groupBy("kind", "host").agg(F.expr(f"sum(s) * {DAMPING} div 100").alias("s")).unionAll(stay)
                  .groupBy("kind", "host").agg(F.sum("s").alias("score")))
-        if i % 4 == 3 and i + 1 < rounds:
+        if i % STEPS == 0:
             ranks = materialise(ranks, "host-ranks")
-    return ranks
+            if not _grown(before, ranks):
+                return ranks
+            before = ranks
+    raise RuntimeError(f"host scores still change after {limit} rounds")
+
+
+def _grown(before: DataFrame, after: DataFrame) -> int:
+    """How many hosts' scores have grown by more than ``TOLERANCE`` of what they are after."""
+    zero = F.lit(0.0)
+    both = after.select("kind", "host", F.col("score").cast("double").alias("new"), zero.alias("old")).unionAll(
+        before.select("kind", "host", zero.alias("new"), F.col("score").cast("double").alias("old")))
+    sums = both.groupBy("kind", "host").agg(F.sum("new").alias("new"), F.sum("old").alias("old"))
+    return sums.filter(F.col("new") - F.col("old") > TOLERANCE * F.col("new")).count()
 
 
-def judge(pages: DataFrame, rules=RULES, rounds: int = ROUNDS) -> DataFrame:
+def judge(pages: DataFrame, rules=RULES, limit: int = LIMIT) -> DataFrame:
     """page_id, host, path, rule, verdict (``allow`` or ``block``) of every row of ``pages``.
 
     A url that is null or has no ``://`` has empty host and path, fits no
@@ -110,7 +129,7 @@ def judge(pages: DataFrame, rules=RULES, rounds: int = ROUNDS) -> DataFrame:
     edges = host_edges(rows)
     both = edges.select(F.lit("allow").alias("kind"), "src", "dst", "w").unionAll(
         edges.select(F.lit("block").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "w"))
-    scores = (propagate(both, seeds, rounds).groupBy(F.col("host").alias("h"))
+    scores = (propagate(both, seeds, limit).groupBy(F.col("host").alias("h"))
               .agg(F.sum(F.when(F.col("kind") == "block", F.col("score")).otherwise(-F.col("score"))).alias("excess")))
     verdict = F.coalesce(F.col("kind"), F.when(F.col("excess") > 0, F.lit("block")).otherwise(F.lit("allow")))
     return (ruled.join(scores, F.col("host") == F.col("h"), "left")

@@ -4,6 +4,7 @@ import hashlib
 import random
 import zlib
 
+import numpy as np
 import pytest
 
 from gridpanel.llm import urlfilter, warc
@@ -115,3 +116,33 @@ def test_edges(spark):
     rows = pages(spark, [(1, "", "<a href=http://b.c.d/x><a href='https://B.C.D'><a href='//e'>")]).selectExpr("'a.b.c.d' as host", "html")
     got = {(r["src"], r["dst"]): r["w"] for r in urlfilter.host_edges(rows).collect()}
     assert got == {("a.b.c.d", "b.c.d"): 3, ("a.b.c.d", "e"): 1, ("b.c.d", "c.d"): 1}
+
+
+def walked(spark, edges, seeds, **kw):
+    """{host: score} of ``(src, dst, w)`` and ``(host, base)``."""
+    e = spark.createDataFrame([("allow", *x) for x in edges], "kind string, src string, dst string, w long")
+    s = spark.createDataFrame([("allow", *x) for x in seeds], "kind string, host string, base long")
+    return {r["host"]: float(r["score"]) for r in urlfilter.propagate(e, s, **kw).collect()}
+
+
+def test_far_hosts_are_reached(spark):
+    link = '<a href="http://{}/">x</a>'
+    rows = [(0, "http://bad.net/", "")] + [(i, f"http://h{i}.io/", link.format(f"h{i - 1}.io" if i > 1 else "bad.net")) for i in range(1, 15)]
+    got = judged(spark, rows)
+    assert {got[i][3] for i in range(15)} == {"block"}
+
+
+def test_scores_converge(spark):
+    """A chain of twelve hosts and a cycle behind it against the solved equations."""
+    hosts = [f"h{i}" for i in range(12)] + ["a", "b", "c"]
+    edges = [(f"h{i}", f"h{i + 1}", 1) for i in range(11)] + [("h11", "a", 2), ("h11", "h3", 1), ("a", "b", 1), ("b", "c", 3), ("b", "a", 1), ("c", "a", 1)]
+    m = np.zeros((len(hosts),) * 2)
+    for s, d, w in edges:
+        m[hosts.index(d), hosts.index(s)] = w / sum(x[2] for x in edges if x[0] == s)
+    base = np.zeros(len(hosts))
+    base[0] = 10**9
+    exact = np.linalg.solve(np.eye(len(hosts)) - 0.85 * m, 0.15 * base)
+    got = walked(spark, edges, [("h0", 10**9)])
+    assert [got[h] for h in hosts] == pytest.approx(exact, rel=1e-6)
+    with pytest.raises(RuntimeError, match="rounds"):
+        walked(spark, edges, [("h0", 10**9)], limit=12)
