@@ -7,10 +7,11 @@ same walk over reversed edges from hosts with blocked pages, so a host that
 links to blocked hosts is distrusted. Both run in one loop over a common
 edge table, whose direction is part of its key, until the scores converge.
 
-Scores are whole numbers of ``UNIT`` (contributions are divided without
-remainder), so sums do not depend on the order of rows, and a host's verdict
-is the same in every run. A host whose distrust is larger than its trust is
-blocked.
+Scores are doubles, shares of the seed pages of a kind, so that neither many
+seed pages nor many links of a host round a score down to 0. A host whose
+distrust is larger than its trust by more than a millionth is blocked. That
+margin lies far above what the order of rows changes in a sum, so equal scores
+allow a host in every run.
 """
 from __future__ import annotations
 
@@ -21,10 +22,11 @@ from .common import materialise
 # fixed values: kind, host, path prefix
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 ROUNDS = 8              # of the oracle's SQL only
-UNIT = 1_000_000_000
+UNIT = 1_000_000_000    # of the oracle's SQL only
 DAMPING = 85            # hundredths of a score that go along edges
 STEPS = 4               # rounds between two looks at the change
 TOLERANCE = 1e-9        # share of its score by which a host may still have changed in the last STEPS rounds
+MARGIN = 1e-6           # share of its trust by which a blocked host's distrust is larger at least
 LIMIT = 2000            # rounds after which the walk gives up with an error
 
 
@@ -76,6 +78,12 @@ def host_edges(pages: DataFrame, parents: bool = True) -> DataFrame:
             .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w")))
 
 
+def seed_shares(pages_of: DataFrame) -> DataFrame:
+    """``(kind, host, base)``: each seed host's share of the pages (``n``) of its kind."""
+    total = pages_of.groupBy("kind").agg(F.sum("n").alias("all"))
+    return pages_of.join(F.broadcast(total), "kind").select("kind", "host", F.expr("n / all").alias("base"))
+
+
 def propagate(edges: DataFrame, seeds: DataFrame, limit: int = LIMIT) -> DataFrame:
     """``(kind, host, score)`` of the converged walk. ``edges``: kind, src, dst, w; ``seeds``: kind, host, base.
 
@@ -88,13 +96,12 @@ def propagate(edges: DataFrame, seeds: DataFrame, limit: int = LIMIT) -> DataFra
     out = edges.groupBy("kind", "src").agg(F.sum("w").alias("total"))
     weighted = materialise(edges.join(out, ["kind", "src"]), "host-edges")
     seeds = materialise(seeds, "host-seeds")
-    stay = seeds.select("kind", "host", F.expr(f"base * {100 - DAMPING} div 100").alias("s"))
+    stay = seeds.select("kind", "host", F.expr(f"cast(base as double) * {100 - DAMPING} / 100").alias("s"))
     ranks = before = stay.withColumnRenamed("s", "score")
     for i in range(1, limit + 1):
         moved = (weighted.join(ranks.withColumnRenamed("host", "src"), ["kind", "src"])
-                 .select("kind", F.col("dst").alias("host"), F.expr("cast(score as decimal(19, 0)) * cast(w as decimal(19, 0)) div total").alias("s")))
-        ranks = (moved.groupBy("kind", "host").agg(F.expr(f"sum(s) * {DAMPING} div 100").alias("s")).unionAll(stay)
-                 .groupBy("kind", "host").agg(F.sum("s").alias("score")))
+                 .select("kind", F.col("dst").alias("host"), F.expr(f"score * {DAMPING}d * w / (100d * total)").alias("s")))
+        ranks = moved.unionAll(stay).groupBy("kind", "host").agg(F.sum("s").alias("score"))
         if i % STEPS == 0:
             ranks = materialise(ranks, "host-ranks")
             if not _grown(before, ranks):
@@ -106,8 +113,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, limit: int = LIMIT) -> DataFra
 def _grown(before: DataFrame, after: DataFrame) -> int:
     """How many hosts' scores have grown by more than ``TOLERANCE`` of what they are after."""
     zero = F.lit(0.0)
-    both = after.select("kind", "host", F.col("score").cast("double").alias("new"), zero.alias("old")).unionAll(
-        before.select("kind", "host", zero.alias("new"), F.col("score").cast("double").alias("old")))
+    both = after.select("kind", "host", F.col("score").alias("new"), zero.alias("old")).unionAll(
+        before.select("kind", "host", zero.alias("new"), F.col("score").alias("old")))
     sums = both.groupBy("kind", "host").agg(F.sum("new").alias("new"), F.sum("old").alias("old"))
     return sums.filter(F.col("new") - F.col("old") > TOLERANCE * F.col("new")).count()
 
@@ -122,16 +129,14 @@ def judge(pages: DataFrame, rules=RULES, limit: int = LIMIT) -> DataFrame:
     rows = pages.select("page_id", "html", host.alias("host"), path.alias("path"))
     text, kind = rule_of(F.col("host"), F.col("path"), rules)
     ruled = rows.select("page_id", "host", "path", text.alias("rule"), kind.alias("kind"))
-    # one row for each seed host, scaled so that the seeds of a kind sum to about UNIT
     pages_of = ruled.filter(F.col("kind").isNotNull() & (F.col("host") != "")).groupBy("kind", "host").agg(F.count(F.lit(1)).alias("n"))
-    total = pages_of.groupBy("kind").agg(F.sum("n").alias("all"))
-    seeds = pages_of.join(F.broadcast(total), "kind").select("kind", "host", F.expr(f"n * {UNIT} div all").alias("base"))
+    seeds = seed_shares(pages_of)
     edges = host_edges(rows)
     both = edges.select(F.lit("allow").alias("kind"), "src", "dst", "w").unionAll(
         edges.select(F.lit("block").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "w"))
     scores = (propagate(both, seeds, limit).groupBy(F.col("host").alias("h"))
-              .agg(F.sum(F.when(F.col("kind") == "block", F.col("score")).otherwise(-F.col("score"))).alias("excess")))
-    verdict = F.coalesce(F.col("kind"), F.when(F.col("excess") > 0, F.lit("block")).otherwise(F.lit("allow")))
+              .agg(*[F.sum(F.when(F.col("kind") == k, F.col("score")).otherwise(0.0)).alias(name) for k, name in (("allow", "trust"), ("block", "distrust"))]))
+    verdict = F.coalesce(F.col("kind"), F.when(F.col("distrust") > F.col("trust") * (1 + MARGIN), F.lit("block")).otherwise(F.lit("allow")))
     return (ruled.join(scores, F.col("host") == F.col("h"), "left")
             .select("page_id", "host", "path", "rule", verdict.alias("verdict")))
 

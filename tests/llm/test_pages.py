@@ -146,3 +146,29 @@ def test_scores_converge(spark):
     assert [got[h] for h in hosts] == pytest.approx(exact, rel=1e-6)
     with pytest.raises(RuntimeError, match="rounds"):
         walked(spark, edges, [("h0", 10**9)], limit=12)
+
+
+def test_hub_among_millions_of_seed_pages(spark):
+    """A host of one blocked page, 10,000 hosts that link to it, and millions of other blocked pages."""
+    pages_of = spark.createDataFrame([("block", "big.net", 3_000_000), ("block", "hub.net", 1)], "kind string, host string, n long")
+    edges = spark.range(10_000).selectExpr("'block' as kind", "'hub.net' as src", "concat('h', id, '.io') as dst", "1L as w")
+    got = {r["host"]: r["score"] for r in urlfilter.propagate(edges, urlfilter.seed_shares(pages_of)).collect()}
+    assert len(got) == 10_002
+    assert got["h7.io"] == pytest.approx(0.15 * 0.85 / 3_000_001 / 10_000)
+    assert sum(got.values()) == pytest.approx(0.15 + 0.15 * 0.85 / 3_000_001)
+
+
+def test_hub_verdicts(spark):
+    """Through the whole query: 40,000 hosts link to one blocked page beside 40,000 other blocked pages."""
+    link = "'<a href=http://hub.net/>'"
+    rows = spark.range(40_000).selectExpr("id as page_id", "concat('http://big.net/', id) as url", "'' as html").unionAll(
+        spark.range(40_000).selectExpr("id + 100000 as page_id", "concat('http://h', id, '.io/') as url", f"{link} as html")).unionAll(
+        spark.range(1).selectExpr("id - 1 as page_id", "'http://hub.net/' as url", "'' as html"))
+    got = {r["verdict"]: r["count"] for r in urlfilter.judge(rows).groupBy("verdict").count().collect()}
+    assert got == {"block": 80_001}
+
+
+def test_equal_scores_allow(spark):
+    link = '<a href="http://{}/">x</a>'
+    rows = [(1, "http://good.org/fr/", link.format("mid.io")), (2, "http://bad.net/", ""), (3, "http://mid.io/", link.format("bad.net"))]
+    assert judged(spark, rows)[3][3] == "allow"
