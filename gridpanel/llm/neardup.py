@@ -9,7 +9,8 @@
    region, classes meet their neighbours of longest common prefix; pairs
    whose signatures agree in ``AGREE`` of the places or more are candidates. Sort ranges are cut
    by sampled splitters of the whole order, so a region of any size is
-   spread over tasks. Each task keeps a spanning forest of its candidates, as
+   spread over tasks; the first and last rows of all ranges are then taken as an order of
+   their own, in which neighbours on both sides of a cut meet. Each task keeps a spanning forest of its candidates, as
    only their connected groups matter.
 3. ``confirm``: a candidate group is dealt into blocks of ``BLOCK`` classes, and two
    blocks meet in a task that compares full sets, all of one with all of the
@@ -38,6 +39,8 @@ from .common import materialise, slices, spread
 
 HASHES, TREES, DEPTH, DEEPEST = 64, 20, 3, 8
 REGION = 32                     # classes of a region at most, before it is taken deeper
+RANGE_ROWS = 4096               # rows of a sort range at least, on average
+ONE_RANGE = 65_536              # rows around cuts that one task takes
 AGREE = 0.5
 BLOCK, BLOCK_SHINGLES = 64, 1 << 20
 COLUMNS = 1 << 14               # shingles of a membership matrix at once
@@ -228,27 +231,55 @@ def region_pairs(keys: np.ndarray, sigs: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def neighbours(classes: DataFrame) -> DataFrame:
     """``(a, b)``: edges that connect all candidate pairs of the forest."""
-    spark = classes.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = forest_rows(classes).repartitionByRange(parts, "key", "rep").sortWithinPartitions("key", "rep")
+    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _order_edges(forest_rows(classes), TREES * classes.count(), parts)
+
+
+def _order_edges(rows: DataFrame, n: int, parts: int) -> DataFrame:
+    """``(a, b)`` of the ``n`` forest rows ``rows``, sorted in at most ``parts`` ranges.
+
+    Each range also returns its first and last ``2 * REGION`` rows. In key order the last ones of a range lie next to the
+    first ones of the next, or, where ranges are shorter, of those after it; they are taken in the same way until one range holds them."""
+    ranges = min(parts, -(-n // RANGE_ROWS))
+    cut = ranges > 1
+    placed = rows.repartitionByRange(ranges, "key", "rep") if cut else rows.repartition(1)
+    seam = 2 * REGION
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["a", "b", "key", "sig"]
+
         def edges(keys, reps, sigs):
             a, b = region_pairs(keys, sigs)
             root = reps[smallest_label(len(reps), a, b)]
             found = root != reps
-            return pa.RecordBatch.from_arrays([pa.array(root[found]), pa.array(reps[found])], names=["a", "b"])
+            none = pa.nulls(int(found.sum()), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(root[found]), pa.array(reps[found]), none, none], names=names)
+
+        def ends(keys, reps, sigs):
+            return pa.RecordBatch.from_arrays([pa.array(reps), pa.array(reps), _fixed(keys), _fixed(sigs)], names=names)
 
-        held = None
+        held, first, last = None, 0, 0                  # rows returned of the start, rows after them
         for batch in batches:
             for lo in range(0, batch.num_rows, 20_000):
                 part = batch.slice(lo, 20_000)
                 new = (_rows_of(part.column("key"), 1 + 4 * DEEPEST), part.column("rep").to_numpy(), _rows_of(part.column("sig"), HASHES))
                 # the last rows before stay in view, so that regions go on over the seam
-                held = new if held is None else tuple(np.concatenate([x[-2 * REGION:], y]) for x, y in zip(held, new))
+                held = new if held is None else tuple(np.concatenate([x[-seam:], y]) for x, y in zip(held, new))
                 yield edges(*held)
-
-    return ordered.mapInArrow(run, "a long, b long")
+                start = min(seam - first, part.num_rows)
+                first, last = first + start, last + part.num_rows - start
+                if cut and start:
+                    yield ends(*(x[:start] for x in new))
+        if cut and last:
+            yield ends(*(x[-min(seam, last):] for x in held))
+
+    found = materialise(placed.sortWithinPartitions("key", "rep").mapInArrow(run, "a long, b long, key binary, sig binary"), "forest")
+    within = found.filter("key is null").select("a", "b")
+    if not cut:
+        return within
+    around = found.filter("key is not null").select("key", F.col("a").alias("rep"), "sig")
+    left = around.count()
+    return within.unionAll(_order_edges(around, left, parts if left > ONE_RANGE else 1))
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:

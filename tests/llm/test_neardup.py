@@ -118,3 +118,46 @@ def test_components_of_a_long_chain(spark):
     got = {r["node"]: r["comp"] for r in neardup.components(edges, "chain").collect()}
     assert got == {**{i: 0 for i in range(201)}, 500: 500, 501: 500}
     assert neardup.components(edges.filter("a < 0"), "none").count() == 0
+
+
+def classes_of(docs, rows):
+    sketch = neardup.sketch(docs(rows), "doc_id", "text", 4)
+    return sketch.filter("hi is not null").selectExpr("id as rep", "sig").cache()
+
+
+def groups(frame):
+    edges = [(r["a"], r["b"]) for r in frame.collect()]
+    n = 1 + max(max(e) for e in edges)
+    return neardup.smallest_label(n, np.array([e[0] for e in edges]), np.array([e[1] for e in edges]))
+
+
+@pytest.fixture
+def many_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_few_classes_over_many_partitions(docs, words, many_partitions):
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(words) for _ in range(100))) for i in range(5)]
+    rows += [(5 + i, text + " more") for i, text in rows]
+    label = groups(neardup.neighbours(classes_of(docs, rows)))
+    assert label.tolist() == [0, 1, 2, 3, 4] * 2
+
+
+@pytest.mark.parametrize("range_rows, one_range", [(8, 65_536), (300, 65_536), (300, 500)])
+def test_cuts_lose_no_pair(docs, words, many_partitions, monkeypatch, range_rows, one_range):
+    """Ranges far shorter than a seam, longer ones, and a second level of cuts, against one range for all rows."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(90)]
+    texts += [edited(rng, t.split(), words, 0.04) for t in texts]
+    classes = classes_of(docs, list(enumerate(texts)))
+    monkeypatch.setattr(neardup, "RANGE_ROWS", 10**9)
+    whole = groups(neardup.neighbours(classes))
+    monkeypatch.setattr(neardup, "RANGE_ROWS", range_rows)
+    monkeypatch.setattr(neardup, "ONE_RANGE", one_range)
+    cut = groups(neardup.neighbours(classes))
+    assert (whole != np.arange(len(whole))).sum() > 60
+    assert (cut[whole] == cut[:len(whole)]).all()
