@@ -3,7 +3,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, decontaminate, langid, neardup, secretscan, shards, topk, urlfilter, warc
+from . import (bpe, chat, cluster, decontaminate, langid, neardup, pii, secretscan, shards, topk, urlfilter, warc,
+               whiten)
 from .common import read_table
 
 
@@ -49,8 +50,20 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_digest(read_table(spark, sf_dir, "conversations"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten_digest(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digest(read_table(spark, sf_dir, "documents"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster.cluster(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = (op1_byte_bpe, op2_language_id, op3_secret_scan, op4_top_k, op5_decontamination, op6_near_duplicates,
-           op7_warc, op8_url_filter, op9_shards, op10_chat_format)
+           op7_warc, op8_url_filter, op9_shards, op10_chat_format, op11_whitening, op12_personal_data, op13_centroids)
 
 
 def queries() -> dict:
@@ -60,4 +73,5 @@ def queries() -> dict:
 def oracle_sql() -> dict:
     """DuckDB SQL where it can express the operator; the others are tested against brute force."""
     return {"op3_secret_scan": secretscan.ORACLE, "op4_top_k": topk.ORACLE, "op6_near_duplicates": neardup.ORACLE,
-            "op7_warc": warc.ORACLE, "op8_url_filter": urlfilter.ORACLE}
+            "op7_warc": warc.ORACLE, "op8_url_filter": urlfilter.ORACLE, "op12_personal_data": pii.ORACLE,
+            "op13_centroids": cluster.ORACLE}

@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.01"
 
 def test_all_operators_are_registered():
     names = entry.queries()
-    assert [n.split("_")[0] for n in queries.queries()] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.queries()] == [f"op{i}" for i in range(1, 14)]
     assert set(queries.queries()) | {"pipeline"} <= set(names)
     assert set(queries.oracle_sql()) <= set(entry.oracle_sql())
 
