@@ -1,15 +1,16 @@
 """Data-quality checks.
 
 Every check returns a DataFrame of findings (empty = passes); nothing is
-collected. Completeness is checked by counts, never by materialising a key
-cross product.
+collected. Completeness is checked by counts or presence bitmaps, never by
+materialising a key cross product; gaps are intervals found between rows.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.calendar import epoch_micros, hours_between
+from ..functions.calendar import epoch_micros, hour_floor, hours_between
 from ..sources.spine import spine_between
+from .sizing import checked_broadcast, stored
 
 
 def duplicate_keys(df: DataFrame, keys) -> DataFrame:
@@ -72,6 +73,84 @@ def anti_join(a: DataFrame, b: DataFrame, keys) -> DataFrame:
     return a.join(b.select(*keys).distinct(), list(keys), "left_anti")
 
 
+def gap_intervals(df: DataFrame, ts: str, keys=()) -> DataFrame:
+    """Q2/Q6/J19 as islands and gaps: ``keys..., first_missing, last_missing, n_missing`` of each run of absent hours
+    between a series' first and last, without making its spine.
+
+    One shuffle folds each (series, day) into its sorted hours; a second one
+    orders the days of a series, a row a day, so that each day also sees the
+    last hour before it. Gaps are then found inside that row, at most 24 a day.
+    The work follows the rows present, not the hours that the series spans.
+    Null instants and keys: null instants are left out, null keys are a series."""
+    keys = list(keys)
+    hours = df.filter(F.col(ts).isNotNull()).select(*keys, hour_floor(ts).alias("_h"))
+    days = hours.groupBy(*keys, F.to_date("_h").alias("_day")).agg(F.array_sort(F.collect_set("_h")).alias("_hours"))
+    before = F.lag(F.element_at("_hours", -1)).over(Window.partitionBy(*keys).orderBy("_day"))
+    seen = days.withColumn("_before", before).select(
+        *keys, F.concat(F.array_compact(F.array("_before")), F.col("_hours")).alias("_hours"))
+    steps = F.zip_with(F.slice("_hours", 1, F.size("_hours") - 1), F.slice("_hours", 2, F.size("_hours")),
+                       lambda a, b: F.struct(a.alias("a"), hours_between(a, b).alias("n")))
+    gaps = seen.select(*keys, F.explode(F.filter(steps, lambda s: s["n"] > 1)).alias("_gap"))
+    one, n = F.expr("interval 1 hour"), F.col("_gap.n").cast("int") - 1
+    return gaps.select(*keys, (F.col("_gap.a") + one).alias("first_missing"),
+                       (F.col("_gap.a") + F.make_dt_interval(F.lit(0), n)).alias("last_missing"), n.cast("bigint").alias("n_missing"))
+
+
+def expand_gaps(gaps: DataFrame, ts: str, keys=()) -> DataFrame:
+    """The hours of ``gap_intervals``, one row each."""
+    return gaps.select(*keys, F.explode(F.sequence("first_missing", "last_missing", F.expr("interval 1 hour"))).alias(ts))
+
+
+WORD_BITS = 32_768          # numbers that one bitmap of Spark's bitmap functions holds
+
+
+def numbered_rows(df: DataFrame, name: str = "_id") -> tuple[DataFrame, int]:
+    """``df``'s rows numbered 1, 2, ... without a gap, as a stored table, and their count: each task counts its own
+    rows, and the tasks' counts, added up, say where each begins."""
+    kept, n = stored(df.withColumn("_at", F.monotonically_increasing_id()))
+    task, row = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = kept.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("_n"))
+    begins = counts.select("_task", (F.sum("_n").over(Window.orderBy("_task")) - F.col("_n")).alias("_begin"))     # a row a task
+    out = kept.withColumn("_task", task).join(F.broadcast(begins), "_task")
+    return out.withColumn(name, F.col("_begin") + row + 1).drop("_at", "_task", "_begin"), n
+
+
+def missing_members(df: DataFrame, member_keys, group_keys) -> DataFrame:
+    """Q4 by name: ``group_keys..., member_keys...`` of each member seen anywhere in the table that a group lacks.
+
+    Members are numbered; a group's presence is one bitmap per word of
+    ``WORD_BITS`` numbers, built before and merged after the shuffle
+    (``bitmap_construct_agg``), so a group moves as a few KB and not as its
+    members. Only words that hold fewer bits than there are members are read
+    bit by bit; what is absent there is named by a join on the number. Null
+    members do not count; a group of null members alone lacks them all."""
+    member_keys, group_keys = list(member_keys), list(group_keys)
+    members, n = numbered_rows(df.select(*member_keys).dropna().distinct())
+    members = checked_broadcast(members)
+    words = -(-n // WORD_BITS)
+    present = (df.select(*group_keys, *member_keys).join(members, member_keys, "left")
+               .groupBy(*group_keys, F.bitmap_bucket_number("_id").alias("_word"))
+               .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_id")).alias("_bits")))
+    if words > 1:       # a group that lacks a whole word has no bitmap of it
+        one = present.groupBy(*group_keys).agg(F.map_from_entries(F.collect_list(F.struct(F.coalesce("_word", F.lit(0)), "_bits"))).alias("_m"))
+        present = one.select(*group_keys, F.explode(F.sequence(F.lit(1), F.lit(words))).alias("_word"), "_m") \
+            .select(*group_keys, "_word", F.try_element_at("_m", F.col("_word").cast("bigint")).alias("_bits"))
+    else:               # one word: null members have one of their own, dropped where the group has another
+        present = present.groupBy(*group_keys).agg(F.max_by("_bits", F.coalesce("_word", F.lit(0))).alias("_bits"),
+                                                   F.max("_word").alias("_some")) \
+            .select(*group_keys, F.lit(1).alias("_word"), F.when(F.col("_some").isNotNull(), F.col("_bits")).alias("_bits"))
+    base = (F.col("_word") - 1) * WORD_BITS
+    held = F.least(F.lit(WORD_BITS), F.lit(n) - base)                 # members of the word
+    short = present.filter(F.coalesce(F.bitmap_count("_bits"), F.lit(0)) < held).withColumn("_hex", F.hex("_bits"))
+    # two hexadecimal digits a byte, the high one first
+    digit = lambda p: F.conv(F.substring(F.col("_hex"), (F.floor(p / 8) * 2 + F.when(p % 8 < 4, 2).otherwise(1)).cast("int"), F.lit(1)), 16, 10)     # noqa: E731
+    absent = F.filter(F.sequence(F.lit(0).cast("bigint"), held.cast("bigint") - 1),
+                      lambda p: F.col("_hex").isNull() | (F.getbit(digit(p).cast("int"), (p % 4).cast("int")) == 0))
+    ids = short.select(*group_keys, base.cast("bigint").alias("_base"), F.explode(absent).alias("_p")) \
+        .select(*group_keys, (F.col("_base") + F.col("_p") + 1).alias("_id"))
+    return ids.join(members, "_id").select(*group_keys, *member_keys)
+
+
 def frequency_mode(df: DataFrame, ts: str, keys=()) -> DataFrame:
     """Most common step between consecutive distinct instants, per series.
 

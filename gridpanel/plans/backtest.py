@@ -29,6 +29,16 @@ def update_history(history: DataFrame, new: DataFrame, key=PANEL_KEY, value: str
     return h.unionByName(fresh).distinct()
 
 
+def extend_clustered_history(history: DataFrame, new: DataFrame, key=PANEL_KEY, value: str = "target") -> DataFrame:
+    """T1 with the global mark on a history clustered by the key: its duplicates go bucket by bucket and only the new
+    rows move. New rows are newer than every held one, so the two parts share no row. Same rows as ``update_history``."""
+    *ids, ts = key
+    cols = [*key, value]
+    mark = history.select(F.max(ts)).scalar()
+    fresh = new.select(*cols).filter(F.col(ts) > mark)
+    return history.select(*cols).distinct().unionByName(fresh.distinct())
+
+
 def with_reveal_block(truth: DataFrame, delay_blocks: int = 2) -> DataFrame:
     """Block in which a truth row becomes known (revealed ``delay_blocks`` later)."""
     return truth.withColumn("revealed_block", F.col("data_block_id") + delay_blocks)

@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 from . import (q_assemble, q_calendar, q_enrich, q_history, q_io, q_models, q_normalise,  # noqa: F401
-               q_profiles, q_quality)
+               q_profiles, q_quality, q_streams)
 from .registry import REGISTRY
 
 
