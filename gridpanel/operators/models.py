@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import calendar as C
 from ..session import cut_lineage
@@ -131,27 +131,21 @@ def grouped_grams(df: DataFrame, features, target: str, group_keys=(), intercept
     return whole.select(*group_keys, "n", F.col("_t._v").alias("gram"))
 
 
-def fit_grouped_ols(df: DataFrame, features, target: str, group_keys=(), intercept: bool = True,
-                    rcond: float = 1e-12) -> GroupedOLS:
-    """Ordinary least squares per group (or one global model)."""
-    features, group_keys = list(features), list(group_keys)
-    k = len(features) + (1 if intercept else 0)
-    dim = k + 1                                   # [X y]
-    key_fields = [f for f in df.select(*group_keys).schema.fields]
-
-    summed = grouped_grams(df, features, target, group_keys, intercept)
+def solve_grams(grams: DataFrame, group_keys, k: int, rcond: float = 1e-12) -> DataFrame:
+    """Group keys, ``n``, ``rank`` and ``coef`` of the normal equations in ``gram`` (see ``grouped_grams``; ``k``
+    coefficients): minimum-norm solutions, all groups of a batch at once."""
+    group_keys, dim = list(group_keys), k + 1                                   # [X y]
     iu = np.triu_indices(dim)
 
     def full(tri):
         m = np.zeros((dim, dim))
         m[iu] = tri
         return m + np.triu(m, 1).T
-    coef_schema = T.StructType(key_fields + [
+    coef_schema = T.StructType(list(grams.select(*group_keys).schema.fields) + [
         T.StructField("n", T.LongType()), T.StructField("rank", T.IntegerType()),
         T.StructField("coef", T.ArrayType(T.DoubleType()))])
 
     def solve(batches):
-        # all groups of a batch at once: stacked pseudo-inverses (minimum-norm solutions)
         for pdf in batches:
             if pdf.empty:
                 continue
@@ -168,11 +162,58 @@ def fit_grouped_ols(df: DataFrame, features, target: str, group_keys=(), interce
             out["coef"] = [b.tolist() for b in beta]
             yield out
 
-    coefs = summed.mapInPandas(solve, coef_schema)
+    return grams.select(*group_keys, "n", "gram").mapInPandas(solve, coef_schema)
+
+
+def fit_grouped_ols(df: DataFrame, features, target: str, group_keys=(), intercept: bool = True,
+                    rcond: float = 1e-12) -> GroupedOLS:
+    """Ordinary least squares per group (or one global model)."""
+    features, group_keys = list(features), list(group_keys)
+    k = len(features) + (1 if intercept else 0)
+    coefs = solve_grams(grouped_grams(df, features, target, group_keys, intercept), group_keys, k, rcond)
     terms = (["intercept"] if intercept else []) + features
     return GroupedOLS(group_keys, features, intercept, coefs, terms)
 
 
+def block_grams(df: DataFrame, features, target: str, group_keys, block: str = "data_block_id", intercept: bool = True) -> DataFrame:
+    """``grouped_grams`` by group and block: what walk-forward fits need of the data, once and for all. Store it, and
+    append a block's rows when the block is complete."""
+    return grouped_grams(df, features, target, [*group_keys, block], intercept)
+
+
+def walk_forward_ols(grams: DataFrame, asked: DataFrame, features, group_keys, block: str = "data_block_id", delay_blocks: int = 2,
+                     intercept: bool = True, rcond: float = 1e-12) -> DataFrame:
+    """T2 with M7: for each (group, block) of ``asked``, the least-squares fit on the group's blocks up to ``block -
+    delay_blocks``: ``group_keys..., block, n, rank, coef``. Blocks before the first fit have no row.
+
+    One pass in place of a refit per block: the Gram matrices of a group's
+    blocks are summed as running arrays, element by element over the blocks in
+    order, and each asked block solves the sum it is allowed to see. A group's
+    window holds a row a block. The sums are plain ones: centre columns whose
+    mean is large beside their spread."""
+    features, group_keys = list(features), list(group_keys)
+    k = len(features) + (1 if intercept else 0)
+    cells = (k + 1) * (k + 2) // 2
+    key = [*group_keys, block]
+    # an asked block without truth of its own still gets a place in the order
+    spots = asked.select(*key).distinct().select(*key, F.lit(True).alias("_ask"), F.lit(0).cast("long").alias("n"),
+                                                 F.array_repeat(F.lit(0.0), cells).alias("gram"))
+    known = grams.select(*key, F.lit(False).alias("_ask"), "n", "gram")
+    seen = Window.partitionBy(*group_keys).orderBy(block).rangeBetween(Window.unboundedPreceding, -delay_blocks)
+    total = [F.sum(F.col("gram")[i]).over(seen) for i in range(cells)]
+    running = (known.unionByName(spots).select(*key, "_ask", F.sum("n").over(seen).alias("n"), F.array(*total).alias("gram"))
+               .filter(F.col("_ask") & (F.col("n") > 0)))
+    return solve_grams(running, key, k, rcond)
+
+
+def walk_forward_predict(df: DataFrame, fits: DataFrame, features, group_keys, block: str = "data_block_id",
+                         intercept: bool = True, out: str = "prediction", how: str = "inner") -> DataFrame:
+    """Each row scored by its own group's and block's fit."""
+    key = [*group_keys, block]
+    joined = df.join(fits.select(*key, "coef"), key, how)
+    return joined.withColumn(out, _dot(F.col("coef"), list(features), intercept)).drop("coef")
+
+
 def slice_domain(df: DataFrame, columns, most: int = 10_000) -> dict:
     """Values of each slicing column, in order, from the data; more than ``most`` is an error (they become columns)."""
     out = {}

@@ -2,7 +2,8 @@
 
 All are grouped aggregates with map-side partial aggregation. Exact medians
 run only on bounded groups (a unit's day); ``approx=True`` switches to
-``percentile_approx`` for unbounded ones.
+``percentile_approx``, and ``daily_sketches`` keeps mergeable sketches, for
+unbounded ones.
 """
 from __future__ import annotations
 
@@ -57,6 +58,47 @@ def daily_medians(df: DataFrame, keys=("prediction_unit_id",), cols=("prediction
                  F.avg(tr(cols[-1])).alias(f"mean_{cols[-1]}")))
 
 
+SKETCH_K = 800              # of the KLL sketches: a few KB each
+RANK_ERROR = 0.01           # bound of the error in rank that SKETCH_K keeps (some 0.4 % is expected at 99 % confidence)
+
+
+def daily_sketches(df: DataFrame, keys=("prediction_unit_id",), cols=("target",), ts: str = "prediction_datetime",
+                   k: int = SKETCH_K) -> DataFrame:
+    """G6/G7 for groups without bound: ``keys..., date`` and a mergeable quantile sketch ``<col>_sketch`` of each
+    column's non-null, non-NaN values.
+
+    A sketch is bounded whatever its group's size and is built before the
+    shuffle, so a hot unit or day moves as a few KB per task. Store the result
+    by date: a new day adds its rows, and any span of days is answered from
+    them (``merged_quantiles``) without reading the values again."""
+    values = [F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols]
+    return df.groupBy(*keys, F.to_date(ts).alias("date")).agg(
+        *[F.kll_sketch_agg_double(v, F.lit(k)).alias(f"{c}_sketch") for c, v in zip(cols, values)])
+
+
+def merged_quantiles(sketches: DataFrame, keys=("prediction_unit_id",), cols=("target",), quantiles=(0.5,)) -> DataFrame:
+    """``keys...`` and, of each column, ``<col>_n`` and ``<col>_q`` (an array, one value per quantile), from sketches
+    merged over their days. A group without a value has n 0 and null. Values are members of the group, so with an even
+    count the median is one of the two middle values; ranks are within ``RANK_ERROR`` of those asked for."""
+    merged = sketches.groupBy(*keys).agg(*[F.kll_merge_agg_double(f"{c}_sketch").alias(f"_{c}") for c in cols])
+    out = []
+    for c in cols:
+        n = F.coalesce(F.kll_sketch_get_n_double(f"_{c}"), F.lit(0))
+        out += [n.alias(f"{c}_n"), F.when(n > 0, F.array(*[F.kll_sketch_get_quantile_double(f"_{c}", F.lit(float(q))) for q in quantiles])).alias(f"{c}_q")]
+    return merged.select(*keys, *out)
+
+
+def rank_errors(df: DataFrame, estimates: DataFrame, keys, value: str, estimate: str, quantile: float) -> DataFrame:
+    """``keys..., n, rank_error``: how far an estimated quantile is, in rank, from the exact one. The share of values
+    below the estimate and the share not above it enclose the ranks it stands for; the error is the distance to them."""
+    v, e = F.col(value), F.col(estimate)
+    known = estimates.select(*keys, estimate)
+    shares = (df.filter(v.isNotNull() & ~F.isnan(v)).join(known, list(keys)).groupBy(*keys)
+              .agg(F.count(F.lit(1)).alias("n"), F.avg((v < e).cast("double")).alias("_below"), F.avg((v <= e).cast("double")).alias("_upto")))
+    q = F.lit(float(quantile))
+    return shares.select(*keys, "n", F.greatest(F.lit(0.0), F.col("_below") - q, q - F.col("_upto")).alias("rank_error"))
+
+
 def collapse_repeats(df: DataFrame, keys=("row_id", "prediction_unit_id")) -> DataFrame:
     """Mean of every numeric column over repeated rows of a key."""
     num = [c for c, t in df.dtypes if c not in keys and t in ("double", "float", "int", "bigint")]

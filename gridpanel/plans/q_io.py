@@ -11,7 +11,7 @@ from ..operators.normalise import fill_nan
 from ..schemas import PANEL_KEY
 from ..session import ensure_checkpoint_dir
 from ..sources import sinks
-from ..sources.tables import clean_target, load_tables, read_csv
+from ..sources.tables import clean_target, load_tables, read_csv, read_csv_checked
 from ..streaming import blocks as S
 from .backtest import with_reveal_block
 from .fixtures import SPLIT, load_panel, raw_client, raw_target, split_block
@@ -35,6 +35,27 @@ def s1_csv(spark, sf_dir):
         "row_id", "prediction_unit_id", "is_consumption", "prediction_datetime", "data_block_id", "date_when_predicting", "target")
 
 
+@query("s1_s3_quarantine", """
+SELECT row_id, CASE WHEN row_id % 19 = 0 OR row_id % 23 = 0 THEN 'columns' ELSE
+         concat_ws('+', CASE WHEN row_id % 17 = 0 THEN 'datetime' END, CASE WHEN row_id % 13 = 0 THEN 'target' END) END AS reasons,
+       CASE WHEN row_id % 19 <> 0 AND row_id % 23 <> 0 AND row_id % 17 <> 0 AND row_id % 13 <> 0 AND row_id % 29 <> 0 THEN target END AS target
+FROM tgt""", ("tgt",))
+def s1_quarantine(spark, sf_dir):
+    """The raw target as CSV text with short and long lines, bad dates and bad numbers: every line is good (reasons
+    empty; an empty number is null) or quarantined."""
+    path, raw = _folder(spark, "csv-lines"), raw_target(spark, sf_dir)
+    n = F.col("row_id")
+    when = F.when(n % 17 == 0, "2024-13-45 00:00:00").otherwise(F.date_format("datetime", "yyyy-MM-dd HH:mm:ss"))
+    value = F.when(n % 13 == 0, "n/a").when(n % 29 == 0, "").otherwise(F.col("target").cast("string"))
+    front = [c for c in raw.columns if c not in ("datetime", "data_block_id", "target")]
+    line = F.concat_ws(",", *[F.col(c).cast("string") for c in front], when, F.col("data_block_id").cast("string"),
+                       F.when(n % 19 != 0, value))              # concat_ws leaves a null out: a short line
+    raw.select(F.concat(line, F.when((n % 19 != 0) & (n % 23 == 0), ",more").otherwise("")).alias("value")).write.text(path)
+    good, bad = read_csv_checked(spark, path, "target", header=False)
+    return good.select("row_id", F.lit("").alias("reasons"), "target").unionAll(
+        bad.select(F.split("line", ",")[0].cast("bigint"), F.array_join("reasons", "+"), F.lit(None).cast("double")))
+
+
 @query("s2_load_and_assemble", """
 SELECT t.row_id, t.is_consumption, t.target, c.eic_count, c.installed_capacity, 'train' AS part
 FROM tgt t JOIN cli c ON t.county = c.county AND t.is_business = c.is_business AND t.product_type = c.product_type

@@ -8,6 +8,7 @@ from ..operators import models as M
 from ..operators.assemble import assemble_client
 from ..operators.normalise import apply_unit_max, group_max
 from ..operators.profiles import r_squared
+from ..session import cut_lineage
 from . import features as FB
 from . import pipelines as PL
 from .fixtures import SPLIT, load_panel, split_block
@@ -33,6 +34,21 @@ def m7_per_unit(spark, sf_dir):
                             F.col("coef")[1].alias("slope"), "n"))
 
 
+@query("t2_m7_walk_forward", f"""
+WITH f AS (SELECT row_id, data_block_id, {_HOUR} AS x, regr_intercept(target, {_HOUR}) OVER w AS a, regr_slope(target, {_HOUR}) OVER w AS b, count(*) OVER w AS n,
+                  min({_HOUR}) OVER w < max({_HOUR}) OVER w AS several
+           FROM tgt WINDOW w AS (PARTITION BY prediction_unit_id, is_consumption ORDER BY data_block_id RANGE BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING))
+SELECT row_id, data_block_id, n, round(a + b * x, 6) AS prediction FROM f WHERE several""", ("tgt",))
+def t2_m7_walk(spark, sf_dir):
+    """Every row scored by its unit's model of all blocks known two blocks before, refitted per block in one plan."""
+    keys, features = ["prediction_unit_id", "is_consumption"], ["hour"]
+    t = load_panel(spark, sf_dir).target.withColumn("hour", C.hour_of_day("prediction_datetime").cast("double"))
+    grams = cut_lineage(M.block_grams(t, features, "target", keys))
+    fits = M.walk_forward_ols(grams, t, features, keys).filter(F.col("rank") == 2)
+    scored = M.walk_forward_predict(t, fits, features, keys).join(fits.select(*keys, "data_block_id", "n"), [*keys, "data_block_id"])
+    return rounded(scored.select("row_id", "data_block_id", "n", "prediction"))
+
+
 @query("m14_coefficients_long", f"""
 SELECT prediction_unit_id, is_consumption, 'intercept' AS term, round(regr_intercept(target, {_HOUR}), 6) AS coefficient
 FROM tgt GROUP BY 1, 2 HAVING count(DISTINCT {_HOUR}) >= 2

@@ -8,6 +8,7 @@ from ..operators.assemble import assemble_client
 from ..operators.lags import add_lags
 from ..operators.normalise import normalise_by_capacity
 from ..schemas import PANEL_KEY
+from ..session import cut_lineage
 from .fixtures import DENSE_UNITS, load_panel
 from .registry import query, rounded
 
@@ -110,6 +111,23 @@ def g7_medians_log(spark, sf_dir):
     return rounded(G.daily_medians(_persistence(spark, sf_dir), log_space=True))
 
 
+@query("g6_g7_merged_medians", """
+SELECT 'unit' AS level, prediction_unit_id AS id, count(*) AS n, true AS within_bound FROM tgt GROUP BY 2
+UNION ALL SELECT 'direction', CAST(is_consumption AS INTEGER), count(*), true FROM tgt GROUP BY 2""", ("tgt",))
+def g7_merged(spark, sf_dir):
+    """Medians over all days from sketches kept by day, by unit and by direction; their rank against the exact one."""
+    t = load_panel(spark, sf_dir).target
+    keys = ["prediction_unit_id", "is_consumption"]
+    days = cut_lineage(G.daily_sketches(t, keys))
+    parts = []
+    for level, key in (("unit", keys[0]), ("direction", keys[1])):
+        medians = G.merged_quantiles(days, [key]).withColumn("median", F.col("target_q")[0])
+        error = G.rank_errors(t, medians, [key], "target", "median", 0.5)
+        parts.append(medians.join(error, key).select(F.lit(level).alias("level"), F.col(key).cast("int").alias("id"), F.col("target_n").alias("n"),
+                                                     ((F.col("rank_error") <= G.RANK_ERROR) & (F.col("n") == F.col("target_n"))).alias("within_bound")))
+    return parts[0].unionAll(parts[1])
+
+
 @query("g9_collapse_fanout", """
 WITH s AS (SELECT longitude, latitude, county FROM (
    SELECT *, row_number() OVER (PARTITION BY county ORDER BY longitude, latitude DESC) AS rn FROM stn) x WHERE rn = 1),

@@ -71,6 +71,55 @@ def q2_missing_per_unit(spark, sf_dir):
                               ["prediction_unit_id", "is_consumption"])
 
 
+_GAPS = """
+WITH d AS (SELECT DISTINCT prediction_unit_id, is_consumption, prediction_datetime AS h FROM tgt),
+l AS (SELECT *, lag(h) OVER (PARTITION BY prediction_unit_id, is_consumption ORDER BY h) AS p FROM d),
+g AS (SELECT prediction_unit_id, is_consumption, p + INTERVAL 1 HOUR AS first_missing, h - INTERVAL 1 HOUR AS last_missing,
+             CAST(date_diff('hour', p, h) - 1 AS BIGINT) AS n_missing FROM l WHERE date_diff('hour', p, h) > 1)
+"""
+
+
+def _gaps(spark, sf_dir):
+    return Q.gap_intervals(load_panel(spark, sf_dir).target, "prediction_datetime", ["prediction_unit_id", "is_consumption"])
+
+
+@query("q2_j19_gap_intervals", _GAPS + "SELECT * FROM g", ("tgt",))
+def q2_gaps(spark, sf_dir):
+    """Absent hours of each series as intervals, without a spine."""
+    return _gaps(spark, sf_dir)
+
+
+@query("q2_gap_hours", """
+WITH b AS (SELECT prediction_unit_id, is_consumption, min(prediction_datetime) AS lo, max(prediction_datetime) AS hi
+           FROM tgt GROUP BY 1, 2),
+s AS (SELECT prediction_unit_id, is_consumption, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS prediction_datetime
+      FROM b)
+SELECT s.* FROM s ANTI JOIN tgt t ON s.prediction_unit_id = t.prediction_unit_id
+  AND s.is_consumption = t.is_consumption AND s.prediction_datetime = t.prediction_datetime""", ("tgt",))
+def q2_gap_hours(spark, sf_dir):
+    """The intervals' hours are those that the anti join with a spine finds."""
+    return Q.expand_gaps(_gaps(spark, sf_dir), "prediction_datetime", ["prediction_unit_id", "is_consumption"])
+
+
+@query("q6_gaps_per_unit", _GAPS + """
+SELECT prediction_unit_id, is_consumption, count(*) AS n_gaps, CAST(sum(n_missing) AS BIGINT) AS n_missing, max(n_missing) AS longest
+FROM g GROUP BY 1, 2""", ("tgt",))
+def q6_gaps_per_unit(spark, sf_dir):
+    """Series with gaps: how many, how many hours, the longest."""
+    return _gaps(spark, sf_dir).groupBy("prediction_unit_id", "is_consumption").agg(
+        F.count(F.lit(1)).alias("n_gaps"), F.sum("n_missing").alias("n_missing"), F.max("n_missing").alias("longest"))
+
+
+@query("q4_missing_members", """
+WITH g AS (SELECT DISTINCT origin_datetime, hours_ahead FROM wf), m AS (SELECT DISTINCT latitude, longitude FROM wf)
+SELECT g.origin_datetime, g.hours_ahead, m.latitude, m.longitude FROM g CROSS JOIN m
+ANTI JOIN wf w ON w.origin_datetime = g.origin_datetime AND w.hours_ahead = g.hours_ahead AND w.latitude = m.latitude AND w.longitude = m.longitude""",
+       ("wf",))
+def q4_members(spark, sf_dir):
+    """The stations that each forecast run lacks at each hour ahead, from presence bitmaps."""
+    return Q.missing_members(load_panel(spark, sf_dir).weather_forecast, ["latitude", "longitude"], ["origin_datetime", "hours_ahead"])
+
+
 @query("q7_u3_segment_day_difference", """
 (SELECT county, is_business, product_type, date_when_predicting AS date, 'only_left' AS side FROM tgt
  EXCEPT SELECT county, is_business, product_type, date, 'only_left' FROM cli)

@@ -5,12 +5,14 @@ so Catalyst prunes and pushes filters through it to the scan.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import schemas
 from ..functions.calendar import shift
 from ..functions.numeric import scaled_coord
 
+_LINE = "_line"
+
 
 def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     """CSV scan with header and a declared schema (no inference)."""
@@ -18,6 +20,35 @@ def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
 
 
+def read_csv_checked(spark: SparkSession, path: str, table: str, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """S1/S3 with quarantine: ``(good, quarantined)``, together every line read.
+
+    Lines are scanned as text fields first. ``quarantined`` holds ``line`` (as
+    read), ``reasons`` and the fields as text, for lines with too few or too
+    many fields (reason ``columns``) and for fields that are there but do not
+    parse as their declared type (reason: the field's name). ``good`` has the
+    declared types; an empty field is null, not malformed. Nothing is collected
+    and no line is lost: write ``quarantined`` beside the table and look at it."""
+    schema = schemas.RAW_SCHEMAS[table]
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields] + [T.StructField(_LINE, T.StringType())])
+    lines = (spark.read.schema(text).option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _LINE)
+             .option("columnPruning", False).option("enforceSchema", True).csv(path))
+    fields = [f.name for f in schema.fields]
+
+    def bad(f):
+        parsed = F.col(f.name).try_cast(f.dataType)
+        if isinstance(f.dataType, T.StringType):
+            return F.lit(False)
+        return F.col(f.name).isNotNull() & parsed.isNull()
+
+    reasons = F.when(F.col(_LINE).isNotNull(), F.array(F.lit("columns"))).otherwise(
+        F.array_compact(F.array(*[F.when(bad(f), F.lit(f.name)) for f in schema.fields])))
+    checked = lines.withColumn("reasons", reasons)
+    good = checked.filter(F.size("reasons") == 0).select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    as_read = F.coalesce(F.col(_LINE), F.to_csv(F.struct(*fields)))
+    return good, checked.filter(F.size("reasons") > 0).select(as_read.alias("line"), "reasons", *fields)
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
