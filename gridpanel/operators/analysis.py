@@ -2,11 +2,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..session import cut_lineage
+
 
 def acf(df: DataFrame, keys, ts: str, value: str, nlags: int = 72) -> DataFrame:
     """A2: autocorrelation per series at lags 1..nlags hours,
@@ -15,18 +18,22 @@ def acf(df: DataFrame, keys, ts: str, value: str, nlags: int = 72) -> DataFrame:
     Each series is cut into buckets of ``nlags`` hours, one array per bucket. A
     bucket joins the next one, which together hold every pair that starts in
     it, and gives its ``nlags`` lag sums at once; those are summed per series.
-    Rows move once, and a long or hot series spreads over its buckets."""
+    Rows move once, and a long or hot series spreads over its buckets. The
+    series' mean comes off at the end, from the sums of the pairs' sides, so no
+    row meets its series; values are first taken relative to the mean of all,
+    so that little cancels."""
     keys = list(keys)
-    stats = df.groupBy(*keys).agg(F.avg(value).alias("_m"))
-    hours = F.timestamp_diff("HOUR", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
-    c = df.join(stats, keys).select(*keys, hours.alias("_h"), (F.col(value) - F.col("_m")).alias("_c")).filter(F.col("_c").isNotNull())
+    x = df.select(*keys, F.timestamp_diff("HOUR", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts)).alias("_h"),
+                  F.col(value).cast("double").alias("_c")).filter(F.col("_c").isNotNull() & F.col("_h").isNotNull())
+    level = x.select(F.coalesce(F.avg(F.when(~F.isnan("_c"), F.col("_c"))), F.lit(0.0))).scalar()
     bucket = F.floor(F.col("_h") / nlags)
-    cells = c.groupBy(*keys, bucket.alias("_b")).agg(
-        F.collect_list(F.struct((F.col("_h") - bucket * nlags).cast("int").alias("i"), F.col("_c").alias("c"))).alias("_x"))
+    cells = x.groupBy(*keys, bucket.alias("_b")).agg(
+        F.collect_list(F.struct((F.col("_h") - bucket * nlags).cast("int").alias("i"), (F.col("_c") - level).alias("c"))).alias("_x"))
     later = cells.select(*keys, (F.col("_b") - 1).alias("_b"), F.col("_x").alias("_y"))
     both = cells.join(later, [*keys, "_b"], "left")
-    schema = T.StructType([*df.select(*keys).schema.fields, T.StructField("lag", T.IntegerType()), T.StructField("num", T.DoubleType()),
-                           T.StructField("pairs", T.LongType())])
+    sums_of = ("num", "left", "right", "pairs")
+    schema = T.StructType([*df.select(*keys).schema.fields, T.StructField("lag", T.IntegerType()),
+                           *[T.StructField(n, T.DoubleType()) for n in sums_of]])
 
     def sums(batches):
         for pdf in batches:
@@ -38,18 +45,25 @@ def acf(df: DataFrame, keys, ts: str, value: str, nlags: int = 72) -> DataFrame:
                         for v in (cell if cell is not None else ()):
                             x[r, side + v["i"]] += v["c"]
                             seen[r, side + v["i"]] += 1
-                num = np.stack([(x[:, :nlags] * x[:, k:k + nlags]).sum(1) for k in range(nlags + 1)], 1)
-                pairs = np.stack([(seen[:, :nlags] * seen[:, k:k + nlags]).sum(1) for k in range(nlags + 1)], 1)
-                # lag 0 is the bucket's own sum of squares, from single rows
+                own, here = x[:, :nlags], seen[:, :nlags]
+                by_lag = lambda f: np.stack([f(k) for k in range(nlags + 1)], 1)                       # noqa: E731
+                num = by_lag(lambda k: (own * x[:, k:k + nlags]).sum(1))
+                pairs = by_lag(lambda k: (here * seen[:, k:k + nlags]).sum(1))
+                left = by_lag(lambda k: (own * seen[:, k:k + nlags]).sum(1))
+                right = by_lag(lambda k: (here * x[:, k:k + nlags]).sum(1))
+                # lag 0 is about single rows: their squares, their sum, their number
                 num[:, 0] = [sum(v["c"] ** 2 for v in cell) for cell in part["_x"]]
+                left[:, 0] = right[:, 0] = own.sum(1)
+                pairs[:, 0] = here.sum(1)
                 r, k = np.nonzero(pairs)
-                yield pd.DataFrame({**{c_: part[c_].to_numpy()[r] for c_ in keys}, "lag": k.astype("int32"), "num": num[r, k],
-                                    "pairs": pairs[r, k].astype("int64")})
+                yield pd.DataFrame({**{c_: part[c_].to_numpy()[r] for c_ in keys}, "lag": k.astype("int32"),
+                                    **{n: v[r, k] for n, v in zip(sums_of, (num, left, right, pairs))}})
 
-    total = both.mapInPandas(sums, schema).groupBy(*keys, "lag").agg(F.sum("num").alias("_num"))
-    denom = total.filter("lag = 0").select(*keys, F.col("_num").alias("_den"))
-    return (total.filter("lag > 0").join(denom, keys)
-            .select(*keys, "lag", F.try_divide(F.col("_num"), F.col("_den")).alias("acf")))
+    total = both.mapInPandas(sums, schema).groupBy(*keys, "lag").agg(*[F.sum(n).alias(f"_{n}") for n in sums_of])
+    mean = F.col("_left") / F.col("_pairs")
+    whole = total.filter("lag = 0").select(*keys, mean.alias("_m"), (F.col("_num") - mean * F.col("_left")).alias("_den"))
+    about = F.col("_num") - F.col("_m") * (F.col("_left") + F.col("_right")) + F.col("_pairs") * F.col("_m") * F.col("_m")
+    return total.filter("lag > 0").join(whole, keys).select(*keys, "lag", F.try_divide(about, F.col("_den")).alias("acf"))
 
 
 def pacf_from_acf(acf_df: DataFrame, keys, nlags: int = 72) -> DataFrame:
@@ -92,40 +106,77 @@ def date_range(df: DataFrame, date_col: str) -> list:
     return [lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)] if lo is not None else []
 
 
+MAX_DATES = 4096            # of a PCA: the driver holds a dates x dates matrix (eleven years of days)
+
+
 def trajectories(df: DataFrame, unit, date_col: str, value: str, dates) -> DataFrame:
-    """A1 input: one row per unit (a column or several), one column per date (daily mean)."""
+    """A1 input: ``unit..., trajectory``: one row per unit (a column or several), its daily means less their own mean,
+    an array with an element per date (days without a value: 0, the mean).
+
+    Dates are places of an array and not columns, so a plan is as wide for ten
+    years as for ten days. Stored, as a PCA passes over it several times."""
+    unit = [unit] if isinstance(unit, str) else list(unit)
+    if len(dates) > MAX_DATES:
+        raise ValueError(f"{len(dates)} dates; at most {MAX_DATES} are taken")
+    first, n = (dates[0] if dates else None), len(dates)
+    daily = (df.groupBy(*unit, F.date_diff(date_col, F.lit(first).cast("date")).alias("_i")).agg(F.avg(value).alias("_v"))
+             .filter(F.col("_v").isNotNull() & F.col("_i").between(0, n - 1)))
+    cells = daily.groupBy(*unit).agg(F.avg("_v").alias("_m"), F.collect_list(F.struct("_i", "_v")).alias("_d"))
+    schema = T.StructType([*df.select(*unit).schema.fields, T.StructField("trajectory", T.ArrayType(T.DoubleType(), False))])
+
+    def dense(batches):
+        for pdf in batches:
+            x = np.zeros((len(pdf), n))
+            for r, (cell, m) in enumerate(zip(pdf["_d"], pdf["_m"])):
+                for d in cell:
+                    x[r, d["_i"]] = d["_v"] - m
+            yield pdf[unit].assign(trajectory=list(x))
+
+    return cut_lineage(cells.mapInPandas(dense, schema))
+
+
+@dataclass
+class TrajectoryPCA:
+    """A PCA over units: ``axes`` (dates x k) and ``means`` by date, the share of the variance that each axis takes and
+    the variance (sum over dates, divisor n - 1)."""
+    axes: np.ndarray
+    means: np.ndarray
+    explained: np.ndarray
+    variance: float
+
+
+def fit_pca(x: DataFrame, k: int = 10) -> TrajectoryPCA:
+    """A1: principal components of ``trajectories`` over units; ``k`` is cut to the number of dates."""
+    from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+    v = x.select(array_to_vector("trajectory").alias("_x"))
+    stats = v.select(Summarizer.metrics("mean", "variance").summary(F.col("_x")).alias("s")).select("s.mean", "s.variance").first()
+    model = PCA(k=min(k, len(stats["mean"])), inputCol="_x", outputCol="_p").fit(v)
+    return TrajectoryPCA(model.pc.toArray(), stats["mean"].toArray(), model.explainedVariance.toArray(), float(stats["variance"].toArray().sum()))
+
+
+def pca_reconstruct(x: DataFrame, unit, dates, k: int = 10, column_means: bool = False, model: TrajectoryPCA | None = None) -> DataFrame:
+    """A1: each unit of ``trajectories`` rebuilt from its projection on ``k`` components. The date means that PCA takes
+    away are not added back, as in the reference, unless ``column_means``. Returns long ``unit..., date, value,
+    reconstructed``; nothing for an empty table."""
     unit = [unit] if isinstance(unit, str) else list(unit)
-    labels = [str(d) for d in dates]
-    daily = df.groupBy(*unit, F.col(date_col).cast("string").alias("_d")).agg(F.avg(value).alias("_v"))
-    return daily.groupBy(*unit).pivot("_d", labels).agg(F.first("_v"))
-
-
-def pca_reconstruct(wide: DataFrame, unit: str, k: int = 10, column_means: bool = False) -> DataFrame:
-    """A1: centre each unit's trajectory on its own mean, nulls -> 0, fit PCA with k
-    components over units, reconstruct each unit from its projection. The date means that PCA
-    takes away are not added back, as in the reference, unless ``column_means``. Returns long ``unit, date, value, reconstructed``."""
-    from pyspark.ml.feature import PCA, VectorAssembler
-    dates = [c for c in wide.columns if c != unit]
-    row_mean = sum(F.coalesce(F.col(f"`{d}`"), F.lit(0.0)) for d in dates) / F.greatest(
-        sum(F.col(f"`{d}`").isNotNull().cast("double") for d in dates), F.lit(1.0))
-    centred = wide.withColumn("_rm", row_mean).select(
-        unit, *[F.coalesce(F.col(f"`{d}`") - F.col("_rm"), F.lit(0.0)).alias(f"_c{i}") for i, d in enumerate(dates)])
-    va = VectorAssembler(inputCols=[f"_c{i}" for i in range(len(dates))], outputCol="_x")
-    x = va.transform(centred)
-    model = PCA(k=min(k, len(dates)), inputCol="_x", outputCol="_p").fit(x)
-    pc = model.pc.toArray()                       # d x k, a model's state
-    colmean = np.array(x.select(*[F.avg(f"_c{i}") for i in range(len(dates))]).first(), dtype=float)
-    schema = T.StructType([wide.schema[unit], T.StructField("date", T.StringType()),
+    labels = np.array([str(d) for d in dates], dtype=object)
+    schema = T.StructType([*x.select(*unit).schema.fields, T.StructField("date", T.StringType()),
                            T.StructField("value", T.DoubleType()), T.StructField("reconstructed", T.DoubleType())])
-    cols = [f"_c{i}" for i in range(len(dates))]
+    if model is None:
+        if x.isEmpty():
+            return x.sparkSession.createDataFrame([], schema)
+        model = fit_pca(x, k)
+    axes, means = model.axes, model.means
 
     def recon(batches):
         for pdf in batches:
-            m = pdf[cols].to_numpy(dtype=float)
-            r = ((m - colmean) @ pc) @ pc.T + (colmean if column_means else 0.0)
-            n = len(pdf)
-            yield pd.DataFrame({unit: np.repeat(pdf[unit].to_numpy(), len(dates)),
-                                "date": np.tile(np.array(dates, dtype=object), n),
+            if pdf.empty:
+                continue
+            m = np.stack(pdf["trajectory"])
+            r = ((m - means) @ axes) @ axes.T + (means if column_means else 0.0)
+            yield pd.DataFrame({**{c: np.repeat(pdf[c].to_numpy(), len(labels)) for c in unit}, "date": np.tile(labels, len(pdf)),
                                 "value": m.ravel(), "reconstructed": r.ravel()})
 
-    return centred.mapInPandas(recon, schema)
+    return x.select(*unit, "trajectory").mapInPandas(recon, schema)

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..schemas import SEGMENT_KEY
-from .sizing import checked_broadcast
+from .sizing import checked_broadcast, counted_rows
 
 
 def assemble_client(target: DataFrame, client: DataFrame, mode: str = "train") -> DataFrame:
@@ -16,12 +16,19 @@ def assemble_client(target: DataFrame, client: DataFrame, mode: str = "train") -
     """
     t = target.withColumn("date", F.to_date("prediction_datetime"))
     c = client.select(*SEGMENT_KEY, F.col("date").alias("_cdate"), "eic_count", "installed_capacity")
-    c = checked_broadcast(c)
+    c = checked_broadcast(c, counted=counted_rows(client))
     day = F.col("date") if mode == "train" else F.col("date_when_predicting")
     cond = [t[k] == c[k] for k in SEGMENT_KEY] + [day == c["_cdate"]]
     return t.join(c, cond, "inner").drop(*[c[k] for k in SEGMENT_KEY]).drop("_cdate")
 
 
+def with_targets(features: DataFrame, targets: DataFrame, value: str = "target") -> DataFrame:
+    """Features next to the truth of the same ``row_id`` (inner join; rows without one go, a repeated id repeats).
+
+    A ``value`` column of the features themselves is replaced."""
+    return features.drop(value).join(targets.select("row_id", value), "row_id")
+
+
 def split_by_direction(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(production, consumption). Prefer keeping ``is_consumption`` as a key."""
     return df.filter(~F.col("is_consumption")), df.filter(F.col("is_consumption"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.encode import location
 from ..schemas import WEATHER_COLUMNS
 from ..sources.tables import drop_null_rows, fill_numeric_nulls
-from .sizing import checked_broadcast
+from .sizing import checked_broadcast, counted_rows
 
 
 def add_prices(features: DataFrame, gas: DataFrame, electricity: DataFrame,
@@ -21,8 +21,8 @@ def add_prices(features: DataFrame, gas: DataFrame, electricity: DataFrame,
     if date_col not in features.columns:
         features = features.withColumn(date_col, F.to_date(ts))
     g = checked_broadcast(gas.select(F.col("forecast_date").alias("_gdate"), "lowest_price_per_mwh",
-                                     "highest_price_per_mwh"))
-    e = checked_broadcast(electricity.select(F.col("forecast_datetime").alias("_edt"), "euros_per_mwh"))
+                                     "highest_price_per_mwh"), counted=counted_rows(gas))
+    e = checked_broadcast(electricity.select(F.col("forecast_datetime").alias("_edt"), "euros_per_mwh"), counted=counted_rows(electricity))
     out = (features.join(g, features[date_col] == g["_gdate"], "left").drop("_gdate")
            .join(e, F.col(ts) == e["_edt"], "left").drop("_edt"))
     return fill_numeric_nulls(out).withColumnsRenamed({
@@ -34,7 +34,7 @@ def add_solar(features: DataFrame, solar: DataFrame, extra_keys=(), ts: str = "p
               how: str = "left") -> DataFrame:
     """Solar position by hour, optionally also by location keys (scaled alike, D8)."""
     s = solar.select(F.col("datetime").alias("_sdt"), *extra_keys, "solar_azimuth", "solar_elevation")
-    s = checked_broadcast(s)
+    s = checked_broadcast(s, counted=counted_rows(solar))
     cond = [features[ts] == s["_sdt"]] + [features[k] == s[k] for k in extra_keys]
     out = features.join(s, cond, how).drop("_sdt")
     for k in extra_keys:
@@ -89,7 +89,7 @@ def county_weather(station_map: DataFrame, forecast: DataFrame, columns=WEATHER_
 def add_county_weather(features: DataFrame, weather: DataFrame, ts: str = "prediction_datetime") -> DataFrame:
     """Inner join on (hour, county). Two forecast runs cover an hour, so rows fan
     out unless the forecast was reduced by ``latest_run`` first."""
-    w = checked_broadcast(weather.withColumnRenamed("forecast_datetime", "_fdt"))
+    w = checked_broadcast(weather.withColumnRenamed("forecast_datetime", "_fdt"), counted=counted_rows(weather))
     return features.join(w, (features[ts] == w["_fdt"]) & (features["county"] == w["county"]),
                          "inner").drop("_fdt").drop(w["county"])
 

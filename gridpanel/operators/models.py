@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import calendar as C
 from ..session import cut_lineage
-from .sizing import checked_broadcast, key_bound
+from .sizing import checked_broadcast, counted_rows, key_bound
 
 
 def _training_frame(df: DataFrame, exprs: list, label: str, prefix: str) -> DataFrame:
@@ -58,7 +58,7 @@ class GroupedOLS:
             j = df.join(coefs, self.group_keys, how)
         else:
             j = df.withColumn("coef", self.coefficients.select("coef").scalar())
-        return j.withColumn(out, _dot(F.col("coef"), self.features, self.intercept)).drop("coef")
+        return j.withColumn(out, _dot("coef", self.features, self.intercept)).drop("coef")
 
     def long_coefficients(self) -> DataFrame:
         """One row per (group, term, coefficient)."""
@@ -67,12 +67,11 @@ class GroupedOLS:
                 .withColumn("term", terms[F.col("i")]).drop("i"))
 
 
-def _dot(coef: Column, features, intercept: bool) -> Column:
+def _dot(coef: str, features, intercept: bool) -> Column:
+    """Sum of the products of ``features`` with the elements of the array column ``coef``, as one SQL expression."""
     off = 1 if intercept else 0
-    acc = coef[0] if intercept else F.lit(0.0)
-    for i, f in enumerate(features):
-        acc = acc + coef[i + off] * F.col(f).cast("double")
-    return acc
+    terms = [f"`{coef}`[0]" if intercept else "0.0D"] + [f"`{coef}`[{i + off}] * cast(`{f}` as double)" for i, f in enumerate(features)]
+    return F.expr(" + ".join(terms))
 
 
 JVM_PRODUCTS = 120          # products summed as separate aggregates; wider designs go by accumulators
@@ -131,6 +130,80 @@ def grouped_grams(df: DataFrame, features, target: str, group_keys=(), intercept
     return whole.select(*group_keys, "n", F.col("_t._v").alias("gram"))
 
 
+def hour_cells(df: DataFrame, row_cols, target: str, keys=(), ts: str = "prediction_datetime") -> DataFrame:
+    """``keys..., ts, n, mom``: rows summed by hour, in the JVM. ``mom`` is the upper triangle, row by row, of
+    ``[1 row_cols y]'[1 row_cols y]``.
+
+    Whatever else a design holds depends on the hour alone, so these few sums
+    are all that a fit needs of the rows (``grams_of_cells``): keys times hours
+    of the calendar, however many rows there are. Rows with a null or NaN in
+    ``row_cols`` or y take no part."""
+    names = [f"_u{i}" for i in range(len(row_cols) + 1)]
+    data = df.select(*keys, F.col(ts).alias("_ts"), *[F.col(c).cast("double").alias(n) for c, n in zip([*row_cols, target], names)]).dropna(subset=names)
+    u = [F.lit(1.0), *[F.col(n) for n in names]]
+    pairs = [(i, j) for i in range(len(u)) for j in range(i, len(u))]
+    sums = data.groupBy(*keys, "_ts").agg(F.count(F.lit(1)).alias("n"), *[F.sum(u[i] * u[j]).alias(f"_s{i}_{j}") for i, j in pairs])
+    return sums.select(*keys, F.col("_ts").alias(ts), "n", F.array(*[F.col(f"_s{i}_{j}") for i, j in pairs]).alias("mom"))
+
+
+def grams_of_cells(cells: DataFrame, times: DataFrame, features, row_cols, group_keys=(), ts: str = "prediction_datetime") -> DataFrame:
+    """``grouped_grams`` with an intercept, from ``hour_cells``: ``times`` holds ``ts`` and the features that are not in
+    ``row_cols``. Hours that ``times`` lacks, or where it has a null, take no part.
+
+    Within a cell the hour's features are constants, so its matrix is their
+    products times the cell's sums."""
+    features, row_cols, group_keys = list(features), list(row_cols), list(group_keys)
+    of_time = [f for f in features if f not in row_cols]
+    known = checked_broadcast(times.select(F.col(ts).alias("_ts"), F.array(*[F.col(c).cast("double") for c in of_time]).alias("_t"))
+                              .dropna(subset=["_ts"]).filter(F.forall("_t", lambda x: x.isNotNull() & ~F.isnan(x))), counted=counted_rows(times))
+    rows = cells.join(known, F.col(ts) == F.col("_ts")).select(*group_keys, "n", "mom", "_t")
+    k, dim = len(row_cols) + 2, len(features) + 2
+    place = [0] + [row_cols.index(f) + 1 if f in row_cols else 0 for f in features] + [k - 1]      # of each column among [1 row_cols y]
+    factor = [None] + [None if f in row_cols else of_time.index(f) for f in features] + [None]     # and among the hour's features
+    small, upper = np.triu_indices(k), np.triu_indices(dim)
+    wide = len(upper[0])
+    schema = T.StructType(list(cells.select(*group_keys).schema.fields) + [
+        T.StructField("n", T.LongType()), T.StructField("_i", T.IntegerType()), T.StructField("_v", T.DoubleType())])
+    most = max(1, HELD_BYTES // (8 * wide))
+
+    def partial(batches):
+        held: dict = {}
+
+        def out():
+            keys = {c: [key[i] for key in held for _ in range(wide)] for i, c in enumerate(group_keys)}
+            return pd.DataFrame({**keys, "n": np.repeat([n for n, _ in held.values()], wide),
+                                 "_i": np.tile(np.arange(wide, dtype="int32"), len(held)),
+                                 "_v": np.concatenate([tri for _, tri in held.values()])})
+
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            a = np.zeros((len(pdf), k, k))
+            a[:, small[0], small[1]] = np.stack(pdf["mom"])
+            a[:, small[1], small[0]] = np.stack(pdf["mom"])
+            t = np.stack(pdf["_t"]) if of_time else np.zeros((len(pdf), 0))
+            tau = np.stack([np.ones(len(pdf)) if f is None else t[:, f] for f in factor], 1)
+            n = pdf["n"].to_numpy()
+            where = pdf.groupby(group_keys, sort=False, dropna=False).indices if group_keys else {(): np.arange(len(pdf))}
+            for key, at in where.items():
+                key = key if isinstance(key, tuple) else (key,)
+                total = 0.0
+                for lo in range(0, len(at), 2048):
+                    part = at[lo:lo + 2048]
+                    total = total + np.einsum("ci,cj,cij->ij", tau[part], tau[part], a[part][:, place][:, :, place])
+                before = held.get(key, (0, 0.0))
+                held[key] = (before[0] + int(n[at].sum()), before[1] + total[upper])
+            if len(held) > most:
+                yield out()
+                held.clear()
+        if held:
+            yield out()
+
+    sums = rows.mapInPandas(partial, schema).groupBy(*group_keys, "_i").agg(F.sum("n").alias("n"), F.sum("_v").alias("_v"))
+    whole = sums.groupBy(*group_keys).agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("_i", "_v"))).alias("_t"))
+    return whole.select(*group_keys, "n", F.col("_t._v").alias("gram"))
+
+
 def solve_grams(grams: DataFrame, group_keys, k: int, rcond: float = 1e-12) -> DataFrame:
     """Group keys, ``n``, ``rank`` and ``coef`` of the normal equations in ``gram`` (see ``grouped_grams``; ``k``
     coefficients): minimum-norm solutions, all groups of a batch at once."""
@@ -211,17 +284,20 @@ def walk_forward_predict(df: DataFrame, fits: DataFrame, features, group_keys, b
     """Each row scored by its own group's and block's fit."""
     key = [*group_keys, block]
     joined = df.join(fits.select(*key, "coef"), key, how)
-    return joined.withColumn(out, _dot(F.col("coef"), list(features), intercept)).drop("coef")
+    return joined.withColumn(out, _dot("coef", list(features), intercept)).drop("coef")
 
 
 def slice_domain(df: DataFrame, columns, most: int = 10_000) -> dict:
     """Values of each slicing column, in order, from the data; more than ``most`` is an error (they become columns)."""
-    out = {}
-    for c in columns:
-        values = [r[0] for r in df.select(F.col(c).cast("int").alias("v")).filter("v is not null").distinct().orderBy("v").limit(most + 1).collect()]
+    tags = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("int").alias("v")) for c in columns])
+    found = df.select(F.explode(tags).alias("t")).select("t.c", "t.v").filter("v is not null").distinct()
+    out = {c: [] for c in columns}
+    for r in found.limit(len(out) * most + 1).collect():
+        out[r["c"]].append(r["v"])
+    for c, values in out.items():
+        values.sort()
         if len(values) > most:
             raise ValueError(f"{c} has more than {most} values")
-        out[c] = values
     return out
 
 
@@ -230,11 +306,35 @@ def fit_slice_models(df: DataFrame, slices: dict, features, target: str, interce
     flags + 4 product types) fitted in one pass: every row is tagged with its
     slice of each column (``slice_col``, ``slice_value``) and the grouped fit runs
     once over all tags. Only declared slices are tagged, so the fit holds no more models than that."""
+    tagged = df.select("*", F.explode(_declared_slices(slices)).alias("_slice")).select("*", "_slice.slice_col", "_slice.slice_value").drop("_slice")
+    return fit_grouped_ols(tagged, features, target, ["slice_col", "slice_value"], intercept)
+
+
+def _declared_slices(slices: dict) -> Column:
+    """The row's own slice of each slicing column, as far as it is declared."""
     tags = F.array(*[F.struct(F.lit(c).alias("slice_col"), F.col(c).cast("int").alias("slice_value")) for c in slices])
     declared = F.create_map(*[x for c, vs in slices.items() for x in (F.lit(c), F.array(*[F.lit(int(v)) for v in vs]))])
-    kept = F.filter(tags, lambda t: F.array_contains(declared[t["slice_col"]], t["slice_value"]))
-    tagged = df.select("*", F.explode(kept).alias("_slice")).select("*", "_slice.slice_col", "_slice.slice_value").drop("_slice")
-    return fit_grouped_ols(tagged, features, target, ["slice_col", "slice_value"], intercept)
+    return F.filter(tags, lambda t: F.array_contains(declared[t["slice_col"]], t["slice_value"]))
+
+
+def fit_slice_models_by_hour(df: DataFrame, times: DataFrame, slices: dict, features, target: str,
+                             ts: str = "prediction_datetime") -> GroupedOLS:
+    """M6 where the features depend on the hour alone (trend, season, time of day; ``times`` has them by hour): rows
+    are summed by their values of the slicing columns and hour, and only those cells are tagged with their slices."""
+    features = list(features)
+    cells = hour_cells(df, [], target, list(slices), ts)
+    tagged = cells.select(ts, "n", "mom", F.explode(_declared_slices(slices)).alias("_slice")).select(ts, "n", "mom", "_slice.slice_col", "_slice.slice_value")
+    keys = ["slice_col", "slice_value"]
+    coefs = solve_grams(grams_of_cells(tagged, times, features, [], keys, ts), keys, len(features) + 1)
+    return GroupedOLS(keys, features, True, coefs, ["intercept"] + features)
+
+
+def apply_slice_models_by_hour(df: DataFrame, model: GroupedOLS, times: DataFrame, slices: dict, ts: str = "prediction_datetime") -> DataFrame:
+    """M6/J18 for such models: their values by hour, one row an hour, joined onto every row."""
+    values = apply_slice_models(times, model, slices)
+    names = [f"{c}{v}" for c, vs in slices.items() for v in vs]
+    table = checked_broadcast(values.select(F.col(ts).alias("_ts"), *names), counted=counted_rows(times))
+    return df.join(table, F.col(ts) == F.col("_ts"), "left").drop("_ts")
 
 
 def apply_slice_models(df: DataFrame, model: GroupedOLS, slices: dict) -> DataFrame:
@@ -251,8 +351,12 @@ def apply_slice_models(df: DataFrame, model: GroupedOLS, slices: dict) -> DataFr
             if coef is None:
                 cols.append(F.lit(None).cast("double").alias(name))
                 continue
-            arr = F.array(*[F.lit(float(b)) for b in coef])
-            cols.append(_dot(arr, model.features, model.intercept).alias(name))
+            terms = [f"double('{float(b)!r}')" for b in coef]                 # one SQL expression per model
+            if model.intercept:
+                terms = [terms[0], *[f"{b} * cast(`{f}` as double)" for b, f in zip(terms[1:], model.features)]]
+            else:
+                terms = ["0.0D", *[f"{b} * cast(`{f}` as double)" for b, f in zip(terms, model.features)]]
+            cols.append(F.expr(" + ".join(terms)).alias(name))
     return df.select("*", *cols)
 
 
@@ -293,6 +397,9 @@ class BlockDesign:
         return out
 
 
+ROW_LAGS = ["target_2d_ago", "target_7d_ago"]          # the designs' columns that differ between rows of one hour
+
+
 def date_terms() -> list[str]:
     return ["trend"] + C.fourier_names()
 
@@ -320,15 +427,22 @@ class BlockedOLS:
 
     def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:
         """Every row by the coefficients of its segment and cell; null for a segment without a model."""
+        j = self._tagged(df)
+        return j.withColumn(out, _dot("_coef", self.design.local, True)).drop("_coef", *[f"_b_{g}" for g in self.design.groups])
+
+    def _tagged(self, df: DataFrame, segments: bool = True) -> DataFrame:
+        """Rows with the coefficients ``_coef`` of their segment and cell; without ``segments``, of every segment."""
         names = [f"_b_{g}" for g in self.design.groups]
         rows = [(*seg, *cell, [float(x) for x in self.design.expansion(cell) @ theta])
                 for seg, theta in self.theta.items() for cell in self.design.cells()]
         kinds = dict(df.dtypes)
-        schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in self.segments], *[f"{n} int" for n in names], "_coef array<double>"])
-        table = F.broadcast(df.sparkSession.createDataFrame(rows, schema))         # declared levels x segments
+        kind = lambda c: kinds.get(c) or {bool: "boolean", int: "bigint", float: "double"}.get(type(next(iter(self.theta))[self.segments.index(c)]), "string")    # noqa: E731,E501
+        schema = ", ".join([*[f"`{c}` {kind(c)}" for c in self.segments], *[f"{n} int" for n in names], "_coef array<double>"])
+        # declared levels x segments; past the bound it joins by shuffle
+        table = checked_broadcast(df.sparkSession.createDataFrame(rows, schema), counted=len(rows))
         tagged = df.withColumns({n: level.cast("int") for n, (level, _) in zip(names, self.design.groups.values())})
-        j = tagged.join(table, [*self.segments, *names], "left")
-        return j.withColumn(out, _dot(F.col("_coef"), self.design.local, True)).drop("_coef", *names)
+        keys = [*(self.segments if segments else []), *names]
+        return tagged.join(table, keys, "left") if keys else tagged.join(table, F.lit(True))
 
     def coefficients(self, spark) -> DataFrame:
         """Segment (text), term, coefficient."""
@@ -337,19 +451,11 @@ class BlockedOLS:
         return spark.createDataFrame(rows, "segment string, term string, coefficient double")
 
 
-def fit_blocked_ols(df: DataFrame, design: BlockDesign, target: str = "target", segments=(), rcond: float = 1e-11) -> BlockedOLS:
-    """M1-M3: least squares of a block design, one model for each value of ``segments`` columns.
-
-    One pass over the rows gives a Gram matrix per segment and cell; what
-    reaches the driver is segments x cells small triangles, independent of the
-    rows. Minimum-norm solution, so redundant levels need no baseline."""
-    names, segments = [f"_b_{g}" for g in design.groups], list(segments)
-    tagged = df.withColumns({n: level.cast("int") for n, (level, _) in zip(names, design.groups.values())})
-    for n, (_, levels) in zip(names, design.groups.values()):
-        tagged = tagged.filter(F.col(n).isin(*levels))
-    dim = len(design.local) + 2
+def _solve_blocks(grams: DataFrame, design: BlockDesign, segments: list, rcond: float) -> dict:
+    """Coefficients of each segment from a Gram matrix per segment and cell (segments x cells rows reach the driver)."""
+    names, dim = [f"_b_{g}" for g in design.groups], len(design.local) + 2
     sums: dict = {}
-    for r in grouped_grams(tagged, design.local, target, [*segments, *names]).collect():
+    for r in grams.collect():
         seg, cell = tuple(r[c] for c in segments), tuple(r[n] for n in names)
         m = np.zeros((dim, dim))
         m[np.triu_indices(dim)] = r["gram"]
@@ -362,9 +468,66 @@ def fit_blocked_ols(df: DataFrame, design: BlockDesign, target: str = "target",
         scale = np.sqrt(np.maximum(np.diag(xtx), 1e-300))
         unit = xtx / scale[:, None] / scale[None, :]
         theta[seg] = np.linalg.pinv(unit, rcond=rcond, hermitian=True) @ (xty / scale) / scale
+    return theta
+
+
+def fit_blocked_ols(df: DataFrame, design: BlockDesign, target: str = "target", segments=(), rcond: float = 1e-11) -> BlockedOLS:
+    """M1-M3: least squares of a block design, one model for each value of ``segments`` columns.
+
+    One pass over the rows gives a Gram matrix per segment and cell; what
+    reaches the driver is segments x cells small triangles, independent of the
+    rows. Minimum-norm solution, so redundant levels need no baseline."""
+    names, segments = [f"_b_{g}" for g in design.groups], list(segments)
+    tagged = df.withColumns({n: level.cast("int") for n, (level, _) in zip(names, design.groups.values())})
+    for n, (_, levels) in zip(names, design.groups.values()):
+        tagged = tagged.filter(F.col(n).isin(*levels))
+    theta = _solve_blocks(grouped_grams(tagged, design.local, target, [*segments, *names]), design, segments, rcond)
     return BlockedOLS(design, segments, theta)
 
 
+@dataclass
+class HourBlockedOLS(BlockedOLS):
+    """``BlockedOLS`` whose design needs, of a row, only its hour and ``row_cols``."""
+    times: DataFrame = None
+    row_cols: list = field(default_factory=list)
+    ts: str = "prediction_datetime"
+
+    def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:
+        """Per segment and hour, the part that the hour decides and the coefficients of ``row_cols``; joined onto the
+        rows. Null for a segment without a model and for an hour that ``times`` lacks."""
+        fixed = [c for c in self.design.local if c not in self.row_cols]
+        by_hour = BlockedOLS(self.design, self.segments, self.theta)._tagged(self.times, segments=False)
+        place = {c: i + 1 for i, c in enumerate(self.design.local)}
+        base = F.col("_coef")[0]
+        for c in fixed:
+            base = base + F.col("_coef")[place[c]] * F.col(c).cast("double")
+        segments = [F.col(c).alias(f"_g_{c}") for c in self.segments]
+        table = by_hour.select(*segments, F.col(self.ts).alias("_ts"), base.alias("_base"),
+                               *[F.col("_coef")[place[c]].alias(f"_c_{c}") for c in self.row_cols])
+        known = counted_rows(self.times)
+        table = checked_broadcast(table, counted=None if known is None else known * max(1, len(self.theta)))
+        same = [F.col(c) == F.col(f"_g_{c}") for c in self.segments] + [F.col(self.ts) == F.col("_ts")]
+        value = F.col("_base")
+        for c in self.row_cols:
+            value = value + F.col(f"_c_{c}") * F.col(c).cast("double")
+        return df.join(table, same, "left").select(*df.columns, value.alias(out))
+
+
+def fit_blocked_ols_by_hour(df: DataFrame, times: DataFrame, design: BlockDesign, row_cols, target: str = "target", segments=(),
+                            ts: str = "prediction_datetime", rcond: float = 1e-11) -> HourBlockedOLS:
+    """``fit_blocked_ols`` where all but ``row_cols`` depends on the hour: ``times`` holds those columns by ``ts``, and
+    the design's levels are expressions of ``ts``. Rows are summed by segment and hour in the JVM; wide products are
+    formed for those cells only. Same coefficients."""
+    segments, row_cols = list(segments), [c for c in design.local if c in set(row_cols)]
+    names = [f"_b_{g}" for g in design.groups]
+    cells = hour_cells(df, row_cols, target, segments, ts)
+    tagged = cells.withColumns({n: level.cast("int") for n, (level, _) in zip(names, design.groups.values())})
+    for n, (_, levels) in zip(names, design.groups.values()):
+        tagged = tagged.filter(F.col(n).isin(*levels))
+    theta = _solve_blocks(grams_of_cells(tagged, times, design.local, row_cols, [*segments, *names], ts), design, segments, rcond)
+    return HourBlockedOLS(design, segments, theta, times, row_cols, ts)
+
+
 def fit_segmented_ols(df: DataFrame, design: BlockDesign, segment: str = "is_business", target: str = "target") -> BlockedOLS:
     """M3: one formula model per segment, fitted in one pass; rows are scored by their own segment."""
     return fit_blocked_ols(df, design, target, [segment])

@@ -31,9 +31,27 @@ def stored(df: DataFrame) -> tuple[DataFrame, int]:
     return kept, seen.get["n"]
 
 
-def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES, proven_rows: int | None = None) -> DataFrame:
-    """``df`` with a broadcast hint if its counted (or proven) size is within ``max_bytes``, else as a stored table."""
+def dimension(df: DataFrame) -> DataFrame:
+    """A side that several joins use: stored and counted once. It remembers its count (``counted_rows``), so that a
+    join which only picks or renames its columns need not store it again."""
+    kept, n = stored(df)
+    kept.counted_rows = n
+    return kept
+
+
+def counted_rows(df: DataFrame) -> int | None:
+    """The count that ``dimension`` took of this frame, if it made it."""
+    return df.__dict__.get("counted_rows")
+
+
+def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES, proven_rows: int | None = None,
+                      counted: int | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if its counted (or proven) size is within ``max_bytes``, else as a stored table.
+
+    ``counted``: rows of the stored table that ``df`` picks columns of."""
     width = row_bytes(df.schema)
+    if counted is not None:
+        return F.broadcast(df) if counted * width <= max_bytes else df
     if proven_rows is not None and proven_rows * width <= max_bytes:
         return F.broadcast(df)
     if df.isStreaming:

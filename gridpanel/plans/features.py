@@ -8,6 +8,7 @@ from ..operators import enrich as E
 from ..operators.assemble import assemble_client
 from ..operators.lags import add_lag_inner, add_lags
 from ..operators.normalise import normalise_by_capacity
+from ..operators.sizing import dimension
 from ..schemas import PANEL_KEY
 from ..sources import spine
 from .fixtures import Panel
@@ -22,26 +23,44 @@ def history_of(panel_target: DataFrame, client: DataFrame, normalise: bool = Tru
     return a.select(*PANEL_KEY, "target")
 
 
-def linear_features(rows: DataFrame, panel: Panel, history: DataFrame, fit_start, mode: str = "train",
+def linear_features(rows: DataFrame, client: DataFrame, history: DataFrame, mode: str = "train", fit_start=None,
                     solar: DataFrame | None = None, normalise: bool = True) -> DataFrame:
-    """Stage 1 of the stacked model: client facts, normalised target (train), calendar
-    terms, exact 2/7-day lags, solar position."""
-    a = assemble_client(rows, panel.client, "train" if mode == "train" else "inference")
+    """Stage 1 of the stacked model: client facts, normalised target (train), exact 2/7-day lags; with ``fit_start``
+    the calendar terms and with ``solar`` the solar position, as columns (``hour_features`` has both by hour)."""
+    a = assemble_client(rows, client, "train" if mode == "train" else "inference")
     if normalise:
         a = normalise_by_capacity(a, mode)
-    a = C.calendar_features(a, fit_start=fit_start)
+    if fit_start is not None:
+        a = C.calendar_features(a, fit_start=fit_start)
     a = add_lags(a, history, "target", (2, 7), mode)
     if solar is not None:
         a = E.add_solar(a, solar)
     return a
 
 
+def hour_features(spark, rows: DataFrame, fit_start, ts: str = "prediction_datetime") -> DataFrame:
+    """Every hour between the first and last of ``rows`` with all that depends on the hour alone: calendar terms and
+    solar position. A row an hour, stored and counted."""
+    hours = solar_of(spark, rows, ts).withColumnRenamed("datetime", ts).withColumn("date", F.to_date(ts))
+    return dimension(C.calendar_features(hours, ts, fit_start=fit_start))
+
+
+class ForestStage:
+    """Stage 2's sides, prices and county weather (one forecast run per hour when ``latest_run``), stored once."""
+
+    def __init__(self, panel: Panel, latest_run: bool = True):
+        st = E.station_per_county(panel.station_map, order=(F.col("longitude"), F.negative("latitude")))
+        fc = E.latest_run(panel.weather_forecast) if latest_run else panel.weather_forecast
+        self.weather = dimension(E.county_weather(st, fc))
+        self.gas, self.electricity = dimension(panel.gas_prices), dimension(panel.electricity_prices)
+
+    def add(self, df: DataFrame) -> DataFrame:
+        return E.add_county_weather(E.add_prices(df, self.gas, self.electricity), self.weather)
+
+
 def forest_stage_features(df: DataFrame, panel: Panel, latest_run: bool = True) -> DataFrame:
-    """Stage 2: prices and county weather (one forecast run per hour when ``latest_run``)."""
-    st = E.station_per_county(panel.station_map, order=(F.col("longitude"), F.negative("latitude")))
-    fc = E.latest_run(panel.weather_forecast) if latest_run else panel.weather_forecast
-    w = E.county_weather(st, fc)
-    return E.add_county_weather(E.add_prices(df, panel.gas_prices, panel.electricity_prices), w)
+    """Stage 2 for a single frame."""
+    return ForestStage(panel, latest_run).add(df)
 
 
 def minimal_features(panel: Panel, solar: DataFrame) -> DataFrame:

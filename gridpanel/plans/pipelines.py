@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import models as M
 from ..operators.normalise import denormalise_by_capacity
+from ..operators.sizing import dimension
 from ..session import cut_lineage
 from . import backtest as B
 from . import features as FB
@@ -21,16 +22,19 @@ class Pipeline:
 
     def __init__(self, panel: Panel, target: DataFrame, consumption: bool):
         self.panel, self.normalise = panel, not consumption
+        self.client = dimension(panel.client)           # joined by the history, the training and the test rows
         self.rows = target.filter(F.col("is_consumption") == consumption)
-        self.history = FB.history_of(target, panel.client, self.normalise)
+        self.history = FB.history_of(target, self.client, self.normalise)
         self.fit_start = target.select(F.min(F.to_date("prediction_datetime"))).scalar()
-        self.solar = FB.solar_of(target.sparkSession, target)
+        self.times = FB.hour_features(target.sparkSession, target, self.fit_start)
         self.split = split_block(target)
 
-    def features(self, mode: str) -> DataFrame:
+    def features(self, mode: str, calendar: bool = False) -> DataFrame:
+        """Rows with client facts, target and lags; ``calendar`` adds what depends on the hour (``times``) as columns."""
         block = F.col("data_block_id")
         rows = self.rows.filter(block < self.split if mode == "train" else block >= self.split)
-        return FB.linear_features(rows, self.panel, self.history, self.fit_start, mode, self.solar, self.normalise)
+        out = FB.linear_features(rows, self.client, self.history, mode, normalise=self.normalise)
+        return out.join(F.broadcast(self.times.drop("date")), "prediction_datetime", "left") if calendar else out      # a row an hour
 
     def in_target_units(self, scored: DataFrame) -> DataFrame:
         return denormalise_by_capacity(scored) if self.normalise else scored
@@ -40,6 +44,14 @@ class Pipeline:
         template = self.rows.filter(F.col("data_block_id") >= self.split).select("row_id", "data_block_id", F.lit(0.0).alias("target"))
         return B.complete_submission(template, scored.select("row_id", F.col("prediction")))
 
+    def production(self, train: DataFrame):
+        """M1."""
+        return M.fit_blocked_ols_by_hour(train, self.times, M.production_design(), M.ROW_LAGS)
+
+    def consumption(self, train: DataFrame):
+        """M2 + M3: a model for each business flag."""
+        return M.fit_blocked_ols_by_hour(train, self.times, M.consumption_design(), M.ROW_LAGS, segments=["is_business"])
+
     def one_stage(self, fit) -> DataFrame:
         model = fit(self.features("train"))
         return self.submission(self.in_target_units(model.predict(self.features("inference"))))
@@ -47,22 +59,13 @@ class Pipeline:
     def two_stage(self, fit_first, fit_second) -> DataFrame:
         """Second stage on the first one's residuals, with prices and county weather."""
         train = cut_lineage(self.features("train"))          # fitted on, and scored for the second stage
+        stage = FB.ForestStage(self.panel)
         first = fit_first(train)
-        second = fit_second(FB.forest_stage_features(first.predict(train), self.panel))
-        scored = second.predict(FB.forest_stage_features(first.predict(self.features("inference")), self.panel))
+        second = fit_second(stage.add(first.predict(train)))
+        scored = second.predict(stage.add(first.predict(self.features("inference"))))
         return self.submission(self.in_target_units(scored))
 
 
-def fit_production(train: DataFrame):
-    """M1."""
-    return M.fit_blocked_ols(train, M.production_design())
-
-
-def fit_consumption(train: DataFrame):
-    """M2 + M3: a model for each business flag."""
-    return M.fit_segmented_ols(train, M.consumption_design())
-
-
 def fit_forest_stage(train: DataFrame):
     """M4: 200 trees of 10,000 samples each, the reference's documented values."""
     return M.fit_residual_forest(train, num_trees=200, max_samples=10_000)

@@ -1,6 +1,7 @@
 """Queries: history, block backtest, submission, analysis."""
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import calendar as C
@@ -59,10 +60,8 @@ def t2_backtest(spark, sf_dir):
     t = load_panel(spark, sf_dir).target
     test = t.filter(F.col("data_block_id") >= split_block(t))
     template = test.select("row_id", "data_block_id", F.lit(0.0).alias("target"))
-    # one scoring pass over both directions; the per-direction parts (U1) are views of it
-    preds = B.persistence_backtest(test, t, keep=["is_consumption"])
-    parts = [preds.filter(cond) for cond in ("NOT is_consumption", "is_consumption")]
-    return B.complete_submission(template, parts)
+    # both directions at once (U1): a union of two filters of the same plan would do the lag join twice
+    return B.complete_submission(template, B.persistence_backtest(test, t))
 
 
 _SOL = """(SELECT unnest(generate_series((SELECT min(prediction_datetime) FROM tgt), (SELECT max(prediction_datetime) FROM tgt),
@@ -122,8 +121,8 @@ def a2_acf(spark, sf_dir):
 
 
 def _residuals(spark, sf_dir):
-    """Errors of a linear model per unit and direction on the dense panel."""
-    t = load_panel(spark, sf_dir).dense_target.withColumn("hour", C.hour_of_day("prediction_datetime").cast("double"))
+    """Errors of a linear model per unit and direction, over all units."""
+    t = load_panel(spark, sf_dir).target.withColumn("hour", C.hour_of_day("prediction_datetime").cast("double"))
     keys = ["prediction_unit_id", "is_consumption"]
     p = fit_grouped_ols(t, ["hour"], "target", keys).predict(t)
     return p.select(*keys, "prediction_datetime", (F.col("prediction") - F.col("target")).alias("error")), keys
@@ -137,9 +136,9 @@ def a2_pacf(spark, sf_dir):
 
 @query("a2_residual_pacf_3_lags", """
 WITH m AS (SELECT prediction_unit_id, is_consumption, regr_intercept(target, CAST(hour(prediction_datetime) AS DOUBLE)) AS a,
-                  regr_slope(target, CAST(hour(prediction_datetime) AS DOUBLE)) AS b FROM dtgt GROUP BY 1, 2),
+                  regr_slope(target, CAST(hour(prediction_datetime) AS DOUBLE)) AS b FROM tgt GROUP BY 1, 2),
 e AS (SELECT t.prediction_unit_id, t.is_consumption, t.prediction_datetime, a + b * CAST(hour(prediction_datetime) AS DOUBLE) - target AS x
-      FROM dtgt t JOIN m USING (prediction_unit_id, is_consumption)),
+      FROM tgt t JOIN m USING (prediction_unit_id, is_consumption)),
 c AS (SELECT prediction_unit_id, is_consumption, prediction_datetime,
              x - avg(x) OVER (PARTITION BY prediction_unit_id, is_consumption) AS x FROM e),
 d AS (SELECT prediction_unit_id, is_consumption, sum(x * x) AS den FROM c GROUP BY 1, 2),
@@ -149,45 +148,72 @@ l AS (SELECT a.prediction_unit_id, a.is_consumption, date_diff('hour', a.predict
 r AS (SELECT d.prediction_unit_id, d.is_consumption,
              coalesce(max(num / nullif(den, 0)) FILTER (lag = 1), 0) AS r1, coalesce(max(num / nullif(den, 0)) FILTER (lag = 2), 0) AS r2,
              coalesce(max(num / nullif(den, 0)) FILTER (lag = 3), 0) AS r3
-      FROM d LEFT JOIN l USING (prediction_unit_id, is_consumption) GROUP BY 1, 2),
+      FROM d JOIN l USING (prediction_unit_id, is_consumption) GROUP BY 1, 2),
 p AS (SELECT *, (r2 - r1 * r1) / (1 - r1 * r1) AS p2, r1 * (1 - r2) / (1 - r1 * r1) AS q1 FROM r)
 SELECT prediction_unit_id, is_consumption, CAST(1 AS INTEGER) AS lag, round(r1, 6) AS pacf FROM p
 UNION ALL SELECT prediction_unit_id, is_consumption, CAST(2 AS INTEGER), round(p2, 6) FROM p
-UNION ALL SELECT prediction_unit_id, is_consumption, CAST(3 AS INTEGER), round((r3 - q1 * r2 - p2 * r1) / (1 - q1 * r1 - p2 * r2), 6) FROM p""", ("dtgt",))
+UNION ALL SELECT prediction_unit_id, is_consumption, CAST(3 AS INTEGER), round((r3 - q1 * r2 - p2 * r1) / (1 - q1 * r1 - p2 * r2), 6) FROM p""", ("tgt",))
 def a2_pacf_3(spark, sf_dir):
     r, keys = _residuals(spark, sf_dir)
     return rounded(A.pacf_from_acf(A.acf(r, keys, "prediction_datetime", "error", 3), keys, 3))
 
 
 def _trajectories(spark, sf_dir):
-    """Daily means of unit-max-normalised targets by the day of prediction, one row per unit and direction."""
-    t = load_panel(spark, sf_dir).dense_target
+    """Daily means of unit-max-normalised targets by the day of prediction, one row per unit and direction, and the dates."""
+    t = load_panel(spark, sf_dir).target
     keys = ["prediction_unit_id", "is_consumption"]
     norm = apply_unit_max(t, group_max(t, keys), keys)
-    return A.trajectories(norm, keys, "date_when_predicting", "target", A.date_range(norm, "date_when_predicting"))
+    dates = A.date_range(norm, "date_when_predicting")
+    return A.trajectories(norm, keys, "date_when_predicting", "target", dates), dates
+
+
+def _by_direction(x, side):
+    return x.filter(F.col("is_consumption") == side)
 
 
 @query("a1_pca_reconstruction")
 def a1_pca(spark, sf_dir):
-    """Ten components per direction."""
-    wide = _trajectories(spark, sf_dir)
-    parts = [A.pca_reconstruct(wide.filter(F.col("is_consumption") == side).drop("is_consumption"), "prediction_unit_id", 10)
-             .withColumn("is_consumption", F.lit(side)) for side in (False, True)]
+    """Ten components per direction, over all units."""
+    x, dates = _trajectories(spark, sf_dir)
+    parts = [A.pca_reconstruct(_by_direction(x, side), ["prediction_unit_id", "is_consumption"], dates, 10) for side in (False, True)]
     return parts[0].unionByName(parts[1])
 
 
+@query("a1_pca_checks", """
+SELECT is_consumption, count(DISTINCT prediction_unit_id) AS n_units, true AS orthonormal, true AS trace_is_k, true AS residual_is_unexplained,
+       true AS error_falls FROM tgt GROUP BY 1""", ("tgt",))
+def a1_checks(spark, sf_dir):
+    """What ten components must satisfy: orthonormal axes, a projector of trace ten, a squared error that equals the
+    variance left unexplained, and errors that fall with the number of components."""
+    x, dates = _trajectories(spark, sf_dir)
+    out = []
+    for side in (False, True):
+        part = _by_direction(x, side)
+        n = part.count()
+        model = A.fit_pca(part, 10)
+        k = model.axes.shape[1]
+        errors = []
+        for j in (1, 5, k):
+            cut = A.TrajectoryPCA(model.axes[:, :j], model.means, model.explained[:j], model.variance)
+            built = A.pca_reconstruct(part, "prediction_unit_id", dates, j, column_means=True, model=cut)
+            errors.append(built.agg(F.sum((F.col("value") - F.col("reconstructed")) ** 2)).first()[0])
+        projector, total = model.axes @ model.axes.T, model.variance * (n - 1)
+        out.append((side, n, bool(abs(model.axes.T @ model.axes - np.eye(k)).max() < 1e-8), bool(abs(projector.trace() - min(10, len(dates))) < 1e-8),
+                    bool(abs(errors[-1] - total * (1 - model.explained.sum())) < 1e-6 * total), errors[0] > errors[1] > errors[2]))
+    return spark.createDataFrame(out, "is_consumption boolean, n_units long, orthonormal boolean, trace_is_k boolean, "
+                                      "residual_is_unexplained boolean, error_falls boolean")
+
+
 @query("a1_pca_all_components", """
-WITH n AS (SELECT t.*, t.target / nullif(max(target) OVER (PARTITION BY prediction_unit_id, is_consumption), 0) AS y FROM dtgt t),
+WITH n AS (SELECT t.*, t.target / nullif(max(target) OVER (PARTITION BY prediction_unit_id, is_consumption), 0) AS y FROM tgt t),
 daily AS (SELECT prediction_unit_id, is_consumption, date_when_predicting AS d, avg(y) AS v FROM n GROUP BY 1, 2, 3),
 m AS (SELECT prediction_unit_id, is_consumption, avg(v) AS m FROM daily GROUP BY 1, 2),
-days AS (SELECT CAST(unnest(generate_series((SELECT min(date_when_predicting) FROM dtgt), (SELECT max(date_when_predicting) FROM dtgt), INTERVAL 1 DAY)) AS DATE) AS d)
+days AS (SELECT CAST(unnest(generate_series((SELECT min(date_when_predicting) FROM tgt), (SELECT max(date_when_predicting) FROM tgt), INTERVAL 1 DAY)) AS DATE) AS d)
 SELECT m.prediction_unit_id, m.is_consumption, CAST(days.d AS VARCHAR) AS date, round(coalesce(v - m, 0), 6) AS value,
        round(coalesce(v - m, 0), 6) AS reconstructed
-FROM m CROSS JOIN days LEFT JOIN daily USING (prediction_unit_id, is_consumption, d)""", ("dtgt",))
+FROM m CROSS JOIN days LEFT JOIN daily USING (prediction_unit_id, is_consumption, d)""", ("tgt",))
 def a1_pca_all(spark, sf_dir):
     """With as many components as dates, the reconstruction is the (centred) input."""
-    wide = _trajectories(spark, sf_dir)
-    n = len(wide.columns) - 2
-    parts = [A.pca_reconstruct(wide.filter(F.col("is_consumption") == side).drop("is_consumption"), "prediction_unit_id", n, column_means=True)
-             .withColumn("is_consumption", F.lit(side)) for side in (False, True)]
+    x, dates = _trajectories(spark, sf_dir)
+    parts = [A.pca_reconstruct(_by_direction(x, side), ["prediction_unit_id", "is_consumption"], dates, len(dates), column_means=True) for side in (False, True)]
     return rounded(parts[0].unionByName(parts[1]))

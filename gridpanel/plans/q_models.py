@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as C
 from ..operators import models as M
-from ..operators.assemble import assemble_client
+from ..operators.assemble import assemble_client, with_targets
+from ..operators.lags import add_lags
 from ..operators.normalise import apply_unit_max, group_max
 from ..operators.profiles import r_squared
+from ..operators.sizing import dimension
 from ..session import cut_lineage
 from . import features as FB
 from . import pipelines as PL
@@ -117,10 +119,11 @@ def m6_slices(spark, sf_dir):
     mv = group_max(t)
     norm = apply_unit_max(t, mv)
     fs = norm.select(F.min(F.to_date("prediction_datetime"))).scalar()
-    x = M.time_design_columns(norm, "prediction_datetime", fs)
-    slices = M.slice_domain(norm, list(SLICES))
-    model = M.fit_slice_models(x, slices, M.time_feature_names(), "target")
-    out = M.apply_slice_models(x, model, slices)
+    hours = norm.select("prediction_datetime").distinct()
+    times = dimension(M.time_design_columns(hours, "prediction_datetime", fs))
+    slices = M.slice_domain(t, list(SLICES))
+    model = M.fit_slice_models_by_hour(norm, times, slices, M.time_feature_names(), "target")
+    out = M.apply_slice_models_by_hour(norm, model, times, slices)
     return out.select("row_id", "prediction_unit_id", *[f"{c}{v}" for c, vs in slices.items() for v in vs])
 
 
@@ -147,24 +150,106 @@ def _dense(spark, sf_dir, consumption):
 
 @query("m1_production_formula_ols")
 def m1_production(spark, sf_dir):
-    return _dense(spark, sf_dir, False).one_stage(PL.fit_production)
+    pipe = _dense(spark, sf_dir, False)
+    return pipe.one_stage(pipe.production)
 
 
 @query("m2_m3_consumption_segmented_ols")
 def m2_consumption(spark, sf_dir):
-    return _dense(spark, sf_dir, True).one_stage(PL.fit_consumption)
+    pipe = _dense(spark, sf_dir, True)
+    return pipe.one_stage(pipe.consumption)
+
+
+def _lagged(spark, sf_dir, consumption):
+    """Dense rows of one direction with both lags, and all hours with their features."""
+    t = load_panel(spark, sf_dir).dense_target
+    rows = add_lags(t.filter(F.col("is_consumption") == consumption), t, "target", (2, 7), "train")
+    return rows, FB.hour_features(spark, t, t.select(F.min(F.to_date("prediction_datetime"))).scalar())
+
+
+def _cells_sql(direction: str, cell: str) -> str:
+    return f"""
+WITH x AS (SELECT t.row_id, t.is_business, CAST({cell} AS INTEGER) AS cell, t.target AS y, h.target AS x FROM dtgt t
+  JOIN dtgt h ON h.prediction_unit_id = t.prediction_unit_id AND h.is_consumption = t.is_consumption AND h.prediction_datetime = t.prediction_datetime - INTERVAL 2 DAY
+  JOIN dtgt w ON w.prediction_unit_id = t.prediction_unit_id AND w.is_consumption = t.is_consumption AND w.prediction_datetime = t.prediction_datetime - INTERVAL 7 DAY
+  WHERE {direction}),
+m AS (SELECT is_business, cell, regr_intercept(y, x) AS a, regr_slope(y, x) AS b FROM x GROUP BY 1, 2)
+SELECT row_id, round(a + b * x, 4) AS prediction FROM x JOIN m USING (is_business, cell)"""
+
+
+@query("m1_hour_cells", _cells_sql("NOT t.is_consumption", "hour(t.prediction_datetime)"), ("dtgt",))
+def m1_hour_cells(spark, sf_dir):
+    """The production design's hour levels with one row column, which SQL can fit hour by hour."""
+    rows, times = _lagged(spark, sf_dir, False)
+    design = M.BlockDesign({"hour": (F.hour("prediction_datetime"), C.HOURS)}, [("hour", "1"), ("hour", "target_2d_ago")])
+    model = M.fit_blocked_ols_by_hour(rows, times, design, M.ROW_LAGS, segments=["is_business"])
+    return rounded(model.predict(rows).select("row_id", "prediction"), 4)
+
+
+@query("m2_m3_weekday_cells", _cells_sql("t.is_consumption", "isodow(t.prediction_datetime)"), ("dtgt",))
+def m2_weekday_cells(spark, sf_dir):
+    """The consumption design's weekday levels by business flag."""
+    rows, times = _lagged(spark, sf_dir, True)
+    design = M.BlockDesign({"weekday": (C.weekday_iso("prediction_datetime"), list(range(1, 8)))}, [("weekday", "1"), ("weekday", "target_2d_ago")])
+    model = M.fit_blocked_ols_by_hour(rows, times, design, M.ROW_LAGS, segments=["is_business"])
+    return rounded(model.predict(rows).select("row_id", "prediction"), 4)
+
+
+@query("m4_forest_invariants", """
+SELECT DISTINCT is_consumption, true AS better_than_linear, true AS in_range FROM dtgt""", ("dtgt",))
+def m4_invariants(spark, sf_dir):
+    """By direction: the residual forest (fixed seed) lowers the training error of the linear stage, and no predicted
+    residual leaves the range of those it was fitted on."""
+    out = []
+    for consumption in (False, True):
+        pipe = _dense(spark, sf_dir, consumption)
+        train = cut_lineage(pipe.features("train"))
+        first = (pipe.consumption if consumption else pipe.production)(train)
+        staged = cut_lineage(FB.ForestStage(pipe.panel).add(first.predict(train)))
+        forest = M.fit_residual_forest(staged, num_trees=20, max_samples=10_000)
+        resid = F.col("target") - F.col("_first")
+        both = forest.predict(staged).join(staged.select("row_id", F.col("prediction").alias("_first")), "row_id")
+        out.append(both.agg((F.avg((F.col("target") - F.col("prediction")) ** 2) < F.avg(resid ** 2)).alias("better_than_linear"),
+                            ((F.max(F.col("prediction") - F.col("_first")) <= F.max(resid) + 1e-9)
+                             & (F.min(F.col("prediction") - F.col("_first")) >= F.min(resid) - 1e-9)).alias("in_range"))
+                   .select(F.lit(consumption).alias("is_consumption"), "better_than_linear", "in_range"))
+    return out[0].unionAll(out[1])
+
+
+@query("m10_forest_invariants", """
+SELECT DISTINCT is_consumption, true AS better_than_mean, true AS in_range FROM tgt""", ("tgt",))
+def m10_invariants(spark, sf_dir):
+    """The direct forest (fixed seed) explains training rows better than their mean, inside the range of the target."""
+    p = load_panel(spark, sf_dir)
+    a = cut_lineage(FB.forest_stage_features(assemble_client(p.target, p.client, "train"), p))
+    scored = M.fit_forest(a, M.FOREST_FEATURES, "target", num_trees=20, max_samples=5000).predict(a)
+    return scored.groupBy("is_consumption").agg(
+        (F.avg((F.col("target") - F.col("prediction")) ** 2) < F.var_pop("target")).alias("better_than_mean"),
+        ((F.max("prediction") <= a.select(F.max("target")).scalar() + 1e-9) & (F.min("prediction") >= a.select(F.min("target")).scalar() - 1e-9)).alias("in_range"))
+
+
+@query("j14_features_with_targets", f"""
+WITH {_ASM}
+SELECT a.row_id, a.eic_count, a.installed_capacity, y.target FROM asm a JOIN tgt y ON y.row_id = a.row_id WHERE y.is_consumption""", ("tgt", "cli"))
+def j14_with_targets(spark, sf_dir):
+    """Features and the truth of one direction, by row id, as a wrapped model joins them before its fit."""
+    p = load_panel(spark, sf_dir)
+    features = assemble_client(p.target, p.client, "train").select("row_id", "eic_count", "installed_capacity")
+    return with_targets(features, p.target.filter("is_consumption"))
 
 
 @query("m4_m5_m12_m13_stacked_pipeline")
 def m13_pipeline(spark, sf_dir):
     """Production: normalise, linear stage, residual forest, denormalise, submission."""
-    return _dense(spark, sf_dir, False).two_stage(PL.fit_production, PL.fit_forest_stage)
+    pipe = _dense(spark, sf_dir, False)
+    return pipe.two_stage(pipe.production, PL.fit_forest_stage)
 
 
 @query("m13_consumption_pipeline")
 def m13_consumption(spark, sf_dir):
     """Consumption: linear stage per business flag, residual forest, submission; raw units throughout."""
-    return _dense(spark, sf_dir, True).two_stage(PL.fit_consumption, PL.fit_forest_stage)
+    pipe = _dense(spark, sf_dir, True)
+    return pipe.two_stage(pipe.consumption, PL.fit_forest_stage)
 
 
 def _two_stage_sql() -> str:
