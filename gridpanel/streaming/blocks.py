@@ -31,12 +31,20 @@ def _epochs(spark: SparkSession, path: str, before: int | None = None) -> DataFr
     return found if before is None else found.filter(F.col("epoch") < before)
 
 
+def _mark(spark: SparkSession, path: str, epoch: int) -> int | None:
+    """The last block whose truth earlier epochs stored: one row that the epoch before left, or None."""
+    found = _epochs(spark, path)
+    if found is None:
+        return None
+    return found.filter(F.col("epoch") == epoch - 1).agg(F.max("known")).first()[0]
+
+
 def score_batch(batch: DataFrame, epoch: int, revealed: DataFrame, history_path: str, out_path: str, days=(2,), score=None,
-                key=PANEL_KEY, value: str = "target") -> None:
+                key=PANEL_KEY, value: str = "target", late_blocks: int = 7) -> None:
     """One micro-batch of the block replay (T1 + T2).
 
     Truth revealed up to the batch's last block and not stored by an earlier
-    epoch becomes ``history_path/epoch=N``, by day; the batch is scored from
+    epoch, also if it arrives up to ``late_blocks`` after its block, becomes ``history_path/epoch=N``, by day; the batch is scored from
     the stored days its lags fall on, a row seeing only truth revealed by its
     own block; the result becomes ``out_path/epoch=N``. Both folders are
     overwritten, so a batch that runs again after a failure leaves its rows
@@ -45,12 +53,23 @@ def score_batch(batch: DataFrame, epoch: int, revealed: DataFrame, history_path:
     spark = batch.sparkSession
     *ids, ts = key
     span = batch.agg(F.max("data_block_id").alias("last"), F.min(F.to_date(ts)).alias("a"), F.max(F.to_date(ts)).alias("b")).first()
+    marks = f"{history_path.rstrip('/')}-marks"
+    known = _mark(spark, marks, epoch) if epoch else None
+    newest = max((b for b in (span["last"], known) if b is not None), default=None)
+    # an empty batch passes the mark on
+    spark.range(1).select(F.lit(newest).cast("long").alias("known")).write.mode("overwrite").parquet(f"{marks}/epoch={epoch}")
     if span["last"] is None:
         return
-    stored = _epochs(spark, history_path, epoch) if epoch else None
-    known = stored.agg(F.max("revealed_block")).first()[0] if stored is not None else None
     block = F.col("data_block_id")
-    fresh = revealed.filter(block <= span["last"] if known is None else (block <= span["last"]) & (block > known))
+    fresh = revealed.filter(block <= span["last"])
+    if known is not None:
+        fresh = fresh.filter(block > known - late_blocks)
+        held = _epochs(spark, history_path, epoch)
+        if held is not None:
+            # what those blocks brought before; only they are read
+            seen = held.filter(F.col("revealed_block") > known - late_blocks)
+            same = [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in key] + [block == F.col("_s_block")]
+            fresh = fresh.join(seen.select(*[F.col(c).alias(f"_s_{c}") for c in key], F.col("revealed_block").alias("_s_block")), same, "left_anti")
     (fresh.select(*key, value, block.alias("revealed_block"), F.to_date(ts).alias("day"))
      .write.mode("overwrite").partitionBy("day").parquet(f"{history_path.rstrip('/')}/epoch={epoch}"))
     history = _epochs(spark, history_path, epoch + 1)

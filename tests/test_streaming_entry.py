@@ -57,6 +57,22 @@ def test_repeated_batch_and_blocks_in_one_file(spark, tmpdir_path):
     assert stored.count() == revealed.filter("data_block_id <= 11").count()
 
 
+def test_truth_that_comes_late_is_stored_once(spark, tmpdir_path):
+    """Truth of a block already passed, delivered with a later batch, is stored then; nothing is stored twice."""
+    from gridpanel.plans.fixtures import load_panel
+    t = load_panel(spark, SF).target.filter("data_block_id BETWEEN 0 AND 12").cache()
+    revealed = B.with_reveal_block(t).select(*PANEL_KEY, "target", F.col("revealed_block").alias("data_block_id")).cache()
+    late = (F.col("prediction_unit_id") % 3 == 0) & (F.col("data_block_id") <= 6)
+    hist, out = os.path.join(tmpdir_path, "hist"), os.path.join(tmpdir_path, "out")
+    S.score_batch(t.filter("data_block_id IN (4, 5, 6)"), 0, revealed.filter(~late), hist, out)
+    S.score_batch(t.filter("data_block_id = 8"), 1, revealed, hist, out)
+    S.score_batch(t.filter("data_block_id = 9"), 2, revealed, hist, out)
+    stored = [tuple(r) for r in spark.read.parquet(hist).select(*PANEL_KEY, "target", "revealed_block").collect()]
+    assert sorted(stored) == sorted(tuple(r) for r in revealed.filter("data_block_id <= 9").collect())
+    got = {r.row_id: r.prediction for r in spark.read.parquet(out).filter("data_block_id >= 8").collect()}
+    assert got == {r.row_id: r.prediction for r in B.persistence_backtest(t.filter("data_block_id IN (8, 9)"), t).collect()}
+
+
 def test_stream_scores_with_a_fitted_model(spark, tmpdir_path):
     from gridpanel.operators.models import fit_grouped_ols
     from gridpanel.plans.fixtures import load_panel
