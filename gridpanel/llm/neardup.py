@@ -15,15 +15,21 @@
 3. ``confirm``: a candidate group is dealt into blocks of ``BLOCK`` classes, and two
    blocks meet in a task that compares full sets, all of one with all of the
    other, by products of membership matrices. Each task returns a spanning
-   forest of its links, never the pairs. In groups of many blocks, classes
-   that a first round has joined to the group's main part need no comparison
-   with one another.
+   forest of its links, never the pairs. In groups of many blocks that is done
+   for each block with itself and with the first one; classes that this joins to
+   the group's main part need no comparison with one another. The others are
+   joined with their group by ``prefix_pairs``: two sets of similarity t share a
+   shingle among the rarest ``n - ceil(t n) + 1`` of each, so classes that share
+   only a common template, whose shingles are frequent, never meet, and no
+   link is lost. Their pairs are compared on full sets.
 4. ``components``: smallest label of linked classes, by rounds of neighbour
    minimum and pointer jumping.
 
 Two texts of similarity 0.8 share a region of a tree with 0.8^3, so that all
-20 trees miss them with 6e-7; that their signatures agree in fewer than half
-of 64 places has about 1e-8.
+20 trees miss them with 6e-7 where regions hold ``REGION`` classes or fewer;
+that their signatures agree in fewer than half of 64 places has about 1e-8. In
+larger regions a class meets its 31 nearest on either side in the order of up
+to eight minima; the README gives the recall measured there.
 """
 from __future__ import annotations
 
@@ -44,6 +50,7 @@ ONE_RANGE = 65_536              # rows around cuts that one task takes
 AGREE = 0.5
 BLOCK, BLOCK_SHINGLES = 64, 1 << 20
 COLUMNS = 1 << 14               # shingles of a membership matrix at once
+COUNTERS = 1 << 18              # of shingle frequencies: a fixed 2 MB
 BROADCAST_ROWS = 300_000        # rows of about 40 bytes that may be broadcast
 CHUNK = 2 << 20
 MEMO_WORDS = 500_000
@@ -131,8 +138,8 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def sketch(df: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """``(id, n, hi, lo, sig)`` of every row; hi, lo and sig are null for an empty set."""
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
+    """``(id, h, n, hi, lo, sig)`` of every row: ``h`` is a hash of the text; hi, lo and sig are null for an empty set."""
+    rows = df.select(F.col(id_col).cast("long").alias("id"), _text_hash(F.col(text_col)).alias("h"), F.col(text_col).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(k)
@@ -148,11 +155,15 @@ def sketch(df: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
                     hi.append(int.from_bytes(print_[:8], "little", signed=True))
                     lo.append(int.from_bytes(print_[8:], "little", signed=True))
                     sig.append(signature(s).tobytes())
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n, pa.int64()), pa.array(hi, pa.int64()),
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("h"), pa.array(n, pa.int64()), pa.array(hi, pa.int64()),
                                                   pa.array(lo, pa.int64()), pa.array(sig, pa.binary())],
-                                                 names=["id", "n", "hi", "lo", "sig"])
+                                                 names=["id", "h", "n", "hi", "lo", "sig"])
 
-    return rows.mapInArrow(run, "id long, n long, hi long, lo long, sig binary")
+    return rows.mapInArrow(run, "id long, h long, n long, hi long, lo long, sig binary")
+
+
+def _text_hash(text) -> F.Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def forest_rows(classes: DataFrame) -> DataFrame:
@@ -329,10 +340,12 @@ def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent:
 
 
 def _sets_of(df: DataFrame, members: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """``members`` (rep and other columns) with ``s``, the shingle set of each from its whole text."""
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-    small, names = members.count() <= BROADCAST_ROWS, members.columns
-    texts = rows.join(F.broadcast(members) if small else members, F.col("id") == F.col("rep")).select(*names, "t")
+    """``members`` (id, h and other columns) with ``s``, the shingle set of each from its whole text."""
+    rows = df.select(F.col(id_col).cast("long").alias("__id"), _text_hash(F.col(text_col)).alias("__h"), F.col(text_col).alias("t"))
+    small, names = members.count() <= BROADCAST_ROWS, [c for c in members.columns if c not in ("id", "h")]
+    same = (F.col("__id") == F.col("id")) & (F.col("__h") == F.col("h"))
+    # a row that repeats would give its class twice: harmless, as links of a class with itself are none
+    texts = rows.join(F.broadcast(members) if small else members, same).select(*names, "t")
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(k)
@@ -342,7 +355,8 @@ def _sets_of(df: DataFrame, members: DataFrame, id_col: str, text_col: str, k: i
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names],
                                                   pa.array([s.tobytes() for s in sets], pa.binary())], names=[*names, "s"])
 
-    return texts.mapInArrow(to_sets, ", ".join(f"{c} {t}" for c, t in members.dtypes) + ", s binary")
+    kinds = dict(members.dtypes)
+    return texts.mapInArrow(to_sets, ", ".join(f"{c} {kinds[c]}" for c in names) + ", s binary")
 
 
 def _compare(met: DataFrame, percent: int) -> DataFrame:
@@ -371,13 +385,13 @@ def confirm(df: DataFrame, candidates: DataFrame, classes: DataFrame, id_col: st
 
     Groups of one block are compared at once. In larger ones every block first
     meets itself and block 0; the part of the group that this joins is
-    settled, and the rest is then compared with all, so that the work is
-    group size times unsettled classes, not its square."""
-    sized = candidates.join(classes.select("rep", "n"), candidates["node"] == F.col("rep")).select("rep", "comp", "n")
+    settled, and the rest finds its partners by ``prefix_pairs``, so that the
+    work follows the pairs that share rare shingles, not the group's square."""
+    sized = candidates.join(classes.select("rep", "id", "h", "n"), candidates["node"] == F.col("rep")).select("rep", "id", "h", "comp", "n")
     groups = sized.groupBy("comp").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
     members = materialise(sized.join(groups.select("comp", _blocks("members", "shingles").alias("nb")), "comp")
-                          .select("rep", "comp", "n", "nb", F.pmod(F.xxhash64("rep"), F.col("nb")).alias("own")), "members")
-    sets = _sets_of(df, members.select("rep", "comp", "nb", "own"), id_col, text_col, k)
+                          .select("rep", "id", "h", "comp", "n", "nb", F.pmod(F.xxhash64("rep"), F.col("nb")).alias("own")), "members")
+    sets = _sets_of(df, members.select("rep", "id", "h", "comp", "nb", "own"), id_col, text_col, k)
     # block b as (b, b) and (0, b); block 0 as (0, 0) and with every other
     zero = F.lit(0).cast("long")
     pair = lambda x, y: F.struct(x.alias("x"), y.alias("y"))                                      # noqa: E731
@@ -390,21 +404,108 @@ def confirm(df: DataFrame, candidates: DataFrame, classes: DataFrame, id_col: st
         return first
     labels = components(first, "first-links")
     named = materialise(large.join(labels.select(F.col("node").alias("rep"), F.col("comp").alias("part")), "rep", "left")
-                        .select("rep", "comp", "n", F.coalesce("part", "rep").alias("part")), "parts")
-    most = (named.groupBy("comp", "part").count().groupBy("comp").agg(F.max_by("part", F.struct("count", "part")).alias("main")))
-    rest = named.join(most, "comp").select("rep", "comp", "n", (F.col("part") == F.col("main")).alias("settled"))
-    counts = rest.groupBy("comp").agg(*[f(F.when(c, v).otherwise(0)).alias(name) for name, f, c, v in (
-        ("nu", F.sum, ~F.col("settled"), F.lit(1)), ("su", F.sum, ~F.col("settled"), F.col("n")),
-        ("ns", F.sum, F.col("settled"), F.lit(1)), ("ss", F.sum, F.col("settled"), F.col("n")))])
-    counts = counts.select("comp", _blocks("nu", "su").alias("bu"), _blocks("ns", "ss").alias("bs")).filter("bu > 0")
-    # unsettled blocks 0 .. bu - 1 meet all blocks, settled ones only these
-    dealt = rest.join(counts, "comp").select("rep", "comp", "settled", "bu", "bs", F.when(
-        F.col("settled"), F.col("bu") + F.pmod(F.xxhash64("rep"), F.greatest("bs", F.lit(1)))).otherwise(F.pmod(F.xxhash64("rep"), F.col("bu"))).alias("own"))
-    again = _sets_of(df, materialise(dealt, "unsettled"), id_col, text_col, k)
-    other = F.explode(F.sequence(zero, F.when(F.col("settled"), F.col("bu")).otherwise(F.col("bu") + F.col("bs")) - 1))
-    met = again.withColumn("other", other).select("rep", "comp", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "s")
+                        .select("rep", "id", "h", "comp", F.coalesce("part", "rep").alias("part")), "parts")
+    most = (named.groupBy("comp", "part").count().groupBy("comp")
+            .agg(F.max_by("part", F.struct("count", "part")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1"))
     known = labels.filter(F.col("node") != F.col("comp")).select(F.col("comp").alias("a"), F.col("node").alias("b"))
-    return known.unionAll(_compare(met, percent))
+    rest = named.join(most, "comp").select("rep", "id", "h", "comp", (F.col("part") == F.col("main")).alias("settled"))
+    full = materialise(_sets_of(df, materialise(rest, "unsettled"), id_col, text_col, k).dropDuplicates(["rep"]), "unsettled-sets")
+    return known.unionAll(verified(prefix_pairs(full, percent), full, percent))
+
+
+def _counters(sets: DataFrame) -> np.ndarray:
+    """How often the shingles of each counter occur: ``COUNTERS`` numbers, whatever the table's size."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for part in slices(batch, "s", CHUNK):
+                total += np.bincount(_counter(np.frombuffer(b"".join(part.column("s").to_pylist()), np.uint64)), minlength=COUNTERS)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["c", "n"])
+
+    found = sets.select("s").mapInArrow(count, "c long, n long").groupBy("c").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(COUNTERS, np.int64)
+    out[found.column("c").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
+def _counter(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - (COUNTERS.bit_length() - 1))).astype(np.int64)
+
+
+def prefix(shingles: np.ndarray, counters: np.ndarray, percent: int) -> np.ndarray:
+    """The first ``n - ceil(percent n / 100) + 1`` shingles of a set in the order of their counters, then of themselves:
+    one order for all sets, so two of that similarity have one of these in common."""
+    n = len(shingles)
+    order = np.lexsort((shingles, counters[_counter(shingles)]))
+    return shingles[order[:n + (-percent * n // 100) + 1]]
+
+
+def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """``(a, b)``: distinct pairs of classes of a group that may be linked, unsettled ones with all others.
+
+    ``sets``: rep, comp, settled, s. Pairs meet on (group, shingle of both
+    prefixes) if their sizes allow the similarity; adaptive execution splits a
+    hot key of the join."""
+    counters = _counters(sets)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "s", CHUNK):
+                all_sets = [np.frombuffer(s, np.uint64) for s in part.column("s").to_pylist()]
+                first = [prefix(s, counters, percent) for s in all_sets]
+                at = pa.array(np.repeat(np.arange(len(first)), [len(f) for f in first]))
+                size = pa.array([len(s) for s in all_sets], pa.int64())
+                token = np.concatenate(first).view(np.int64) if first else np.empty(0, np.int64)
+                yield pa.RecordBatch.from_arrays([*[part.column(c).take(at) for c in ("rep", "comp", "settled")], size.take(at), pa.array(token)],
+                                                 names=["rep", "comp", "settled", "n", "token"])
+
+    placed = sets.mapInArrow(rows, "rep long, comp long, settled boolean, n long, token long")
+    u = placed.filter(~F.col("settled")).select(F.col("rep").alias("a"), "comp", "token", F.col("n").alias("na"))
+    v = placed.select(F.col("rep").alias("b"), "comp", "token", "settled", F.col("n").alias("nb"))
+    fits = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.col("a") != F.col("b")) & (F.col("settled") | (F.col("a") < F.col("b")))
+    return u.join(v, ["comp", "token"]).filter(fits).select("a", "b").distinct()
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` whose full sets have the similarity."""
+    def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "s", CHUNK):
+                whole = [np.frombuffer(s, np.int64) for s in part.column("s").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("rep"), pa.array(whole, pa.list_(pa.int64()))], names=["rep", "v"])
+
+    held = sets.select("rep", "s").mapInArrow(arrays, "rep long, v array<long>")
+    both = (pairs.join(held.select(F.col("rep").alias("a"), F.col("v").alias("va")), "a")
+            .join(held.select(F.col("rep").alias("b"), F.col("v").alias("vb")), "b"))
+    common = F.size(F.array_intersect("va", "vb"))
+    return both.filter(100 * common >= percent * (F.size("va") + F.size("vb") - common)).select("a", "b")
+
+
+def _named(df: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """``(id, h, n, comp, first)`` of every row; ``first``: of its group's rows with an id, this is the smallest by id,
+    then hash of the text."""
+    rows = materialise(sketch(df, id_col, text_col, k), "sketch")
+    classes = (rows.filter(F.col("hi").isNotNull() & F.col("id").isNotNull()).groupBy("hi", "lo")
+               .agg(F.min(F.struct("id", "h")).alias("m"), F.first("n").alias("n"), F.first("sig").alias("sig"))
+               .select("hi", "lo", "m.id", "m.h", "n", "sig"))
+    classes = materialise(classes.withColumn("rep", F.col("id")), "classes")
+    if not classes.groupBy("id").count().filter("count > 1").isEmpty():
+        # one id is the smallest of several classes: number them in the order of ids, so that the smallest number
+        # of a group is still the one with its smallest id
+        ordered = classes.drop("rep").repartitionByRange("id", "h").sortWithinPartitions("id", "h")
+        classes = materialise(ordered.withColumn("rep", F.monotonically_increasing_id()), "numbered-classes")
+    candidates = components(neighbours(classes), "candidates")
+    labels = components(confirm(df, candidates, classes, id_col, text_col, k, percent), "links")
+    named = (classes.join(labels, classes["rep"] == labels["node"], "left")
+             .select("hi", "lo", "rep", F.coalesce("comp", "rep").alias("comp"), F.col("id").alias("cid"), F.col("h").alias("ch")))
+    heads = classes.select(F.col("rep").alias("head"), F.col("id").alias("group_id"))
+    inner = named.filter(F.col("comp") != F.col("rep")).join(heads, F.col("comp") == F.col("head")).drop("head")
+    named = named.filter(F.col("comp") == F.col("rep")).withColumn("group_id", F.col("cid")).unionByName(inner)
+    named = materialise(named.select("hi", "lo", "group_id", "cid", "ch", (F.col("comp") == F.col("rep")).alias("head")), "class-labels")
+    first = F.coalesce(F.col("head") & (F.col("id") == F.col("cid")) & (F.col("h") == F.col("ch")), F.lit(True))
+    return (rows.select("id", "h", "n", "hi", "lo").join(named, ["hi", "lo"], "left")
+            .select("id", "h", "n", F.coalesce("group_id", "id").alias("comp"), first.alias("first")))
 
 
 def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -414,16 +515,9 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str =
     sets of ``k``-word shingles. Null, empty and blank texts have an empty set
     (n = 0) and are linked with nothing. A row without an id joins its group
     but never names it; without other members its comp is null. Repeated rows
-    stay rows. Other columns are ignored."""
-    rows = materialise(sketch(df, id_col, text_col, k), "sketch")
-    classes = materialise(rows.filter(F.col("hi").isNotNull() & F.col("id").isNotNull())
-                          .groupBy("hi", "lo").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
-    candidates = components(neighbours(classes), "candidates")
-    labels = components(confirm(df, candidates, classes, id_col, text_col, k, percent), "links")
-    named = materialise(classes.join(labels, classes["rep"] == labels["node"], "left")
-                        .select("hi", "lo", F.coalesce("comp", "rep").alias("comp")), "class-labels")
-    return (rows.select("id", "n", "hi", "lo").join(named, ["hi", "lo"], "left")
-            .select("id", "n", F.coalesce("comp", "id").alias("comp")))
+    stay rows; rows of one id and different texts are judged each by its own
+    text. Other columns are ignored."""
+    return _named(df, k, percent, id_col, text_col).select("id", "n", "comp")
 
 
 def near_duplicate_digest(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame:
@@ -434,17 +528,20 @@ def near_duplicate_digest(docs: DataFrame, k: int = 4, percent: int = 80) -> Dat
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group, the one of the smallest id; all columns stay.
+    """``docs`` with one row of each group, the one of the smallest id (of several texts under it, one); all columns stay.
 
-    Rows that repeat an id and its text leave one. Rows without an id cannot be named by a group's
+    A decision falls on a row, not on an id: where an id occurs with different
+    texts, each text stays or goes with its own group. Rows that repeat an id
+    and its text leave one. Rows without an id cannot be named by a group's
     decision: they stay, one for each text."""
-    labels = near_duplicates(docs, k, percent, id_col, text_col)
-    dropped = materialise(labels.filter(F.col("id") != F.col("comp")).select(F.col("id").alias("__dropped")).distinct(), "dropped")
+    labels = _named(docs, k, percent, id_col, text_col)
+    dropped = materialise(labels.filter(~F.col("first") & F.col("id").isNotNull()).select(F.col("id").alias("__dropped"), F.col("h").alias("__h"))
+                          .distinct(), "dropped")
     if dropped.count() <= BROADCAST_ROWS:
         dropped = F.broadcast(dropped)
     repeated = docs.groupBy(F.col(id_col).alias("__id")).count().filter("count > 1").select("__id")
     repeated = materialise(repeated, "repeated")
-    kept = docs.join(dropped, docs[id_col] == dropped["__dropped"], "left_anti")
+    kept = docs.join(dropped, (docs[id_col] == dropped["__dropped"]) & (_text_hash(docs[text_col]) == dropped["__h"]), "left_anti")
     if not repeated.isEmpty():
         same = F.broadcast(repeated) if repeated.count() <= BROADCAST_ROWS else repeated
         twins = kept.join(same, kept[id_col].eqNullSafe(same["__id"]), "left_semi").withColumn("__text", F.xxhash64(text_col))

@@ -92,6 +92,65 @@ def test_keep_one(docs, words):
         [(2, near), (4, "something else here at all"), (6, ""), (7, ""), (0, "x y z")])
 
 
+def test_rows_of_one_id_are_judged_by_their_own_texts(docs, words):
+    """An id with several texts: each goes or stays with its own group, and groups do not merge through the id."""
+    a, b = " ".join(words[:80]), " ".join(words[100:180])
+    near_a = " ".join([*words[:79], "other"])
+    ids = lambda rows: sorted((r["doc_id"], r["text"]) for r in neardup.keep_one(docs(rows)).collect())           # noqa: E731
+    assert ids([(5, a), (7, a), (5, b), (3, b)]) == [(3, b), (5, a)]
+    assert ids([(5, a), (7, a), (5, b), (9, b)]) == sorted([(5, a), (5, b)])
+    assert ids([(5, a), (5, b), (9, b), (2, near_a)]) == sorted([(2, near_a), (5, b)])
+    assert len(ids([(5, a), (5, near_a), (5, a.upper())])) == 1
+    rows = [(5, a), (5, b), (9, b), (2, near_a), (9, a)]
+    assert run(docs(rows), 5) == brute(rows, 5)
+    got = {(r["id"], r["comp"]) for r in neardup.near_duplicates(docs(rows)).collect()}
+    assert got == {(5, 2), (5, 5), (9, 5), (2, 2), (9, 2)}
+
+
+def template_texts(rng, words, n, share=0.56, length=60):
+    """Texts that share the same passage and nothing else: similarity about 0.55, no links."""
+    shared = [rng.choice(words) for _ in range(int(length * share * 4 / 3))]
+    return [" ".join(shared + [rng.choice(words) for _ in range(length - len(shared))]) for _ in range(n)]
+
+
+def test_template_group_without_links_stays_in_proportion(spark, docs, words, monkeypatch):
+    """Classes that share a template only are one candidate group; their pairs must not grow with its square."""
+    rng = random.Random(12)
+    pairs = []
+    inner = neardup.prefix_pairs
+
+    def counted(sets, percent):
+        out = neardup.materialise(inner(sets, percent), "counted")
+        pairs.append((sets.count(), out.count()))
+        return out
+    monkeypatch.setattr(neardup, "prefix_pairs", counted)
+    texts = template_texts(rng, words, 1200)
+    planted = [" ".join(t.split()[:-1] + ["planted"]) for t in texts[:40]]
+    for n in (600, 1200):
+        part = texts[:n] + planted
+        got = {r["id"]: r["comp"] for r in neardup.near_duplicates(docs(list(enumerate(part))).repartition(4), 4).collect()}
+        assert all(got[n + i] == i for i in range(40)) and sum(i != c for i, c in got.items()) == 40
+    (m1, p1), (m2, p2) = pairs
+    assert m1 > 300 and m2 > 800                        # the groups did go this way
+    assert p2 < 3 * p1 + 200 and p2 < 3 * m2            # all pairs of the larger one would be 700,000
+
+
+def test_prefixes_share_a_shingle():
+    """Sets of the similarity meet in their prefixes whatever the counters say."""
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        n = int(rng.integers(1, 60))
+        a = rng.integers(0, 2**63, n, dtype=np.uint64)
+        b = np.r_[a[:max(1, n - int(rng.integers(0, 1 + n // 8)))], rng.integers(0, 2**63, int(rng.integers(0, 1 + n // 8)), dtype=np.uint64)]
+        a, b = np.unique(a), np.unique(b)
+        common = len(np.intersect1d(a, b))
+        if 100 * common >= 80 * (len(a) + len(b) - common):
+            counters = rng.integers(0, 5, neardup.COUNTERS)
+            assert len(np.intersect1d(neardup.prefix(a, counters, 80), neardup.prefix(b, counters, 80)))
+    assert len(neardup.prefix(np.arange(10, dtype=np.uint64), np.zeros(neardup.COUNTERS, np.int64), 80)) == 3
+    assert len(neardup.prefix(np.arange(10, dtype=np.uint64), np.zeros(neardup.COUNTERS, np.int64), 100)) == 1
+
+
 def test_large_regions_are_taken_deeper():
     rng = np.random.default_rng(0)
     n = 400
