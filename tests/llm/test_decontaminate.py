@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -63,7 +64,7 @@ def test_leaks(spark, docs, words, odd_texts):
         " ".join(odd_texts[5].split() + item),                                                          # at the end of a long text
         *odd_texts]
     rows = [*enumerate(texts), (0, texts[0])]
-    items = [(1, " ".join(item)), (2, None), (3, ""), (4, "too short here"), (5, " ".join(words[1000:1030])), (6, " ".join(item))]
+    items = [(1, " ".join(item)), (2, None), (3, ""), (4, "too short"), (5, " ".join(words[1000:1030])), (6, " ".join(item))]
     found = leaked(docs(rows).repartition(3), bench(spark, items))
     long_id = len(texts) - len(odd_texts) + 5           # that text repeats all words, so item 5 too
     expected = [(d, i, c) for d, c in ((0, 1.0), (0, 1.0), (1, 1.0), (2, 0.5), (4, 1.0), (7, 1.0)) for i in (1, 6)] + [(7, 5, 1.0), (long_id, 5, 1.0)]
@@ -75,6 +76,51 @@ def test_leaks(spark, docs, words, odd_texts):
     assert clean.columns == docs(rows).columns
 
 
+def test_short_and_unspaced_items(spark, docs, words):
+    pad = " ".join(words[:40])
+    chinese = "请问下列哪一个选项是正确的答案"
+    items = [(1, "Capital of France?"), (2, "yes"), (3, "What is 2+2"), (4, chinese), (5, "ภาษาไทยไม่มีช่องว่างระหว่างคำ"), (6, " ".join(words[100:110])), (7, "!?")]
+    texts = [f"{pad} capital OF france {pad}", "capital of, and france", "Yes!", f"{pad} yes", "what is 2 2", "what is 2",
+             f"{pad}{chinese}。{pad}", chinese[:5] + "天" + pad, "x ภาษาไทยไม่มีช่องว่างระหว่างคำ y", " ".join(words[100:105]) + " " + pad, " ".join(words[100:108])]
+    got = {(d, i) for d, i, _ in leaked(docs(list(enumerate(texts))).repartition(2), bench(spark, items))}
+    assert got == {(0, 1), (2, 2), (4, 3), (6, 4), (8, 5), (10, 6)}
+    gone = {d for d, _ in got}
+    assert sorted(r["doc_id"] for r in D.drop_leaks(docs(list(enumerate(texts))), bench(spark, items)).collect()) == [i for i in range(len(texts)) if i not in gone]
+
+
+def test_common_opener_of_many_items(words, monkeypatch):
+    """Thousands of items that begin alike cost a text a count each; results are those of plain tiling."""
+    rng = random.Random(2)
+    opener = "which of the following is"
+    items = [(i, opener + " " + " ".join(rng.choice(words) for _ in range(12))) for i in range(16_000)]
+    index = D.Index(items, 5)
+    texts = [f"{opener} " + " ".join(rng.choice(words) for _ in range(200)) for _ in range(20)] + [items[777][1], None, ""]
+    start = time.perf_counter()
+    got = [(d, i) for d, i, _ in index.covered(texts)]
+    assert time.perf_counter() - start < 0.1 * len(texts) and got == [(20, 777)]
+    monkeypatch.setattr(D, "PAIRS", 1000)                       # fewer than one text has
+    assert [(d, i) for d, i, _ in index.covered(texts)] == got
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_pruned_pairs_equal_plain_tiling(seed):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(4)]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(3, 22)))) for i in range(25)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 60))) for _ in range(25)]
+    index = D.Index(items, 5)
+    got = {(d, i) for d, i, _ in index.covered(texts)}
+    want = set()
+    for d, t in enumerate(texts):
+        doc = [index.number.get(w, -1) for w in D.words(t)]
+        for i, (_, seq) in enumerate(index.items):
+            n = len(seq)
+            matched = tiling(seq.tolist(), doc, min(5, n))[0]
+            if matched >= max(0.5 * n, min(n, D.ENOUGH)):
+                want.add((d, i))
+    assert got == want and want
+
+
 def test_empty_tables(spark, docs):
     assert leaked(docs([]), bench(spark, [(1, "a b c d e f")])) == []
     assert leaked(docs([(1, "a b c d e f")]), bench(spark, [])) == []
