@@ -27,7 +27,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import materialise, shared_path
 
-FILE_BYTES = 16 << 20           # payload bytes of an archive file, on average
+FILE_BYTES = 16 << 20           # bytes of an archive file, before compression; a longer record is a file of its own
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"      # fixed value of the format
 MERGE_ROWS = 100_000            # index rows that one task merges in memory
 BROADCAST_ROWS = 200_000        # rows of about 60 bytes that may be broadcast
 TERMINATOR = "\r\n\r\n"
@@ -89,12 +90,30 @@ def capture_time(page_id: Column) -> Column:
     return F.lit(START_OF_TIME) + F.pmod(F.coalesce(page_id, F.lit(0)), F.lit(1_000_000_000))
 
 
-def write(found: DataFrame, path: str, records_per_file: int = 0) -> None:
-    """Write the records of ``found`` as WARC files under ``path``: each task its own, cut at ``records_per_file``
-    (0: not cut). Nothing is shuffled for it."""
+def in_files(found: DataFrame, size_col: str, file_bytes: int) -> DataFrame:
+    """``found`` with ``file``: a number that rises within a task whenever ``file_bytes`` are full. Nothing is shuffled."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, filled = 0, 0
+        for batch in batches:
+            files = np.empty(batch.num_rows, np.int64)
+            for i, size in enumerate(batch.column(size_col).to_pylist()):
+                if filled and filled + size > file_bytes:
+                    number, filled = number + 1, 0
+                filled += size
+                files[i] = number
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(files)], names=[*batch.schema.names, "file"])
+
+    return found.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in found.dtypes) + ", file long")
+
+
+def write(found: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
+    """Write the records of ``found`` as WARC files under ``path``: each task its own, cut by bytes, so that a run of
+    large pages makes many files and none that a reader cannot hold. Nothing is shuffled for it."""
     lines = [F.lit("WARC/1.1"), F.concat(F.lit("WARC-Type: "), "type"),
              F.concat(F.lit("WARC-Date: "), F.date_format(F.timestamp_seconds(capture_time(F.col("page_id"))), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
-             F.when(F.col("page_id").isNotNull(), F.concat(F.lit("WARC-Record-ID: <urn:page:"), F.col("page_id").cast("string"), F.lit(">"))),
+             F.concat(F.lit("WARC-Record-ID: <urn:"), F.coalesce(F.concat(F.lit("page:"), F.col("page_id").cast("string")),
+                                                               F.concat(F.lit("uuid:"), F.uuid())), F.lit(">")),
+             F.when(F.col("type") == "revisit", F.lit(f"WARC-Profile: {PROFILE}")),
              F.when(F.col("url").isNotNull(), F.concat(F.lit("WARC-Target-URI: "), _header_value(F.col("url")))),
              F.concat(F.lit("WARC-URL-Key: "), _header_value(url_key(F.col("url")))),
              F.concat(F.lit("WARC-Payload-Digest: sha1:"), "digest"),
@@ -102,8 +121,9 @@ def write(found: DataFrame, path: str, records_per_file: int = 0) -> None:
              F.when(F.col("refers_to").isNotNull(), F.concat(F.lit("WARC-Refers-To: <urn:page:"), F.col("refers_to").cast("string"), F.lit(">"))),
              F.concat(F.lit("Content-Length: "), F.octet_length("payload").cast("string"))]
     record = F.concat(F.concat_ws("\r\n", *lines), F.lit(TERMINATOR), F.col("payload"))
-    (found.select(record.alias("record")).write.option("lineSep", TERMINATOR).option("compression", "gzip")
-     .option("maxRecordsPerFile", records_per_file).text(path))
+    sized = found.select(record.alias("record")).withColumn("size", F.octet_length("record"))
+    (in_files(sized, "size", file_bytes).select("record", "file").write.partitionBy("file")
+     .option("lineSep", TERMINATOR).option("compression", "gzip").text(path))
 
 
 def parse(data: bytes) -> Iterator[tuple[dict, bytes, int]]:
@@ -123,7 +143,7 @@ def base32_sha1(payload: bytes) -> str:
 
 
 def _page(urn: str | None) -> int | None:
-    return int(urn[len("<urn:page:"):-1]) if urn else None
+    return int(urn[len("<urn:page:"):-1]) if urn and urn.startswith("<urn:page:") else None
 
 
 RUN_SCHEMA = ("page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
@@ -238,11 +258,9 @@ def archive_and_index(pages: DataFrame, path: str | None = None, **options) -> D
     spark = pages.sparkSession
     path = path or shared_path(spark, "warc")
     found = records(pages, **options)
-    total = pages.agg(F.coalesce(F.sum(F.octet_length(options.get("payload_col", "html")) + 512), F.lit(0)).alias("b"),
-                      F.count(F.lit(1)).alias("n")).first()
-    write(found, path, max(1, FILE_BYTES * total["n"] // max(1, total["b"])))
+    write(found, path)
     runs = materialise(read_runs(spark, path), "warc-runs")
-    return merge_runs(runs, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total["n"] // MERGE_ROWS)))
+    return merge_runs(runs, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-runs.count() // MERGE_ROWS)))
 
 
 def digest_query(pages: DataFrame) -> DataFrame:

@@ -49,11 +49,13 @@ def test_index_is_globally_ordered(spark):
 
 
 def test_written_archives_are_valid(spark, tmp_path):
-    warc.write(warc.records(pages(spark, ROWS)), str(tmp_path / "w"), 4)
-    seen = []
-    for f in (tmp_path / "w").glob("part-*"):
+    warc.write(warc.records(pages(spark, ROWS)), str(tmp_path / "w"), 1500)
+    seen, ids = [], set()
+    for f in (tmp_path / "w").glob("**/part-*"):
         for head, block, _ in warc.parse(zlib.decompress(f.read_bytes(), 31)):
             seen.append(head["WARC-Type"])
+            ids.add(head["WARC-Record-ID"])
+            assert ("WARC-Profile" in head) == (head["WARC-Type"] == "revisit")
             if head["WARC-Type"] == "response":
                 assert head["WARC-Payload-Digest"] == "sha1:" + warc.base32_sha1(block)
             else:
@@ -61,6 +63,24 @@ def test_written_archives_are_valid(spark, tmp_path):
     assert sorted(seen) == sorted(["revisit"] * 5 + ["response"] * 5)        # "same" twice, HARD, "neg", and "" after null
 
 
+def test_files_are_cut_by_bytes(spark, tmp_path):
+    """A run of large pages after small ones: no file holds more than the bound, but for single records beyond it."""
+    rng = random.Random(3)
+    rows = [(i, "http://a/", f"small {i}") for i in range(200)] + [(1000 + i, "http://b/", "".join(rng.choices("abcdef", k=20_000))) for i in range(40)]
+    rows += [(5000, "http://c/", "".join(rng.choices("abcdef", k=200_000))), (None, "http://c/", "no id"), (None, "http://c/", "no id either")]
+    warc.write(warc.records(pages(spark, rows)), str(tmp_path / "w"), 100_000)
+    sizes, ids, single = [], [], 0
+    for f in (tmp_path / "w").glob("**/part-*"):
+        data = zlib.decompress(f.read_bytes(), 31)
+        found = list(warc.parse(data))
+        ids += [h["WARC-Record-ID"] for h, _, _ in found]
+        single += len(found) == 1 and len(data) > 100_500
+        sizes.append((len(data), len(found)))
+    assert all(size <= 100_000 + 4 * n for size, n in sizes if n > 1) and single == 1
+    assert len(ids) == len(set(ids)) == len(rows) and len(sizes) < 40
+    assert warc.read_runs(spark, str(tmp_path / "w")).count() == len(rows)
+
+
 def test_min_bytes_repeated_and_missing_ids(spark):
     rows = [(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcdef"), (4, "u", "abcdef"), (4, "u", "abcdef"), (None, "u", "abcdef"), (None, "u", "only")]
     got = sorted((r["page_id"] or 0, r["type"], r["refers_to"]) for r in warc.records(pages(spark, rows), min_bytes=3).collect())
