@@ -25,14 +25,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import spread
+from .common import slices, spread
 
 TURN, TEXT, END = b"<|turn|>", b"<|text|>", b"<|end|>"
 _ESCAPE, _UNESCAPE = re.compile(rb"<(\\*)\|"), re.compile(rb"<\\(\\*)\|")
 _TURN_TEXT = re.compile(rb"<\|turn\|>(.*?)<\|text\|>(.*?)<\|end\|>", re.S)
 #: a control conversation whose texts look like another template's control strings
 CONTROL = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
-CHUNK_TURNS = 4096
+CHUNK_BYTES = 16 << 20          # text laid out at once; a longer turn is a chunk of its own
+CHUNK_TURNS = 4096              # and turns, as each has marks of its own
 
 
 def escape(data: bytes) -> bytes:
@@ -74,11 +75,12 @@ def assemble(role: pa.Array, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, lens.sum(1)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], first: str) -> Iterator[pa.RecordBatch]:
-    """Slices of ``CHUNK_TURNS`` rows, cut at text volume by Arrow's batches."""
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of ``CHUNK_BYTES`` of text and ``CHUNK_TURNS`` rows at most."""
     for batch in batches:
-        for lo in range(0, batch.num_rows, CHUNK_TURNS):
-            yield batch.slice(lo, CHUNK_TURNS)
+        for part in slices(batch, "t", CHUNK_BYTES):
+            for lo in range(0, part.num_rows, CHUNK_TURNS):
+                yield part.slice(lo, CHUNK_TURNS)
 
 
 def format_conversations(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
@@ -97,7 +99,7 @@ def format_conversations(df: DataFrame, conv_col: str = "conv_id", turn_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_id, open_parts = None, []                # the conversation that may go on in the next chunk
         ctype = None
-        for batch in _chunks(batches, "c"):
+        for batch in _chunks(batches):
             conv = batch.column("c")
             ctype = conv.type
             ids = conv.to_pylist()
@@ -174,7 +176,8 @@ def read_back(df: DataFrame, conv_col: str = "conv_id") -> DataFrame:
 
 
 def with_control(conversations: DataFrame) -> DataFrame:
-    """The conversations and the control conversation -1."""
+    """The conversations and the control conversation -1. Rows that the table itself has under -1 are turns of the same
+    conversation: all go by turn, then role, then text, like those of any other."""
     control = conversations.sparkSession.createDataFrame(CONTROL, "conv_id long, turn long, role string, text string")
     return conversations.select("conv_id", "turn", "role", "text").unionAll(control)
 
