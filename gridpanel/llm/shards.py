@@ -11,7 +11,9 @@ write to one shard.
 
 The result depends on the rows and the seed only, not on input splits, task
 order or retries. Rows of an id that is more frequent than a bucket is large
-are scattered by a hash of their other columns as well.
+are scattered by a hash of all their columns and of their number among equal
+rows: such rows are counted before the shuffle, and the count is dealt out in
+pieces, so that a table that is mostly one repeated row spreads like any other.
 """
 from __future__ import annotations
 
@@ -20,10 +22,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import shared_path
+from .common import materialise, shared_path
 
 BUCKET_BYTES = 64 << 20         # text of a bucket on average; its count is one number on the driver
 CELLS_PER_BUCKET = 64
+PIECE = 4096                    # equal rows that one task deals out
 
 
 def fisher_yates(n: int, rng: np.random.Generator) -> np.ndarray:
@@ -59,13 +62,21 @@ def shuffle_into_shards(df: DataFrame, path: str, shards: int = 8, id_col: str =
     per_bucket = max(1, total["n"] // buckets)
     cells = buckets * CELLS_PER_BUCKET
     # ids with more rows than a bucket: at most ``buckets`` of them, so this side is bounded
-    heavy = (df.groupBy(F.col(id_col).alias("__id")).count().filter(F.col("count") > per_bucket + 64)
-             .select("__id", F.lit(True).alias("__heavy")))
-    plain = F.xxhash64(F.lit(seed), F.col(id_col))
-    whole = F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns])
-    marked = df.join(F.broadcast(heavy), F.col(id_col).eqNullSafe(F.col("__id")), "left")
-    bucket = F.floor(F.pmod(F.when(F.col("__heavy"), whole).otherwise(plain), F.lit(cells)) / CELLS_PER_BUCKET).cast("long")
-    scattered = marked.withColumn("__bucket", bucket).drop("__id", "__heavy")
+    heavy = materialise(df.groupBy(F.col(id_col).alias("__id")).count().filter(F.col("count") > per_bucket + 64)
+                        .select("__id", F.lit(True).alias("__heavy")), "heavy-ids")
+    place = lambda h: F.floor(F.pmod(h, F.lit(cells)) / CELLS_PER_BUCKET).cast("long")                    # noqa: E731
+    columns = [F.col(c) for c in df.columns]
+    if heavy.isEmpty():
+        scattered = df.withColumn("__bucket", place(F.xxhash64(F.lit(seed), F.col(id_col))))
+    else:
+        marked = df.join(F.broadcast(heavy), F.col(id_col).eqNullSafe(F.col("__id")), "left")
+        light = marked.filter("__heavy is null").select(*columns, place(F.xxhash64(F.lit(seed), F.col(id_col))).alias("__bucket"))
+        whole = F.xxhash64(F.lit(seed), *columns)
+        counted = marked.filter("__heavy").groupBy(*columns).agg(F.count(F.lit(1)).alias("__n")).withColumn("__row", whole)
+        pieces = counted.withColumn("__from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1, F.lit(PIECE).cast("long"))))
+        dealt = (pieces.repartition("__row", "__from")
+                 .withColumn("__no", F.explode(F.sequence("__from", F.least(F.col("__from") + PIECE, F.col("__n")) - 1))))
+        scattered = light.unionByName(dealt.select(*columns, place(F.xxhash64(F.lit(seed), "__row", "__no")).alias("__bucket")))
     counts = np.zeros(buckets + 1, np.int64)
     for r in scattered.groupBy("__bucket").count().collect():          # one number for each bucket
         counts[r["__bucket"] + 1] = r["count"]
@@ -85,7 +96,8 @@ def shuffle_into_shards(df: DataFrame, path: str, shards: int = 8, id_col: str =
         out = table.select(names).take(pa.array(order))
         return out.append_column("shard", pa.array(shard, pa.int32())).append_column("slot", pa.array(place - bounds[shard]))
 
-    (scattered.groupBy("__bucket").applyInArrow(pass_two, out_type)
+    # as many partitions as buckets: a task then reads about one, whatever the session's number
+    (scattered.repartition(buckets, "__bucket").groupBy("__bucket").applyInArrow(pass_two, out_type)
      .write.partitionBy("shard").parquet(path))
     back = spark.read.schema(out_type).parquet(path)
     return back.select(*names, "shard", "slot")
