@@ -47,7 +47,8 @@ KINDS = [
 ]
 STRONG = [k[0] for k in KINDS if k[2]]
 _ORDER = {k[0]: i for i, k in enumerate(KINDS)}
-_SPAN = "struct<s:int,k:int,e:int>"      # start, number of the kind, end: sorts as reported
+#: start, number of the kind, end (code points): sorts as reported; the same places in UTF-8 bytes
+_SPAN = "struct<s:int,k:int,e:int,b:int,f:int>"
 
 
 def _sql(pattern: str) -> str:
@@ -60,7 +61,8 @@ def with_spans(df: DataFrame, text_col: str, prefix: str = "sp_") -> DataFrame:
     df = df.withColumn("__t", F.coalesce(F.col(text_col), F.lit("")))
     df = df.withColumns({f"__m_{k}": F.expr(f"regexp_extract_all(__t, {_sql(p)}, 0)") for k, _, _, p, _ in KINDS})
     # gaps only where something matched
-    df = df.withColumns({f"__g_{k}": F.expr(f"case when size(__m_{k}) > 0 then transform(split(__t, {_sql(p)}, -1), y -> length(y)) end")
+    df = df.withColumns({f"__g_{k}": F.expr(f"case when size(__m_{k}) > 0 then "
+                                        f"transform(split(__t, {_sql(p)}, -1), y -> named_struct('c', length(y), 'b', octet_length(y))) end")
                          for k, _, _, p, _ in KINDS})
     df = df.withColumn("__v_assign", F.expr(f"case when size(__m_assign) > 0 then regexp_extract_all(__t, {_sql(ASSIGN)}, 2) end"))
     spans = {}
@@ -69,12 +71,15 @@ def with_spans(df: DataFrame, text_col: str, prefix: str = "sp_") -> DataFrame:
         test = condition.replace("(g)", f"({group})").replace("x rlike", f"element_at(__m_{k}, i) rlike")
         spans[f"{prefix}{k}"] = F.expr(f"""
             case when size(__m_{k}) > 0 then aggregate(sequence(1, size(__m_{k})),
-              named_struct('at', 0, 'found', cast(array() as array<{_SPAN}>)),
+              named_struct('at', 0, 'by', 0, 'found', cast(array() as array<{_SPAN}>)),
               (a, i) -> named_struct(
-                'at', a.at + element_at(__g_{k}, i) + length(element_at(__m_{k}, i)),
+                'at', a.at + element_at(__g_{k}, i).c + length(element_at(__m_{k}, i)),
+                'by', a.by + element_at(__g_{k}, i).b + octet_length(element_at(__m_{k}, i)),
                 'found', case when {test} then concat(a.found, array(named_struct(
-                  's', a.at + element_at(__g_{k}, i), 'k', {_ORDER[k]},
-                  'e', a.at + element_at(__g_{k}, i) + length(element_at(__m_{k}, i))))) else a.found end),
+                  's', a.at + element_at(__g_{k}, i).c, 'k', {_ORDER[k]},
+                  'e', a.at + element_at(__g_{k}, i).c + length(element_at(__m_{k}, i)),
+                  'b', a.by + element_at(__g_{k}, i).b,
+                  'f', a.by + element_at(__g_{k}, i).b + octet_length(element_at(__m_{k}, i))))) else a.found end),
               a -> a.found) else cast(array() as array<{_SPAN}>) end""")
     return df.withColumns(spans).select(*keep, *spans)
 
@@ -150,18 +155,22 @@ def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", placeh
     found = with_linked(materialise(scan(df, id_col, text_col), "secret-spans"))
     found = (found.withColumn("__spans", F.array_sort(F.concat("strong", "linked"))).filter(F.size("__spans") > 0)
              .select(F.col("id").alias("__id"), F.col("h").alias("__h"), "__spans").dropDuplicates(["__id", "__h"]))
+    # disjoint spans, then the pieces between them, cut from the bytes: each costs its own length only
+    merged = F.expr("""
+        aggregate(__spans, cast(array() as array<struct<b:int,f:int>>), (a, p) ->
+          case when size(a) = 0 or p.b >= element_at(a, -1).f then concat(a, array(named_struct('b', p.b, 'f', p.f)))
+               when p.f <= element_at(a, -1).f then a
+               else concat(slice(a, 1, size(a) - 1), array(named_struct('b', element_at(a, -1).b, 'f', p.f))) end)""")
+    pieces = F.expr(f"""
+        case when __cut is null then `{text_col}` else
+        array_join(zip_with(concat(array(0), transform(__cut, x -> x.f)), concat(transform(__cut, x -> x.b), array(length(__bytes))),
+                            (a, b) -> cast(substring(__bytes, a + 1, b - a) as string)), '{placeholder}') end""")
+    found = found.withColumn("__cut", merged).drop("__spans")
     found = materialise(found, "secret-findings")
     if found.count() <= BROADCAST_ROWS:
         found = F.broadcast(found)
-    t = f"`{text_col}`"
-    pieces = F.expr(f"""
-        case when __spans is null then {t} else
-        aggregate(__spans, named_struct('at', 0, 'out', cast(array() as array<string>)),
-          (a, p) -> case when p.e <= a.at then a
-                    when p.s < a.at then named_struct('at', p.e, 'out', a.out)
-                    else named_struct('at', p.e, 'out', concat(a.out, array(substring({t}, a.at + 1, p.s - a.at), '{placeholder}'))) end,
-          a -> concat(array_join(a.out, ''), substring({t}, a.at + 1))) end""")
     joined = df.join(found, F.col(id_col).eqNullSafe(F.col("__id")) & (text_hash(F.col(text_col)) == F.col("__h")), "left")
+    joined = joined.withColumn("__bytes", F.col(f"`{text_col}`").cast("binary"))
     return joined.withColumn(text_col, pieces).select(*[F.col(f"`{c}`") for c in df.columns])
 
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -95,3 +96,19 @@ def test_redact(spark, docs):
         kept = "".join(c for c, m in zip(text, marks) if not m)
         assert r["text"].replace(S.PLACEHOLDER, "") == kept
         assert (S.PLACEHOLDER in r["text"]) == any(marks)
+
+
+def test_redaction_time_follows_the_spans(spark, docs):
+    """Twice the spans in about twice the time, and the same text as plain slicing gives."""
+    def seconds(n):
+        text = "é𝒳 " + " ".join("%024x" % i + "abcdef" for i in range(n)) + " end"
+        frame = docs([(1, text)])
+        best = 9e9
+        for _ in range(2):
+            start = time.perf_counter()
+            out = S.redact(frame).collect()[0]["text"]
+            best = min(best, time.perf_counter() - start)
+        assert out == "é𝒳 " + " ".join([S.PLACEHOLDER] * n) + " end"
+        return best
+    seconds(100)
+    assert seconds(16_000) < 3.5 * seconds(8_000) + 1
