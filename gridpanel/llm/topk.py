@@ -14,6 +14,11 @@ length give a local cosine threshold ``t / (|q| max|p|)``:
 
 Products of the rows that stay are then verified in exact integers. Each task
 returns its k best per query; a window merges them.
+
+The chunk of the longest vectors is searched first, by all queries. Its k-th
+score is a query's floor, and since no product exceeds the lengths' product, a
+query then goes only to chunks with ``|q| max|p| >= floor``, and a chunk only
+to blocks of queries that ask for it.
 """
 from __future__ import annotations
 
@@ -28,12 +33,13 @@ CHUNK_ROWS = 8192
 QUERY_BLOCK = 2048
 COORD_FROM = 0.4
 FOCUS = 4
+BROADCAST_ROWS = 200_000        # (block, chunk) rows that may be broadcast
 SLACK = 1e-9            # relative margin for rounding in bounds
-_LONG = np.iinfo(np.int64).max
+LONGEST = 2.0 ** 31.5           # vectors shorter than this have products within long
 
 
 def scaled(embedding: Column, scale: int = 256) -> Column:
-    """``floor(scale * x)`` of every component, as long (beyond its range: its nearest value)."""
+    """``floor(scale * x)`` of every component, as long (beyond its range: its nearest value, which callers refuse)."""
     return F.transform(embedding, lambda x: F.floor(x.cast("double") * F.lit(float(scale))))
 
 
@@ -44,14 +50,13 @@ def usable(embedding: Column) -> Column:
 
 
 def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Integer products of all rows of ``a`` with all of ``b``; beyond the long range, its nearest value."""
+    """Integer products of all rows of ``a`` with all of ``b``, which must lie in the long range."""
     if not a.size or not b.size:
         return np.zeros((len(a), len(b)), np.int64)
     bound = float(np.abs(a.astype(float)).max()) * float(np.abs(b.astype(float)).max()) * a.shape[1]
     if bound < 2.0 ** 53:
         return (a.astype(float) @ b.astype(float).T).astype(np.int64)
-    exact = a.astype(object) @ b.astype(object).T
-    return np.clip(exact, -_LONG, _LONG).astype(np.int64)
+    return (a.astype(object) @ b.astype(object).T).astype(np.int64)
 
 
 class Best:
@@ -75,9 +80,11 @@ class Best:
 
 
 def search(queries: np.ndarray, query_rows: np.ndarray, vectors: np.ndarray, ids: np.ndarray, rows: np.ndarray,
-           k: int) -> Best:
-    """The k best of ``vectors`` for each query, its own row left out."""
+           k: int, floors: np.ndarray | None = None) -> Best:
+    """The k best of ``vectors`` for each query, its own row left out; scores below a query's floor need not be found."""
     best = Best(len(queries), k)
+    if floors is not None:
+        best.floor = floors.astype(float)
     lengths = np.sqrt((vectors.astype(float) ** 2).sum(1))
     order = np.lexsort((ids, -lengths))
     vectors, ids, rows, lengths = vectors[order], ids[order], rows[order], lengths[order]
@@ -137,8 +144,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     Ties go to the smaller id. Rows whose id is null, and vectors that are
     null or hold a null or non-finite component, take no part. A repeated row
     is a candidate of its twin, as only a query's own row is left out. Vectors
-    of different lengths meet as if the shorter ended in zeros. Other columns
-    are ignored; an empty table or query set gives an empty result."""
+    of different lengths meet as if the shorter ended in zeros. Vectors so long
+    that a product may leave the long range are an error (``LONGEST``). Other
+    columns are ignored; an empty table or query set gives an empty result."""
     spark = vectors.sparkSession
     base = materialise(vectors.filter(F.col(id_col).isNotNull() & usable(F.col(vec_col)))
                        .select(F.col(id_col).cast("long").alias("id"), scaled(F.col(vec_col), scale).alias("v"),
@@ -147,15 +155,16 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     if not size["nq"]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     blocks = -(-size["nq"] // QUERY_BLOCK)
-    length = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     chunked = materialise(
         base.withColumn("len", length).repartitionByRange(-(-size["n"] // CHUNK_ROWS), F.desc("len"), "id", "row")
-        .select("id", "v", "row", F.spark_partition_id().alias("chunk")), "chunks")
-    chunks = chunked.select(F.array_sort(F.collect_set("chunk"))).scalar()              # about n / CHUNK_ROWS numbers
+        .select("id", "v", "row", "len", F.spark_partition_id().alias("chunk")), "chunks")
+    longest = chunked.groupBy("chunk").agg(F.max("len").alias("reach"))            # about n / CHUNK_ROWS numbers
+    if longest.agg(F.max("reach")).first()[0] >= LONGEST:
+        raise ValueError(f"a vector of length {LONGEST:.3g} or more: inner products may leave the long range")
+    first = longest.agg(F.min("chunk")).first()[0]
     block = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")
-    asked = (base.filter("q").select("id", "v", "row", block.alias("block"), chunks.alias("chunks"))
-             .select("id", "v", "row", "block", F.explode("chunks").alias("chunk")))
-    offered = chunked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    queries = materialise(base.filter("q").select("id", "v", "row", block.alias("block"), length.alias("len")), "queries")
 
     def task(left: pa.Table, right: pa.Table) -> pa.Table:
         n = left.num_rows if right.num_rows else 0
@@ -164,15 +173,40 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
             width = max(max(map(len, t.column("v").to_pylist()), default=0) for t in (left, right))
             q_ids, q_rows = left.column("id").to_pylist(), left.column("row").to_numpy()
             best = search(_matrix(left.column("v"), width), q_rows, _matrix(right.column("v"), width),
-                          right.column("id").to_numpy(), right.column("row").to_numpy(), k)
+                          right.column("id").to_numpy(), right.column("row").to_numpy(), k, left.column("floor").to_numpy())
             out = [(q_ids[i], int(q_rows[i]), vec, -neg, row) for i, found in enumerate(best.lists) for neg, vec, row in found]
         return pa.table(dict(zip(("query_id", "query_row", "vec_id", "score", "row"),
                                  [pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * 5)])))
 
-    found = (asked.groupBy("block", "chunk").cogroup(offered.groupBy("block", "chunk"))
-             .applyInArrow(task, "query_id long, query_row long, vec_id long, score long, row long"))
+    def searched(asked: DataFrame, offered: DataFrame) -> DataFrame:
+        return (asked.select("id", "v", "row", "block", "chunk", "floor").groupBy("block", "chunk")
+                .cogroup(offered.select("id", "v", "row", "block", "chunk").groupBy("block", "chunk"))
+                .applyInArrow(task, "query_id long, query_row long, vec_id long, score long, row long"))
+
+    every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    top = materialise(searched(queries.withColumns({"chunk": F.lit(first), "floor": F.lit(float("-inf"))}), chunked.filter(F.col("chunk") == first).withColumn("block", every_block)), "first-chunk")
+    asked = materialise(later_chunks(queries, top, chunked.filter(F.col("chunk") != first), k), "asked")
+    pairs = materialise(asked.select("block", "chunk").distinct(), "pairs")
+    if pairs.count() <= BROADCAST_ROWS:
+        pairs = F.broadcast(pairs)
+    rest = searched(asked, chunked.join(pairs, "chunk"))
     rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return top.unionAll(rest).withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def later_chunks(queries: DataFrame, top: DataFrame, chunked: DataFrame, k: int) -> DataFrame:
+    """``queries`` once for each ``chunk`` of ``chunked`` that may hold one of their ``k`` best, given those of the first one.
+
+    A query with fewer than ``k`` results so far goes to all. Chunks are few (a row each), so their list goes with
+    every query as an array; a tie at the floor is still looked for."""
+    floors = top.groupBy("query_row").agg(F.count(F.lit(1)).alias("found"), F.min("score").alias("floor"))
+    reach = chunked.groupBy("chunk").agg(F.max("len").alias("reach"))
+    chunks = reach.select(F.array_sort(F.collect_list(F.struct("chunk", "reach")))).scalar()
+    known = queries.join(floors, queries["row"] == floors["query_row"], "left").drop("query_row").withColumn("chunks", chunks)
+    floor = F.when(F.col("found") >= k, F.col("floor").cast("double")).otherwise(F.lit(float("-inf")))
+    known = known.withColumn("floor", floor)
+    may = lambda c: F.col("len") * c["reach"] * (1 + SLACK) >= F.col("floor")                                                      # noqa: E731
+    return (known.withColumn("c", F.explode(F.filter("chunks", may))).select("id", "v", "row", "block", F.col("c.chunk").alias("chunk"), "floor"))
 
 
 ORACLE = """

@@ -71,10 +71,32 @@ def test_odd_vectors(spark):
     assert got(spark, [], 50) == []
 
 
-def test_huge_components_stay_in_range(spark):
-    rows = [(0, [3e38, 1.0]), (1, [3e38, 1.0]), (2, [-3e38, 0.0])]
-    found = [r for r in got(spark, rows, 50)]
-    assert [r[2] for r in found] == [1, 2] and found[0][3] == 2**63 - 1 and found[1][3] == -(2**63 - 1)
+def test_scores_beyond_long_are_an_error(spark):
+    with pytest.raises(ValueError):
+        got(spark, [(0, [3e38, 1.0]), (1, [3e38, 1.0]), (2, [-3e38, 0.0])], 50)
+    big = float(2**22)                                    # 2^30 after scaling: products of 2^60 are exact
+    rows = [(0, [big, 1.0]), (1, [big, 1.5]), (2, [-big, 0.0])]
+    assert got(spark, rows, 50) == brute(rows, 50, 5)
+
+
+def test_chunks_that_cannot_matter_are_not_searched(spark, monkeypatch):
+    """Lengths over orders of magnitude: most (block, chunk) pairs are pruned before their shuffle, and nothing is lost."""
+    seen = []
+    inner = topk.later_chunks
+
+    def counted(queries, top, chunked, k):
+        asked = topk.materialise(inner(queries, top, chunked, k), "counted")
+        seen.append((asked.select("block", "chunk").distinct().count(), asked.count(), queries.count() * chunked.select("chunk").distinct().count()))
+        return asked
+    monkeypatch.setattr(topk, "later_chunks", counted)
+    monkeypatch.setattr(topk, "CHUNK_ROWS", 60)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 10)
+    rng = np.random.default_rng(5)
+    v = np.abs(rng.normal(size=(600, 8))) * (10.0 ** rng.uniform(-2, 2, 600))[:, None]
+    rows = [(i, [float(x) for x in r]) for i, r in enumerate(v.astype(np.float32))]
+    assert got(spark, rows, 10) == brute(rows, 10, 5)
+    pairs, asked, everything = seen[0]
+    assert asked < everything / 4 and pairs < 6 * 9 / 2
 
 
 def test_exact_products_beyond_doubles():
