@@ -21,7 +21,9 @@
    joined with their group by ``prefix_pairs``: two sets of similarity t share a
    shingle among the rarest ``n - ceil(t n) + 1`` of each, so classes that share
    only a common template, whose shingles are frequent, never meet, and no
-   link is lost. Their pairs are compared on full sets.
+   link is lost. Their pairs are compared on full sets. Where rare shingles are
+   shared by many (the join would give over ``LIGHT`` rows a class, which is
+   counted first), their blocks meet all blocks instead.
 4. ``components``: smallest label of linked classes, by rounds of neighbour
    minimum and pointer jumping.
 
@@ -50,6 +52,7 @@ ONE_RANGE = 65_536              # rows around cuts that one task takes
 AGREE = 0.5
 BLOCK, BLOCK_SHINGLES = 64, 1 << 20
 COLUMNS = 1 << 14               # shingles of a membership matrix at once
+LIGHT = 16                      # rows of the prefix join a class of a group, on average, at most
 COUNTERS = 1 << 18              # of shingle frequencies: a fixed 2 MB
 BROADCAST_ROWS = 300_000        # rows of about 40 bytes that may be broadcast
 CHUNK = 2 << 20
@@ -404,13 +407,36 @@ def confirm(df: DataFrame, candidates: DataFrame, classes: DataFrame, id_col: st
         return first
     labels = components(first, "first-links")
     named = materialise(large.join(labels.select(F.col("node").alias("rep"), F.col("comp").alias("part")), "rep", "left")
-                        .select("rep", "id", "h", "comp", F.coalesce("part", "rep").alias("part")), "parts")
+                        .select("rep", "id", "h", "comp", "n", F.coalesce("part", "rep").alias("part")), "parts")
     most = (named.groupBy("comp", "part").count().groupBy("comp")
             .agg(F.max_by("part", F.struct("count", "part")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1"))
     known = labels.filter(F.col("node") != F.col("comp")).select(F.col("comp").alias("a"), F.col("node").alias("b"))
-    rest = named.join(most, "comp").select("rep", "id", "h", "comp", (F.col("part") == F.col("main")).alias("settled"))
-    full = materialise(_sets_of(df, materialise(rest, "unsettled"), id_col, text_col, k).dropDuplicates(["rep"]), "unsettled-sets")
-    return known.unionAll(verified(prefix_pairs(full, percent), full, percent))
+    rest = materialise(named.join(most, "comp").select("rep", "id", "h", "comp", "n", (F.col("part") == F.col("main")).alias("settled")), "unsettled")
+    full = materialise(_sets_of(df, rest, id_col, text_col, k).dropDuplicates(["rep"]), "unsettled-sets")
+    placed = materialise(prefix_rows(full, percent), "prefixes")
+    met = placed.groupBy("comp", "token").agg(F.count_if(~F.col("settled")).alias("u"), F.count(F.lit(1)).alias("t"))
+    light = (met.groupBy("comp").agg(F.sum(F.col("u") * F.col("t")).alias("rows"))
+             .join(rest.groupBy("comp").agg(F.count(F.lit(1)).alias("members")), "comp").filter(F.col("rows") <= LIGHT * F.col("members")).select("comp"))
+    light = materialise(light, "light-groups")
+    if light.count() <= BROADCAST_ROWS:
+        light = F.broadcast(light)
+    out = known.unionAll(verified(prefix_pairs(placed.join(light, "comp", "left_semi"), percent), full, percent))
+    return out.unionAll(_all_blocks(full.join(light, "comp", "left_anti"), percent))
+
+
+def _all_blocks(sets: DataFrame, percent: int) -> DataFrame:
+    """``(a, b)``: a spanning forest of the links between unsettled classes and all others of their group, block by block."""
+    counts = sets.groupBy("comp").agg(*[f(F.when(c, v).otherwise(0)).alias(name) for name, f, c, v in (
+        ("nu", F.sum, ~F.col("settled"), F.lit(1)), ("su", F.sum, ~F.col("settled"), F.col("n")),
+        ("ns", F.sum, F.col("settled"), F.lit(1)), ("ss", F.sum, F.col("settled"), F.col("n")))])
+    counts = counts.select("comp", _blocks("nu", "su").alias("bu"), _blocks("ns", "ss").alias("bs")).filter("bu > 0")
+    # unsettled blocks 0 .. bu - 1 meet all blocks, settled ones only these
+    dealt = sets.join(counts, "comp").select("rep", "comp", "settled", "bu", "bs", "s", F.when(
+        F.col("settled"), F.col("bu") + F.pmod(F.xxhash64("rep"), F.greatest("bs", F.lit(1)))).otherwise(F.pmod(F.xxhash64("rep"), F.col("bu"))).alias("own"))
+    zero = F.lit(0).cast("long")
+    other = F.explode(F.sequence(zero, F.when(F.col("settled"), F.col("bu")).otherwise(F.col("bu") + F.col("bs")) - 1))
+    met = dealt.withColumn("other", other).select("rep", "comp", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "s")
+    return _compare(met, percent)
 
 
 def _counters(sets: DataFrame) -> np.ndarray:
@@ -441,12 +467,8 @@ def prefix(shingles: np.ndarray, counters: np.ndarray, percent: int) -> np.ndarr
     return shingles[order[:n + (-percent * n // 100) + 1]]
 
 
-def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
-    """``(a, b)``: distinct pairs of classes of a group that may be linked, unsettled ones with all others.
-
-    ``sets``: rep, comp, settled, s. Pairs meet on (group, shingle of both
-    prefixes) if their sizes allow the similarity; adaptive execution splits a
-    hot key of the join."""
+def prefix_rows(sets: DataFrame, percent: int) -> DataFrame:
+    """``(rep, comp, settled, n, token)``: each class (rep, comp, settled, s) with every shingle of its prefix."""
     counters = _counters(sets)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -460,7 +482,15 @@ def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*[part.column(c).take(at) for c in ("rep", "comp", "settled")], size.take(at), pa.array(token)],
                                                  names=["rep", "comp", "settled", "n", "token"])
 
-    placed = sets.mapInArrow(rows, "rep long, comp long, settled boolean, n long, token long")
+    return sets.mapInArrow(rows, "rep long, comp long, settled boolean, n long, token long")
+
+
+def prefix_pairs(placed: DataFrame, percent: int) -> DataFrame:
+    """``(a, b)``: distinct pairs of classes of a group that may be linked, unsettled ones with all others.
+
+    ``placed``: ``prefix_rows``. Pairs meet on (group, shingle of both
+    prefixes) if their sizes allow the similarity; adaptive execution splits a
+    hot key of the join."""
     u = placed.filter(~F.col("settled")).select(F.col("rep").alias("a"), "comp", "token", F.col("n").alias("na"))
     v = placed.select(F.col("rep").alias("b"), "comp", "token", "settled", F.col("n").alias("nb"))
     fits = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.col("a") != F.col("b")) & (F.col("settled") | (F.col("a") < F.col("b")))

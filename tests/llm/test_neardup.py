@@ -119,9 +119,9 @@ def test_template_group_without_links_stays_in_proportion(spark, docs, words, mo
     pairs = []
     inner = neardup.prefix_pairs
 
-    def counted(sets, percent):
-        out = neardup.materialise(inner(sets, percent), "counted")
-        pairs.append((sets.count(), out.count()))
+    def counted(placed, percent):
+        out = neardup.materialise(inner(placed, percent), "counted")
+        pairs.append((placed.select("rep").distinct().count(), out.count()))
         return out
     monkeypatch.setattr(neardup, "prefix_pairs", counted)
     texts = template_texts(rng, words, 1200)
@@ -135,6 +135,17 @@ def test_template_group_without_links_stays_in_proportion(spark, docs, words, mo
     assert p2 < 3 * p1 + 200 and p2 < 3 * m2            # all pairs of the larger one would be 700,000
 
 
+@pytest.mark.parametrize("light", [0, 10**9])
+def test_both_ways_of_settling_equal_brute_force(docs, words, monkeypatch, light):
+    """A dense group with unsettled classes, all of it by blocks, and all of it by prefixes."""
+    monkeypatch.setattr(neardup, "LIGHT", light)
+    rng = random.Random(13)
+    base = [rng.choice(words) for _ in range(60)]
+    texts = [edited(rng, base, words, rng.uniform(0, 0.12)) for _ in range(260)]
+    rows = list(enumerate(texts))
+    assert run(docs(rows).repartition(4), 4) == brute(rows, 4)
+
+
 def test_prefixes_share_a_shingle():
     """Sets of the similarity meet in their prefixes whatever the counters say."""
     rng = np.random.default_rng(6)
