@@ -67,8 +67,61 @@ def test_all_windows_count():
     assert langs[langid.document_probabilities(net, [text])[0].argmax()] == "b"
 
 
-def test_gradient_of_training_matches_differences():
-    """One step of plain descent lowers the loss on its own batch."""
+def plain_probabilities(net, window):
+    """Forward pass of one window, place by place: convolution, maximum over places, rectification, softmax."""
+    feats = []
+    for table, bias in zip(net.tables, net.bias):
+        width, _, filters = table.shape
+        for f in range(filters):
+            best = max(sum(float(table[k, window[i + k], f]) for k in range(width)) for i in range(len(window) - width + 1))
+            feats.append(max(0.0, best + float(bias[f])))
+    z = [float(net.dense_bias[c]) + sum(v * float(net.dense[j, c]) for j, v in enumerate(feats)) for c in range(len(net.langs))]
+    e = np.exp(np.array(z) - max(z))
+    return e / e.sum()
+
+
+def test_forward_pass_equals_plain_loops():
+    rng = np.random.default_rng(3)
+    x, y = rng.integers(0, 257, (60, 20)).astype(np.uint16), rng.integers(0, 4, 60)
+    net = langid.train(x, y, list("abcd"), epochs=2)
+    got = net.probabilities(x[:12])
+    for row, p in zip(x[:12], got):
+        assert np.allclose(p, plain_probabilities(net, row), atol=1e-5)
+
+
+def test_first_step_follows_finite_differences():
+    """Adam's first step is the rate times the gradient's sign: against central differences of the loss, for every
+    parameter of the dense layer and the biases; the filters' step must lower the loss as well."""
+    rng = np.random.default_rng(1)
+    x, y = rng.integers(97, 123, (64, 24)).astype(np.uint16), rng.integers(0, 3, 64)
+    before, after = (langid.train(x, y, ["a", "b", "c"], epochs=e, batch=64, rate=0.01) for e in (0, 1))
+
+    def loss(tables, bias, dense, out):
+        z = langid.pooled(x, tables, bias)[0].astype(float) @ dense + out
+        z -= z.max(1, keepdims=True)
+        return float((np.log(np.exp(z).sum(1)) - z[np.arange(len(y)), y]).mean())
+
+    def parts(net):
+        return [t.astype(float) for t in net.tables], [b.astype(float) for b in net.bias], net.dense.astype(float), net.dense_bias.astype(float)
+    tables, bias, dense, out = parts(before)
+    checked = 0
+    for array, stepped in [(dense, after.dense), (out, after.dense_bias), *zip(bias, after.bias)]:
+        start = array.copy()
+        for i in np.ndindex(array.shape):
+            array[i] = start[i] + 1e-5
+            up = loss(tables, bias, dense, out)
+            array[i] = start[i] - 1e-5
+            slope = (up - loss(tables, bias, dense, out)) / 2e-5
+            array[i] = start[i]
+            if abs(slope) > 1e-4:
+                assert np.sign(stepped[i] - start[i]) == -np.sign(slope) and abs(abs(stepped[i] - start[i]) - 0.01) < 1e-4
+                checked += 1
+    assert checked > 80
+    moved = [t0 + 0.05 * (t1 - t0) for t0, t1 in zip(tables, parts(after)[0])]
+    assert loss(moved, bias, dense, out) < loss(tables, bias, dense, out)
+
+
+def test_training_lowers_the_loss():
     rng = np.random.default_rng(1)
     x, y = rng.integers(97, 123, (64, 24)).astype(np.uint16), rng.integers(0, 3, 64)
 
