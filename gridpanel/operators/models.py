@@ -430,18 +430,18 @@ class BlockedOLS:
         j = self._tagged(df)
         return j.withColumn(out, _dot("_coef", self.design.local, True)).drop("_coef", *[f"_b_{g}" for g in self.design.groups])
 
-    def _tagged(self, df: DataFrame, segments: bool = True) -> DataFrame:
-        """Rows with the coefficients ``_coef`` of their segment and cell; without ``segments``, of every segment."""
+    def _tagged(self, df: DataFrame, every_segment: dict | None = None) -> DataFrame:
+        """Rows with the coefficients ``_coef`` of their segment and cell; with ``every_segment`` (types of the segment
+        columns, which ``df`` then lacks), of all segments."""
         names = [f"_b_{g}" for g in self.design.groups]
         rows = [(*seg, *cell, [float(x) for x in self.design.expansion(cell) @ theta])
                 for seg, theta in self.theta.items() for cell in self.design.cells()]
-        kinds = dict(df.dtypes)
-        kind = lambda c: kinds.get(c) or {bool: "boolean", int: "bigint", float: "double"}.get(type(next(iter(self.theta))[self.segments.index(c)]), "string")    # noqa: E731,E501
-        schema = ", ".join([*[f"`{c}` {kind(c)}" for c in self.segments], *[f"{n} int" for n in names], "_coef array<double>"])
+        kinds = every_segment or dict(df.dtypes)
+        schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in self.segments], *[f"{n} int" for n in names], "_coef array<double>"])
         # declared levels x segments; past the bound it joins by shuffle
         table = checked_broadcast(df.sparkSession.createDataFrame(rows, schema), counted=len(rows))
         tagged = df.withColumns({n: level.cast("int") for n, (level, _) in zip(names, self.design.groups.values())})
-        keys = [*(self.segments if segments else []), *names]
+        keys = [*([] if every_segment is not None else self.segments), *names]
         return tagged.join(table, keys, "left") if keys else tagged.join(table, F.lit(True))
 
     def coefficients(self, spark) -> DataFrame:
@@ -491,12 +491,13 @@ class HourBlockedOLS(BlockedOLS):
     times: DataFrame = None
     row_cols: list = field(default_factory=list)
     ts: str = "prediction_datetime"
+    kinds: dict = field(default_factory=dict)           # types of the segment columns
 
     def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:
         """Per segment and hour, the part that the hour decides and the coefficients of ``row_cols``; joined onto the
         rows. Null for a segment without a model and for an hour that ``times`` lacks."""
         fixed = [c for c in self.design.local if c not in self.row_cols]
-        by_hour = BlockedOLS(self.design, self.segments, self.theta)._tagged(self.times, segments=False)
+        by_hour = self._tagged(self.times, every_segment=self.kinds)
         place = {c: i + 1 for i, c in enumerate(self.design.local)}
         base = F.col("_coef")[0]
         for c in fixed:
@@ -525,7 +526,8 @@ def fit_blocked_ols_by_hour(df: DataFrame, times: DataFrame, design: BlockDesign
     for n, (_, levels) in zip(names, design.groups.values()):
         tagged = tagged.filter(F.col(n).isin(*levels))
     theta = _solve_blocks(grams_of_cells(tagged, times, design.local, row_cols, [*segments, *names], ts), design, segments, rcond)
-    return HourBlockedOLS(design, segments, theta, times, row_cols, ts)
+    kinds = {c: t for c, t in df.dtypes if c in segments}
+    return HourBlockedOLS(design, segments, theta, times, row_cols, ts, kinds)
 
 
 def fit_segmented_ols(df: DataFrame, design: BlockDesign, segment: str = "is_business", target: str = "target") -> BlockedOLS:

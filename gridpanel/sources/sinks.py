@@ -29,7 +29,8 @@ def write_clustered(df: DataFrame, path: str, keys, buckets: int, value: str | N
     the table without an exchange; only the other side moves. Choose buckets of
     a few hundred MB; one task writes a bucket, so each is one sorted file.
     ``value``: keep one row a key, that of the largest value, so that a join
-    adds no rows."""
+    adds no rows. The table is external, under a fresh name of the session's
+    catalog; ``open_clustered`` finds the folder in another session."""
     keys = list(keys)
     if value is not None:
         df = df.groupBy(*keys).agg(F.max(value).alias(value))

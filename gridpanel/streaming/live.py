@@ -162,9 +162,7 @@ def run_history_stream(new: DataFrame, history: DataFrame, path: str, checkpoint
     (``path/marks/epoch=N``), so an epoch reads no history, and an epoch that
     runs again finds the same state and overwrites its own rows. The driver
     sees one row per arrival of a batch."""
-    spark = new.sparkSession
-    *ids, ts = PANEL_KEY
-    columns = [*PANEL_KEY, value]
+    ts, columns = PANEL_KEY[-1], [*PANEL_KEY, value]
     marks_at, rows_at = f"{path.rstrip('/')}/marks", f"{path.rstrip('/')}/rows"
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))                                      # noqa: E731
     state_schema = "last long, before long, newest long"

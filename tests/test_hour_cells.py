@@ -62,6 +62,14 @@ def test_blocks_by_hour_equal_blocks_by_row(spark, panel):
         assert (v is None and got[k] is None) or (v != v and got[k] != got[k]) or got[k] == pytest.approx(v, abs=1e-7), k
 
 
+def test_blocks_by_hour_without_training_rows(spark, panel):
+    df, times = panel
+    design = M.BlockDesign({"hour": (F.hour("prediction_datetime"), C.HOURS)}, [("hour", "1"), (None, "target_2d_ago")])
+    model = M.fit_blocked_ols_by_hour(df.limit(0), times, design, M.ROW_LAGS, segments=["seg"])
+    out = model.predict(df)
+    assert out.count() == df.count() and out.filter("prediction is not null").count() == 0
+
+
 def test_slices_by_hour_equal_slices_by_row(spark, panel):
     df, times = panel
     times = times.fillna(0.0)
