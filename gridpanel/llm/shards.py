@@ -96,8 +96,11 @@ def shuffle_into_shards(df: DataFrame, path: str, shards: int = 8, id_col: str =
         out = table.select(names).take(pa.array(order))
         return out.append_column("shard", pa.array(shard, pa.int32())).append_column("slot", pa.array(place - bounds[shard]))
 
-    # as many partitions as buckets: a task then reads about one, whatever the session's number
-    (scattered.repartition(buckets, "__bucket").groupBy("__bucket").applyInArrow(pass_two, out_type)
+    # where the data fill more buckets than the session has partitions, a task still reads about one bucket's bytes
+    wanted = -(-total["b"] // bucket_bytes)
+    if wanted > parts:
+        scattered = scattered.repartition(wanted, "__bucket")
+    (scattered.groupBy("__bucket").applyInArrow(pass_two, out_type)
      .write.partitionBy("shard").parquet(path))
     back = spark.read.schema(out_type).parquet(path)
     return back.select(*names, "shard", "slot")
