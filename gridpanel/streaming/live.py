@@ -14,12 +14,19 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..functions.calendar import epoch_micros
 from ..schemas import PANEL_KEY
 from ..session import cut_lineage
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def _instant(ts: str):
+    """An event time of an hour without a zone: its place on the UTC line, whatever the session's zone. A cast would
+    move hours around clock changes, and seven days would not always be 168 hours."""
+    return F.timestamp_micros(epoch_micros(ts))
+
+
 @contextmanager
 def rocksdb_state(spark: SparkSession):
     """State stores of the queries started inside are RocksDB ones, as arbitrary state needs."""
@@ -59,11 +66,11 @@ def stream_lags(rows: DataFrame, truth: DataFrame, days=(2, 7), value: str = "ta
     an hour once; rows later than ``delay`` are dropped, on either side."""
     *ids, ts = PANEL_KEY
     near, far = min(days), max(days)
-    wanted = (rows.withColumn("_et", F.col(ts).cast("timestamp")).withWatermark("_et", delay)
+    wanted = (rows.withColumn("_et", _instant(ts)).withWatermark("_et", delay)
               .withColumn("lag_days", F.explode(F.array(*[F.lit(d) for d in days])))
               .withColumn("_want", F.col(ts) - F.make_dt_interval(F.col("lag_days"))))
     known = (truth.select(*[F.col(c).alias(f"_h_{c}") for c in PANEL_KEY], F.col(value).alias(f"{value}_ago"),
-                          F.col(ts).cast("timestamp").alias("_het")).withWatermark("_het", delay))
+                          _instant(ts).alias("_het")).withWatermark("_het", delay))
     same = [F.col(c) == F.col(f"_h_{c}") for c in ids] + [F.col("_want") == F.col(f"_h_{ts}")]
     within = F.expr(f"_het >= _et - interval {far} days AND _het <= _et - interval {near} days")
     joined = wanted.join(known, [*same, within], "left_outer")
@@ -109,7 +116,7 @@ class _SeriesMark(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         got = pd.concat(list(rows), ignore_index=True)
         state = tuple(self.mark.get()) if self.mark.exists() else (None, _NEVER, _NEVER)
-        micros = got[self.ts].astype("datetime64[us]").astype("int64")
+        micros = got[self.ts]
         tops = micros.groupby(got[self.arrival]).max().sort_index()
         marks, state = _advance(state, [(int(a), int(t)) for a, t in tops.items()])
         self.mark.update(state)
@@ -144,12 +151,12 @@ def stream_new_rows(new: DataFrame, history: DataFrame | None = None, value: str
     start = None
     if history is not None:
         start = cut_lineage(history.filter(F.col(ts).isNotNull()).groupBy(_series(ids).alias("_series"))
-                            .agg(F.unix_micros(F.max(F.col(ts).cast("timestamp"))).alias("micros"))).groupBy("_series")
-    # the processor sees hours as instants; both ways go through the session's zone and cancel
+                            .agg(F.max(epoch_micros(ts)).alias("micros"))).groupBy("_series")
+    # the processor sees hours as microseconds, which no zone moves
     seen = (_once(new.filter(F.col(ts).isNotNull()), columns, arrival)
-            .select(*ids, F.col(ts).cast("timestamp").alias(ts), value, arrival, _series(ids).alias("_series")))
+            .select(*ids, epoch_micros(ts).alias(ts), value, arrival, _series(ids).alias("_series")))
     kept = seen.groupBy("_series").transformWithStateInPandas(_SeriesMark(ts, arrival, columns), seen.select(*columns).schema, "append", "None", start)
-    return kept.withColumn(ts, F.col(ts).cast("timestamp_ntz"))
+    return kept.withColumn(ts, F.timestamp_add("MICROSECOND", F.col(ts), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")))
 
 
 def run_history_stream(new: DataFrame, history: DataFrame, path: str, checkpoint: str, value: str = "target",
@@ -164,7 +171,7 @@ def run_history_stream(new: DataFrame, history: DataFrame, path: str, checkpoint
     sees one row per arrival of a batch."""
     ts, columns = PANEL_KEY[-1], [*PANEL_KEY, value]
     marks_at, rows_at = f"{path.rstrip('/')}/marks", f"{path.rstrip('/')}/rows"
-    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))                                      # noqa: E731
+    micros = epoch_micros
     state_schema = "last long, before long, newest long"
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
