@@ -376,7 +376,8 @@ def _compare(met: DataFrame, percent: int) -> DataFrame:
         found = root != reps
         return pa.table({"a": pa.array(root[found], pa.int64()), "b": pa.array(reps[found], pa.int64())})
 
-    return met.groupBy("comp", "x", "y").applyInArrow(compare, "a long, b long")
+    # dealt by the meeting, also where the rows lie by group already: a large group's meetings spread over tasks
+    return met.repartition("comp", "x", "y").groupBy("comp", "x", "y").applyInArrow(compare, "a long, b long")
 
 
 def _blocks(members: str, shingles: str) -> F.Column:
@@ -429,7 +430,9 @@ def _all_blocks(sets: DataFrame, percent: int) -> DataFrame:
     counts = sets.groupBy("comp").agg(*[f(F.when(c, v).otherwise(0)).alias(name) for name, f, c, v in (
         ("nu", F.sum, ~F.col("settled"), F.lit(1)), ("su", F.sum, ~F.col("settled"), F.col("n")),
         ("ns", F.sum, F.col("settled"), F.lit(1)), ("ss", F.sum, F.col("settled"), F.col("n")))])
-    counts = counts.select("comp", _blocks("nu", "su").alias("bu"), _blocks("ns", "ss").alias("bs")).filter("bu > 0")
+    counts = materialise(counts.select("comp", _blocks("nu", "su").alias("bu"), _blocks("ns", "ss").alias("bs")).filter("bu > 0"), "block-counts")
+    if counts.count() <= BROADCAST_ROWS:                # a row a group: its sets need not gather for them
+        counts = F.broadcast(counts)
     # unsettled blocks 0 .. bu - 1 meet all blocks, settled ones only these
     dealt = sets.join(counts, "comp").select("rep", "comp", "settled", "bu", "bs", "s", F.when(
         F.col("settled"), F.col("bu") + F.pmod(F.xxhash64("rep"), F.greatest("bs", F.lit(1)))).otherwise(F.pmod(F.xxhash64("rep"), F.col("bu"))).alias("own"))
