@@ -68,36 +68,32 @@ def acf(df: DataFrame, keys, ts: str, value: str, nlags: int = 72) -> DataFrame:
 
 def pacf_from_acf(acf_df: DataFrame, keys, nlags: int = 72) -> DataFrame:
     """A2: partial autocorrelation by the Durbin-Levinson recursion, per series on
-    its (at most ``nlags``-row) ACF table; missing lags count as 0."""
+    its (at most ``nlags``-row) ACF table; missing lags count as 0.
+
+    A series is one row with its lags; the recursion runs over all series of a batch at once."""
     keys = list(keys)
-    key_fields = [f for f in acf_df.select(*keys).schema.fields]
-    schema = T.StructType(key_fields + [T.StructField("lag", T.IntegerType()),
-                                        T.StructField("pacf", T.DoubleType())])
-
-    def dl(pdf: pd.DataFrame) -> pd.DataFrame:
-        r = np.zeros(nlags + 1)
-        r[0] = 1.0
-        for lag, v in zip(pdf["lag"], pdf["acf"]):
-            if 1 <= lag <= nlags and v is not None and np.isfinite(v):
-                r[int(lag)] = v
-        out = np.zeros(nlags + 1)
-        phi = np.zeros(nlags + 1)
-        var = 1.0
-        for k in range(1, nlags + 1):
-            if var <= 0:
-                break
-            a = (r[k] - np.dot(phi[1:k], r[1:k][::-1])) / var
-            new = phi.copy()
-            new[k] = a
-            new[1:k] = phi[1:k] - a * phi[1:k][::-1]
-            phi = new
-            var *= (1 - a * a)
-            out[k] = a
-        res = {c: [pdf[c].iloc[0]] * nlags for c in keys}
-        res.update({"lag": list(range(1, nlags + 1)), "pacf": out[1:].tolist()})
-        return pd.DataFrame(res)
-
-    return acf_df.groupBy(*keys).applyInPandas(dl, schema)
+    schema = T.StructType([*acf_df.select(*keys).schema.fields, T.StructField("lag", T.IntegerType()), T.StructField("pacf", T.DoubleType())])
+    series = acf_df.groupBy(*keys).agg(F.collect_list(F.struct(F.col("lag").cast("int").alias("k"), F.col("acf").cast("double").alias("r"))).alias("_r"))
+
+    def run(batches):
+        for pdf in batches:
+            n = len(pdf)
+            r = np.zeros((n, nlags + 1))
+            for i, cell in enumerate(pdf["_r"]):
+                for v in cell:
+                    if 1 <= v["k"] <= nlags and v["r"] is not None and np.isfinite(v["r"]):
+                        r[i, v["k"]] = v["r"]
+            out, phi, var, live = np.zeros((n, nlags + 1)), np.zeros((n, nlags + 1)), np.ones(n), np.ones(n, bool)
+            for k in range(1, nlags + 1):
+                live &= var > 0
+                a = np.where(live, (r[:, k] - (phi[:, 1:k] * r[:, 1:k][:, ::-1]).sum(1)) / np.where(live, var, 1.0), 0.0)
+                phi[:, 1:k] -= a[:, None] * phi[:, 1:k][:, ::-1].copy()
+                phi[:, k] = out[:, k] = a
+                var = var * (1 - a * a)
+            yield pd.DataFrame({**{c: np.repeat(pdf[c].to_numpy(), nlags) for c in keys}, "lag": np.tile(np.arange(1, nlags + 1, dtype="int32"), n),
+                                "pacf": out[:, 1:].ravel()})
+
+    return series.mapInPandas(run, schema)
 
 
 def date_range(df: DataFrame, date_col: str) -> list:
