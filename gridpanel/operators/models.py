@@ -12,7 +12,8 @@ Formula regressions with hundreds of terms are products of a few categorical
 levels with a few numeric columns: ``fit_blocked_ols`` sums one small Gram
 matrix per cell of levels in one pass, expands them to the full normal
 equations (model state) and scores rows by a lookup of their cell's
-coefficients. Forests use ``RandomForestRegressor``.
+coefficients. Forests use ``RandomForestRegressor``, or where a tree's bag of rows
+fits a task, ``forest.fit_bagged_forest``.
 """
 from __future__ import annotations
 
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import calendar as C
 from ..session import cut_lineage
+from .forest import BAG_ROWS, BaggedForest, fit_bagged_forest
 from .sizing import checked_broadcast, counted_rows, key_bound
 
 
@@ -593,13 +595,17 @@ FOREST_TASK_ROWS = 500      # rows worth a task of their own
 
 
 def fit_forest(df: DataFrame, features, target: str, num_trees: int = 200, max_samples: int | None = None,
-               max_depth: int = MAX_DEPTH, seed: int = 42) -> ForestModel:
+               max_depth: int = MAX_DEPTH, seed: int = 42) -> ForestModel | BaggedForest:
     """Random forest of fully grown trees. Every tree sees all rows' bootstrap, or about ``max_samples`` rows
-    where the caller asks for that (``subsamplingRate = min(1, max_samples / n)``)."""
+    where the caller asks for that (``subsamplingRate = min(1, max_samples / n)``).
+
+    Bags that fit a task grow there (``forest.fit_bagged_forest``); others by Spark's forest, all rows for every level."""
     from pyspark.ml.regression import RandomForestRegressor
     train = _training_frame(df, [F.col(f"`{c}`") for c in features], target, "_f")
     n = train.count()
     rate = 1.0 if max_samples is None else min(1.0, max_samples / max(1, n))
+    if max_samples is not None and n and rate * n <= BAG_ROWS:
+        return fit_bagged_forest(train, n, features, target, num_trees, rate, max_depth, seed)
     # a stored frame of few files would train in few tasks
     tasks = min(df.sparkSession.sparkContext.defaultParallelism, -(-n // FOREST_TASK_ROWS))
     if train.rdd.getNumPartitions() < tasks:
