@@ -143,7 +143,7 @@ def t1_stream_series(spark, sf_dir):
     src, out = _folder(spark, "deliveries"), _folder(spark, "history")
     arrive(new, src, "arrival")
     with L.rocksdb_state(spark):
-        run(L.stream_new_rows(source(spark, src, new.schema), history), spark, out)
+        run(L.stream_new_rows(source(spark, src, new.schema), history, buckets=L.buckets_for(spark.read.parquet(src).count())), spark, out)
     return history.distinct().unionByName(spark.read.schema(history.schema).parquet(out))
 
 

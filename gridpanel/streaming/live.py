@@ -9,7 +9,9 @@ watermark past everything, so that rows still waiting are given out.
 from __future__ import annotations
 
 from contextlib import contextmanager
+from itertools import groupby
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -78,11 +80,25 @@ def stream_lags(rows: DataFrame, truth: DataFrame, days=(2, 7), value: str = "ta
 
 
 def _series(ids):
-    """A grouping key that is never null: one null in a batch would turn whole numbers into floats in the processor,
-    and so change its key."""
+    """A key that is never null: one null in a batch would turn whole numbers into floats in the processor, and so
+    change it."""
     return F.to_json(F.struct(*ids), {"ignoreNullFields": "false"})
 
 
+BUCKET_ROWS = 20_000        # rows of a stream for which there is a bucket
+
+
+def buckets_for(rows: int) -> int:
+    """Buckets of series for a stream of so many rows. A checkpoint goes with the number it was started with."""
+    return max(32, -(-rows // BUCKET_ROWS))
+
+
+def _bucket(buckets: int, *of):
+    """The state's grouping key. Processors are called once a key and batch, and talk to the state store by messages:
+    with a key for every series that takes hours, with one for some thousand rows it does not count."""
+    return F.pmod(F.xxhash64(*of), F.lit(buckets)).cast("int")
+
+
 # ---------------------------------------------------------------- T1
 _NEVER = -(1 << 63)
 
@@ -105,25 +121,31 @@ def _advance(state, arrivals):
 
 
 class _SeriesMark(StatefulProcessor):
-    """Per series: its last arrival, the latest hour held before that, and the latest hour held."""
+    """Of each series of a bucket: its last arrival, the latest hour held before that, and the latest hour held."""
 
     def __init__(self, ts, arrival, columns):
         self.ts, self.arrival, self.columns = ts, arrival, columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.mark = handle.getValueState("mark", "last long, before long, newest long")
+        self.marks = handle.getMapState("marks", "series string", "last long, before long, newest long")
 
     def handleInputRows(self, key, rows, timerValues):
         got = pd.concat(list(rows), ignore_index=True)
-        state = tuple(self.mark.get()) if self.mark.exists() else (None, _NEVER, _NEVER)
-        micros = got[self.ts]
-        tops = micros.groupby(got[self.arrival]).max().sort_index()
-        marks, state = _advance(state, [(int(a), int(t)) for a, t in tops.items()])
-        self.mark.update(state)
-        yield got[micros > got[self.arrival].map(marks)].drop_duplicates()[self.columns]
+        held = {series: tuple(state) for (series,), state in self.marks.iterator()}
+        tops = got.groupby(["series", self.arrival])[self.ts].max().sort_index()
+        marks = {}
+        for series, arrivals in groupby(tops.items(), key=lambda item: item[0][0]):
+            old = held.get(series, (None, _NEVER, _NEVER))
+            found, state = _advance(old, [(int(a), int(t)) for (_, a), t in arrivals])
+            if state != old:
+                self.marks.updateValue((series,), state)
+            marks.update({(series, a): m for a, m in found.items()})
+        limit = np.array([marks[k] for k in zip(got["series"], got[self.arrival])], dtype="int64")
+        yield got[got[self.ts].to_numpy() > limit].drop_duplicates()[self.columns]
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.mark.update((None, _NEVER, int(initialState["micros"].iloc[0])))
+        for series, micros in zip(initialState["series"], initialState["micros"]):
+            self.marks.updateValue((series,), (None, _NEVER, int(micros)))
 
     def close(self) -> None:
         pass
@@ -137,7 +159,8 @@ def _once(new: DataFrame, columns, arrival: str) -> DataFrame:
             .dropDuplicatesWithinWatermark([*columns, arrival]))
 
 
-def stream_new_rows(new: DataFrame, history: DataFrame | None = None, value: str = "target", arrival: str = "arrival") -> DataFrame:
+def stream_new_rows(new: DataFrame, history: DataFrame | None = None, value: str = "target", arrival: str = "arrival",
+                    buckets: int = 256) -> DataFrame:
     """T1 with a mark per series, as state: the rows of each arrival that are strictly newer than the latest hour their
     series held before it, without repeats.
 
@@ -145,17 +168,19 @@ def stream_new_rows(new: DataFrame, history: DataFrame | None = None, value: str
     in order, each in any number of files and micro-batches. ``history`` (a
     static frame) gives the first marks; rows of a series without one are all
     kept. Rows without an hour are left out; null ids are a series of their own.
-    The state is three numbers per series. Needs ``rocksdb_state``."""
+    The state is three numbers per series; ``buckets`` of series are processed
+    together (``buckets_for``). Needs ``rocksdb_state``."""
     *ids, ts = PANEL_KEY
     columns = [*PANEL_KEY, value]
     start = None
     if history is not None:
-        start = cut_lineage(history.filter(F.col(ts).isNotNull()).groupBy(_series(ids).alias("_series"))
-                            .agg(F.max(epoch_micros(ts)).alias("micros"))).groupBy("_series")
-    # the processor sees hours as microseconds, which no zone moves
+        start = cut_lineage(history.filter(F.col(ts).isNotNull()).groupBy(_series(ids).alias("series"))
+                            .agg(F.max(epoch_micros(ts)).alias("micros")).withColumn("bucket", _bucket(buckets, "series"))).groupBy("bucket")
+    # the processor sees hours as microseconds, which no zone moves; it sees no names that begin with an underscore
     seen = (_once(new.filter(F.col(ts).isNotNull()), columns, arrival)
-            .select(*ids, epoch_micros(ts).alias(ts), value, arrival, _series(ids).alias("_series")))
-    kept = seen.groupBy("_series").transformWithStateInPandas(_SeriesMark(ts, arrival, columns), seen.select(*columns).schema, "append", "None", start)
+            .select(*ids, epoch_micros(ts).alias(ts), value, arrival, _series(ids).alias("series"))
+            .withColumn("bucket", _bucket(buckets, "series")))
+    kept = seen.groupBy("bucket").transformWithStateInPandas(_SeriesMark(ts, arrival, columns), seen.select(*columns).schema, "append", "None", start)
     return kept.withColumn(ts, F.timestamp_add("MICROSECOND", F.col(ts), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")))
 
 

@@ -271,3 +271,29 @@ def test_submission_block_sent_twice(spark, tmpdir_path):
         sinks.write_submission_block(df, path, block)
     assert sorted((r.row_id, r.target, r.block) for r in sinks.read_submission(spark, path).collect()) == \
         [(1, 2.0, 3), (1, 2.0, 4), (2, None, 3), (2, None, 4)]
+
+
+# ------------------------------------------------------------------ many series
+def test_marks_of_many_series_take_few_calls(spark, tmpdir_path, monkeypatch):
+    """A processor is called for a bucket of series: 3,000 series, one of them without a unit, in a few calls."""
+    new = (spark.range(3000).select(F.when(F.col("id") > 0, F.col("id")).cast("int").alias("prediction_unit_id"), F.lit(True).alias("is_consumption"),
+                                    F.lit(ts(5)).cast("timestamp_ntz").alias("prediction_datetime"), F.col("id").cast("double").alias("target"),
+                                    F.lit(0).cast("long").alias("arrival")))
+    new = new.unionByName(new.withColumns({"prediction_datetime": F.lit(ts(9)).cast("timestamp_ntz"), "arrival": F.lit(1).cast("long")}))
+    history = new.filter("arrival = 0 AND target < 1000").drop("arrival")
+    src, out, log = (os.path.join(tmpdir_path, x) for x in ("src", "out", "log"))
+    os.makedirs(log)
+    plain = L._SeriesMark.handleInputRows
+
+    class Counted(L._SeriesMark):
+        def handleInputRows(self, key, rows, timerValues):
+            import uuid
+            open(os.path.join(log, uuid.uuid4().hex), "w").close()
+            return plain(self, key, rows, timerValues)
+    monkeypatch.setattr(L, "_SeriesMark", Counted)
+    new.coalesce(1).write.parquet(src)
+    with L.rocksdb_state(spark):
+        finish(L.stream_new_rows(feed(spark, src, new.schema, 100), history), out, os.path.join(tmpdir_path, "c"))
+    got = sorted((r.prediction_unit_id or 0, r.prediction_datetime, r.target) for r in spark.read.parquet(out).collect())
+    assert got == sorted([(i, ts(5), float(i)) for i in range(1000, 3000)] + [(i, ts(9), float(i)) for i in range(3000)])
+    assert 0 < len(os.listdir(log)) <= 256
