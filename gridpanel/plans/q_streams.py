@@ -88,7 +88,8 @@ def t2_stateful(spark, sf_dir):
     for df, path in ((asked, rows), (told, truth)):
         last = L.closing_row(df.withColumn("_day", F.date_from_unix_date(F.col("block").cast("int")).cast("timestamp_ntz")), "_day", 30 + span, **NOBODY)
         last.withColumn("block", F.unix_date(F.to_date("_day")).cast("long")).drop("_day").write.mode("append").parquet(path)
-    lagged = L.stream_block_lags(source(spark, rows, asked.schema), source(spark, truth, told.schema), (2, 7), f"{span} days")
+    lagged = L.stream_block_lags(source(spark, rows, asked.schema), source(spark, truth, told.schema), (2, 7), f"{span} days",
+                                 buckets=L.buckets_for(sum(spark.read.parquet(p).count() for p in (rows, truth))))
     with L.rocksdb_state(spark):
         run(lagged, spark, out)
     found = spark.read.schema(lagged.schema).parquet(out).filter("row_id is not null")

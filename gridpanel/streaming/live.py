@@ -226,20 +226,43 @@ def run_history_stream(new: DataFrame, history: DataFrame, path: str, checkpoint
 TRUTH, ROW, NOTHING = 0, 1, 2          # what a row of the block stream is; nothing: it only moves the watermark
 
 
+HOURS, WAITING = ["series", "hour", "block", "value"], ["series", "row_id", "hour", "block"]
+_KINDS = {"series": "string", "hour": "long", "block": "long", "row_id": "long", "value": "double"}
+
+
+def _chunk(state, key: int, columns) -> pd.DataFrame | None:
+    """The rows that a map state holds under a key, as columns."""
+    held = state.getValue((int(key),))
+    return None if held is None else pd.DataFrame(dict(zip(columns, held)))
+
+
+def _hold(state, key: int, columns, rows: pd.DataFrame) -> None:
+    if len(rows):
+        state.updateValue((int(key),), tuple(rows[c].tolist() for c in columns))
+    elif state.containsKey((int(key),)):
+        state.removeKey((int(key),))
+
+
+def _first_told(hours: pd.DataFrame) -> pd.DataFrame:
+    """An hour counts as it was first revealed."""
+    return hours.sort_values(["series", "hour", "block", "value"]).drop_duplicates(["series", "hour"])
+
+
 class _BlockScorer(StatefulProcessor):
-    """Hours of truth and rows that wait for their block, per part of a series."""
+    """Hours of truth by day, and rows that wait by block, of a bucket of series."""
 
     def __init__(self, days, columns):
         self.days, self.columns = days, columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.hours = handle.getListState("hours", "hour long, block long, value double")
-        self.waiting = handle.getListState("waiting", "row_id long, hour long, block long")
+        lists = lambda columns: ", ".join(f"{c} array<{_KINDS[c]}>" for c in columns)                        # noqa: E731
+        self.hours = handle.getMapState("hours", "day long", lists(HOURS))
+        self.waiting = handle.getMapState("waiting", "block long", lists(WAITING))
 
-    def _times(self, blocks, hours) -> list[int]:
-        """When waiting rows can be answered, and when the oldest hour is of no more use."""
-        return [_block_millis(b) for b in blocks] + ([_block_millis(min(hours) // 24 + max(self.days) + 2)] if hours else [])
+    def _times(self, blocks, days) -> list[int]:
+        """When waiting rows can be answered, and when the oldest day is of no more use."""
+        return [_block_millis(b) for b in blocks] + ([_block_millis(min(days) + max(self.days) + 2)] if days else [])
 
     def _wake(self, times, instead: bool) -> None:
         """One timer, the earliest needed; ``instead`` of those there are, or along with them."""
@@ -254,36 +277,43 @@ class _BlockScorer(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         got = pd.concat(list(rows), ignore_index=True)
         truth, asked = got[got["kind"] == TRUTH], got[got["kind"] == ROW]
-        for state, part, columns in ((self.hours, truth, ["hour", "block", "value"]), (self.waiting, asked, ["row_id", "hour", "block"])):
-            if len(part):
-                state.appendList([tuple(float(v) if c == "value" else int(v) for c, v in zip(columns, r)) for r in part[columns].itertuples(index=False)])
-        self._wake(self._times(asked["block"].astype("int64").tolist(), truth["hour"].astype("int64").tolist()), instead=False)
+        days, blocks = truth["hour"] // 24, asked["block"]
+        for day, part in truth.groupby(days):
+            _hold(self.hours, day, HOURS, _first_told(pd.concat([_chunk(self.hours, day, HOURS), part[HOURS]])))
+        for block, part in asked.groupby(blocks):
+            _hold(self.waiting, block, WAITING, pd.concat([_chunk(self.waiting, block, WAITING), part[WAITING]]))
+        self._wake(self._times(blocks.unique().tolist(), days.unique().tolist()), instead=False)
         yield pd.DataFrame(columns=self.columns)
 
+    def _told(self, asked: pd.DataFrame, days_ago: int, held: set) -> pd.Series:
+        """For each row the value of its series so many days before, if its own block knows it."""
+        wanted = pd.DataFrame({"series": asked["series"], "hour": asked["hour"] - 24 * days_ago})
+        known = [_chunk(self.hours, d, HOURS) for d in (wanted["hour"] // 24).unique() if d in held]
+        if not known:
+            return pd.Series(np.nan, index=asked.index)
+        seen = wanted.merge(pd.concat(known), on=["series", "hour"], how="left").set_index(asked.index)      # an hour is held once
+        return seen["value"].where(seen["block"] <= asked["block"])
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         passed = timerValues.getCurrentWatermarkInMs()
-        waiting = [tuple(r) for r in self.waiting.get()]
-        left = [r for r in waiting if _block_millis(r[2]) > passed]
-        hours = [tuple(r) for r in self.hours.get()]
-        first: dict = {}
-        for hour, block, value in hours:                       # an hour counts as it was first revealed
-            if hour not in first or (block, value) < first[hour]:
-                first[hour] = (block, value)
-        out = []
-        for row_id, hour, block in waiting:
-            if _block_millis(block) <= passed:
-                seen = [first.get(hour - 24 * d) for d in self.days]
-                out.append((row_id, block, *[s[1] if s is not None and s[0] <= block else None for s in seen]))
+        held, blocks = {d for (d,) in self.hours.keys()}, {b for (b,) in self.waiting.keys()}
+        ready = {b for b in blocks if _block_millis(b) <= passed}
+        if ready:
+            asked = pd.concat([_chunk(self.waiting, b, WAITING) for b in sorted(ready)], ignore_index=True)
+            lags = {name: self._told(asked, d, held) for name, d in zip(self.columns[2:], self.days)}
+            yield asked[["row_id", "block"]].assign(**lags)[self.columns]
+            for b in ready:
+                self.waiting.removeKey((b,))
         # the ring: hours that a row of a block still to come may ask for
         oldest = passed // 3_600_000 - 24 * (max(self.days) + 1)
-        kept = [h for h in hours if h[0] >= oldest]
-        for state, old, new in ((self.hours, hours, kept), (self.waiting, waiting, left)):
-            if not new:
-                state.clear()
-            elif len(new) < len(old):
-                state.put(new)
-        self._wake(self._times([b for _, _, b in left], [h for h, _, _ in kept]), instead=True)
-        yield pd.DataFrame(out, columns=self.columns)
+        for day in sorted(held):
+            if 24 * day < oldest:
+                rest = _chunk(self.hours, day, HOURS)
+                rest = rest[rest["hour"] >= oldest]
+                _hold(self.hours, day, HOURS, rest)
+                if not len(rest):
+                    held.remove(day)
+        self._wake(self._times(blocks - ready, held), instead=True)
 
     def close(self) -> None:
         pass
@@ -298,7 +328,7 @@ def _block_millis(block: int) -> int:
 
 
 def stream_block_lags(rows: DataFrame, truth: DataFrame, days=(2, 7), delay: str = "1 day", parts: int = 4,
-                      value: str = "target") -> DataFrame:
+                      value: str = "target", buckets: int = 256) -> DataFrame:
     """T2 on one stream with state: ``(row_id, block, <value>_<d>d_ago ..)`` of each row, as known in its own block.
 
     ``rows`` has ``row_id``, the panel key and ``block``; ``truth`` has the key,
@@ -310,22 +340,22 @@ def stream_block_lags(rows: DataFrame, truth: DataFrame, days=(2, 7), delay: str
     the stored hours, of which the last ``max(days) + 1`` days before the
     watermark stay. Rows without an id only move the watermark; truth without
     a value or key is left out, and rows without an hour have no lags. A series is held in ``parts`` by the hour of the day (lags
-    are whole days), so a hot one spreads. Needs ``rocksdb_state``."""
+    are whole days), so a hot one spreads; ``buckets`` of such parts are processed together (``buckets_for``). Needs ``rocksdb_state``."""
     *ids, ts = PANEL_KEY
     hour = F.timestamp_diff("HOUR", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts))
     block = F.col("block").cast("long")
     common = [F.coalesce(hour, F.lit(0)).alias("hour"), block.alias("block"), F.timestamp_seconds(block * 86400).alias("_et"),
-              _series(ids).alias("_series")]
+              _series(ids).alias("series")]
     # a watermark on each side: the stream goes by the side that is further behind; numbers are never null (see _series)
     asked = rows.select(*common, F.when(F.col("row_id").isNull(), NOTHING).otherwise(ROW).alias("kind"),
                         F.coalesce(F.col("row_id").cast("long"), F.lit(0)).alias("row_id"), F.lit(0.0).alias("value")).withWatermark("_et", delay)
     useless = F.col(value).isNull() | F.col(ts).isNull() | F.greatest(*[F.col(c).isNull() for c in ids])
     told = truth.select(*common, F.when(useless, NOTHING).otherwise(TRUTH).alias("kind"), F.lit(0).cast("long").alias("row_id"),
                         F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("value")).withWatermark("_et", delay)
-    stream = asked.unionByName(told).withColumn("_part", F.pmod(F.col("hour"), F.lit(parts)).cast("int"))
+    stream = asked.unionByName(told).withColumn("bucket", _bucket(buckets, "series", F.pmod(F.col("hour"), F.lit(parts))))
     names = ["row_id", "block", *[f"{value}_{d}d_ago" for d in days]]
     schema = ", ".join(["row_id long", "block long", *[f"{n} double" for n in names[2:]]])
-    return stream.groupBy("_series", "_part").transformWithStateInPandas(_BlockScorer(tuple(days), names), schema, "append", "EventTime")
+    return stream.groupBy("bucket").transformWithStateInPandas(_BlockScorer(tuple(days), names), schema, "append", "EventTime")
 
 
 # ---------------------------------------------------------------- T5

@@ -297,3 +297,32 @@ def test_marks_of_many_series_take_few_calls(spark, tmpdir_path, monkeypatch):
     got = sorted((r.prediction_unit_id or 0, r.prediction_datetime, r.target) for r in spark.read.parquet(out).collect())
     assert got == sorted([(i, ts(5), float(i)) for i in range(1000, 3000)] + [(i, ts(9), float(i)) for i in range(3000)])
     assert 0 < len(os.listdir(log)) <= 256
+
+
+def test_block_lags_of_many_series_take_few_calls(spark, tmpdir_path, monkeypatch):
+    """2,000 series in a few buckets: as many calls as buckets and batches, not as series and their parts."""
+    told = (spark.range(2000).select(F.when(F.col("id") > 0, F.col("id")).cast("int").alias("prediction_unit_id"), F.lit(False).alias("is_consumption"),
+                                     F.lit(ts(24 * 10 + 5)).cast("timestamp_ntz").alias("prediction_datetime"), F.col("id").cast("double").alias("target"),
+                                     F.lit(19725 + 10).cast("long").alias("block")))
+    asked = told.select(F.col("target").cast("long").alias("row_id"), *PANEL_KEY[:2], (F.col("prediction_datetime") + F.expr("interval 2 days")).alias("prediction_datetime"),
+                        (F.lit(19725 + 10) - F.when(F.col("target") % 3 == 0, 1).otherwise(0)).cast("long").alias("block"))
+    rows, truth, out, log = (os.path.join(tmpdir_path, x) for x in ("rows", "truth", "out", "log"))
+    os.makedirs(log)
+    plain = L._BlockScorer.handleInputRows
+
+    class Counted(L._BlockScorer):
+        def handleInputRows(self, key, rows, timerValues):
+            import uuid
+            open(os.path.join(log, uuid.uuid4().hex), "w").close()
+            return plain(self, key, rows, timerValues)
+    monkeypatch.setattr(L, "_BlockScorer", Counted)
+    for df, path in ((asked, rows), (told, truth)):
+        df.coalesce(1).write.parquet(path)
+        day = F.date_from_unix_date(F.col("block").cast("int")).cast("timestamp_ntz")
+        last = L.closing_row(df.withColumn("_day", day), "_day", 60, **Q.NOBODY).withColumn("block", F.unix_date(F.to_date("_day")).cast("long")).drop("_day")
+        last.write.mode("append").parquet(path)
+    with L.rocksdb_state(spark):
+        finish(L.stream_block_lags(feed(spark, rows, asked.schema, 9), feed(spark, truth, told.schema, 9), (2, 7), "4 days"), out, os.path.join(tmpdir_path, "c"))
+    # a value counts for rows of the block that reveals it or later; without a unit there is no truth
+    assert sorted(lag_rows(spark, out)) == [(i, (float(i) if i % 3 else None, None)) for i in range(2000)]
+    assert 0 < len(os.listdir(log)) <= 2 * 256
