@@ -11,6 +11,17 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..session import cut_lineage
 
 
+ROWS = 512          # series, or buckets of them, that a task holds as dense arrays at once
+
+
+def _flat(*columns):
+    """Row numbers, and the elements of each column of arrays (null: none) end to end. Arrays of numbers, and not of
+    structs, reach Python as they are, without an object for each element."""
+    size = [0 if a is None else len(a) for a in columns[0]]
+    whole = [np.concatenate([np.empty(0), *[a for a in c if a is not None]]) for c in columns]
+    return np.repeat(np.arange(len(size)), size), whole[0].astype("int64"), *whole[1:]
+
+
 def acf(df: DataFrame, keys, ts: str, value: str, nlags: int = 72) -> DataFrame:
     """A2: autocorrelation per series at lags 1..nlags hours,
     ``sum_t (x_t - m)(x_{t+k} - m) / sum_t (x_t - m)^2`` over exact-time pairs.
@@ -37,14 +48,15 @@ def acf(df: DataFrame, keys, ts: str, value: str, nlags: int = 72) -> DataFrame:
 
     def sums(batches):
         for pdf in batches:
-            for lo in range(0, len(pdf), 512):
-                part = pdf.iloc[lo:lo + 512]
+            for lo in range(0, len(pdf), ROWS):
+                part = pdf.iloc[lo:lo + ROWS]
                 x, seen = np.zeros((len(part), 2 * nlags)), np.zeros((len(part), 2 * nlags))
-                for side, col in ((0, "_x"), (nlags, "_y")):
-                    for r, cell in enumerate(part[col]):
-                        for v in (cell if cell is not None else ()):
-                            x[r, side + v["i"]] += v["c"]
-                            seen[r, side + v["i"]] += 1
+                squares = None
+                for side, of in ((0, "x"), (nlags, "y")):
+                    r, i, c = _flat(part[f"_{of}i"], part[f"_{of}c"])
+                    np.add.at(x, (r, i + side), c)
+                    np.add.at(seen, (r, i + side), 1)
+                    squares = np.bincount(r, c * c, len(part)) if side == 0 else squares
                 own, here = x[:, :nlags], seen[:, :nlags]
                 by_lag = lambda f: np.stack([f(k) for k in range(nlags + 1)], 1)                       # noqa: E731
                 num = by_lag(lambda k: (own * x[:, k:k + nlags]).sum(1))
@@ -52,14 +64,15 @@ def acf(df: DataFrame, keys, ts: str, value: str, nlags: int = 72) -> DataFrame:
                 left = by_lag(lambda k: (own * seen[:, k:k + nlags]).sum(1))
                 right = by_lag(lambda k: (here * x[:, k:k + nlags]).sum(1))
                 # lag 0 is about single rows: their squares, their sum, their number
-                num[:, 0] = [sum(v["c"] ** 2 for v in cell) for cell in part["_x"]]
+                num[:, 0] = squares
                 left[:, 0] = right[:, 0] = own.sum(1)
                 pairs[:, 0] = here.sum(1)
                 r, k = np.nonzero(pairs)
                 yield pd.DataFrame({**{c_: part[c_].to_numpy()[r] for c_ in keys}, "lag": k.astype("int32"),
                                     **{n: v[r, k] for n, v in zip(sums_of, (num, left, right, pairs))}})
 
-    total = both.mapInPandas(sums, schema).groupBy(*keys, "lag").agg(*[F.sum(n).alias(f"_{n}") for n in sums_of])
+    arrays = both.select(*keys, *[F.col(f"_{of}")[f].alias(f"_{of}{f}") for of in "xy" for f in "ic"])
+    total = arrays.mapInPandas(sums, schema).groupBy(*keys, "lag").agg(*[F.sum(n).alias(f"_{n}") for n in sums_of])
     mean = F.col("_left") / F.col("_pairs")
     whole = total.filter("lag = 0").select(*keys, mean.alias("_m"), (F.col("_num") - mean * F.col("_left")).alias("_den"))
     about = F.col("_num") - F.col("_m") * (F.col("_left") + F.col("_right")) + F.col("_pairs") * F.col("_m") * F.col("_m")
@@ -73,25 +86,28 @@ def pacf_from_acf(acf_df: DataFrame, keys, nlags: int = 72) -> DataFrame:
     A series is one row with its lags; the recursion runs over all series of a batch at once."""
     keys = list(keys)
     schema = T.StructType([*acf_df.select(*keys).schema.fields, T.StructField("lag", T.IntegerType()), T.StructField("pacf", T.DoubleType())])
-    series = acf_df.groupBy(*keys).agg(F.collect_list(F.struct(F.col("lag").cast("int").alias("k"), F.col("acf").cast("double").alias("r"))).alias("_r"))
+    lags = F.collect_list(F.struct(F.col("lag").cast("int").alias("k"), F.coalesce(F.col("acf").cast("double"), F.lit(float("nan"))).alias("r")))
+    series = (acf_df.groupBy(*keys).agg(F.filter(lags, lambda v: v["k"].between(1, nlags)).alias("_r"))
+              .select(*keys, F.col("_r")["k"].alias("_k"), F.col("_r")["r"].alias("_r")))
 
     def run(batches):
         for pdf in batches:
-            n = len(pdf)
-            r = np.zeros((n, nlags + 1))
-            for i, cell in enumerate(pdf["_r"]):
-                for v in cell:
-                    if 1 <= v["k"] <= nlags and v["r"] is not None and np.isfinite(v["r"]):
-                        r[i, v["k"]] = v["r"]
-            out, phi, var, live = np.zeros((n, nlags + 1)), np.zeros((n, nlags + 1)), np.ones(n), np.ones(n, bool)
-            for k in range(1, nlags + 1):
-                live &= var > 0
-                a = np.where(live, (r[:, k] - (phi[:, 1:k] * r[:, 1:k][:, ::-1]).sum(1)) / np.where(live, var, 1.0), 0.0)
-                phi[:, 1:k] -= a[:, None] * phi[:, 1:k][:, ::-1].copy()
-                phi[:, k] = out[:, k] = a
-                var = var * (1 - a * a)
-            yield pd.DataFrame({**{c: np.repeat(pdf[c].to_numpy(), nlags) for c in keys}, "lag": np.tile(np.arange(1, nlags + 1, dtype="int32"), n),
-                                "pacf": out[:, 1:].ravel()})
+            for lo in range(0, len(pdf), ROWS):
+                part = pdf.iloc[lo:lo + ROWS]
+                n = len(part)
+                r = np.zeros((n, nlags + 1))
+                row, k, value = _flat(part["_k"], part["_r"])
+                good = np.isfinite(value)
+                r[row[good], k[good]] = value[good]
+                out, phi, var, live = np.zeros((n, nlags + 1)), np.zeros((n, nlags + 1)), np.ones(n), np.ones(n, bool)
+                for k in range(1, nlags + 1):
+                    live &= var > 0
+                    a = np.where(live, (r[:, k] - (phi[:, 1:k] * r[:, 1:k][:, ::-1]).sum(1)) / np.where(live, var, 1.0), 0.0)
+                    phi[:, 1:k] -= a[:, None] * phi[:, 1:k][:, ::-1].copy()
+                    phi[:, k] = out[:, k] = a
+                    var = var * (1 - a * a)
+                yield pd.DataFrame({**{c: np.repeat(part[c].to_numpy(), nlags) for c in keys}, "lag": np.tile(np.arange(1, nlags + 1, dtype="int32"), n),
+                                    "pacf": out[:, 1:].ravel()})
 
     return series.mapInPandas(run, schema)
 

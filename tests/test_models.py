@@ -171,3 +171,22 @@ def test_blocks_and_solar_across_new_year_and_past_2024(spark, tmp_path):
     assert scored[4] == pytest.approx(truth[0]) and scored[8] == pytest.approx(truth[4]) and scored[12] == 0.0
     solar = add_solar(t, FB.solar_of(spark, t), how="inner")
     assert solar.count() == 7 and solar.filter("solar_elevation is null").count() == 0
+
+
+def test_lags_reach_python_as_arrays_of_numbers(spark):
+    """An object for each element of a batch of series took gigabytes of the workers' memory."""
+    import datetime as dt
+    rng = np.random.default_rng(5)
+    rows = [(u, dt.datetime(2024, 1, 1) + dt.timedelta(hours=int(h)), float(rng.random())) for u in range(700) for h in rng.choice(12, 6, replace=False)]
+    df = spark.createDataFrame(rows, "u int, t timestamp_ntz, v double")
+    found = A.acf(df, ["u"], "t", "v", 4)
+    partial = A.pacf_from_acf(found, ["u"], 4)
+    # what a batch holds: plain numbers, end to end
+    r, k, v = A._flat([np.array([1, 3]), None, np.array([2])], [np.array([0.5, 0.25]), None, np.array([-1.0])])
+    assert (r.tolist(), k.tolist(), v.tolist()) == ([0, 0, 2], [1, 3, 2], [0.5, 0.25, -1.0])
+    got = {(x.u, x.lag): x.pacf for x in partial.collect()}
+    at = {(x.u, x.lag): x.acf for x in found.collect()}
+    assert len(got) == 2800
+    for u in range(700):
+        a, b = at.get((u, 1), 0.0), at.get((u, 2), 0.0)
+        assert got[u, 1] == pytest.approx(a) and got[u, 2] == pytest.approx((b - a * a) / (1 - a * a))
