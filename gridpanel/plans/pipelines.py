@@ -22,6 +22,7 @@ class Pipeline:
 
     def __init__(self, panel: Panel, target: DataFrame, consumption: bool):
         self.panel, self.normalise = panel, not consumption
+        target = cut_lineage(target)                    # read by the history, the rows, the split and the hours: the events only once
         self.client = dimension(panel.client)           # joined by the history, the training and the test rows
         self.rows = target.filter(F.col("is_consumption") == consumption)
         self.history = FB.history_of(target, self.client, self.normalise)

@@ -152,6 +152,23 @@ def test_pipelines_predict_in_target_units(spark):
         assert 0.3 * joined.truth.mean() < joined.target.mean() < 3 * joined.truth.mean()
 
 
+def test_a_pipeline_aggregates_the_events_once(spark, tmp_path):
+    """History, training rows, test rows and template each summed all events anew."""
+    import datetime as dt
+    from gridpanel.plans import pipelines as PL
+    from gridpanel.plans.fixtures import load_panel
+    rows = [(2 * i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), 2, "view", float(i + 1)) for i in range(24 * 15)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").write.parquet(str(tmp_path / "events.parquet"))
+    p = load_panel(spark, str(tmp_path))
+    pipe = PL.Pipeline(p, p.dense_target, False)
+    train, test = pipe.features("train"), pipe.features("inference")
+    for frame in (pipe.history, pipe.rows, train, test, pipe.submission(test.withColumn("prediction", F.lit(1.0)))):
+        assert frame.inputFiles() and not any("events.parquet" in f for f in frame.inputFiles())
+    assert "events.parquet" not in pipe.rows.select(pipe.split)._jdf.queryExecution().toString()
+    at = 14 * 2 // 3                                        # the first seven days have no lags
+    assert train.count() == 24 * (at - 7) and test.count() == 24 * (15 - at)
+
+
 def test_blocks_and_solar_across_new_year_and_past_2024(spark, tmp_path):
     """Rows around New Year and in 2026 keep their blocks, lags and solar positions."""
     import datetime as dt
