@@ -22,18 +22,20 @@ class Pipeline:
 
     def __init__(self, panel: Panel, target: DataFrame, consumption: bool):
         self.panel, self.normalise = panel, not consumption
-        target = cut_lineage(target)                    # read by the history, the rows, the split and the hours: the events only once
         self.client = dimension(panel.client)           # joined by the history, the training and the test rows
-        self.rows = target.filter(F.col("is_consumption") == consumption)
-        self.history = FB.history_of(target, self.client, self.normalise)
-        self.fit_start = target.select(F.min(F.to_date("prediction_datetime"))).scalar()
-        self.times = FB.hour_features(target.sparkSession, target, self.fit_start)
-        self.split = split_block(target)
+        held = cut_lineage(target)                      # read by the history, the test rows, the template, the hours and their bounds
+        block, of_direction = F.col("data_block_id"), F.col("is_consumption") == consumption
+        self.split = split_block(held)
+        self.rows = held.filter(of_direction).filter(block >= self.split)
+        # not from the stored rows: forests deal bags by the order of the training rows, which would be another
+        self.train_rows = target.filter(of_direction).filter(block < split_block(target))
+        self.history = FB.history_of(held, self.client, self.normalise)
+        self.fit_start = held.select(F.min(F.to_date("prediction_datetime"))).scalar()
+        self.times = FB.hour_features(target.sparkSession, held, self.fit_start)
 
     def features(self, mode: str, calendar: bool = False) -> DataFrame:
         """Rows with client facts, target and lags; ``calendar`` adds what depends on the hour (``times``) as columns."""
-        block = F.col("data_block_id")
-        rows = self.rows.filter(block < self.split if mode == "train" else block >= self.split)
+        rows = self.train_rows if mode == "train" else self.rows
         out = FB.linear_features(rows, self.client, self.history, mode, normalise=self.normalise)
         return out.join(F.broadcast(self.times.drop("date")), "prediction_datetime", "left") if calendar else out      # a row an hour
 
@@ -42,7 +44,7 @@ class Pipeline:
 
     def submission(self, scored: DataFrame) -> DataFrame:
         """All test rows; what could not be scored is 0."""
-        template = self.rows.filter(F.col("data_block_id") >= self.split).select("row_id", "data_block_id", F.lit(0.0).alias("target"))
+        template = self.rows.select("row_id", "data_block_id", F.lit(0.0).alias("target"))
         return B.complete_submission(template, scored.select("row_id", F.col("prediction")))
 
     def production(self, train: DataFrame):
